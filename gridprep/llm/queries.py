@@ -31,8 +31,59 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels' columns in sequence: quality first, whose probability the model for toxic gets too."""
+    from gridprep.llm.toxicity import fit_chain, toxicity
+
+    docs = _read(spark, sf_dir, "documents")
+    return toxicity(docs, fit_chain(docs, _read(spark, sf_dir, "labels"), ["quality", "toxic"]))
+
+
+#: The rules of the URL query.
+URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridprep.llm.urls import judge_urls
+
+    return judge_urls(_read(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridprep.llm.topk import top_k
+
+    vectors = _read(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0), k=5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op4_url_filter": op4_url_filter,
+    "op6_exact_top_k": op6_exact_top_k,
     "op7_license_scan": op7_license_scan,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_url_filter": r"""
+        WITH u AS (
+          SELECT page_id,
+            coalesce(translate(regexp_extract(url, '://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+            coalesce(regexp_extract(url, '://([^/?#]*)([^?#]*)', 2), '') AS path
+          FROM pages),
+        m AS (
+          SELECT *, CASE
+            WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/7') THEN 'example.com/en/7'
+            WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/de/8') THEN 'example.net/de/8'
+            WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/en/') THEN 'com/en/'
+            WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/de/') THEN 'net/de/'
+            WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/es/') THEN 'org/es/' END AS rule
+          FROM u)
+        SELECT page_id, host, path, rule, CASE WHEN rule IN ('com/en/', 'example.net/de/8', 'org/es/') THEN 'block' ELSE 'allow' END AS verdict FROM m""",
+    "op6_exact_top_k": """
+        WITH v AS (SELECT CAST(vec_id AS BIGINT) AS vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+          FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+          FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+        r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+}
