@@ -49,6 +49,18 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(_read(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op5_syncmer_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridprep.llm.syncmers import compare_with_next
+
+    return compare_with_next(_read(spark, sf_dir, "documents"))
+
+
+def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridprep.llm.mixing import mix_documents
+
+    return mix_documents(_read(spark, sf_dir, "documents"), [1, 2, 3])
+
+
 def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gridprep.llm.topk import top_k
 
@@ -59,8 +71,10 @@ def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op4_url_filter": op4_url_filter,
+    "op5_syncmer_fingerprint": op5_syncmer_fingerprint,
     "op6_exact_top_k": op6_exact_top_k,
     "op7_license_scan": op7_license_scan,
+    "op9_mix_sources": op9_mix_sources,
 }
 
 ORACLE: dict[str, str] = {

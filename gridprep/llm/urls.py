@@ -102,9 +102,14 @@ def ship(spark: SparkSession, rules: list[tuple[str, str, str]]) -> str:
     if len(rules) > MAX_RULES:
         raise ValueError(f"{len(rules)} rules; a digest array takes {MAX_RULES}: split the list by host and filter in turns")
     name = "rules-" + hashlib.sha256(repr(sorted(rules)).encode()).hexdigest()[:20] + ".bin"
-    folder = tempfile.mkdtemp(prefix="gridprep-rules-")
-    DigestArray.write(os.path.join(folder, name), rules)
-    spark.sparkContext.addFile(os.path.join(folder, name))
+    # Spark wants equal names to have equal paths, so a list has one path in the driver's temp folder
+    folder = os.path.join(tempfile.gettempdir(), "gridprep-rules")
+    os.makedirs(folder, exist_ok=True)
+    path = os.path.join(folder, name)
+    if not os.path.exists(path):
+        DigestArray.write(f"{path}.{os.getpid()}", rules)
+        os.replace(f"{path}.{os.getpid()}", path)
+    spark.sparkContext.addFile(path)
     return name
 
 
