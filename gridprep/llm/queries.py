@@ -55,6 +55,20 @@ def op5_syncmer_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_with_next(_read(spark, sf_dir, "documents"))
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """Packs documents with the public word tokenizer and digests the pieces' ids."""
+    import public_tokenizers
+
+    from gridprep.llm.packing import pack_documents
+
+    pieces = pack_documents(docs, str(public_tokenizers.path("word_bpe_49k.json")))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(_read(spark, sf_dir, "documents"))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gridprep.llm.mixing import mix_documents
 
@@ -74,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_syncmer_fingerprint": op5_syncmer_fingerprint,
     "op6_exact_top_k": op6_exact_top_k,
     "op7_license_scan": op7_license_scan,
+    "op8_pack": op8_pack,
     "op9_mix_sources": op9_mix_sources,
 }
 
