@@ -45,6 +45,12 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_classes(_read(spark, sf_dir, "documents"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridprep.llm.lines import line_report
+
+    return line_report(_read(spark, sf_dir, "documents"))
+
+
 #: The rules of the URL query.
 URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
 
@@ -91,6 +97,7 @@ def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
+    "op3_line_dedup": op3_line_dedup,
     "op4_url_filter": op4_url_filter,
     "op5_syncmer_fingerprint": op5_syncmer_fingerprint,
     "op6_exact_top_k": op6_exact_top_k,
