@@ -94,6 +94,12 @@ def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0), k=5)
 
 
+def op10_extract_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridprep.llm.html import extract_pages
+
+    return extract_pages(_read(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
@@ -104,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_license_scan": op7_license_scan,
     "op8_pack": op8_pack,
     "op9_mix_sources": op9_mix_sources,
+    "op10_extract_html": op10_extract_html,
 }
 
 ORACLE: dict[str, str] = {
