@@ -1,3 +1,176 @@
-"""placeholder"""
-def reliable_cut(df):
-    return df.checkpoint()
+"""River networks and proximity: outlets, closures, accumulation, radius joins, best neighbours, snapping of points."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from gridprep.functions.geo import EARTH_RADIUS, haversine
+from gridprep.session import reliable_cut
+
+
+def river_graph(df: DataFrame) -> DataFrame:
+    """cell, next_cell: negative and unknown next cells are outlets (null)."""
+    known = df.select(F.col("cell").alias("next_cell")).distinct().withColumn("__known", F.lit(True))
+    # a next cell outside the grid ends the river there
+    out = df.select("cell", F.when(F.col("next_cell") >= 0, F.col("next_cell")).alias("next_cell")).join(known, "next_cell", "left")
+    return out.select("cell", F.when(F.col("__known"), F.col("next_cell")).alias("next_cell"))
+
+
+def outlets(graph: DataFrame, max_rounds: int = 64) -> DataFrame:
+    """cell, outlet, depth (steps to it), by pointer doubling: as many rounds as the depth has binary digits.
+
+    A cycle would never end: it shows as cells still on their way once the rounds are more than the digits of the
+    number of cells, and is an error.
+    """
+    state = reliable_cut(graph.select("cell", F.coalesce("next_cell", "cell").alias("to"), F.when(F.col("next_cell").isNull(), 0).otherwise(1).cast("long").alias("steps"), F.col("next_cell").isNull().alias("done")))
+    rounds = min(max_rounds, max(1, state.count()).bit_length() + 1)
+    for _ in range(rounds):
+        if state.filter(~F.col("done")).isEmpty():
+            return state.select("cell", F.col("to").alias("outlet"), F.col("steps").alias("depth"))
+        ahead = state.select(F.col("cell").alias("to"), F.col("to").alias("to2"), F.col("steps").alias("steps2"), F.col("done").alias("done2"))
+        moving = state.filter(~F.col("done")).join(ahead, "to")
+        moving = moving.select("cell", F.col("to2").alias("to"), (F.col("steps") + F.col("steps2")).alias("steps"), F.col("done2").alias("done"))
+        state = reliable_cut(state.filter("done").unionByName(moving))
+    if state.filter(~F.col("done")).isEmpty():
+        return state.select("cell", F.col("to").alias("outlet"), F.col("steps").alias("depth"))
+    raise ValueError("the river network has a cycle")
+
+
+def closure(graph: DataFrame, cells: DataFrame | None = None) -> DataFrame:
+    """cell, down_cell, steps: every cell downstream of each cell (of ``cells``, if given), by doubling the reach.
+
+    The result has as many rows as the depths add up to: ask for the cells in play only.
+    """
+    jump = reliable_cut(graph.filter("next_cell is not null").select("cell", F.col("next_cell").alias("to")))
+    pairs = jump if cells is None else jump.join(cells.select("cell").distinct(), "cell", "left_semi")
+    pairs = reliable_cut(pairs.select("cell", F.col("to").alias("down_cell"), F.lit(1).cast("long").alias("steps")))
+    reach = 1
+    while not jump.isEmpty():
+        # pairs reach up to ``reach`` steps and ``jump`` goes exactly that far
+        more = pairs.join(jump.select(F.col("cell").alias("down_cell"), "to"), "down_cell").select("cell", F.col("to").alias("down_cell"), (F.col("steps") + reach).alias("steps"))
+        pairs = reliable_cut(pairs.unionByName(more))
+        jump = reliable_cut(jump.join(jump.select(F.col("cell").alias("to"), F.col("to").alias("to2")), "to").select("cell", F.col("to2").alias("to")))
+        reach *= 2
+    return pairs
+
+
+def accumulate(graph: DataFrame, values: DataFrame, value: str = "area") -> DataFrame:
+    """cell and the sum of ``value`` over itself and all cells upstream, by doubling: one aggregation and join a round."""
+    acc = reliable_cut(values.select("cell", F.col(value).cast("double").alias("acc")))
+    jump = reliable_cut(graph.filter("next_cell is not null").select("cell", F.col("next_cell").alias("to")))
+    while not jump.isEmpty():
+        got = jump.join(acc, "cell").groupBy(F.col("to").alias("cell")).agg(F.sum("acc").alias("more"))
+        acc = reliable_cut(acc.join(got, "cell", "left").select("cell", (F.col("acc") + F.coalesce("more", F.lit(0.0))).alias("acc")))
+        jump = reliable_cut(jump.join(jump.select(F.col("cell").alias("to"), F.col("to").alias("to2")), "to").select("cell", F.col("to2").alias("to")))
+    return acc.withColumnRenamed("acc", value)
+
+
+def radius_join(left: DataFrame, right: DataFrame, radius: float, left_id: str = "cell", right_id: str = "other") -> DataFrame:
+    """(left_id, right_id, distance): pairs within ``radius`` metres, across the 180-degree line as well.
+
+    Both sides fall into latitude bands a radius high, and into longitude buckets a radius wide at the band's edge
+    nearer to a pole; the left side goes to its own and the neighbouring buckets, so each pair meets once.
+    """
+    height = radius / EARTH_RADIUS * 180 / 3.141592653589793
+    band = lambda lat: F.floor((F.col(lat) + 90) / height)
+
+    def buckets(b):
+        # widest |lat| of the band; at the poles one bucket holds the whole circle
+        edge = F.least(F.greatest(F.abs(b * height - 90), F.abs((b + 1) * height - 90)), F.lit(90.0))
+        narrow = F.cos(F.radians(edge))
+        width = F.lit(height) / F.when(narrow > 1e-6, narrow)
+        return F.greatest(F.floor(F.lit(360.0) / F.coalesce(width * 1.01, F.lit(400.0))), F.lit(1)).cast("long")
+
+    place = lambda lon, n: F.least(F.floor(F.pmod(F.col(lon) + 180, F.lit(360.0)) * n / 360), n - 1)
+    r = right.select(F.col(right_id), F.col("lon").alias("rlon"), F.col("lat").alias("rlat"), band("lat").alias("b")).withColumn("n", buckets(F.col("b")))
+    r = r.withColumn("k", place("rlon", F.col("n"))).drop("n")
+    bands = F.explode(F.array(band("lat") - 1, band("lat"), band("lat") + 1))
+    x = left.select(F.col(left_id), F.col("lon").alias("llon"), F.col("lat").alias("llat"), bands.alias("b")).withColumn("n", buckets(F.col("b")))
+    near = F.array_distinct(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.pmod(place("llon", F.col("n")) + d, F.col("n"))))
+    x = x.withColumn("k", F.explode(near)).drop("n")
+    d = haversine("llon", "llat", "rlon", "rlat")
+    return x.join(r, ["b", "k"]).select(left_id, right_id, d.alias("distance")).filter(F.col("distance") <= radius)
+
+
+def exclude_related(pairs: DataFrame, related: DataFrame) -> DataFrame:
+    """Pairs (cell, other) of which neither is downstream of the other; ``related``: cell, down_cell."""
+    down = related.select("cell", F.col("down_cell").alias("other"))
+    return pairs.join(down, ["cell", "other"], "left_anti").join(down.select(F.col("other").alias("cell"), F.col("cell").alias("other")), ["cell", "other"], "left_anti")
+
+
+def best_neighbour(grid: DataFrame, graph: DataFrame, upstream: DataFrame, candidates: DataFrame, power: float = 2.0) -> DataFrame:
+    """cell, best: the candidate with the highest upstream area / distance^power that is on no common river with the cell.
+
+    Ties: the nearer, then the smaller id; a cell without candidates is its own. ``candidates``: cell, other, distance.
+    """
+    in_play = candidates.select("cell").union(candidates.select(F.col("other").alias("cell"))).distinct()
+    related = closure(graph, in_play)
+    free = exclude_related(candidates.filter("cell <> other"), related)
+    scored = free.join(upstream.select(F.col("cell").alias("other"), F.col("area").alias("up")), "other").withColumn("score", F.col("up") / F.pow("distance", F.lit(power)))
+    best = scored.groupBy("cell").agg(F.min_by("other", F.struct((-F.col("score")).alias("a"), "distance", "other")).alias("best"))
+    return grid.select("cell").join(best, "cell", "left").select("cell", F.coalesce("best", "cell").alias("best"))
+
+
+def snap_points(points: DataFrame, grid: DataFrame, params: DataFrame, max_degrees: float, max_distance: float, manual: DataFrame | None = None) -> DataFrame:
+    """(params, point_id, cell, distance, deviation): the best cell for each point under every pair of penalties at once.
+
+    Weight 1 / distance^d * 1 / |deviation|^e, with e scaled by ``over`` where the cell's catchment is larger than the
+    point's; compared as logarithms, so a distance or deviation of 0 wins. Candidates lie within ``max_degrees`` of the
+    point in both axes and within ``max_distance``; ties: the nearer, then the smaller cell. ``params`` (set_id, d, e,
+    over) is a small table; ``manual`` (point_id, cell) bypasses the search.
+    """
+    size = max_degrees
+    searched = points if manual is None else points.join(manual.select("point_id"), "point_id", "left_anti")
+    g = grid.select("cell", F.col("lon").alias("glon"), F.col("lat").alias("glat"), F.col("area").alias("up"))
+    g = g.withColumn("bx", F.floor(F.pmod(F.col("glon") + 180, F.lit(360.0)) / size)).withColumn("by", F.floor((F.col("glat") + 90) / size))
+    n = -int(-360 // size)
+    steps = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1))))
+    p = searched.select("point_id", F.col("lon").alias("plon"), F.col("lat").alias("plat"), "catch_area", steps.alias("s"))
+    p = p.withColumn("bx", F.pmod(F.floor(F.pmod(F.col("plon") + 180, F.lit(360.0)) / size) + F.col("s.i"), F.lit(n))).withColumn("by", F.floor((F.col("plat") + 90) / size) + F.col("s.j")).drop("s")
+    dlon = F.abs(F.pmod(F.col("plon") - F.col("glon") + 180, F.lit(360.0)) - 180)
+    near = p.join(g, ["bx", "by"]).filter((dlon <= size) & (F.abs(F.col("plat") - F.col("glat")) <= size))
+    near = near.withColumn("distance", haversine("plon", "plat", "glon", "glat")).filter(F.col("distance") <= max_distance)
+    near = near.dropDuplicates(["point_id", "cell"])
+    near = near.withColumn("deviation", (F.col("up") - F.col("catch_area")) / F.when(F.col("catch_area") != 0, F.col("catch_area")))
+    # every pair of penalties for every candidate; the parameter table is the caller's handful of rows
+    swept = near.crossJoin(F.broadcast(params))
+    safe_log = lambda x: F.when(x > 0, F.log(x)).otherwise(F.lit(-1e9))
+    e = F.when(F.col("deviation") > 0, F.col("e") * F.col("over")).otherwise(F.col("e"))
+    cost = F.round(F.col("d") * safe_log(F.col("distance")) + e * safe_log(F.abs("deviation")), 9)
+    best = swept.withColumn("cost", cost).groupBy("set_id", "point_id").agg(F.min_by(F.struct("cell", "distance", "deviation"), F.struct("cost", "distance", "cell")).alias("b"))
+    out = best.select("set_id", "point_id", "b.cell", "b.distance", "b.deviation")
+    if manual is not None:
+        own = manual.join(points, "point_id").join(grid.select("cell", F.col("lon").alias("glon"), F.col("lat").alias("glat"), F.col("area").alias("up")), "cell")
+        own = own.select("point_id", "cell", haversine("lon", "lat", "glon", "glat").alias("distance"), ((F.col("up") - F.col("catch_area")) / F.when(F.col("catch_area") != 0, F.col("catch_area"))).alias("deviation"))
+        out = out.unionByName(own.crossJoin(F.broadcast(params.select("set_id"))).select(*out.columns))
+    return out
+
+
+def directions_to_graph(directions: DataFrame, codes: DataFrame, grid: DataFrame, ncol: int, wraps: bool = False) -> DataFrame:
+    """cell, next_cell (null at an outlet), distance in m, from a raster of flow directions.
+
+    ``directions``: gcol, grow, code; ``codes``: code, dcol, drow, a small table; ``grid``: cell, gcol, grow, lon, lat.
+    """
+    d = grid.join(directions.select("gcol", "grow", "code"), ["gcol", "grow"], "left").join(F.broadcast(codes), "code", "left")
+    col = F.col("gcol") + F.col("dcol")
+    d = d.select("cell", "lon", "lat", (F.pmod(col, F.lit(ncol)) if wraps else col).alias("gcol"), (F.col("grow") + F.col("drow")).alias("grow"))
+    to = grid.select(F.col("cell").alias("next_cell"), "gcol", "grow", F.col("lon").alias("nlon"), F.col("lat").alias("nlat"))
+    out = d.join(to, ["gcol", "grow"], "left")
+    own = F.col("next_cell") == F.col("cell")
+    return out.select("cell", F.when(~own, F.col("next_cell")).alias("next_cell"), F.when(~own, haversine("lon", "lat", "nlon", "nlat")).alias("distance"))
+
+
+def merge_dams(dams: DataFrame, key: str = "cell") -> DataFrame:
+    """Records of a cell as one: sums of capacity and area, height of the largest, irrigation if any, the purpose with the
+    most capacity (ties: lowest code), and the year in which half of the capacity with a year is reached.
+
+    ``dams``: cell, dam_id, capacity, area, height, year, purpose, irrigation.
+    """
+    w = Window.partitionBy(key).orderBy("year").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    dated = dams.filter("year is not null").withColumn("upto", F.sum("capacity").over(w)).withColumn("all", F.sum("capacity").over(Window.partitionBy(key)))
+    year = dated.groupBy(key).agg(F.coalesce(F.min(F.when(F.col("upto") >= F.col("all") / 2, F.col("year"))), F.min("year")).alias("year"))
+    by_use = dams.groupBy(key, "purpose").agg(F.sum("capacity").alias("c"))
+    use = by_use.groupBy(key).agg(F.min_by("purpose", F.struct((-F.col("c")).alias("a"), "purpose")).alias("purpose"))
+    facts = dams.groupBy(key).agg(F.sum("capacity").alias("capacity"), F.sum("area").alias("area"), F.min_by("height", F.struct((-F.col("capacity")).alias("a"), "dam_id")).alias("height"), F.bool_or("irrigation").alias("irrigation"), F.count(F.lit(1)).alias("n"))
+    return facts.join(use, key).join(year, key, "left")

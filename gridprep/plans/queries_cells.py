@@ -240,7 +240,7 @@ def g18_step(spark, sf):
 
 @query("g18_redistribute")
 def g18(spark, sf):
-    from gridprep.operators.graph import reliable_cut
+    from gridprep.session import reliable_cut
 
     k, totals = crop_cells(spark, sf)
     alloc = capacity.disaggregate(totals.withColumn("total", F.col("total") * 0.8), k).select("country", "cell", "crop", "area", F.col("cropland").alias("cap"))

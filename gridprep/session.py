@@ -20,3 +20,20 @@ def build_session(app: str = "gridprep", master: str | None = None, **conf: str)
     for k, v in settings.items():
         builder = builder.config(k, v)
     return builder.getOrCreate()
+
+
+def reliable_cut(df):
+    """The same rows, computed now and kept in the shared checkpoint folder, so that losing executors loses nothing.
+
+    The folder is spark.checkpoint.dir; only where that is unset (tests, one machine) a temporary one.
+    """
+    import tempfile
+
+    spark = df.sparkSession
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if not where:
+        where = tempfile.mkdtemp(prefix="gridprep-checkpoint-")
+        spark.conf.set("spark.checkpoint.dir", where)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(where)
+    return df.checkpoint(eager=True)
