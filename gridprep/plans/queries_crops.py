@@ -214,7 +214,7 @@ def g03(spark, sf):
     return crops.hier_fill(_intensity(spark, sf)[1], ["level2", "level1", "level0"], "intensity", "cropland").select("cell", F.round("intensity", 6).alias("intensity"), "fill_level")
 
 
-@query("a23_fill_stats", oracle("v_parts v_admin", "SELECT level0, count_if(fill_level = 0) AS level0_n, count_if(fill_level = 1) AS level1_n, count_if(fill_level = 2) AS level2_n, count_if(fill_level = 3) AS level3_n, count_if(fill_level IS NULL) AS failed FROM hf GROUP BY 1", _HIER))
+@query("a23_fill_stats", oracle("v_parts v_admin", "SELECT level0, count(*) FILTER (WHERE fill_level = 0) AS level0_n, count(*) FILTER (WHERE fill_level = 1) AS level1_n, count(*) FILTER (WHERE fill_level = 2) AS level2_n, count(*) FILTER (WHERE fill_level = 3) AS level3_n, count(*) FILTER (WHERE fill_level IS NULL) AS failed FROM hf GROUP BY 1", _HIER))
 def a23(spark, sf):
     f = crops.hier_fill(_intensity(spark, sf)[1], ["level2", "level1", "level0"], "intensity", "cropland")
     s = crops.fill_stats(f.drop("zone").withColumnRenamed("level0", "zone"), "zone")
