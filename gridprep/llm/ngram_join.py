@@ -27,7 +27,7 @@ HASHES = BANDS * ROWS
 #: Posterior probability below which a pair is dropped.
 TOLERANCE = 1e-6
 #: Members of a bucket or candidate component compared in one task; larger ones are dealt out as pairs of blocks.
-BLOCK = 256
+BLOCK = 1_024
 
 _A = (mix64(np.arange(1, HASHES + 1, dtype=np.uint64) * _MULT) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _B = (mix64(np.arange(1001, HASHES + 1001, dtype=np.uint64) * _MULT) >> np.uint64(32)).astype(np.uint32)
@@ -111,82 +111,118 @@ def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"doc_id": ids[a:b], "node": node, "n": n, "sig": sig})
 
 
-def _compared(threshold: float):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
+def _whole_runs(batches: Iterator[pd.DataFrame], keys: list[str], rows: int = 4_000) -> Iterator[pd.DataFrame]:
+    """Batches sorted by ``keys`` as frames of about so many rows that never end inside a run of equal keys."""
+    held: list[pd.DataFrame] = []
+    n = 0
+    for pdf in batches:
+        if not len(pdf):
+            continue
+        held.append(pdf)
+        n += len(pdf)
+        if n >= rows:
+            every = pd.concat(held, ignore_index=True)
+            done = (every[keys] != every[keys].iloc[-1]).any(axis=1).to_numpy()
+            if done.any():
+                yield every[done].reset_index(drop=True)
+            held = [every[~done]]
+            n = len(held[0])
+    if n:
+        yield pd.concat(held, ignore_index=True)
+
+
+def _forest(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """For each of n places the smallest place it hangs together with by the pairs."""
+    label = np.arange(n)
+    while len(left):
+        least = np.minimum(label[left], label[right])
+        new = label.copy()
+        np.minimum.at(new, left, least)
+        np.minimum.at(new, right, least)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    return label
+
+
+def _candidates(threshold: float):
+    """Within each bucket (or pair of its blocks) the pairs that pruning leaves, as a forest: one row for each member at most."""
 
-        def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in _whole_runs(batches, ["key", "i", "j"]):
             key = pdf[["key", "i", "j"]].to_numpy(np.int64)
             new = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]).any(1))))
             sig = np.frombuffer(b"".join(pdf["sig"]), np.uint32).reshape(len(pdf), HASHES)
-            node, part, band = pdf["node"].to_numpy(np.int64), pdf["part"].to_numpy(), pdf["band"].to_numpy()
+            node, part = pdf["node"].to_numpy(np.int64), pdf["part"].to_numpy()
             sizes = np.diff(np.append(new, len(pdf)))
-            out = []
             a = 0
-            while a < len(sizes):  # runs until about a million pairs are together
+            while a < len(sizes):  # runs until about half a million pairs are together
                 b, pairs = a, 0
-                while b < len(sizes) and (b == a or pairs + sizes[b] * (sizes[b] - 1) // 2 < 1_000_000):
+                while b < len(sizes) and (b == a or pairs + sizes[b] * (sizes[b] - 1) // 2 < 500_000):
                     pairs += sizes[b] * (sizes[b] - 1) // 2
                     b += 1
                 left, right = _pairs(sizes[a:b])
                 left, right = left + new[a], right + new[a]
-                # of a pair of blocks only pairs across them
                 across = (key[left, 1] == key[left, 2]) | (part[left] != part[right])
                 left, right = left[across], right[across]
                 keep = pruned(sig, left, right, threshold)
-                left, right = left[keep], right[keep]
-                # a pair counts in the first band that both share, once
-                same = (sig[left] == sig[right]).reshape(-1, BANDS, ROWS).all(2)
-                once = same.argmax(1) == band[left]
-                x, y = node[left[once]], node[right[once]]
-                out.append(pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)}))
+                label = _forest(len(pdf), left[keep], right[keep])
+                joined = np.flatnonzero(label != np.arange(len(pdf)))
+                yield pd.DataFrame({"a": node[joined], "b": node[label[joined]]})
                 a = b
-            return pd.concat(out)
-
-        rows = 0
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            held.append(pdf)
-            rows += len(pdf)
-            last = tuple(pdf[["key", "i", "j"]].iloc[-1])
-            if rows >= 4_000 or len(held) > 16:
-                every = pd.concat(held, ignore_index=True)
-                done = ~((every["key"] == last[0]) & (every["i"] == last[1]) & (every["j"] == last[2]))
-                if done.any():
-                    yield compare(every[done].reset_index(drop=True))
-                held = [every[~done]]
-                rows = len(held[0])
-        if held and rows:
-            yield compare(pd.concat(held, ignore_index=True))
 
     return run
 
 
+def shared_counts(sets: list[np.ndarray], width: int = 4_096) -> np.ndarray:
+    """How many shingles each two sets share: products of the incidence matrix, a block of columns at a time."""
+    n = np.array([len(s) for s in sets])
+    values, column = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(len(sets)), n)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    # a shingle of one set alone is shared by none
+    often = np.bincount(column)[column] > 1
+    row, column = row[often], np.unique(column[often], return_inverse=True)[1]
+    shared = np.zeros((len(sets), len(sets)), np.float32)
+    for c in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        a, b = np.searchsorted(column, [c, c + width])
+        block = np.zeros((len(sets), width), np.float32)
+        block[row[a:b], column[a:b] - c] = 1
+        shared += block @ block.T
+    return shared
+
+
 def _verified(threshold: float):
-    def run(key: tuple, pairs: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
-        none = pd.DataFrame({"a": [], "b": []}).astype("int64")
-        if not len(pairs) or not len(sets):
-            return none
-        sets = sets.drop_duplicates("node")
-        own = [np.frombuffer(s, np.uint64) for s in sets["shingles"]]
-        place = {n: i for i, n in enumerate(sets["node"])}
-        n = np.array([len(s) for s in own])
-        values, column = np.unique(np.concatenate(own), return_inverse=True)
-        row = np.repeat(np.arange(len(own)), n)
-        order = np.argsort(column, kind="stable")
-        row, column = row[order], column[order]
-        shared = np.zeros((len(own), len(own)))
-        width = 4_096
-        for c in range(0, len(values), width):
-            a, b = np.searchsorted(column, [c, c + width])
-            block = np.zeros((len(own), width), np.float32)
-            block[row[a:b], column[a:b] - c] = 1
-            shared += block @ block.T
-        x, y = pairs["a"].map(place).to_numpy(), pairs["b"].map(place).to_numpy()
-        both = shared[x, y]
-        linked = both >= threshold * (n[x] + n[y] - both) - 1e-9
-        return pd.DataFrame({"a": pairs["a"][linked], "b": pairs["b"][linked]})
+    """Within each candidate component (or pair of its blocks): for each member the documents it links to, and a forest."""
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        sig = np.frombuffer(b"".join(pdf["sig"]), np.uint32).reshape(len(pdf), HASHES)
+        node, part, copies = pdf["node"].to_numpy(np.int64), pdf["part"].to_numpy(), pdf["copies"].to_numpy(np.int64)
+        within = pdf["i"].iloc[0] == pdf["j"].iloc[0]
+        sets = [np.frombuffer(x, np.uint64) for x in pdf["shingles"]]
+        n = np.array([len(x) for x in sets])
+        shared = shared_counts(sets)
+        x, y = [], []
+        for k in range(len(pdf) - 1):  # a row of pairs at a time
+            other = np.arange(k + 1, len(pdf))
+            if not within:
+                other = other[part[other] != part[k]]
+            other = other[pruned(sig, np.full(len(other), k), other, threshold)]
+            both = shared[k, other]
+            linked = other[both >= threshold * (n[k] + n[other] - both) - 1e-6]
+            x.append(np.full(len(linked), k))
+            y.append(linked)
+        x, y = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (x, y))
+        partners = np.bincount(x, copies[y], len(pdf)) + np.bincount(y, copies[x], len(pdf))
+        hit = np.flatnonzero(partners)
+        return pd.DataFrame({"a": node[hit], "b": node[_forest(len(pdf), x, y)[hit]], "partners": partners[hit].astype(np.int64)})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in _whole_runs(batches, ["label", "i", "j"], 500):
+            found = [one(g.reset_index(drop=True)) for _, g in pdf.groupby(["label", "i", "j"], sort=False)]
+            yield pd.concat(found)
 
     return run
 
@@ -200,46 +236,45 @@ def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"node": np.array(node, np.int64), "shingles": [s.tobytes() for s in sets]})
 
 
-def _blocks(members: DataFrame, size: str, extra: list[str]) -> DataFrame:
-    """Members with part and the pairs of blocks (i, j) they go to; groups of up to BLOCK members have one."""
-    k = F.ceil(F.col(size) / BLOCK).cast("int")
+def _dealt(members: DataFrame, keys: list[str]) -> DataFrame:
+    """Members of each group ``keys[0]`` as rows of the pairs of blocks (i, j) they go to, sorted; ``size``: of the group.
+
+    A group of up to BLOCK members has one block; no task compares more than two blocks at a time.
+    """
+    k = F.ceil(F.col("size") / BLOCK).cast("int")
     members = members.withColumn("__k", k).withColumn("part", F.pmod(F.xxhash64("node", F.lit(7)), F.col("__k")).cast("int"))
     members = members.withColumn("__q", F.explode(F.sequence(F.lit(0), F.col("__k") - 1)))
-    return members.select(*extra, "node", "part", F.least("part", "__q").alias("i"), F.greatest("part", "__q").alias("j"))
+    members = members.withColumn("i", F.least("part", "__q")).withColumn("j", F.greatest("part", "__q")).drop("__k", "__q", "size")
+    shuffles = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return members.repartition(shuffles, *keys).sortWithinPartitions(*keys)
 
 
 def links(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(rows, nodes, links): doc_id and node of each row; node, copies, first_id; pairs of nodes (a < b) with a Jaccard
-    similarity of ``threshold`` or more. Nodes are distinct shingle sets, by a 64-bit digest."""
+    """(rows, nodes, found): doc_id and node of each row; node, copies, first_id; and (a, b, partners) rows: node a hangs
+    together with b by links and has so many partners among those it was compared with here.
+
+    Nodes are distinct shingle sets, by a 64-bit digest. No pair is ever a row: groups are compared in tasks, block by
+    block, and give as many rows as they have members.
+    """
     small_batches(docs.sparkSession)
     rows = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column(docs)).mapInPandas(_signed, "doc_id long, node long, n long, sig binary"))
     full = rows.filter(F.col("node").isNotNull() & F.col("doc_id").isNotNull())
     nodes = cut(full.groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first_id"), F.min("sig").alias("sig")))
     # buckets: nodes that share all values of a band
-    values = [F.struct(F.lit(b).alias("band"), F.xxhash64(F.lit(b), F.substring("sig", 4 * ROWS * b + 1, 4 * ROWS)).alias("key")) for b in range(BANDS)]
-    bands = nodes.select("node", F.explode(F.array(*values)).alias("x")).select("node", "x.band", "x.key")
+    values = [F.xxhash64(F.lit(b), F.substring("sig", 4 * ROWS * b + 1, 4 * ROWS)) for b in range(BANDS)]
+    bands = nodes.select("node", F.explode(F.array(*values)).alias("key"))
     buckets = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    members = _blocks(bands.join(buckets, "key"), "size", ["key", "band"])
-    members = members.join(nodes.select("node", "sig"), "node")
-    shuffles = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    members = members.repartition(shuffles, "key", "i", "j").sortWithinPartitions("key", "i", "j")
-    candidates = cut(members.select("key", "i", "j", "band", "part", "node", "sig").mapInPandas(_compared(threshold), "a long, b long"))
-    # candidates that hang together are verified together, each text's set brought once for each pair of blocks
-    group = cut(components(candidates))
+    members = bands.join(buckets, "key").join(nodes.select("node", "sig"), "node")
+    near = cut(_dealt(members, ["key", "i", "j"]).select("key", "i", "j", "part", "node", "sig").mapInPandas(_candidates(threshold), "a long, b long"))
+    # candidates that hang together are verified together, each text's set brought once for each block it meets
+    group = cut(components(near))
     sizes = group.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
-    parted = group.join(sizes, "label")
-    k = F.ceil(F.col("size") / BLOCK).cast("int")
-    parted = parted.select("node", "label", F.pmod(F.xxhash64("node", F.lit(7)), k).cast("int").alias("part"))
-    a = parted.select(F.col("node").alias("a"), "label", F.col("part").alias("pa"))
-    b = parted.select(F.col("node").alias("b"), F.col("part").alias("pb"))
-    pairs = cut(candidates.join(a, "a").join(b, "b").select("label", F.least("pa", "pb").alias("i"), F.greatest("pa", "pb").alias("j"), "a", "b"))
-    wanted = pairs.select(F.col("label").alias("group"), F.col("i").alias("bi"), F.col("j").alias("bj"), F.explode(F.array("a", "b")).alias("node")).distinct()
     ids = nodes.join(group.select("node"), "node", "left_semi").select(F.col("first_id").alias("doc_id"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column(docs)).join(ids, "doc_id", "left_semi")
-    sets = texts.mapInPandas(_sets, "node long, shingles binary")
-    brought = wanted.join(sets, "node").select("group", "bi", "bj", "node", "shingles")
-    found = pairs.groupBy("label", "i", "j").cogroup(brought.groupBy("group", "bi", "bj")).applyInPandas(_verified(threshold), "a long, b long")
-    return rows.select("doc_id", "node"), nodes.drop("sig"), cut(found)
+    sets = texts.mapInPandas(_sets, "node long, shingles binary").join(group, "node").dropDuplicates(["node"])
+    brought = sets.join(sizes, "label").join(nodes.select("node", "copies", "sig"), "node")
+    dealt = _dealt(brought, ["label", "i", "j"]).select("label", "i", "j", "part", "node", "copies", "sig", "shingles")
+    return rows.select("doc_id", "node"), nodes.drop("sig"), cut(dealt.mapInPandas(_verified(threshold), "a long, b long, partners long"))
 
 
 def ngram_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -251,10 +286,8 @@ def ngram_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     part: class null, no links. Rows repeating a doc_id are documents with their own texts. Other columns are ignored.
     """
     rows, nodes, found = links(docs, threshold)
-    both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    copies = nodes.select(F.col("node").alias("b"), "copies")
-    partners = both.join(copies, "b").groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("partners"))
-    label = components(found)
+    partners = found.groupBy(F.col("a").alias("node")).agg(F.sum("partners").alias("partners"))
+    label = components(found.select("a", "b"))
     info = nodes.join(partners, "node", "left").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = info.groupBy("label").agg(F.min("first_id").alias("class_id"))
     info = info.join(least, "label").select("node", "class_id", (F.col("copies") - 1 + F.coalesce("partners", F.lit(0))).alias("n_links"))
