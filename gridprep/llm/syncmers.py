@@ -163,8 +163,12 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     cuts = rows.select(key.cast("double").alias("x")).approxQuantile("x", [i / n for i in range(1, n)], 0.25 / n) if n > 1 else []
     splits = [-float("inf"), *sorted(set(cuts or [])), float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol="x", outputCol="b").transform(rows.withColumn("key", key).withColumn("x", key.cast("double")))
-    bucketed = bucketed.withColumn("part", F.col("b").cast("int")).drop("x", "b")
+    bucketed = rows.withColumn("key", key)
+    if len(splits) > 2:
+        bucketed = Bucketizer(splits=splits, inputCol="x", outputCol="b").transform(bucketed.withColumn("x", key.cast("double")))
+        bucketed = bucketed.withColumn("part", F.col("b").cast("int")).drop("x", "b")
+    else:
+        bucketed = bucketed.withColumn("part", F.lit(0))
     # one row for each range at most
     heads = sorted((r["part"], r["head"]) for r in bucketed.groupBy("part").agg(F.min("key").alias("head")).collect())
     if not heads:
