@@ -194,7 +194,7 @@ def mixed_texts(docs: DataFrame, weights: list[float] = (1, 2, 3), seed: int = 0
     words = F.regexp_extract_all(F.col("text"), F.lit("(" + WORD + ")"))
     some = F.concat_ws(" ", F.flatten(F.transform("__pieces", lambda p: F.slice(words, (p["from_word"] + 1).cast("int"), p["words"].cast("int")))))
     text = F.when(F.col("__count") < F.col("__words"), some).otherwise(F.col("text"))
-    out = {c: F.col(c) for c in docs.columns} | {"text": text}
+    rows = rows.withColumn("__cut", F.col("__count") < F.col("__words")).withColumn("text", text)
     if "n_chars" in docs.columns:
-        out["n_chars"] = F.when(F.col("__count") < F.col("__words"), F.length(some).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return rows.select(*(c.alias(k) for k, c in out.items()))
+        rows = rows.withColumn("n_chars", F.when(F.col("__cut"), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return rows.select(*docs.columns)
