@@ -256,3 +256,13 @@ def g19(spark, sf):
     alloc = capacity.disaggregate(totals, k)
     mapping = spark.createDataFrame([(0, "cereals"), (1, "cereals"), (2, "other")], "crop int, band string")
     return capacity.build_bands(alloc, mapping, view(spark, sf, "v_parts").select("cell", "cropland")).select("cell", "band", F.round("area", 3).alias("area"))
+
+
+@query("a27_redistribution_report")
+def a27(spark, sf):
+    from gridprep.session import reliable_cut
+
+    k, totals = crop_cells(spark, sf)
+    alloc = capacity.disaggregate(totals.withColumn("total", F.col("total") * 0.8), k).select("country", "cell", "crop", "area", F.col("cropland").alias("cap"))
+    after = capacity.redistribute(alloc, cut=reliable_cut)
+    return capacity.redistribution_report(alloc, after).select("country", "crop", *(F.round(c, 2).alias(c) for c in ("total", "placed", "moved", "outside")))

@@ -30,10 +30,7 @@ def reliable_cut(df):
     import tempfile
 
     spark = df.sparkSession
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = tempfile.mkdtemp(prefix="gridprep-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", where)
     if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(where)
+        where = spark.conf.get("spark.checkpoint.dir", None)
+        spark.sparkContext.setCheckpointDir(where or tempfile.mkdtemp(prefix="gridprep-checkpoint-"))
     return df.checkpoint(eager=True)

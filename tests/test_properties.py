@@ -219,3 +219,23 @@ def test_empty_inputs(spark):
     river = spark.createDataFrame([], "cell long, next_cell long")
     assert graph.outlets(graph.river_graph(river)).count() == 0
     assert cells.clamp_to_area(spark.createDataFrame([(None, 1.0), (2.0, None)], "v double, a double"), "v", "a").count() == 2
+
+
+def test_trend_fill(spark):
+    from gridprep.operators.nutrients import trend_fill
+
+    # country 1: all years; country 2: no data in 2002; country 3: none at all
+    rate = {(1, 2000): 2.0, (1, 2001): 4.0, (1, 2002): 6.0, (2, 2000): 3.0, (2, 2001): 6.0}
+    rows = [(c * 100 + k, y, rate.get((c, y)) if k != 3 else None, 1, c * 10 + k % 2, c) for c in (1, 2, 3) for y in (2000, 2001, 2002) for k in range(8)]
+    df = spark.createDataFrame(rows, "cell long, year int, rate double, border int, state int, country int")
+    got = {(r.country, r.year): (r.ratio, r.fill_level) for r in trend_fill(df, ["state", "country"], 2000).collect()}
+    assert got[1, 2001][0] == 2.0 and got[1, 2002][0] == 3.0 and got[2, 2001][0] == 2.0
+    assert got[2, 2002] == (0.0, -1) and got[3, 2000] == (0.0, -1)
+    # the cell without data was filled from its state
+    assert got[1, 2001][1] == 2
+
+
+def test_checkpoint_folder_comes_from_the_session(spark):
+    where = spark.sparkContext.getCheckpointDir()
+    reliable_cut(spark.range(3))
+    assert spark.sparkContext.getCheckpointDir() == where or where is None
