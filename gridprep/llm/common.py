@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 from collections.abc import Iterator
 
@@ -17,12 +16,12 @@ CHUNK_CHARS = 1_000_000
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder of the cluster; only where none is set (tests), one of our own."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    where = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not where:
         where = tempfile.mkdtemp(prefix="gridprep-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(where)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(where)
     return where
 
 
