@@ -115,11 +115,12 @@ def plan_mix(docs: DataFrame, weights: list[float], seed: int = 0, block_words:
     total = sources.agg(F.sum("source_size")).first()[0] or 0
     slots_total = -(-total // block_words)
     spark = docs.sparkSession
-    shards = spark.range(-(-slots_total // SHARD_SLOTS)).withColumnRenamed("id", "shard")
-    shards = shards.withColumn("n", F.least(F.lit(SHARD_SLOTS), F.lit(slots_total) - F.col("shard") * SHARD_SLOTS).cast("long"))
-    expected = F.lit(1.0) * F.col("n") * F.col("target") / F.lit(float(max(total, 1)))
-    # one row for each source, each shard with every source: the table of counts itself
-    counts = shards.join(F.broadcast(sources.filter("source_size > 0").select("rank", "target")), how="cross").withColumn("expected", expected)
+    given = sources.filter("source_size > 0").select((F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("rank")) - 1).alias("place"), "rank", "target")
+    n_given = given.count()
+    # a row for each shard and source, which then looks up its source
+    counts = spark.range(-(-slots_total // SHARD_SLOTS) * n_given).select(F.floor(F.col("id") / max(n_given, 1)).cast("long").alias("shard"), F.pmod("id", F.lit(max(n_given, 1))).cast("int").alias("place"))
+    counts = counts.join(given, "place").withColumn("n", F.least(F.lit(SHARD_SLOTS), F.lit(slots_total) - F.col("shard") * SHARD_SLOTS).cast("long"))
+    counts = counts.withColumn("expected", F.lit(1.0) * F.col("n") * F.col("target") / F.lit(float(max(total, 1))))
     counts = counts.withColumn("whole", F.floor("expected")).withColumn("part", F.col("expected") - F.col("whole"))
     row = Window.partitionBy("shard").orderBy("rank")
     counts = counts.withColumn("upto", F.sum("part").over(row)).withColumn("parts", F.sum("part").over(Window.partitionBy("shard")))
