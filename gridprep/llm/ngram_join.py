@@ -111,7 +111,7 @@ def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"doc_id": ids[a:b], "node": node, "n": n, "sig": sig})
 
 
-def _whole_runs(batches: Iterator[pd.DataFrame], keys: list[str], rows: int = 4_000) -> Iterator[pd.DataFrame]:
+def whole_runs(batches: Iterator[pd.DataFrame], keys: list[str], rows: int = 4_000) -> Iterator[pd.DataFrame]:
     """Batches sorted by ``keys`` as frames of about so many rows that never end inside a run of equal keys."""
     held: list[pd.DataFrame] = []
     n = 0
@@ -131,7 +131,7 @@ def _whole_runs(batches: Iterator[pd.DataFrame], keys: list[str], rows: int = 4_
         yield pd.concat(held, ignore_index=True)
 
 
-def _forest(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+def forest(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """For each of n places the smallest place it hangs together with by the pairs."""
     label = np.arange(n)
     while len(left):
@@ -150,7 +150,7 @@ def _candidates(threshold: float):
     """Within each bucket (or pair of its blocks) the pairs that pruning leaves, as a forest: one row for each member at most."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in _whole_runs(batches, ["key", "i", "j"]):
+        for pdf in whole_runs(batches, ["key", "i", "j"]):
             key = pdf[["key", "i", "j"]].to_numpy(np.int64)
             new = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]).any(1))))
             sig = np.frombuffer(b"".join(pdf["sig"]), np.uint32).reshape(len(pdf), HASHES)
@@ -167,7 +167,7 @@ def _candidates(threshold: float):
                 across = (key[left, 1] == key[left, 2]) | (part[left] != part[right])
                 left, right = left[across], right[across]
                 keep = pruned(sig, left, right, threshold)
-                label = _forest(len(pdf), left[keep], right[keep])
+                label = forest(len(pdf), left[keep], right[keep])
                 joined = np.flatnonzero(label != np.arange(len(pdf)))
                 yield pd.DataFrame({"a": node[joined], "b": node[label[joined]]})
                 a = b
@@ -217,10 +217,10 @@ def _verified(threshold: float):
         x, y = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (x, y))
         partners = np.bincount(x, copies[y], len(pdf)) + np.bincount(y, copies[x], len(pdf))
         hit = np.flatnonzero(partners)
-        return pd.DataFrame({"a": node[hit], "b": node[_forest(len(pdf), x, y)[hit]], "partners": partners[hit].astype(np.int64)})
+        return pd.DataFrame({"a": node[hit], "b": node[forest(len(pdf), x, y)[hit]], "partners": partners[hit].astype(np.int64)})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in _whole_runs(batches, ["label", "i", "j"], 500):
+        for pdf in whole_runs(batches, ["label", "i", "j"], 500):
             found = [one(g.reset_index(drop=True)) for _, g in pdf.groupby(["label", "i", "j"], sort=False)]
             yield pd.concat(found)
 
@@ -236,7 +236,7 @@ def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"node": np.array(node, np.int64), "shingles": [s.tobytes() for s in sets]})
 
 
-def _dealt(members: DataFrame, keys: list[str]) -> DataFrame:
+def dealt(members: DataFrame, keys: list[str]) -> DataFrame:
     """Members of each group ``keys[0]`` as rows of the pairs of blocks (i, j) they go to, sorted; ``size``: of the group.
 
     A group of up to BLOCK members has one block; no task compares more than two blocks at a time.
@@ -265,7 +265,7 @@ def links(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, Dat
     bands = nodes.select("node", F.explode(F.array(*values)).alias("key"))
     buckets = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = bands.join(buckets, "key").join(nodes.select("node", "sig"), "node")
-    near = cut(_dealt(members, ["key", "i", "j"]).select("key", "i", "j", "part", "node", "sig").mapInPandas(_candidates(threshold), "a long, b long"))
+    near = cut(dealt(members, ["key", "i", "j"]).select("key", "i", "j", "part", "node", "sig").mapInPandas(_candidates(threshold), "a long, b long"))
     # candidates that hang together are verified together, each text's set brought once for each block it meets
     group = cut(components(near))
     sizes = group.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
@@ -273,8 +273,8 @@ def links(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, Dat
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column(docs)).join(ids, "doc_id", "left_semi")
     sets = texts.mapInPandas(_sets, "node long, shingles binary").join(group, "node").dropDuplicates(["node"])
     brought = sets.join(sizes, "label").join(nodes.select("node", "copies", "sig"), "node")
-    dealt = _dealt(brought, ["label", "i", "j"]).select("label", "i", "j", "part", "node", "copies", "sig", "shingles")
-    return rows.select("doc_id", "node"), nodes.drop("sig"), cut(dealt.mapInPandas(_verified(threshold), "a long, b long, partners long"))
+    spread = dealt(brought, ["label", "i", "j"]).select("label", "i", "j", "part", "node", "copies", "sig", "shingles")
+    return rows.select("doc_id", "node"), nodes.drop("sig"), cut(spread.mapInPandas(_verified(threshold), "a long, b long, partners long"))
 
 
 def ngram_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
