@@ -13,6 +13,7 @@ import os
 import re
 from collections import deque
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -92,6 +93,12 @@ class WordTokenizer:
         return out
 
 
+@lru_cache(maxsize=1)
+def tokenizer_for(path: str) -> WordTokenizer:
+    """One tokenizer for each worker process, whose tasks share its cache."""
+    return WordTokenizer(path)
+
+
 def cuts(ids: np.ndarray, doc_ends: np.ndarray, sentence_end: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Places where a window may end (tokens before it, ascending) and what each costs."""
     docs = np.asarray(doc_ends, np.int64)
@@ -211,7 +218,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, length: int = LENGTH) -
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokenizer = WordTokenizer(tokenizer_path)
+        tokenizer = tokenizer_for(tokenizer_path)
         packer = Packer(tokenizer.sentence_ends(), length)
         base = TaskContext.get().partitionId() << 36
         names = ["doc", "start", "ids", "sequence_id", "offset"]
