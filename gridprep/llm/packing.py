@@ -12,7 +12,7 @@ from __future__ import annotations
 import os
 import re
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -28,6 +28,8 @@ LENGTH, END_ID = 2_048, 1
 SENTENCE_COST, INSIDE_COST, WINDOW_COST = 1.0, 24.0, 4.0
 #: Tokens that the dynamic programme looks at before it settles all windows but the last.
 HORIZON = 262_144
+#: Marks that end a sentence; those of other scripts are often several ids.
+MARKS = (".", "!", "?", "...", "!!", "??", *"…。．｡！？؟۔։।॥።။។")
 #: Entries of a tokenizer's cache before it starts afresh.
 CACHE = 600_000
 
@@ -86,12 +88,16 @@ class WordTokenizer:
     def sentence_ends(self) -> np.ndarray:
         """For each id whether it ends a sentence."""
         out = np.zeros(max(self.tokenizer.get_vocab_size(with_added_tokens=True), END_ID + 1), bool)
-        for mark in (".", "!", "?", "...", "!!", "??"):
+        for mark in MARKS:
             ids = self.tokenizer.encode(mark, add_special_tokens=False).ids
             if len(ids) == 1:
                 out[ids[0]] = True
         return out
 
+    def long_marks(self) -> list[list[int]]:
+        """The ids of each mark that is several ids."""
+        return [ids for mark in MARKS if len(ids := self.tokenizer.encode(mark, add_special_tokens=False).ids) > 1]
+
 
 @lru_cache(maxsize=1)
 def tokenizer_for(path: str) -> WordTokenizer:
@@ -99,15 +105,30 @@ def tokenizer_for(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 
 
-def cuts(ids: np.ndarray, doc_ends: np.ndarray, sentence_end: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places where a window may end (tokens before it, ascending) and what each costs."""
+def after_marks(ids: np.ndarray, sentence_end: np.ndarray, long_marks: Sequence[list[int]] = ()) -> np.ndarray:
+    """The places behind sentence marks, ascending."""
+    found = sentence_end[ids]
+    for mark in long_marks:
+        at = np.flatnonzero(ids == mark[-1])
+        at = at[at >= len(mark) - 1]
+        for back, wanted in enumerate(mark[-2::-1], 1):
+            at = at[ids[at - back] == wanted]
+        found[at] = True
+    return np.flatnonzero(found) + 1
+
+
+def cuts(ids: np.ndarray, doc_ends: np.ndarray, sentence_end: np.ndarray, length: int, long_marks: Sequence[list[int]] = ()) -> tuple[np.ndarray, np.ndarray]:
+    """Places where a window may end (tokens before it, ascending) and what each costs; the last is the end of ``ids``."""
     docs = np.asarray(doc_ends, np.int64)
-    sentences = np.flatnonzero(sentence_end[ids]) + 1
+    sentences = after_marks(ids, sentence_end, long_marks)
     sentences = sentences[~np.isin(sentences, docs)]
     at = np.concatenate((docs, sentences))
     cost = np.concatenate((np.zeros(len(docs)), np.full(len(sentences), SENTENCE_COST)))
     order = np.argsort(at, kind="stable")
     at, cost = at[order], cost[order]
+    # a long document's part may end anywhere: its tail is a gap as well
+    if len(ids) and (not len(at) or at[-1] != len(ids)):
+        at, cost = np.append(at, len(ids)), np.append(cost, INSIDE_COST)
     gap = np.diff(np.concatenate(([0], at)))
     step = length // 4
     wide = np.flatnonzero(gap > step)
@@ -158,8 +179,9 @@ def best_windows(at: np.ndarray, cost: np.ndarray, length: int) -> list[int]:
 class Packer:
     """Takes documents one by one; gives (document, start, ids, sequence, offset) pieces as soon as they are settled."""
 
-    def __init__(self, sentence_end: np.ndarray, length: int = LENGTH, horizon: int = HORIZON) -> None:
+    def __init__(self, sentence_end: np.ndarray, length: int = LENGTH, horizon: int = HORIZON, long_marks: Sequence[list[int]] = ()) -> None:
         self.sentence_end, self.length, self.horizon = sentence_end, length, max(horizon, 2 * length)
+        self.long_marks = long_marks
         self.docs: list[tuple[object, int, np.ndarray]] = []  # document, its tokens settled before, the rest
         self.held, self.sequence = 0, 0
 
@@ -178,9 +200,7 @@ class Packer:
         ids = np.concatenate([d[2] for d in self.docs])
         ends = np.cumsum([len(d[2]) for d in self.docs])
         real = [k + 1 == len(self.docs) and whole or k + 1 < len(self.docs) and self.docs[k + 1][0] is not self.docs[k][0] for k in range(len(self.docs))]
-        at, cost = cuts(ids, ends[np.array(real, bool)], self.sentence_end, self.length)
-        if not len(at) or at[-1] != len(ids):
-            at, cost = np.append(at, len(ids)), np.append(cost, INSIDE_COST)
+        at, cost = cuts(ids, ends[np.array(real, bool)], self.sentence_end, self.length, self.long_marks)
         windows = best_windows(at, cost, self.length)
         if not last:
             windows = windows[:-1]
@@ -219,7 +239,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, length: int = LENGTH) -
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokenizer = tokenizer_for(tokenizer_path)
-        packer = Packer(tokenizer.sentence_ends(), length)
+        packer = Packer(tokenizer.sentence_ends(), length, long_marks=tokenizer.long_marks())
         base = TaskContext.get().partitionId() << 36
         names = ["doc", "start", "ids", "sequence_id", "offset"]
 

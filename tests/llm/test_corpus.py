@@ -297,6 +297,28 @@ def test_pack_round_trip(spark, monkeypatch):
     assert packing.pack_documents(df.filter("false"), tokenizer_path()).count() == 0
 
 
+def test_pack_long_text_without_marks():
+    tokenizer = packing.WordTokenizer(tokenizer_path())
+    ids = np.frombuffer(tokenizer.ids("word " * 310_000), "<u4")
+    assert len(ids) > 300_000 and not tokenizer.sentence_ends()[ids].any()
+    packer = packing.Packer(tokenizer.sentence_ends(), long_marks=tokenizer.long_marks())
+    short = np.arange(2, 40, dtype="<u4")
+    pieces = [*packer.add("short", short), *packer.add("long", ids), *packer.settle(True, True)]
+    for doc, own in (("short", short), ("long", ids)):
+        assert np.concatenate([p[2] for p in pieces if p[0] == doc]).tolist() == own.tolist()
+    sizes = Counter()
+    for p in pieces:
+        sizes[p[3]] += len(p[2])
+    assert max(sizes.values()) <= 2048
+
+
+def test_marks_of_other_scripts():
+    tokenizer = packing.WordTokenizer(tokenizer_path())
+    for text, n in (("これは本です。次の文！", 2), ("यह है। और॥", 2), ("هل هذا؟ نعم۔", 2), ("No mark here", 0), ("One. Two?", 2)):
+        ids = np.frombuffer(tokenizer.ids(text), "<u4")
+        assert len(packing.after_marks(ids, tokenizer.sentence_ends(), tokenizer.long_marks())) == n, text
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var x="</p><article>";</script></head><body class="has-sidebar">
 <header><h1>Site</h1></header><nav><ul><li><a href="/a">A</a><li>B</ul></nav><div class="cookie-notice">We use cookies</div>
 <main><article><header><h1>Head &amp; line</h1></header><p>One <b>two</b> &nbsp; three<br>four.<p>Five &lt;six&gt; &#233;</p><div class="ad-box">Buy</div><ul><li>i<li>j</ul>
