@@ -34,13 +34,14 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(texts: list[str], k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, position, hash) of all closed syncmers. A shorter text that isn't empty has one anchor, the whole of it."""
+    """(text, position, hash) of all closed syncmers. A text without any that isn't empty has one anchor, the whole of it."""
     lengths = np.array([len(t) for t in texts], np.int64)
     points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")
     ends = np.cumsum(lengths)
     power, inverse = _powers(len(points) + 1)
     total = np.concatenate(([np.uint64(0)], np.cumsum(mix64(points.astype(np.uint64) + np.uint64(1)) * power[:-1], dtype=np.uint64)))
     text, at, value = [], [], []
+    bare = lengths > 0
     if len(points) >= k:
         smers = mix64((total[s:] - total[:-s]) * inverse[: len(points) - s + 1])
         width = k - s + 1
@@ -49,10 +50,11 @@ def anchors(texts: list[str], k: int = K, s: int = S) -> tuple[np.ndarray, np.nd
         owner = np.searchsorted(ends, starts, side="right")
         inside = starts + k <= ends[owner]
         starts, owner = starts[inside], owner[inside]
+        bare[owner] = False
         text.append(owner)
         at.append(starts - (ends - lengths)[owner])
         value.append(mix64((total[starts + k] - total[starts]) * inverse[starts] + np.uint64(k)))
-    short = np.flatnonzero((lengths > 0) & (lengths < k))
+    short = np.flatnonzero(bare)
     begin = (ends - lengths)[short]
     text.append(short)
     at.append(np.zeros(len(short), np.int64))

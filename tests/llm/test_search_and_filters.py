@@ -115,6 +115,19 @@ def test_syncmer_places():
     assert {(p, v) for i, p, v in zip(text, at, value) if i == 3} == a
 
 
+def test_every_text_has_an_anchor():
+    rng = random.Random(3)
+    for n in [1, 19, *range(20, 31)]:
+        texts = ["".join(rng.choice("abcdefgh é") for _ in range(n)) for _ in range(200)]
+        text, at, _ = syncmers.anchors(["", *texts, ""])
+        assert set(text) == set(range(1, 201)) and (at >= 0).all()
+        prints = syncmers.fingerprints(texts)
+        assert (prints != syncmers.EMPTY).any(1).all()
+        other = [t[::-1] + "!" for t in texts]
+        assert (syncmers.likeness(prints, syncmers.fingerprints(other)) < 1).all() and (syncmers.likeness(prints, prints) == 1).all()
+    assert (syncmers.fingerprints(["", "x"])[0] == syncmers.EMPTY).all()
+
+
 @pytest.mark.parametrize("partitions", [1, 5])
 def test_compare_with_next(spark, partitions):
     rng = random.Random(2)
