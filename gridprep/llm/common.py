@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +32,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def with_rows(df: DataFrame, name: str = "__row") -> DataFrame:
+    """``df`` with a number of its own for each row, written once to the shared folder: every reading has the same."""
+    numbered = df.withColumn(name, F.monotonically_increasing_id())
+    path = f"{checkpoint_dir(df.sparkSession)}/rows-{uuid.uuid4().hex}"
+    numbered.write.parquet(path)
+    return df.sparkSession.read.schema(numbered.schema).parquet(path)
+
+
 def small_batches(spark: SparkSession, rows: int = 500) -> None:
     """Arrow batches of at most so many rows, so that very long texts can't fill a Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridprep.llm.common import cut
+from gridprep.llm.common import cut, with_rows
 
 #: What counts as a word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -89,15 +89,16 @@ def word_count(text: Column | str = "text") -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def plan_mix(docs: DataFrame, weights: list[float], seed: int = 0, block_words: int = BLOCK_WORDS) -> Mix:
+def plan_mix(docs: DataFrame, weights: list[float], seed: int = 0, block_words: int = BLOCK_WORDS, keys: tuple[str, ...] = ()) -> Mix:
     """Draws the mix of ``docs`` (doc_id, source, text).
 
-    Null texts have no words; null is a source of its own; rows of equal doc_id in a source follow by size. A block is
+    Null texts have no words; null is a source of its own; rows of equal doc_id in a source follow by size and
+    then by ``keys``, columns of ``docs`` that ``documents`` keeps. A block is
     taken at most 3 times, so no document gives more than 3 times its words. The draw depends on the ids, sizes,
     sources and ``seed`` alone, not on how rows are partitioned. Without words there are no slots.
     """
     block = F.lit(block_words)
-    sized = docs.select("doc_id", "source", word_count().alias("size"))
+    sized = docs.select("doc_id", "source", *keys, word_count().alias("size"))
     sized = cut(sized.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(BUCKETS)).cast("int")))
     buckets = sized.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     sources = source_targets(buckets.groupBy("source").agg(F.sum("bucket_size").alias("source_size")), weights)
@@ -106,10 +107,10 @@ def plan_mix(docs: DataFrame, weights: list[float], seed: int = 0, block_words:
     order = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     begins = buckets.withColumn("bucket_start", F.coalesce(F.sum("bucket_size").over(order), F.lit(0)))
     begins = begins.join(sources.select("source", "rank"), begins["source"].eqNullSafe(sources["source"])).select("rank", begins["source"], "bucket", "bucket_start")
-    inner = Window.partitionBy("source", "bucket").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inner = Window.partitionBy("source", "bucket").orderBy("doc_id", "size", *keys).rowsBetween(Window.unboundedPreceding, -1)
     placed = sized.withColumn("inside", F.coalesce(F.sum("size").over(inner), F.lit(0)))
     placed = placed.alias("d").join(begins.alias("b"), F.col("d.source").eqNullSafe(F.col("b.source")) & (F.col("d.bucket") == F.col("b.bucket")))
-    documents = placed.select("d.doc_id", "d.source", "d.size", (F.col("bucket_start") + F.col("inside")).alias("start"), "rank")
+    documents = placed.select("d.doc_id", "d.source", *(f"d.{k}" for k in keys), "d.size", (F.col("bucket_start") + F.col("inside")).alias("start"), "rank")
 
     # slots: each shard's expected counts, whole parts outright, the rest drawn
     total = sources.agg(F.sum("source_size")).first()[0] or 0
@@ -173,20 +174,19 @@ def mix_documents(docs: DataFrame, weights: list[float] = (1, 2, 3), seed: int =
 
 
 def mixed_texts(docs: DataFrame, weights: list[float] = (1, 2, 3), seed: int = 0) -> DataFrame:
-    """The mix as rows with the columns of ``docs``: each document once for each of the up to 3 turns it is in.
+    """The mix as rows with the columns of ``docs``: each row once for each of the up to 3 turns it is in.
 
     In a turn where all its blocks are taken a document keeps its text as it is; otherwise the text is the taken words
     in their order, one blank between them, and n_chars, if there is such a column, counts it. Documents without words
-    are in no block: they stay once, as they are. Of rows repeating a doc_id within a source one is mixed.
+    are in no block: they stay once, as they are. Rows repeating a doc_id, or with none, are documents of their own.
     """
-    one = docs.dropDuplicates(["doc_id", "source"])
-    mix = plan_mix(one, list(weights), seed)
+    own = with_rows(docs.withColumn("__hash", F.xxhash64("text")))
+    mix = plan_mix(own, list(weights), seed, keys=("__hash", "__row"))
     piece = F.struct(F.col("from_word"), F.col("words"), F.col("times"))
-    got = _pieces(mix).filter("times > 0").groupBy("source", "doc_id", "size").agg(F.array_sort(F.collect_list(piece)).alias("pieces"))
-    d = one.alias("d")
-    joined = d.join(got.alias("g"), F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & F.col("d.source").eqNullSafe(F.col("g.source")), "left")
+    got = _pieces(mix).filter("times > 0").groupBy("__row").agg(F.array_sort(F.collect_list(piece)).alias("pieces"))
+    joined = own.alias("d").join(got.alias("g"), F.col("d.__row") == F.col("g.__row"), "left")
     turn = F.explode(F.sequence(F.lit(0), F.lit(MAX_REPEATS - 1)))
-    rows = joined.select("d.*", F.col("g.pieces").alias("__pieces"), F.col("g.size").alias("__size"), word_count("d.text").alias("__words"))
+    rows = joined.select("d.*", F.col("g.pieces").alias("__pieces"), word_count("d.text").alias("__words"))
     rows = rows.withColumn("__turn", turn)
     rows = rows.withColumn("__pieces", F.filter("__pieces", lambda p: p["times"] > F.col("__turn")))
     count = F.aggregate("__pieces", F.lit(0).cast("long"), lambda a, p: a + p["words"])

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridprep.llm.common import _MULT, chunks, cut, mix64, small_batches, text_column, word_shingles
+from gridprep.llm.common import _MULT, chunks, cut, mix64, small_batches, text_column, with_rows, word_shingles
 from gridprep.llm.components import components
 
 WORDS, THRESHOLD = 5, 0.8
@@ -96,6 +96,7 @@ def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         texts = pdf["text"].tolist()
         ids = pdf["doc_id"].to_numpy()
+        others = [c for c in pdf.columns if c not in ("doc_id", "text")]
         for a, b in chunks(texts):
             sets = list(shingle_sets(texts[a:b]))
             n = np.array([len(s) for s in sets])
@@ -108,7 +109,7 @@ def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 for i, row in zip(full, found, strict=True):
                     sig[i] = row.tobytes()
                     node[i] = np.uint64(xxhash.xxh64_intdigest(sets[i].tobytes())).astype(np.int64)
-            yield pd.DataFrame({"doc_id": ids[a:b], "node": node, "n": n, "sig": sig})
+            yield pd.DataFrame({"doc_id": ids[a:b], "node": node, "n": n, "sig": sig} | {c: pdf[c].iloc[a:b].to_numpy() for c in others})
 
 
 def whole_runs(batches: Iterator[pd.DataFrame], keys: list[str], rows: int = 4_000) -> Iterator[pd.DataFrame]:
@@ -249,15 +250,15 @@ def dealt(members: DataFrame, keys: list[str]) -> DataFrame:
     return members.repartition(shuffles, *keys).sortWithinPartitions(*keys)
 
 
-def links(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(rows, nodes, found): doc_id and node of each row; node, copies, first_id; and (a, b, partners) rows: node a hangs
+def links(docs: DataFrame, threshold: float = THRESHOLD, keys: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows, nodes, found): doc_id, node and ``keys`` (columns of longs) of each row; node, copies, first_id; and (a, b, partners) rows: node a hangs
     together with b by links and has so many partners among those it was compared with here.
 
     Nodes are distinct shingle sets, by a 64-bit digest. No pair is ever a row: groups are compared in tasks, block by
     block, and give as many rows as they have members.
     """
     small_batches(docs.sparkSession)
-    rows = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column(docs)).mapInPandas(_signed, "doc_id long, node long, n long, sig binary"))
+    rows = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column(docs), *keys).mapInPandas(_signed, "doc_id long, node long, n long, sig binary" + "".join(f", {k} long" for k in keys)))
     full = rows.filter(F.col("node").isNotNull() & F.col("doc_id").isNotNull())
     nodes = cut(full.groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first_id"), F.min("sig").alias("sig")))
     # buckets: nodes that share all values of a band
@@ -274,7 +275,7 @@ def links(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, Dat
     sets = texts.mapInPandas(_sets, "node long, shingles binary").join(group, "node").dropDuplicates(["node"])
     brought = sets.join(sizes, "label").join(nodes.select("node", "copies", "sig"), "node")
     spread = dealt(brought, ["label", "i", "j"]).select("label", "i", "j", "part", "node", "copies", "sig", "shingles")
-    return rows.select("doc_id", "node"), nodes.drop("sig"), cut(spread.mapInPandas(_verified(threshold), "a long, b long, partners long"))
+    return rows.select("doc_id", "node", *keys), nodes.drop("sig"), cut(spread.mapInPandas(_verified(threshold), "a long, b long, partners long"))
 
 
 def ngram_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -298,9 +299,14 @@ def ngram_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def keep_one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` with the smallest doc_id of their class, and those with a null doc_id, with all columns.
+    """Of each class the row with the smallest doc_id, and all rows with a null doc_id or no words, with all columns.
 
-    Rows repeating a doc_id are the same document here and share its fate.
+    Each row is judged by its own text, also where rows repeat a doc_id; of a class's rows with one doc_id one stays.
     """
-    gone = ngram_classes(docs, threshold).filter(F.col("doc_id") != F.col("class_id")).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["__gone"], "left_anti")
+    own = with_rows(docs.withColumn("__hash", F.xxhash64(text_column(docs))))
+    rows, nodes, found = links(own, threshold, ("__hash", "__row"))
+    label = nodes.select("node").join(components(found.select("a", "b")), "node", "left").select("node", F.coalesce("label", "node").alias("label"))
+    members = rows.filter("node is not null and doc_id is not null").join(label, "node")
+    first = members.groupBy("label").agg(F.min(F.struct("doc_id", "__hash", "__row")).alias("first")).select(F.col("first.__row").alias("__row"))
+    gone = members.select("__row").join(first, "__row", "left_anti")
+    return own.join(gone, "__row", "left_anti").select(*docs.columns)

@@ -211,6 +211,37 @@ def test_mixed_texts(spark):
     assert sum(r.doc_id in (100, 101) for r in got) == 2
 
 
+def test_mixed_texts_keep_every_row(spark):
+    def text(k):
+        return " ".join(f"r{k}w{i}" for i in range(70 + k))
+
+    # rows without an id, and rows that repeat one with other texts; sizes tell the rows apart
+    ids = [None] * 12 + [3] * 12 + list(range(20, 32))
+    rows = [(i, text(k), "ab"[k % 2], 0) for k, i in enumerate(ids)] + [(None, "", "a", 0), (None, "", "a", 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long").repartition(3)
+    words = Counter()
+    empty = 0
+    for r in mixing.mixed_texts(df, [1, 1]).collect():
+        own = (r.text or "").split()
+        empty += not own
+        k = {w.partition("w")[0] for w in own}
+        assert len(k) <= 1  # a row's words are its own
+        if own:
+            n = int(k.pop()[1:])
+            assert r.doc_id == ids[n]
+            words[r.doc_id, 70 + n] += len(own)
+    taken = {(r.doc_id, r.size): r.taken for r in mixing.mix_documents(df, [1, 1]).collect() if r.taken}
+    assert words == taken and len(taken) > 24 and empty == 2
+
+
+def test_near_copies_are_judged_by_row(spark):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(40)) for c in "xyz")
+    rows = [(1, one, "a"), (5, one, "a"), (5, two, "b"), (7, three, "a"), (7, three, "a"), (None, one, "a"), (None, one, "b"), (8, "", "a"), (8, None, "a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = sorted(((r.doc_id or 0, r.text or "", r.source) for r in ngram_join.keep_one_of_each(df).collect()))
+    assert kept == sorted([(1, one, "a"), (5, two, "b"), (7, three, "a"), (0, one, "a"), (0, one, "b"), (8, "", "a"), (8, "", "a")])
+
+
 def test_permutation_is_one(spark):
     for n in (1, 2, 3, 64, 1000, 2147483629):
         lo = max(0, n - 2000)
