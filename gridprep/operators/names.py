@@ -34,8 +34,11 @@ def fuzzy_match(left: DataFrame, right: DataFrame, left_names: Keys = ("name_a",
     """One-to-one: (id, match, how) by exact name A, then exact name B, then the smallest edit distance among what is
     unused, if it is under half the name's length.
 
-    Distances are only looked at between names that share a pair of adjacent letters and differ in length by less than
-    half the longer: any closer pair does. The closest pairs are taken round by round, each id and each name once.
+    Distances are only looked at between names that share a pair of adjacent letters or, where name A's length is odd,
+    the first and the last letter, and differ in length by less than half the longer. Any closer pair does: fewer edits
+    than half the length can't touch every second pair of an even length, and of an odd one only with one edit in each,
+    which leaves the letter before or after those pairs where it is, first or last. The closest pairs are taken round by
+    round, each id and each name once.
     """
     cut = cut or (lambda d: d)
     out = None
@@ -47,8 +50,10 @@ def fuzzy_match(left: DataFrame, right: DataFrame, left_names: Keys = ("name_a",
         rest_left, rest_right = rest_left.join(hit, "id", "left_anti"), rest_right.join(hit, "match", "left_anti")
     a = left_names[0]
     pairs = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 1, F.lit(1))), lambda i: F.lower(F.substr(c, i, F.lit(2)))))
-    x = rest_left.select("id", F.col(a).alias("a")).withColumn("p", F.explode(pairs(F.col("a"))))
-    y = rest_right.withColumn("p", F.explode(pairs(F.col("match"))))
+    ends = lambda c: F.array(F.concat(F.lower(F.left(c, F.lit(1))), F.lit("\n\n"), F.lower(F.right(c, F.lit(1)))))
+    odd = F.when(F.length("a") % 2 == 1, ends(F.col("a"))).otherwise(F.array().cast("array<string>"))
+    x = rest_left.select("id", F.col(a).alias("a")).withColumn("p", F.explode(F.concat(pairs(F.col("a")), odd)))
+    y = rest_right.withColumn("p", F.explode(F.concat(pairs(F.col("match")), ends(F.col("match")))))
     near = x.join(y, "p").filter(F.abs(F.length("a") - F.length("match")) * 2 < F.greatest(F.length("a"), F.length("match"))).select("id", "a", "match").distinct()
     near = near.withColumn("d", F.levenshtein("a", "match")).filter(F.col("d") * 2 < F.length("a")).select("id", "match", "d")
     near = cut(near)

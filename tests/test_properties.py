@@ -196,6 +196,37 @@ def test_fuzzy_match(spark):
     assert got == {1: ("Wheat", "name_a"), 2: ("Barley", "distance"), 3: ("corn", "name_b")}
 
 
+def test_fuzzy_match_against_all_pairs(spark):
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            before, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+        return row[-1]
+
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdeF") for _ in range(rng.randint(1, 9)))
+    own = [(i, word()) for i in range(120)]
+    others = sorted({word() for _ in range(120)})
+    left = spark.createDataFrame([(i, n, "-") for i, n in own], "id long, name_a string, name_b string")
+    want, ids, rest = {}, dict(own), set(others)
+    for i, n in own:
+        if n in rest:
+            want[i] = n
+            rest.discard(n)
+            del ids[i]
+    near = sorted((d, i, m) for i, n in ids.items() for m in rest if (d := distance(n, m)) * 2 < len(n))
+    for _, i, m in near:
+        if i not in want and m in rest:
+            want[i] = m
+            rest.discard(m)
+    got = {r["id"]: r["match"] for r in names.fuzzy_match(left, spark.createDataFrame([(m,) for m in others], "name string"), cut=reliable_cut).collect()}
+    assert got == want
+    left, right = spark.createDataFrame([(1, "abc", "-"), (2, "uvwzt", "-")], "id long, name_a string, name_b string"), spark.createDataFrame([("axc",), ("uxwyt",)], "name string")
+    assert {r["id"]: r["match"] for r in names.fuzzy_match(left, right, cut=reliable_cut).collect()} == {1: "axc", 2: "uxwyt"}
+
+
 def test_overlapping_names(spark):
     mapping = spark.createDataFrame([("A", 1), ("B", 2), ("AB", 1), ("AB", 2), ("C", 3), ("CD", 3), ("CD", 4)], "name string, code int")
     active = spark.createDataFrame([(1, n) for n in ("A", "B", "AB", "C", "CD")] + [(2, n) for n in ("A", "B", "AB")], "year int, name string")
