@@ -3,8 +3,8 @@
 A page falls into blocks of text. Blocks in navigation, headers, footers, sidebars, notices, adverts, forms, comments and
 the like are chrome; blocks of an article or main element are the article. All other blocks are open; they matter on pages
 without an article. The word streams of a host's chrome and open blocks are joined and their suffixes sorted: runs of
-MIN_RUN words or more that occur on several distinct pages are boilerplate. Open blocks covered by it go, the unique
-runs between them stay.
+MIN_RUN words or more that occur on several distinct pages are boilerplate. Covered words of open blocks go, the unique
+runs between them stay. Runs of a host too large for one task are counted through a shuffle instead, over all its pages.
 """
 
 from __future__ import annotations
@@ -18,12 +18,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridprep.llm.common import Words, cut, small_batches
+from gridprep.llm.common import _MULT, Words, cut, mix64, small_batches
 from gridprep.llm.urls import host_path
 
-#: Words of a repeated run, distinct pages it is on, and the share of an open block that it must cover.
-MIN_RUN, MIN_PAGES, COVERED = 8, 2, 0.6
-#: Words of a host that one task sorts, about; a larger host is dealt out by page, each part with many pages.
+#: Words of a repeated run, and distinct pages it is on.
+MIN_RUN, MIN_PAGES = 8, 2
+#: Words of a host that one task sorts at most; the runs of a larger host are counted by a shuffle, with the same result.
 SHARD_WORDS = 400_000
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S)
@@ -147,12 +147,29 @@ def blocks(html: str) -> list[tuple[str, str]]:
     return out
 
 
-def main_text(html: str, covered: set[int] | None = None) -> str:
-    """The article's blocks; without an article the open blocks that aren't boilerplate, or all of them if all are."""
+def unique_runs(text: str, spans: list[tuple[int, int]]) -> str:
+    """The text without the words ``first`` to ``end`` - 1 of each span, and what stands between a removed word and the next."""
+    w = Words([text], hashed=False)
+    kept, at = [], 0
+    for first, end in spans:
+        kept.append(w.data[at : w.start[first] if first else 0])
+        at = int(w.start[end]) if end < len(w.start) else len(w.data)
+    kept.append(w.data[at:])
+    parts = (" ".join(x.tobytes().decode("utf-8", "surrogatepass").split()) for x in kept)
+    return " ".join(p for p in parts if p)
+
+
+def main_text(html: str, covered: dict[int, list[tuple[int, int]]] | None = None) -> str:
+    """The article's blocks; without an article the unique runs of the open blocks, or all of these blocks if there are none.
+
+    ``covered``: for each block the spans of its words that are boilerplate.
+    """
     found = blocks(html)
     kept = [t for k, t in found if k == "article"]
     if not kept:
-        kept = [t for i, (k, t) in enumerate(found) if k == "open" and i not in (covered or ())]
+        spans = covered or {}
+        kept = [unique_runs(t, spans[i]) if i in spans else t for i, (k, t) in enumerate(found) if k == "open"]
+        kept = [t for t in kept if t]
         kept = kept or [t for k, t in found if k == "open"]
     return "\n".join(kept)
 
@@ -200,28 +217,83 @@ def _streams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         rows = []
         for key, host, html in zip(pdf["key"], pdf["host"], pdf["html"], strict=True):
-            found = [(i, t) for i, (k, t) in enumerate(blocks(html)) if k != "article"]
+            every = blocks(html)
+            # the words of these blocks are cut out of the text: open blocks of pages without an article
+            decided = "open" if all(k != "article" for k, _ in every) else None
+            found = [(i if k == decided else -1, t) for i, (k, t) in enumerate(every) if k != "article"]
             w = Words([t for _, t in found]) if found else None
             if w is not None and len(w.hash):
                 rows.append((key, host, [i for i, _ in found], np.diff(w.first).tolist(), w.hash.tobytes(), len(w.hash)))
         yield pd.DataFrame(rows, columns=["key", "host", "numbers", "words", "stream", "n"])
 
 
-def _boilerplate(pdf: pd.DataFrame) -> pd.DataFrame:
-    covers = repeated([np.frombuffer(s, np.uint64) for s in pdf["stream"]])
-    blocks_, counts = [], []
+def _spans(pdf: pd.DataFrame, covers: list[np.ndarray]) -> pd.DataFrame:
+    """For each page (block, first word, end) of the covered runs in the blocks that it decides, in one list."""
+    spans, counts = [], []
     for cover, numbers, words in zip(covers, pdf["numbers"], pdf["words"], strict=True):
-        ends = np.cumsum(words)
-        hits = np.concatenate(([0], np.cumsum(cover)))
-        share = hits[ends] - hits[ends - words]
-        blocks_.append([int(i) for i, s, w in zip(numbers, share, words, strict=True) if w and s >= COVERED * w])
+        own, at = [], 0
+        for i, n in zip(numbers, words, strict=True):
+            if i >= 0:
+                edge = np.flatnonzero(np.diff(np.concatenate(([False], cover[at : at + n], [False])).astype(np.int8)))
+                for first, end in edge.reshape(-1, 2).tolist():
+                    own += [int(i), first, end]
+            at += n
+        spans.append(own)
         counts.append(int(cover.sum()))
-    return pd.DataFrame({"key": pdf["key"], "covered": blocks_, "n_boilerplate": counts})
+    return pd.DataFrame({"key": pdf["key"], "covered": spans, "n_boilerplate": counts})
+
+
+COVERED = "key long, covered array<int>, n_boilerplate long"
+
+
+def _boilerplate(pdf: pd.DataFrame) -> pd.DataFrame:
+    return _spans(pdf, repeated([np.frombuffer(s, np.uint64) for s in pdf["stream"]]))
+
+
+def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A row for each run of MIN_RUN words: page, digest of its stream, place, and a hash of the host and the run."""
+    for pdf in batches:
+        if not len(pdf):
+            continue
+        words = np.frombuffer(b"".join(pdf["stream"]), np.uint64)
+        lengths = np.array([len(s) // 8 for s in pdf["stream"]], np.int64)
+        counts = np.maximum(lengths - MIN_RUN + 1, 0)
+        place = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        first = place + np.repeat(np.cumsum(lengths) - lengths, counts)
+        run = np.repeat(pdf["host"].to_numpy(np.int64).view(np.uint64), counts)
+        for j in range(MIN_RUN):
+            run = mix64(run * _MULT + words[first + j])
+        yield pd.DataFrame({"key": pdf["key"].to_numpy(np.int64).repeat(counts), "digest": pdf["digest"].to_numpy(np.int64).repeat(counts), "at": place, "run": run.view(np.int64)})
+
+
+def _marked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        covers = []
+        for stream, at in zip(pdf["stream"], pdf["starts"], strict=True):
+            edge = np.zeros(len(stream) // 8 + 1, np.int64)
+            np.add.at(edge, np.asarray(at, np.int64), 1)
+            np.add.at(edge, np.asarray(at, np.int64) + MIN_RUN, -1)
+            covers.append(np.cumsum(edge[:-1]) > 0)
+        yield _spans(pdf, covers)
+
+
+def _counted(streams: DataFrame) -> DataFrame:
+    """What _boilerplate gives, with runs counted by a shuffle: a run is repeated if two different streams have it."""
+    pages = streams.select("key", F.xxhash64("host").alias("host"), F.xxhash64("stream").alias("digest"), "stream")
+    runs = pages.mapInPandas(_runs, "key long, digest long, at int, run long")
+    often = runs.groupBy("run").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).filter("low < high").select("run")
+    starts = runs.join(often, "run", "left_semi").groupBy("key").agg(F.collect_list("at").alias("starts"))
+    return streams.select("key", "numbers", "words", "stream").join(starts, "key").mapInPandas(_marked, COVERED)
 
 
 def _texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        texts = [main_text(h, set(c) if c is not None else None) for h, c in zip(pdf["html"], pdf["covered"], strict=True)]
+        texts = []
+        for h, c in zip(pdf["html"], pdf["covered"], strict=True):
+            covered: dict[int, list[tuple[int, int]]] = {}
+            for i, first, end in np.asarray([] if c is None else c, np.int64).reshape(-1, 3).tolist():
+                covered.setdefault(i, []).append((first, end))
+            texts.append(main_text(h, covered))
         yield pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "text": texts, "n_chars": [len(t) for t in texts], "n_boilerplate": pdf["n_boilerplate"]})
 
 
@@ -239,9 +311,11 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     streams = cut(rows.select("key", "host", "html").mapInPandas(_streams, "key long, host string, numbers array<int>, words array<int>, stream binary, n long"))
     streams = streams.dropDuplicates(["key"])
     sizes = streams.groupBy("host").agg(F.sum("n").alias("total"))
-    shard = F.pmod(F.col("key"), F.ceil(F.col("total") / SHARD_WORDS)).alias("shard")
-    dealt = streams.join(sizes, "host").select("*", shard)
-    found = dealt.groupBy("host", "shard").applyInPandas(_boilerplate, "key long, covered array<int>, n_boilerplate long")
+    # at most one host for each SHARD_WORDS words of all pages: few; pages of a hot host stay spread
+    large = F.broadcast(cut(sizes.filter(F.col("total") > SHARD_WORDS).select("host")))
+    found = streams.join(large, "host", "left_anti").groupBy("host").applyInPandas(_boilerplate, COVERED)
+    if not large.isEmpty():
+        found = found.unionByName(_counted(streams.join(large, "host", "left_semi")))
     joined = rows.drop("host").join(found, "key", "left")
     out = joined.select("page_id", "url", "html", "covered", F.coalesce("n_boilerplate", F.lit(0)).cast("long").alias("n_boilerplate"))
     return out.mapInPandas(_texts, "page_id long, url string, text string, n_chars long, n_boilerplate long")

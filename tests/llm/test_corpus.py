@@ -400,6 +400,21 @@ def test_extract_pages(spark):
     assert html.extract_pages(df.filter("false")).count() == 0
 
 
+def test_large_hosts_give_the_same(spark, monkeypatch):
+    menu = " ".join(f"item{k}" for k in range(12))
+    page = lambda k: f"<div>{menu} only{k} here{k}</div><nav>{menu}</nav><p>{' '.join(f'p{k // 2}w{i}' if i < 9 else f'q{k}w{i}' for i in range(30))}</p>"
+    rows = [(k, f"http://h.org/{k}", page(k)) for k in range(40)] + [(50, "http://h.org/x", page(0)), (51, "http://o.org/", "<p>alone here</p>"), (52, "http://h.org/a", f"<article>{menu}</article><p>{menu}</p>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {}
+    for words in (400_000, 50):
+        monkeypatch.setattr(html, "SHARD_WORDS", words)
+        got[words] = sorted((r.page_id, r.text, r.n_boilerplate) for r in html.extract_pages(df).collect())
+    assert got[50] == got[400_000]
+    texts = {i: t for i, t, _ in got[50]}
+    # the menu goes and what is unique in its block stays
+    assert texts[6] == "only6 here6\n" + " ".join(f"q6w{i}" for i in range(9, 30)) and texts[51] == "alone here" and texts[52] == menu
+
+
 def test_extract_matches_the_articles(spark, sf):
     from html import unescape
 
