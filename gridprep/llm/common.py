@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Characters handled at once by the vectorised helpers; a longer text is a chunk of its own.
@@ -40,6 +40,29 @@ def with_rows(df: DataFrame, name: str = "__row") -> DataFrame:
     return df.sparkSession.read.schema(numbered.schema).parquet(path)
 
 
+#: Words of 64 bits in a sieve: 8 MB, however many rows it is for.
+SIEVE_WORDS = 1 << 20
+
+
+def bits_of(wanted: DataFrame, h: Column) -> np.ndarray:
+    """A bit for each value of the hash ``h``, in a table of fixed size: rows whose bit is missing needn't be moved to be joined.
+
+    When very many rows are wanted it lets more of the others pass, and at worst all; the join decides.
+    """
+    word, bit = F.pmod(F.shiftright(h, 6), F.lit(SIEVE_WORDS)), F.pmod(h, F.lit(64)).cast("int")
+    words = wanted.select(word.alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    out = np.zeros(SIEVE_WORDS, np.int64)
+    got = words.toPandas()
+    out[got["word"].to_numpy(np.int64)] = got["bits"].to_numpy(np.int64)
+    return out.view(np.uint64)
+
+
+def hits(table: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """The places of the hashes whose bit is set in a sieve."""
+    word = (h.view(np.int64) >> 6) % SIEVE_WORDS
+    return np.flatnonzero(table[word] >> (h % np.uint64(64)) & np.uint64(1))
+
+
 def small_batches(spark: SparkSession, rows: int = 500) -> None:
     """Arrow batches of at most so many rows, so that very long texts can't fill a Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

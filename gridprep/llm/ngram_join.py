@@ -9,6 +9,7 @@ pairs that are left are verified on the whole sets.
 from __future__ import annotations
 
 import math
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -18,8 +19,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridprep.llm.common import _MULT, chunks, cut, mix64, small_batches, text_column, with_rows, word_shingles
-from gridprep.llm.components import components
+from gridprep.llm.common import _MULT, bits_of, chunks, cut, hits, mix64, small_batches, text_column, with_rows, word_shingles
+from gridprep.llm.components import components, forest
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS, STEP = 24, 4, 8
@@ -28,6 +29,8 @@ HASHES = BANDS * ROWS
 TOLERANCE = 1e-6
 #: Members of a bucket or candidate component compared in one task; larger ones are dealt out as pairs of blocks.
 BLOCK = 1_024
+#: Shingles or characters that make one member; longer texts count as several.
+UNIT = 1_000
 
 _A = (mix64(np.arange(1, HASHES + 1, dtype=np.uint64) * _MULT) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _B = (mix64(np.arange(1001, HASHES + 1001, dtype=np.uint64) * _MULT) >> np.uint64(32)).astype(np.uint32)
@@ -53,14 +56,14 @@ def minhash(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 @lru_cache
-def least_matches(threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> tuple[int, ...]:
-    """After STEP, 2 STEP, ... values: the fewest matches with which a pair stays.
+def least_matches(threshold: float = THRESHOLD, tolerance: float = TOLERANCE, bins: int = HASHES, step: int = STEP) -> tuple[int, ...]:
+    """After ``step``, 2 ``step``, ... of ``bins`` values: the fewest matches with which a pair stays.
 
     With a uniform prior the similarity's posterior after m matches of n is Beta(m + 1, n - m + 1), and the probability
     that it is the threshold or more equals that of at most m successes in n + 1 trials at the threshold.
     """
     out = []
-    for n in range(STEP, HASHES + 1, STEP):
+    for n in range(step, bins + 1, step):
         below, m = 0.0, -1
         while below < tolerance:
             m += 1
@@ -80,14 +83,14 @@ def _pairs(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return left, right
 
 
-def pruned(sig: np.ndarray, left: np.ndarray, right: np.ndarray, threshold: float = THRESHOLD) -> np.ndarray:
-    """Which pairs are left after comparing their values step by step."""
+def pruned(sig: np.ndarray, left: np.ndarray, right: np.ndarray, least: tuple[int, ...], step: int = STEP) -> np.ndarray:
+    """Which pairs are left after comparing their values ``step`` by step."""
     keep = np.arange(len(left))
     matches = np.zeros(len(left), np.int32)
-    for k, least in enumerate(least_matches(threshold)):
-        part = slice(k * STEP, (k + 1) * STEP)
+    for k, fewest in enumerate(least):
+        part = slice(k * step, (k + 1) * step)
         matches = matches + (sig[left[keep], part] == sig[right[keep], part]).sum(1)
-        good = matches >= least
+        good = matches >= fewest
         keep, matches = keep[good], matches[good]
     return keep
 
@@ -109,52 +112,45 @@ def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 for i, row in zip(full, found, strict=True):
                     sig[i] = row.tobytes()
                     node[i] = np.uint64(xxhash.xxh64_intdigest(sets[i].tobytes())).astype(np.int64)
-            yield pd.DataFrame({"doc_id": ids[a:b], "node": node, "n": n, "sig": sig} | {c: pdf[c].iloc[a:b].to_numpy() for c in others})
+            yield pd.DataFrame({"doc_id": ids[a:b], "node": node, "n": n.astype(np.int64), "sig": pd.Series(sig, dtype=object)} | {c: pdf[c].iloc[a:b].to_numpy() for c in others})
 
 
-def whole_runs(batches: Iterator[pd.DataFrame], keys: list[str], rows: int = 4_000) -> Iterator[pd.DataFrame]:
-    """Batches sorted by ``keys`` as frames of about so many rows that never end inside a run of equal keys."""
+def whole_runs(batches: Iterator[pd.DataFrame], keys: list[str], rows: int = 4_000, text: str | None = None, size: int = 4_000_000) -> Iterator[pd.DataFrame]:
+    """Batches sorted by ``keys`` as frames that never end inside a run of equal keys, of about so many rows or, by the
+    lengths in column ``text``, about so large."""
     held: list[pd.DataFrame] = []
-    n = 0
+    n = total = 0
     for pdf in batches:
         if not len(pdf):
             continue
         held.append(pdf)
         n += len(pdf)
-        if n >= rows:
+        total += int(pdf[text].map(len).sum()) if text else 0
+        if n >= rows or total >= size:
             every = pd.concat(held, ignore_index=True)
             done = (every[keys] != every[keys].iloc[-1]).any(axis=1).to_numpy()
             if done.any():
                 yield every[done].reset_index(drop=True)
             held = [every[~done]]
             n = len(held[0])
+            total = int(held[0][text].map(len).sum()) if text else 0
     if n:
         yield pd.concat(held, ignore_index=True)
 
 
-def forest(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """For each of n places the smallest place it hangs together with by the pairs."""
-    label = np.arange(n)
-    while len(left):
-        least = np.minimum(label[left], label[right])
-        new = label.copy()
-        np.minimum.at(new, left, least)
-        np.minimum.at(new, right, least)
-        new = new[new]
-        if (new == label).all():
-            break
-        label = new
-    return label
+def bucket_forest(bins: int, step: int, least: tuple[int, ...], filled: int = 0, columns: list[str] | None = None):
+    """Within each bucket (or pair of its blocks) the pairs that pruning leaves, as a forest: one row for each member at most.
 
-
-def _candidates(threshold: float):
-    """Within each bucket (or pair of its blocks) the pairs that pruning leaves, as a forest: one row for each member at most."""
+    Signatures of fewer than ``filled`` distinct values tell too little: their pairs all stay. A signature is the binary
+    column sig, or its values stand two by two in the long ``columns``.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in whole_runs(batches, ["key", "i", "j"]):
             key = pdf[["key", "i", "j"]].to_numpy(np.int64)
             new = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]).any(1))))
-            sig = np.frombuffer(b"".join(pdf["sig"]), np.uint32).reshape(len(pdf), HASHES)
+            sig = np.ascontiguousarray(pdf[columns].to_numpy(np.int64)).view(np.uint32) if columns else np.frombuffer(b"".join(pdf["sig"]), np.uint32).reshape(len(pdf), bins)
+            short = (np.diff(np.sort(sig, axis=1), axis=1) != 0).sum(1) + 1 < filled
             node, part = pdf["node"].to_numpy(np.int64), pdf["part"].to_numpy()
             sizes = np.diff(np.append(new, len(pdf)))
             a = 0
@@ -167,7 +163,9 @@ def _candidates(threshold: float):
                 left, right = left + new[a], right + new[a]
                 across = (key[left, 1] == key[left, 2]) | (part[left] != part[right])
                 left, right = left[across], right[across]
-                keep = pruned(sig, left, right, threshold)
+                loose = short[left] | short[right]
+                hard = np.flatnonzero(~loose)
+                keep = np.concatenate((np.flatnonzero(loose), hard[pruned(sig, left[hard], right[hard], least, step)]))
                 label = forest(len(pdf), left[keep], right[keep])
                 joined = np.flatnonzero(label != np.arange(len(pdf)))
                 yield pd.DataFrame({"a": node[joined], "b": node[label[joined]]})
@@ -201,7 +199,7 @@ def _verified(threshold: float):
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         sig = np.frombuffer(b"".join(pdf["sig"]), np.uint32).reshape(len(pdf), HASHES)
         node, part, copies = pdf["node"].to_numpy(np.int64), pdf["part"].to_numpy(), pdf["copies"].to_numpy(np.int64)
-        within = pdf["i"].iloc[0] == pdf["j"].iloc[0]
+        within, least = pdf["i"].iloc[0] == pdf["j"].iloc[0], least_matches(threshold)
         sets = [np.frombuffer(x, np.uint64) for x in pdf["shingles"]]
         n = np.array([len(x) for x in sets])
         shared = shared_counts(sets)
@@ -210,7 +208,7 @@ def _verified(threshold: float):
             other = np.arange(k + 1, len(pdf))
             if not within:
                 other = other[part[other] != part[k]]
-            other = other[pruned(sig, np.full(len(other), k), other, threshold)]
+            other = other[pruned(sig, np.full(len(other), k), other, least)]
             both = shared[k, other]
             linked = other[both >= threshold * (n[k] + n[other] - both) - 1e-6]
             x.append(np.full(len(linked), k))
@@ -218,64 +216,78 @@ def _verified(threshold: float):
         x, y = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (x, y))
         partners = np.bincount(x, copies[y], len(pdf)) + np.bincount(y, copies[x], len(pdf))
         hit = np.flatnonzero(partners)
-        return pd.DataFrame({"a": node[hit], "b": node[forest(len(pdf), x, y)[hit]], "partners": partners[hit].astype(np.int64)})
+        whole = np.full(len(hit), pdf["blocks"].iloc[0] == 1)
+        return pd.DataFrame({"a": node[hit], "b": node[forest(len(pdf), x, y)[hit]], "partners": partners[hit].astype(np.int64), "whole": whole})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in whole_runs(batches, ["label", "i", "j"], 500):
+        for pdf in whole_runs(batches, ["label", "i", "j"], 500, "shingles", 32_000_000):
             found = [one(g.reset_index(drop=True)) for _, g in pdf.groupby(["label", "i", "j"], sort=False)]
             yield pd.concat(found)
 
     return run
 
 
-def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        texts = pdf["text"].tolist()
-        for a, b in chunks(texts):
-            sets = [s for s in shingle_sets(texts[a:b]) if len(s)]
-            node = [np.uint64(xxhash.xxh64_intdigest(s.tobytes())).astype(np.int64) for s in sets]
-            yield pd.DataFrame({"node": np.array(node, np.int64), "shingles": [s.tobytes() for s in sets]})
+def _sets(shared):
+    """The shingle sets of the documents whose id passes the sieve."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            ids = np.array([xxhash.xxh64_intdigest(struct.pack("<q", x), 42) for x in pdf["doc_id"].tolist()], np.uint64)
+            texts = [pdf["text"].iloc[i] for i in hits(shared.value, ids)]
+            for a, b in chunks(texts):
+                sets = [s for s in shingle_sets(texts[a:b]) if len(s)]
+                node = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)
+                yield pd.DataFrame({"node": node, "shingles": pd.Series([s.tobytes() for s in sets], dtype=object)})
+
+    return run
 
 
 def dealt(members: DataFrame, keys: list[str]) -> DataFrame:
     """Members of each group ``keys[0]`` as rows of the pairs of blocks (i, j) they go to, sorted; ``size``: of the group.
 
-    A group of up to BLOCK members has one block; no task compares more than two blocks at a time.
+    A group of up to BLOCK members has one block; no task compares more than two blocks at a time. ``blocks``: how many.
     """
-    k = F.ceil(F.col("size") / BLOCK).cast("int")
-    members = members.withColumn("__k", k).withColumn("part", F.pmod(F.xxhash64("node", F.lit(7)), F.col("__k")).cast("int"))
-    members = members.withColumn("__q", F.explode(F.sequence(F.lit(0), F.col("__k") - 1)))
-    members = members.withColumn("i", F.least("part", "__q")).withColumn("j", F.greatest("part", "__q")).drop("__k", "__q", "size")
+    members = members.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("part", F.pmod(F.xxhash64("node", F.lit(7)), F.col("blocks")).cast("int"))
+    members = members.withColumn("__q", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    members = members.withColumn("i", F.least("part", "__q")).withColumn("j", F.greatest("part", "__q")).drop("__q", "size")
     shuffles = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return members.repartition(shuffles, *keys).sortWithinPartitions(*keys)
+    # within a block by node: where groups overlap, their forests then tend to have the same roots
+    return members.repartition(shuffles, *keys).sortWithinPartitions(*keys, "node")
 
 
 def links(docs: DataFrame, threshold: float = THRESHOLD, keys: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(rows, nodes, found): doc_id, node and ``keys`` (columns of longs) of each row; node, copies, first_id; and (a, b, partners) rows: node a hangs
-    together with b by links and has so many partners among those it was compared with here.
+    """(rows, nodes, found): doc_id, node and ``keys`` (columns of longs) of each row; node, copies, first_id; and (a, b,
+    partners, whole) rows: node a hangs together with b by links and has so many partners among those it was compared
+    with here; ``whole``: these were all it could link to, and b is the same for all of its component.
 
     Nodes are distinct shingle sets, by a 64-bit digest. No pair is ever a row: groups are compared in tasks, block by
     block, and give as many rows as they have members.
     """
-    small_batches(docs.sparkSession)
-    rows = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column(docs), *keys).mapInPandas(_signed, "doc_id long, node long, n long, sig binary" + "".join(f", {k} long" for k in keys)))
+    spark = docs.sparkSession
+    small_batches(spark)
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column(docs), *keys)
+    rows = cut(own.mapInPandas(_signed, "doc_id long, node long, n long, sig binary" + "".join(f", {k} long" for k in keys)))
     full = rows.filter(F.col("node").isNotNull() & F.col("doc_id").isNotNull())
-    nodes = cut(full.groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first_id"), F.min("sig").alias("sig")))
+    nodes = cut(full.groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first_id"), F.min("n").alias("n"), F.min("sig").alias("sig")))
     # buckets: nodes that share all values of a band
     values = [F.xxhash64(F.lit(b), F.substring("sig", 4 * ROWS * b + 1, 4 * ROWS)) for b in range(BANDS)]
     bands = nodes.select("node", F.explode(F.array(*values)).alias("key"))
     buckets = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = bands.join(buckets, "key").join(nodes.select("node", "sig"), "node")
-    near = cut(dealt(members, ["key", "i", "j"]).select("key", "i", "j", "part", "node", "sig").mapInPandas(_candidates(threshold), "a long, b long"))
+    near = dealt(members, ["key", "i", "j"]).select("key", "i", "j", "part", "node", "sig").mapInPandas(bucket_forest(HASHES, STEP, least_matches(threshold)), "a long, b long")
     # candidates that hang together are verified together, each text's set brought once for each block it meets
-    group = cut(components(near))
-    sizes = group.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
-    ids = nodes.join(group.select("node"), "node", "left_semi").select(F.col("first_id").alias("doc_id"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column(docs)).join(ids, "doc_id", "left_semi")
-    sets = texts.mapInPandas(_sets, "node long, shingles binary").join(group, "node").dropDuplicates(["node"])
-    brought = sets.join(sizes, "label").join(nodes.select("node", "copies", "sig"), "node")
-    spread = dealt(brought, ["label", "i", "j"]).select("label", "i", "j", "part", "node", "copies", "sig", "shingles")
-    return rows.select("doc_id", "node", *keys), nodes.drop("sig"), cut(spread.mapInPandas(_verified(threshold), "a long, b long, partners long"))
+    group = cut(components(near).join(nodes, "node"))
+    sizes = group.groupBy("label").agg(F.sum(F.ceil(F.col("n") / UNIT)).alias("size"))
+    sieve = spark.sparkContext.broadcast(bits_of(group, F.xxhash64("first_id")))
+    sets = own.select("doc_id", "text").filter("doc_id is not null").mapInPandas(_sets(sieve), "node long, shingles binary").dropDuplicates(["node"])
+    brought = sets.join(group.join(sizes, "label"), "node")
+    spread = dealt(brought, ["label", "i", "j"]).select("label", "i", "j", "blocks", "part", "node", "copies", "sig", "shingles")
+    return rows.select("doc_id", "node", *keys), nodes.drop("sig", "n"), cut(spread.mapInPandas(_verified(threshold), "a long, b long, partners long, whole boolean"))
+
+
+def _labels(found: DataFrame) -> DataFrame:
+    """(node, label) of the nodes with links: only groups of several blocks still need to be joined."""
+    return found.filter("whole").select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(components(found.filter("not whole").select("a", "b")))
 
 
 def ngram_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -288,7 +300,7 @@ def ngram_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """
     rows, nodes, found = links(docs, threshold)
     partners = found.groupBy(F.col("a").alias("node")).agg(F.sum("partners").alias("partners"))
-    label = components(found.select("a", "b"))
+    label = _labels(found)
     info = nodes.join(partners, "node", "left").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = info.groupBy("label").agg(F.min("first_id").alias("class_id"))
     info = info.join(least, "label").select("node", "class_id", (F.col("copies") - 1 + F.coalesce("partners", F.lit(0))).alias("n_links"))
@@ -305,7 +317,7 @@ def keep_one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame
     """
     own = with_rows(docs.withColumn("__hash", F.xxhash64(text_column(docs))))
     rows, nodes, found = links(own, threshold, ("__hash", "__row"))
-    label = nodes.select("node").join(components(found.select("a", "b")), "node", "left").select("node", F.coalesce("label", "node").alias("label"))
+    label = nodes.select("node").join(_labels(found), "node", "left").select("node", F.coalesce("label", "node").alias("label"))
     members = rows.filter("node is not null and doc_id is not null").join(label, "node")
     first = members.groupBy("label").agg(F.min(F.struct("doc_id", "__hash", "__row")).alias("first")).select(F.col("first.__row").alias("__row"))
     gone = members.select("__row").join(first, "__row", "left_anti")
