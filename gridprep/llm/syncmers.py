@@ -2,8 +2,10 @@
 
 A k-mer of code points is a closed syncmer if the smallest (by hash) of its inner s-mers is its first or its last. This
 depends on the k-mer alone, so equal passages give equal anchors at equal relative positions wherever they stand.
-A fingerprint keeps, for each of 64 bins of the anchors' hashes, the smallest hash in the bin (16 bits of it); the
-share of bins on which two fingerprints agree estimates the Jaccard similarity of their anchors.
+A fingerprint keeps, for each of 64 bins of the anchors' hashes, the smallest hash in the bin (16 bits of it) and the place
+of that anchor among the bins' anchors in the order of the text. Two fingerprints match position by position: of the bins
+on which they agree only those count whose anchors follow one another in both texts (the longest such chain). Their share
+of all bins estimates how much of the texts is the same and in the same order.
 """
 
 from __future__ import annotations
@@ -62,25 +64,48 @@ def anchors(texts: list[str], k: int = K, s: int = S) -> tuple[np.ndarray, np.nd
     return np.concatenate(text), np.concatenate(at), np.concatenate(value)
 
 
-def fingerprints(texts: list[str]) -> np.ndarray:
-    """One row of 16-bit bins for each text; empty bins, and all of an empty text's, hold 0xFFFF."""
-    text, _, value = anchors(texts)
-    bins = (value >> np.uint64(58)).astype(np.int64)
-    small = np.minimum((value >> np.uint64(42)) & np.uint64(0xFFFF), np.uint64(EMPTY - 1)).astype(np.uint16)
-    out = np.full(len(texts) * BINS, EMPTY, np.uint16)
-    np.minimum.at(out, text * BINS + bins, small)
-    return out.reshape(-1, BINS)
-
+def fingerprints(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(bins, ranks), one row of each for every text: 16-bit hashes, 0xFFFF where a bin is empty, as all of an empty text's
+    are; and the place of each bin's anchor among the bins' anchors, by position in the text, 0xFF where it is empty.
 
-def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Share of the bins filled in either on which both agree; 1 for two empty ones."""
-    filled = (a != EMPTY) | (b != EMPTY)
+    Of several anchors with a bin's smallest hash the first one counts.
+    """
+    text, at, value = anchors(texts)
+    bins = (value >> np.uint64(58)).astype(np.int64)
+    small = np.minimum((value >> np.uint64(42)) & np.uint64(0xFFFF), np.uint64(EMPTY - 1))
+    least = np.full(len(texts) * BINS, np.uint64(EMPTY) << np.uint64(48), np.uint64)
+    np.minimum.at(least, text * BINS + bins, small << np.uint64(48) | at.astype(np.uint64))
+    least = least.reshape(-1, BINS)
+    hashes = (least >> np.uint64(48)).astype(np.uint16)
+    place = np.where(hashes == EMPTY, np.uint64(2**48 - 1), least & np.uint64(2**48 - 1))
+    ranks = np.empty(place.shape, np.uint8)
+    np.put_along_axis(ranks, place.argsort(1, kind="stable"), np.arange(BINS, dtype=np.uint8)[None, :], 1)
+    ranks[hashes == EMPTY] = 0xFF
+    return hashes, ranks
+
+
+def longest_chain(agree: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each row the largest number of its agreeing bins that come in the same order by ``a`` and by ``b``."""
+    n = agree.shape[1]
+    order = np.where(agree, a, 0xFF).argsort(1, kind="stable")
+    agree, b = np.take_along_axis(agree, order, 1), np.take_along_axis(b, order, 1).astype(np.int16)
+    length = np.zeros(agree.shape, np.int16)
+    for j in range(int(agree.sum(1).max(initial=0))):
+        before = np.where(b[:, :j] < b[:, j : j + 1], length[:, :j], 0).max(1, initial=0)
+        length[:, j] = np.where(agree[:, j], before + 1, 0)
+    return length.max(1, initial=0) if n else np.zeros(len(agree), np.int16)
+
+
+def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Share of the bins filled in either on which both agree, in the same order of the texts; 1 for two empty ones."""
+    filled = (a[0] != EMPTY) | (b[0] != EMPTY)
     n = filled.sum(1)
-    return np.where(n > 0, ((a == b) & filled).sum(1) / np.maximum(n, 1), 1.0)
+    return np.where(n > 0, longest_chain((a[0] == b[0]) & filled, a[1], b[1]) / np.maximum(n, 1), 1.0)
 
 
-def _hex(prints: np.ndarray) -> list[str]:
-    return [row.astype(">u2").tobytes().hex() for row in prints]
+def _hex(prints: tuple[np.ndarray, np.ndarray]) -> list[str]:
+    """The bins' hashes, then their ranks."""
+    return [h.astype(">u2").tobytes().hex() + r.tobytes().hex() for h, r in zip(*prints, strict=True)]
 
 
 def syncmer_anchors(docs: DataFrame) -> DataFrame:
@@ -125,11 +150,12 @@ def _compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             edited.append(t[: len(t) - n] + nxt[:n] if n else t)
         prints = fingerprints(texts)
         changed = fingerprints(edited)
+        own_prints = tuple(x[:-1] for x in prints)
         return pd.DataFrame({
             "doc_id": pd.array(ids[: len(own)], "Int64"), "n_chars": [len(t) for t in own],
             "edited_sha256": [hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in edited],
-            "fingerprint": _hex(prints[:-1]), "edited_fingerprint": _hex(changed),
-            "near_edited": likeness(prints[:-1], changed), "near_next": likeness(prints[:-1], prints[1:]),
+            "fingerprint": _hex(own_prints), "edited_fingerprint": _hex(changed),
+            "near_edited": likeness(own_prints, changed), "near_next": likeness(own_prints, tuple(x[1:] for x in prints)),
         })
 
     size, ended = 0, False
