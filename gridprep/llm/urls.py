@@ -20,8 +20,9 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rules that the digest array takes; the files are then some hundred MB at most, mapped and not read whole.
-MAX_RULES = 5_000_000
+#: Rules in one file; a longer list makes several, which are probed in turn. A file is some hundred MB at most, mapped and
+#: not read whole.
+FILE_RULES = 5_000_000
 
 
 def host_path(url: Column) -> tuple[Column, Column]:
@@ -48,15 +49,17 @@ class DigestArray:
         hosts = np.array([r[2] for r in rows], "<u4")
         blocks = np.array([r[3] for r in rows], "<u4")
         lengths = np.array(sorted({len(p.encode()) for _, p in best}), "<u4")
+        # only a host's suffixes of up to so many bytes and labels can be a rule's host
+        bounds = [max((len(h.encode()) for h, _ in best), default=0), max((h.count(".") + 1 for h, _ in best), default=0)]
         with open(path, "wb") as f:
-            np.array([len(rows), len(lengths)], "<u8").tofile(f)
+            np.array([len(rows), len(lengths), *bounds], "<u8").tofile(f)
             for x in (keys, ends, hosts, blocks, lengths):
                 x.tofile(f)
             f.write(b"".join(r[1] for r in rows))
 
     def __init__(self, path: str) -> None:
-        n, m = (int(x) for x in np.fromfile(path, "<u8", 2))
-        at = 16
+        n, m, self.longest, self.labels = (int(x) for x in np.fromfile(path, "<u8", 4))
+        at = 32
         parts = []
         for kind, count in (("<u8", n), ("<u8", n + 1), ("<u4", n), ("<u4", n), ("<u4", m)):
             parts.append(np.memmap(path, kind, "r", at, (count,)) if count else np.zeros(0, kind))
@@ -64,8 +67,9 @@ class DigestArray:
         self.keys, self.ends, self.hosts, self.blocks, self.lengths = parts
         self.heap = np.memmap(path, np.uint8, "r", at) if n else np.zeros(0, np.uint8)
 
-    def probe(self, hosts: list[str], paths: list[str]) -> tuple[list[str | None], list[str | None]]:
-        """Rule string and verdict for each url, None where no rule fits."""
+    def probe(self, hosts: list[str], paths: list[str]) -> list[tuple[int, int, bool, str | None, str | None]]:
+        """(length, length of the host, whether it blocks, rule string, verdict) of each url's longest rule; -1 and None
+        where no rule fits."""
         owner: list[int] = []
         texts: list[bytes] = []
         split: list[int] = []
@@ -73,44 +77,53 @@ class DigestArray:
         for i, (host, path) in enumerate(zip(hosts, paths, strict=True)):
             h, p = host.encode("utf-8", "surrogatepass"), path.encode("utf-8", "surrogatepass")
             begins = [p[:n] for n in lengths if n <= len(p)]
-            while h:
-                for b in begins:
-                    owner.append(i)
-                    texts.append(h + b)
-                    split.append(len(h))
-                h = h.partition(b".")[2]
-        rules: list[str | None] = [None] * len(hosts)
-        verdicts: list[str | None] = [None] * len(hosts)
+            # the host and its suffixes at dots, shortest first, as far as the rules' hosts reach
+            at = len(h)
+            for _ in range(self.labels if h else 0):
+                at = h.rfind(b".", 0, at) if at > 0 else -1
+                if len(h) - at - 1 > self.longest:
+                    break
+                if at + 1 < len(h):
+                    for b in begins:
+                        owner.append(i)
+                        texts.append(h[at + 1 :] + b)
+                        split.append(len(h) - at - 1)
+                if at < 0:
+                    break
+        best: list[tuple[int, int, bool, str | None, str | None]] = [(-1, -1, False, None, None)] * len(hosts)
         if not texts or not len(self.keys):
-            return rules, verdicts
+            return best
         wanted = np.fromiter(map(xxhash.xxh64_intdigest, texts), np.uint64, len(texts))
         low, high = np.searchsorted(self.keys, wanted, "left"), np.searchsorted(self.keys, wanted, "right")
-        best: dict[int, tuple[int, int]] = {}
         for c in np.flatnonzero(high > low):
             for k in range(int(low[c]), int(high[c])):
                 if int(self.hosts[k]) == split[c] and self.heap[int(self.ends[k]) : int(self.ends[k + 1])].tobytes() == texts[c]:
                     rank = (len(texts[c]), split[c])
-                    if rank > best.get(owner[c], (-1, -1)):
-                        best[owner[c]] = rank
-                        rules[owner[c]] = texts[c].decode("utf-8", "surrogatepass")
-                        verdicts[owner[c]] = "block" if self.blocks[k] else "allow"
-        return rules, verdicts
-
-
-def ship(spark: SparkSession, rules: list[tuple[str, str, str]]) -> str:
-    """Writes the array and hands it to every executor through Spark; returns the file's name there."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"{len(rules)} rules; a digest array takes {MAX_RULES}: split the list by host and filter in turns")
-    name = "rules-" + hashlib.sha256(repr(sorted(rules)).encode()).hexdigest()[:20] + ".bin"
-    # Spark wants equal names to have equal paths, so a list has one path in the driver's temp folder
+                    if rank > best[owner[c]][:2]:
+                        blocks = bool(self.blocks[k])
+                        best[owner[c]] = (*rank, blocks, texts[c].decode("utf-8", "surrogatepass"), "block" if blocks else "allow")
+        return best
+
+
+def ship(spark: SparkSession, rules: list[tuple[str, str, str]]) -> list[str]:
+    """Writes the rules' arrays and hands them to every executor through Spark; returns the files' names there.
+
+    Only the driver reads the folder that they are written to, below its own folder for temporary files.
+    """
+    rules = sorted(set(rules))
     folder = os.path.join(tempfile.gettempdir(), "gridprep-rules")
     os.makedirs(folder, exist_ok=True)
-    path = os.path.join(folder, name)
-    if not os.path.exists(path):
-        DigestArray.write(f"{path}.{os.getpid()}", rules)
-        os.replace(f"{path}.{os.getpid()}", path)
-    spark.sparkContext.addFile(path)
-    return name
+    names = []
+    for k in range(0, len(rules), FILE_RULES):
+        part = rules[k : k + FILE_RULES]
+        # Spark wants equal names to have equal paths, so a list has one path in the driver's temp folder
+        names.append("rules-" + hashlib.sha256(repr(part).encode()).hexdigest()[:20] + ".bin")
+        path = os.path.join(folder, names[-1])
+        if not os.path.exists(path):
+            DigestArray.write(f"{path}.{os.getpid()}", part)
+            os.replace(f"{path}.{os.getpid()}", path)
+        spark.sparkContext.addFile(path)
+    return names
 
 
 def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], default: str = "allow") -> DataFrame:
@@ -120,15 +133,18 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], default: str
     Rules of equal length: the one with the longer host; of equal rules, block. Repeated rows give a row each; other
     columns are ignored. An empty rule list gives every url the default.
     """
-    name = ship(pages.sparkSession, rules)
+    names = ship(pages.sparkSession, rules)
     opened: dict[str, DigestArray] = {}
 
     @F.pandas_udf("rule string, verdict string")
     def probed(host: pd.Series, path: pd.Series) -> pd.DataFrame:
-        if name not in opened:
-            opened[name] = DigestArray(SparkFiles.get(name))
-        rule, verdict = opened[name].probe(host.tolist(), path.tolist())
-        return pd.DataFrame({"rule": pd.Series(rule, dtype=object), "verdict": pd.Series(verdict, dtype=object)})
+        hosts, paths = host.tolist(), path.tolist()
+        best: list[tuple] = [(-1, -1, False, None, None)] * len(hosts)
+        for name in names:
+            if name not in opened:
+                opened[name] = DigestArray(SparkFiles.get(name))
+            best = [max(b, found, key=lambda x: x[:3]) for b, found in zip(best, opened[name].probe(hosts, paths), strict=True)]
+        return pd.DataFrame({"rule": pd.Series([b[3] for b in best], dtype=object), "verdict": pd.Series([b[4] for b in best], dtype=object)})
 
     host, path = host_path(F.col("url").cast("string"))
     found = pages.select("page_id", host.alias("host"), path.alias("path")).withColumn("found", probed("host", "path"))
