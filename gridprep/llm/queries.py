@@ -90,8 +90,7 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gridprep.llm.topk import top_k
 
-    vectors = _read(spark, sf_dir, "embeddings")
-    return top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0), k=5)
+    return top_k(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
 def op10_extract_html(spark: SparkSession, sf_dir: str) -> DataFrame:
