@@ -24,8 +24,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_WORDS, SHARD_SLOTS, MAX_REPEATS = 64, 1_024, 3
 #: Groups in which the documents of a source are counted up; a hot source is spread over all of them.
 BUCKETS = 512
-#: Primes below 2^31, multipliers of the permutations.
-PRIMES = (2147483647, 2147483629, 2147483587, 2147483579, 2147483563, 2147483549)
+#: Rounds of the permutations' network, and slots that one task makes, about.
+ROUNDS, TASK_SLOTS = 4, 1_000_000
 
 
 @dataclass
@@ -38,22 +38,23 @@ class Mix:
     slots: DataFrame
 
 
-def _mulmod(a: Column, i: Column, n: Column) -> Column:
-    """a * i mod n for a < 2^31 and n < 2^47, without overflow."""
-    high, low = F.shiftright(a, 16), a.bitwiseAND(F.lit(0xFFFF))
-    return F.pmod(F.pmod(F.pmod(high * i, n) * F.lit(65536), n) + low * i, n)
+def _place(i: Column, n: Column, seed: list[Column]) -> Column:
+    """Where a pseudorandom permutation of 0 .. n - 1 takes i: a Feistel network over pairs (l, r) with l * b + r = i.
+
+    In turn a hash of r is added to l mod a and one of l to r mod b. a * b is n or up to sqrt(n) more; a result from n on
+    goes through the network again until it is below n, which takes no more turns than there are such results.
+    """
+    a = F.ceil(F.sqrt(n.cast("double"))).cast("long")
+    b = F.floor((n + a - 1) / a).cast("long")
 
+    def once(x: Column, turn: Column) -> Column:
+        left, right = F.floor(x / b).cast("long"), F.pmod(x, b)
+        added = lambda half: F.xxhash64(*seed, turn, half)
+        return F.when(turn % 2 == 0, F.pmod(left + F.pmod(added(right), a), a) * b + right).otherwise(left * b + F.pmod(right + F.pmod(added(left), b), b))
 
-def _place(i: Column, n: Column, seed: list[Column]) -> Column:
-    """Where a pseudorandom permutation of 0 .. n - 1 takes i: an affine map mod n, its multiplier a prime not dividing n."""
-    pick = F.pmod(F.xxhash64(*seed, F.lit("multiplier")), F.lit(len(PRIMES)))
-    prime = F.lit(PRIMES[0]).cast("long")
-    for k, p in enumerate(PRIMES[1:], 1):
-        prime = F.when(pick == k, F.lit(p).cast("long")).otherwise(prime)
-    # n has at most one of two primes near 2^31 as a divisor unless it exceeds 2^61
-    prime = F.when(F.pmod(n, prime) != 0, prime).otherwise(F.when(prime == PRIMES[0], F.lit(PRIMES[1]).cast("long")).otherwise(F.lit(PRIMES[0]).cast("long")))
-    shift = F.pmod(F.xxhash64(*seed, F.lit("shift")), n)
-    return F.pmod(_mulmod(prime, F.pmod(i, n), n) + shift, n)
+    network = lambda x: F.aggregate(F.array(*(F.lit(k) for k in range(ROUNDS))), x, once)
+    first = network(F.pmod(i, n))
+    return F.when(first < n, first).otherwise(F.aggregate(F.sequence(F.lit(1).cast("long"), F.greatest(a * b - n, F.lit(1))), first, lambda x, _: F.when(x < n, x).otherwise(network(x))))
 
 
 def _uniform(*seed: Column) -> Column:
@@ -89,13 +90,14 @@ def word_count(text: Column | str = "text") -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def plan_mix(docs: DataFrame, weights: list[float], seed: int = 0, block_words: int = BLOCK_WORDS, keys: tuple[str, ...] = ()) -> Mix:
+def plan_mix(docs: DataFrame, weights: list[float], seed: int = 0, block_words: int = BLOCK_WORDS, keys: tuple[str, ...] = (), residual: bool = True) -> Mix:
     """Draws the mix of ``docs`` (doc_id, source, text).
 
     Null texts have no words; null is a source of its own; rows of equal doc_id in a source follow by size and
     then by ``keys``, columns of ``docs`` that ``documents`` keeps. A block is
     taken at most 3 times, so no document gives more than 3 times its words. The draw depends on the ids, sizes,
-    sources and ``seed`` alone, not on how rows are partitioned. Without words there are no slots.
+    sources and ``seed`` alone, not on how rows are partitioned. Without words there are no slots. ``residual`` false
+    draws all of a shard's slots multinomially, not only what the whole parts of its expected counts leave.
     """
     block = F.lit(block_words)
     sized = docs.select("doc_id", "source", *keys, word_count().alias("size"))
@@ -122,7 +124,7 @@ def plan_mix(docs: DataFrame, weights: list[float], seed: int = 0, block_words:
     counts = spark.range(-(-slots_total // SHARD_SLOTS) * n_given).select(F.floor(F.col("id") / max(n_given, 1)).cast("long").alias("shard"), F.pmod("id", F.lit(max(n_given, 1))).cast("int").alias("place"))
     counts = counts.join(given, "place").withColumn("n", F.least(F.lit(SHARD_SLOTS), F.lit(slots_total) - F.col("shard") * SHARD_SLOTS).cast("long"))
     counts = counts.withColumn("expected", F.lit(1.0) * F.col("n") * F.col("target") / F.lit(float(max(total, 1))))
-    counts = counts.withColumn("whole", F.floor("expected")).withColumn("part", F.col("expected") - F.col("whole"))
+    counts = counts.withColumn("whole", F.floor("expected") if residual else F.lit(0).cast("long")).withColumn("part", F.col("expected") - F.col("whole"))
     row = Window.partitionBy("shard").orderBy("rank")
     counts = counts.withColumn("upto", F.sum("part").over(row)).withColumn("parts", F.sum("part").over(Window.partitionBy("shard")))
     counts = counts.withColumn("open", F.col("n") - F.sum("whole").over(Window.partitionBy("shard")))
@@ -141,6 +143,9 @@ def plan_mix(docs: DataFrame, weights: list[float], seed: int = 0, block_words:
     in_group = Window.partitionBy("rank", "group").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     numbered = counts.withColumn("group", F.floor(F.col("shard") / 1024)).withColumn("shard_start", F.coalesce(F.sum("count").over(in_group), F.lit(0)))
     numbered = numbered.join(groups, ["rank", "group"]).filter(F.col("count") > 0)
+    # few rows that become many: dealt out before, by source and shard, so a hot source is in all tasks
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-slots_total // TASK_SLOTS))
+    numbered = numbered.repartition(tasks, "rank", "shard")
     turn = F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1))
     slots = numbered.select("shard", "rank", (F.col("group_start") + F.col("shard_start")).alias("first"), turn.alias("slot"))
     slots = slots.withColumn("turn", F.col("first") + F.col("slot")).join(F.broadcast(sources.select("rank", "blocks")), "rank")
