@@ -1,24 +1,31 @@
-"""HTML extraction: structure first, and a suffix array over each host's pages for what structure leaves open.
+"""HTML extraction by a host suffix array, with the page's structure as a prior.
 
 A page falls into blocks of text. Blocks in navigation, headers, footers, sidebars, notices, adverts, forms, comments and
-the like are chrome; blocks of an article or main element are the article. All other blocks are open; they matter on pages
-without an article. The word streams of a host's chrome and open blocks are joined and their suffixes sorted: runs of
-MIN_RUN words or more that occur on several distinct pages are boilerplate. Covered words of open blocks go, the unique
-runs between them stay. Runs of a host too large for one task are counted through a shuffle instead, over all its pages.
+the like are chrome; blocks of an article or main element are the article; all others are open. The word streams of a
+host's chrome and open blocks are joined and their suffixes sorted: runs of MIN_RUN words or more that occur on several
+distinct pages are boilerplate. On pages without an article these runs are cut out of the open blocks, and the unique runs
+between stay. In an article a run is cut out if open blocks of several distinct pages have it. Chrome goes in any case, but
+is no evidence against an article: adverts and teasers quote what articles say. What repeats in articles only is text.
+
+A host too large for one task has its runs counted through a shuffle instead, over all its pages, with the same result.
 """
 
 from __future__ import annotations
 
 import re
+import struct
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField, StructType
 
-from gridprep.llm.common import _MULT, Words, cut, mix64, small_batches
+from gridprep.llm.common import _MULT, Words, bits_of, cut, hits, mix64, small_batches, with_rows
 from gridprep.llm.urls import host_path
 
 #: Words of a repeated run, and distinct pages it is on.
@@ -26,7 +33,8 @@ MIN_RUN, MIN_PAGES = 8, 2
 #: Words of a host that one task sorts at most; the runs of a larger host are counted by a shuffle, with the same result.
 SHARD_WORDS = 400_000
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S)
+_MARK = re.compile(r"<!--|<!\[CDATA\[|<[!?]|<(/?)([a-zA-Z][^\s/>]*)")
+_INSIDE = re.compile(r"(?:\"[^\"]*\"|'[^']*'|[^'\">])*+>")
 _ATTR = re.compile(r"([a-zA-Z_:][\w:.-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "math", "object", "canvas", "audio", "video", "noframes", "xmp"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -61,35 +69,80 @@ def _kind(tag: str, attrs: str, in_article: bool) -> str:
     return ""
 
 
+class _Tags:
+    """The marks of a page in turn: (start, end, closing, name, attributes); name is None for comments and the like.
+
+    A tag ends at the first > outside quotes, or, where there is none, at the first one at all. One without any > is cut
+    off at the end of the page, and ``end`` is where the text ends. All is found in time proportional to the page: after
+    failed looks for unbalanced quotes over four times its length the rest of the tags end at their first >.
+    """
+
+    def __init__(self, html: str) -> None:
+        self.html, self.end, self.left = html, len(html), 4 * len(html)
+
+    def next(self, at: int) -> tuple[int, int, bool, str | None, str] | None:
+        m = _MARK.search(self.html, at)
+        if not m:
+            return None
+        start, inside = m.start(), m.end()
+        if m[2] is None:
+            close = {"<!--": "-->", "<![CDATA[": "]]>"}.get(m[0], ">")
+            end = self.html.find(close, inside)
+            if end < 0 and m[0] == "<![CDATA[":
+                close, end = ">", self.html.find(">", inside)
+            if end < 0:
+                self.end = start
+                return None
+            return start, end + len(close), False, None, ""
+        if self.left > 0:
+            full = _INSIDE.match(self.html, inside)
+            if full:
+                return start, full.end(), bool(m[1]), m[2].lower(), self.html[inside : full.end() - 1]
+            self.left -= len(self.html) - inside
+        end = self.html.find(">", inside)
+        if end < 0:
+            self.end = start
+            return None
+        return start, end + 1, bool(m[1]), m[2].lower(), self.html[inside:end]
+
+
 def blocks(html: str) -> list[tuple[str, str]]:
     """(kind, text) of a page's blocks in order; kind: article, chrome or open."""
     out: list[tuple[str, str]] = []
     stack: list[tuple[str, str]] = []  # open elements: tag, state
+    count: Counter[str] = Counter()  # of the open elements
     parts: list[str] = []
-    state, at = "open", 0
+    state, at, had_article = "open", 0, False
 
     def flush() -> None:
+        nonlocal had_article
         if parts:
             text = " ".join("".join(parts).split())
             parts.clear()
             if text:
                 out.append((state, text))
+                had_article = had_article or state == "article"
 
     def close(depth: int) -> None:
         nonlocal state
+        for t, _ in stack[depth:]:
+            count[t] -= 1
         del stack[depth:]
         state = stack[-1][1] if stack else "open"
 
-    while m := _TAG.search(html, at):
-        if m.start() > at:
-            parts.append(unescape(html[at : m.start()]))
-        at = m.end()
-        tag = m[2]
+    def last(tag: str) -> int:
+        return next((d for d in range(len(stack) - 1, -1, -1) if stack[d][0] == tag), -1) if count[tag] else -1
+
+    tags = _Tags(html)
+    while found := tags.next(at):
+        start, end, closing, tag, attrs = found
+        if start > at:
+            parts.append(unescape(html[at:start]))
+        at = end
         if tag is None:
             continue
-        tag = tag.lower()
-        if m[1]:
-            depth = next((d for d in range(len(stack) - 1, -1, -1) if stack[d][0] == tag), -1)
+        if closing:
+            depth = last(tag)
             # an inline end tag doesn't reach across a block
             if depth >= 0 and (tag in _BLOCKS or not any(t in _BLOCKS for t, _ in stack[depth + 1 :])):
                 if tag in _BLOCKS or any(t in _BLOCKS for t, _ in stack[depth:]):
@@ -104,45 +157,43 @@ def blocks(html: str) -> list[tuple[str, str]]:
             parts.append(" " if tag == "br" else "")
             continue
         if tag in _RAW:
-            if not m[3].rstrip().endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
-                at = end.end() if end else len(html)
+            if not attrs.rstrip().endswith("/"):
+                stop = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
+                at = stop.end() if stop else len(html)
             continue
         if tag in _BLOCKS:
             flush()
         if tag in _VOID:
             continue
         if tag in _CLOSES_P:
-            depth = next((d for d in range(len(stack) - 1, -1, -1) if stack[d][0] == "p"), -1)
+            depth = last("p")
             if depth >= 0 and not any(t in ("table", "button", "object") for t, _ in stack[depth + 1 :]):
                 close(depth)
-        if tag in ("li", "option", "dd", "dt", "tr", "td", "th"):
+        if tag in ("li", "option", "dd", "dt", "tr", "td", "th") and count[tag]:
             for d in range(len(stack) - 1, -1, -1):
                 if stack[d][0] in ("ul", "ol", "menu", "select", "dl", "table"):
                     break
                 if stack[d][0] == tag:
                     close(d)
                     break
-        kind = _kind(tag, m[3], state == "article")
+        kind = _kind(tag, attrs, state == "article")
         inner = state
         if kind == "chrome":
             inner = "chrome"
         elif kind == "main" and state == "open":
             inner = "article"
-        elif tag in ("article", "main") and kind == "main" and state == "chrome" and not any(k == "article" for k, _ in out):
+        elif tag in ("article", "main") and kind == "main" and state == "chrome" and not had_article and not count["aside"]:
             # an unclosed element before the article doesn't swallow it
-            if not any(t == "aside" for t, _ in stack):
-                inner = "article"
+            inner = "article"
         if inner != state:
             flush()
         if tag == "body":
             inner = "open"
         stack.append((tag, inner))
+        count[tag] += 1
         state = inner
-    if at < len(html):
-        rest = html[at:]
-        # a tag cut off at the end of the page
-        parts.append(unescape(rest[: rest.rfind("<")] if re.search(r"<[/!a-zA-Z][^>]*\Z", rest) else rest))
+    if at < tags.end:
+        parts.append(unescape(html[at : tags.end]))
     flush()
     return out
 
@@ -159,32 +210,17 @@ def unique_runs(text: str, spans: list[tuple[int, int]]) -> str:
     return " ".join(p for p in parts if p)
 
 
-def main_text(html: str, covered: dict[int, list[tuple[int, int]]] | None = None) -> str:
-    """The article's blocks; without an article the unique runs of the open blocks, or all of these blocks if there are none.
-
-    ``covered``: for each block the spans of its words that are boilerplate.
-    """
-    found = blocks(html)
-    kept = [t for k, t in found if k == "article"]
-    if not kept:
-        spans = covered or {}
-        kept = [unique_runs(t, spans[i]) if i in spans else t for i, (k, t) in enumerate(found) if k == "open"]
-        kept = [t for t in kept if t]
-        kept = kept or [t for k, t in found if k == "open"]
-    return "\n".join(kept)
-
-
-def repeated(streams: list[np.ndarray], run: int = MIN_RUN, pages: int = MIN_PAGES) -> list[np.ndarray]:
-    """For each word of each stream whether a run of ``run`` words or more around it occurs on ``pages`` distinct streams.
+def repeated_starts(streams: list[np.ndarray], run: int = MIN_RUN, pages: int = MIN_PAGES) -> list[np.ndarray]:
+    """For each word of each stream whether the ``run`` words from it on occur on ``pages`` distinct streams.
 
     The suffixes of the joined streams are sorted by prefix doubling, to a depth of ``run`` words: deeper order doesn't
-    change which words such runs cover. Equal streams are copies of one page and count once.
+    change where such runs are. Equal streams are copies of one page and count once.
     """
     distinct: dict[bytes, int] = {}
     which = [distinct.setdefault(s.tobytes(), len(distinct)) for s in streams]
     unique = [np.frombuffer(b, np.uint64) for b in distinct]
     lengths = np.array([len(s) for s in unique], np.int64)
-    covers: list[np.ndarray] = []
+    found: list[np.ndarray] = []
     if lengths.sum():
         _, rank = np.unique(np.concatenate(unique), return_inverse=True)
         rank = rank.astype(np.int64) + 1
@@ -204,118 +240,162 @@ def repeated(streams: list[np.ndarray], run: int = MIN_RUN, pages: int = MIN_PAG
         first = np.concatenate(([True], (rank[order][1:] != rank[order][:-1]) | (owner[order][1:] != owner[order][:-1]))) if len(order) else np.zeros(0, bool)
         many = np.bincount(rank[order][first], minlength=int(rank.max()) + 1) >= pages
         starts = order[many[rank[order]]]
-        edge = np.zeros(len(rank) + 1, np.int64)
-        np.add.at(edge, starts, 1)
-        np.add.at(edge, starts + run, -1)
-        covers = np.split(np.cumsum(edge[:-1]) > 0, np.cumsum(lengths)[:-1])
+        begins = np.zeros(len(rank), bool)
+        begins[starts] = True
+        found = np.split(begins, np.cumsum(lengths)[:-1])
     else:
-        covers = [np.zeros(0, bool) for _ in unique]
-    return [covers[w] for w in which]
+        found = [np.zeros(0, bool) for _ in unique]
+    return [found[w] for w in which]
 
 
-def _streams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        rows = []
-        for key, host, html in zip(pdf["key"], pdf["host"], pdf["html"], strict=True):
-            every = blocks(html)
-            # the words of these blocks are cut out of the text: open blocks of pages without an article
-            decided = "open" if all(k != "article" for k, _ in every) else None
-            found = [(i if k == decided else -1, t) for i, (k, t) in enumerate(every) if k != "article"]
-            w = Words([t for _, t in found]) if found else None
-            if w is not None and len(w.hash):
-                rows.append((key, host, [i for i, _ in found], np.diff(w.first).tolist(), w.hash.tobytes(), len(w.hash)))
-        yield pd.DataFrame(rows, columns=["key", "host", "numbers", "words", "stream", "n"])
+def covered_by(starts: np.ndarray, n: int, run: int = MIN_RUN) -> np.ndarray:
+    """Which of n words lie in a run of ``run`` words from one of the places ``starts``."""
+    edge = np.zeros(n + run, np.int64)
+    np.add.at(edge, starts, 1)
+    np.add.at(edge, starts + run, -1)
+    return np.cumsum(edge)[:n] > 0
+
+
+def repeated(streams: list[np.ndarray], run: int = MIN_RUN, pages: int = MIN_PAGES) -> list[np.ndarray]:
+    """For each word of each stream whether a run of ``run`` words or more around it occurs on ``pages`` distinct streams."""
+    return [covered_by(np.flatnonzero(b), len(b), run) for b in repeated_starts(streams, run, pages)]
+
 
+def run_hashes(words: np.ndarray, lengths: np.ndarray, hosts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(page, place, hash with the host) of every run of MIN_RUN words of several pages, whose words follow one another."""
+    counts = np.maximum(lengths - MIN_RUN + 1, 0)
+    place = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    first = place + np.repeat(np.cumsum(lengths) - lengths, counts)
+    run = np.repeat(hosts.astype(np.int64).view(np.uint64), counts)
+    for j in range(MIN_RUN):
+        run = mix64(run * _MULT + words[first + j])
+    return np.repeat(np.arange(len(lengths)), counts), place, run
 
-def _spans(pdf: pd.DataFrame, covers: list[np.ndarray]) -> pd.DataFrame:
-    """For each page (block, first word, end) of the covered runs in the blocks that it decides, in one list."""
-    spans, counts = [], []
-    for cover, numbers, words in zip(covers, pdf["numbers"], pdf["words"], strict=True):
-        own, at = [], 0
-        for i, n in zip(numbers, words, strict=True):
-            if i >= 0:
-                edge = np.flatnonzero(np.diff(np.concatenate(([False], cover[at : at + n], [False])).astype(np.int8)))
-                for first, end in edge.reshape(-1, 2).tolist():
-                    own += [int(i), first, end]
-            at += n
-        spans.append(own)
-        counts.append(int(cover.sum()))
-    return pd.DataFrame({"key": pdf["key"], "covered": spans, "n_boilerplate": counts})
 
+def decided(found: list[tuple[str, str]]) -> list[str]:
+    """The blocks that may be main text: the article's, or all open ones of a page without an article."""
+    wanted = "article" if any(k == "article" for k, _ in found) else "open"
+    return [t for k, t in found if k == wanted]
 
-COVERED = "key long, covered array<int>, n_boilerplate long"
 
+def main_text(texts: list[str], starts: np.ndarray | list[int] = ()) -> tuple[str, int]:
+    """The unique runs of the blocks, joined by line feeds, and how many words are removed.
 
-def _boilerplate(pdf: pd.DataFrame) -> pd.DataFrame:
-    return _spans(pdf, repeated([np.frombuffer(s, np.uint64) for s in pdf["stream"]]))
+    ``starts``: where boilerplate runs begin, in words through all blocks. If nothing is left, nothing is removed.
+    """
+    if not len(starts):
+        return "\n".join(texts), 0
+    words = np.diff(Words(texts, hashed=False).first)
+    cover = covered_by(np.asarray(starts, np.int64), int(words.sum()))
+    kept = []
+    for text, own in zip(texts, np.split(cover, np.cumsum(words)[:-1]), strict=True):
+        bounds = np.flatnonzero(np.diff(np.concatenate(([False], own, [False])).astype(np.int8))).reshape(-1, 2)
+        left = unique_runs(text, bounds.tolist()) if len(bounds) else text
+        if left:
+            kept.append(left)
+    return ("\n".join(kept), int(cover.sum())) if kept else ("\n".join(texts), 0)
+
+
+def _streams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The words of each page's chrome and open blocks, and of its open blocks alone, as hashes, each under the scope in
+    which such streams meet; those with fewer words than a run have no row."""
+    for pdf in batches:
+        whole = [" ".join((*c, *o)) for c, o in zip(pdf["chrome"], pdf["open"], strict=True)]
+        w = Words([*whole, *(" ".join(o) for o in pdf["open"])])
+        scope = np.concatenate((pdf["outside"].to_numpy(np.int64), pdf["inside"].to_numpy(np.int64)))
+        n = np.diff(w.first)
+        full = np.flatnonzero(n >= MIN_RUN)
+        stream = [w.hash[w.first[i] : w.first[i + 1]].tobytes() for i in full]
+        yield pd.DataFrame({"scope": scope[full], "stream": pd.Series(stream, dtype=object), "n": n[full].astype(np.int64)})
+
+
+def _sorted_runs(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The boilerplate runs of a scope, by the suffix array of its pages."""
+    streams = [np.frombuffer(s, np.uint64) for s in pdf["stream"]]
+    lengths = np.array([len(s) for s in streams], np.int64)
+    _, _, run = run_hashes(np.concatenate(streams), lengths, pdf["scope"].to_numpy())
+    begins = np.concatenate([b[: len(b) - MIN_RUN + 1] for b in repeated_starts(streams)])
+    return pd.DataFrame({"run": np.unique(run[begins]).view(np.int64)})
 
 
 def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """A row for each run of MIN_RUN words: page, digest of its stream, place, and a hash of the host and the run."""
+    """Every run of MIN_RUN words: its hash with the scope, and the digest of its page's stream."""
     for pdf in batches:
-        if not len(pdf):
-            continue
-        words = np.frombuffer(b"".join(pdf["stream"]), np.uint64)
         lengths = np.array([len(s) // 8 for s in pdf["stream"]], np.int64)
-        counts = np.maximum(lengths - MIN_RUN + 1, 0)
-        place = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-        first = place + np.repeat(np.cumsum(lengths) - lengths, counts)
-        run = np.repeat(pdf["host"].to_numpy(np.int64).view(np.uint64), counts)
-        for j in range(MIN_RUN):
-            run = mix64(run * _MULT + words[first + j])
-        yield pd.DataFrame({"key": pdf["key"].to_numpy(np.int64).repeat(counts), "digest": pdf["digest"].to_numpy(np.int64).repeat(counts), "at": place, "run": run.view(np.int64)})
+        page, _, run = run_hashes(np.frombuffer(b"".join(pdf["stream"]), np.uint64), lengths, pdf["scope"].to_numpy())
+        yield pd.DataFrame({"digest": pdf["digest"].to_numpy(np.int64)[page], "run": run.view(np.int64)})
 
 
-def _marked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        covers = []
-        for stream, at in zip(pdf["stream"], pdf["starts"], strict=True):
-            edge = np.zeros(len(stream) // 8 + 1, np.int64)
-            np.add.at(edge, np.asarray(at, np.int64), 1)
-            np.add.at(edge, np.asarray(at, np.int64) + MIN_RUN, -1)
-            covers.append(np.cumsum(edge[:-1]) > 0)
-        yield _spans(pdf, covers)
+def boilerplate(pages: DataFrame) -> DataFrame:
+    """run: the hash of each run of words of ``pages`` (chrome, open, outside, inside) that stands on several distinct pages of a scope."""
+    streams = cut(pages.select("chrome", "open", "outside", "inside").mapInPandas(_streams, "scope long, stream binary, n long"))
+    sizes = streams.groupBy("scope").agg(F.sum("n").alias("total"))
+    # at most one host for each SHARD_WORDS words of all pages: few; pages of a hot host stay spread
+    large = F.broadcast(cut(sizes.filter(F.col("total") > SHARD_WORDS).select("scope")))
+    found = streams.join(large, "scope", "left_anti").groupBy("scope").applyInPandas(_sorted_runs, "run long")
+    if not large.isEmpty():
+        runs = streams.join(large, "scope", "left_semi").withColumn("digest", F.xxhash64("stream")).mapInPandas(_runs, "digest long, run long")
+        often = runs.groupBy("run").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).filter("low < high")
+        found = found.unionByName(often.select("run"))
+    return cut(found)
 
 
-def _counted(streams: DataFrame) -> DataFrame:
-    """What _boilerplate gives, with runs counted by a shuffle: a run is repeated if two different streams have it."""
-    pages = streams.select("key", F.xxhash64("host").alias("host"), F.xxhash64("stream").alias("digest"), "stream")
-    runs = pages.mapInPandas(_runs, "key long, digest long, at int, run long")
-    often = runs.groupBy("run").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).filter("low < high").select("run")
-    starts = runs.join(often, "run", "left_semi").groupBy("key").agg(F.collect_list("at").alias("starts"))
-    return streams.select("key", "numbers", "words", "stream").join(starts, "key").mapInPandas(_marked, COVERED)
+def _probed(shared):
+    """Where the runs of the pages' decided blocks pass the sieve of boilerplate runs."""
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            w = Words([" ".join(x) for x in pdf["texts"]])
+            page, place, run = run_hashes(w.hash, np.diff(w.first), pdf["scope"].to_numpy())
+            hit = hits(shared.value, run)
+            yield pd.DataFrame({"key": pdf["key"].to_numpy(np.int64)[page[hit]], "at": place[hit].astype(np.int32), "run": run[hit].view(np.int64)})
+
+    return run
+
+
+@F.pandas_udf(StructType([StructField("texts", ArrayType(StringType())), StructField("chrome", ArrayType(StringType())), StructField("open", ArrayType(StringType())), StructField("article", BooleanType())]))
+def _parsed(html: pd.Series) -> pd.DataFrame:
+    found = [blocks(h) for h in html]
+    kinds = {kind: pd.Series([[t for k, t in f if k == kind] for f in found], dtype=object) for kind in ("chrome", "open")}
+    article = pd.Series([any(k == "article" for k, _ in f) for f in found], dtype=bool)
+    return pd.DataFrame({"texts": pd.Series([decided(f) for f in found], dtype=object), **kinds, "article": article})
 
-def _texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        texts = []
-        for h, c in zip(pdf["html"], pdf["covered"], strict=True):
-            covered: dict[int, list[tuple[int, int]]] = {}
-            for i, first, end in np.asarray([] if c is None else c, np.int64).reshape(-1, 3).tolist():
-                covered.setdefault(i, []).append((first, end))
-            texts.append(main_text(h, covered))
-        yield pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "text": texts, "n_chars": [len(t) for t in texts], "n_boilerplate": pdf["n_boilerplate"]})
+
+@F.pandas_udf(StructType([StructField("text", StringType()), StructField("n", LongType())]))
+def _cleaned(texts: pd.Series, starts: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([main_text(list(t), () if s is None else s) for t, s in zip(texts, starts, strict=True)], columns=["text", "n"])
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
-    """page_id, url, text, n_chars (code points), n_boilerplate (repeated words outside the article): a row for each page.
+    """page_id, url, text, n_chars (code points), n_boilerplate (words of the main text's blocks removed): a row for each page.
 
     Null html is empty and gives an empty text, as do pages of chrome alone. Repeated rows give a row each and count as
     one page in the host's suffix array; a null url belongs to the empty host. Other columns are ignored.
+
+    Each page is parsed once; its blocks are written to the shared folder. Only pages that hold a boilerplate run in their
+    main text are moved to meet their runs.
     """
-    small_batches(pages.sparkSession, 200)
-    html = F.coalesce(F.col("html").cast("string"), F.lit(""))
+    spark = pages.sparkSession
+    small_batches(spark, 200)
     host, _ = host_path(F.col("url").cast("string"))
-    rows = pages.select("page_id", F.col("url").cast("string").alias("url"), html.alias("html"))
-    rows = rows.withColumn("key", F.xxhash64("url", "html")).withColumn("host", host)
-    streams = cut(rows.select("key", "host", "html").mapInPandas(_streams, "key long, host string, numbers array<int>, words array<int>, stream binary, n long"))
-    streams = streams.dropDuplicates(["key"])
-    sizes = streams.groupBy("host").agg(F.sum("n").alias("total"))
-    # at most one host for each SHARD_WORDS words of all pages: few; pages of a hot host stay spread
-    large = F.broadcast(cut(sizes.filter(F.col("total") > SHARD_WORDS).select("host")))
-    found = streams.join(large, "host", "left_anti").groupBy("host").applyInPandas(_boilerplate, COVERED)
-    if not large.isEmpty():
-        found = found.unionByName(_counted(streams.join(large, "host", "left_semi")))
-    joined = rows.drop("host").join(found, "key", "left")
-    out = joined.select("page_id", "url", "html", "covered", F.coalesce("n_boilerplate", F.lit(0)).cast("long").alias("n_boilerplate"))
-    return out.mapInPandas(_texts, "page_id long, url string, text string, n_chars long, n_boilerplate long")
+    rows = pages.select("page_id", F.col("url").cast("string").alias("url"), host.alias("host"), _parsed(F.coalesce(F.col("html").cast("string"), F.lit(""))).alias("found"))
+    # where runs count for open blocks, and where they do for articles
+    scopes = F.xxhash64("host", F.lit(0)).alias("outside"), F.xxhash64("host", F.lit(1)).alias("inside")
+    parsed = with_rows(rows.select("page_id", "url", *scopes, "found.texts", "found.chrome", "found.open", "found.article"), "key")
+    often = boilerplate(parsed)
+    runs = spark.sparkContext.broadcast(bits_of(often, F.col("run")))
+    places = parsed.select("key", F.when(F.col("article"), F.col("inside")).otherwise(F.col("outside")).alias("scope"), "texts").mapInPandas(_probed(runs), "key long, at int, run long")
+    starts = cut(places.join(often, "run", "left_semi").groupBy("key").agg(F.collect_list("at").alias("starts")))
+    sieve = spark.sparkContext.broadcast(bits_of(starts, F.xxhash64("key")))
+
+    @F.pandas_udf(BooleanType())
+    def touched(keys: pd.Series) -> pd.Series:
+        passed = np.zeros(len(keys), bool)
+        passed[hits(sieve.value, np.array([xxhash.xxh64_intdigest(struct.pack("<q", k), 42) for k in keys], np.uint64))] = True
+        return pd.Series(passed)
+
+    marked = parsed.withColumn("touched", touched("key"))
+    whole = marked.filter("not touched").select("page_id", "url", F.array_join("texts", "\n").alias("text"), F.lit(0).cast("long").alias("n_boilerplate"))
+    cleaned = marked.filter("touched").join(starts, "key", "left").select("page_id", "url", _cleaned("texts", "starts").alias("c"))
+    out = whole.unionByName(cleaned.select("page_id", "url", F.col("c.text").alias("text"), F.col("c.n").alias("n_boilerplate")))
+    return out.select(F.col("page_id").cast("long").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"), "n_boilerplate")
