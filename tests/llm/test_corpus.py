@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -29,7 +30,9 @@ class Union:
         self.up[max(a, b)] = min(a, b)
 
 
-def test_components(spark):
+@pytest.mark.parametrize("part", [30, 500_000])
+def test_components(spark, monkeypatch, part):
+    monkeypatch.setattr(components, "PART", part)
     rng = random.Random(1)
     edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)] + [(i, i + 1) for i in range(100, 140)] + [(200, i) for i in range(201, 260)] + [(7, 7), (None, 3)]
     u = Union()
@@ -148,6 +151,56 @@ def test_lines(spark):
     assert lines.line_report(df.filter("false")).count() == 0
 
 
+def test_lines_without_candidates(spark):
+    # a batch in which no line has a partner, beside one that has
+    rng = random.Random(4)
+    new = lambda n: " ".join("".join(rng.choice("abcdefghijkl") for _ in range(6)) for _ in range(n))
+    rows = [(i, new(12) + "\n" + new(15)) for i in range(40)]
+    alone = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert {(r.n_lines, r.n_kept) for r in lines.line_report(alone).collect()} == {(2, 2)}
+    assert sorted(map(tuple, lines.drop_repeated_lines(alone).collect())) == rows
+    pair = spark.createDataFrame([(100, rows[0][1].replace("\n", " more\n", 1)), (101, "")], "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r.dropped for r in lines.line_report(alone.unionByName(pair)).collect()}
+    assert got.pop(100) == [0, 1] and not any(got.values())
+
+
+def test_line_recall(spark):
+    """Pairs of lines with a similarity just above the threshold meet."""
+    rng = random.Random(8)
+    grams = lambda x: {x[k : k + 8] for k in range(max(1, len(x) - 7))}
+    pairs = []
+    while len(pairs) < 1_500:
+        x = "".join(rng.choice("abcdefghijklmnop ") for _ in range(rng.randrange(20, 300))).strip()
+        y = list(x)
+        for _ in range(max(1, len(x) // 70)):
+            y[rng.randrange(len(y))] = rng.choice("xyz")
+        y = "".join(y)
+        if 0.8 <= len(grams(x) & grams(y)) / len(grams(x) | grams(y)) <= 0.87:
+            pairs.append((x, y))
+    rows = [(2 * i + k, p[k]) for i, p in enumerate(pairs) for k in (0, 1)]
+    got = {r.doc_id: r.dropped for r in lines.line_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(bool(got[2 * i + 1]) for i in range(len(pairs))) >= 0.99 * len(pairs)
+    assert not any(got[2 * i] for i in range(len(pairs)))
+
+
+@pytest.mark.parametrize("block", [16, 1024])
+def test_one_large_group_of_lines(spark, monkeypatch, block):
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    rng = random.Random(6)
+    base = " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(60))
+    rows = [(i, near_copy(rng, base, 1)) for i in range(150)] + [(500, "a line of its own")]
+    got = {r.doc_id: r.dropped for r in lines.line_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i for i, d in got.items() if not d} == {0, 500}
+
+
+def test_hubs_are_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(components, "HUB", 20)
+    monkeypatch.setattr(components, "PART", 50)
+    edges = [(0, i) for i in range(1, 400)] + [(1_000 + i, 1_001 + i) for i in range(30)] + [(399, 1_030)]
+    got = {r.node: r.label for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert set(got.values()) == {0} and len(got) == 431
+
+
 SPACE = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -243,10 +296,21 @@ def test_near_copies_are_judged_by_row(spark):
 
 
 def test_permutation_is_one(spark):
-    for n in (1, 2, 3, 64, 1000, 2147483629):
+    for n in (1, 2, 3, 7, 10, 64, 1000, 1 << 20, 2147483629, 10**13 + 7):
         lo = max(0, n - 2000)
-        got = spark.range(lo, n).select(mixing._place(F.col("id"), F.lit(n).cast("long"), [F.lit(3), F.lit("s")]).alias("p"))
-        assert got.distinct().count() == n - lo and got.filter((F.col("p") < 0) | (F.col("p") >= n)).count() == 0
+        frame = spark.range(lo, n).withColumn("n", F.lit(n).cast("long"))
+        got = [r.p for r in frame.select(mixing._place(F.col("id"), F.col("n"), [F.lit(3), F.lit("s")]).alias("p")).collect()]
+        assert len(set(got)) == n - lo and min(got) >= 0 and max(got) < n
+        if n >= 1000:  # neighbours don't stay neighbours, and the order is no arithmetic sequence
+            steps = Counter((b - a) % n for a, b in zip(got, got[1:]))
+            assert max(steps.values()) < 0.02 * len(got) and len(steps) > 0.6 * len(got)
+
+
+def test_plain_draws(spark):
+    df = spark.createDataFrame([(i, "w " * 400, "ab"[i % 2]) for i in range(300)], "doc_id long, text string, source string")
+    mix = mixing.plan_mix(df, [1, 3], residual=False)
+    n = {r["rank"]: r["count"] for r in mix.slots.groupBy("rank").count().collect()}
+    assert abs(n[1] / (n[0] + n[1]) - 0.75) < 0.05 and n[0] + n[1] == 1875
 
 
 TOKENIZER = None
@@ -357,11 +421,15 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>v
 <section id="comments"><article>Nice post</article></section></main><aside>Side</aside><footer>&copy; me</footer></body></html>"""
 
 
+def page_text(source):
+    return "\n".join(html.decided(html.blocks(source)))
+
+
 def test_blocks():
-    assert html.main_text(PAGE) == "Head & line\nOne two three four.\nFive <six> é\ni\nj\nc1\nc2\nCap"
-    assert html.main_text("") == "" and html.main_text("plain  text") == "plain text"
-    assert html.main_text("<div class=ad>x<article><p>kept <a hre") == "kept"
-    assert html.main_text("<nav>a</nav><footer>b</footer>") == ""
+    assert page_text(PAGE) == "Head & line\nOne two three four.\nFive <six> é\ni\nj\nc1\nc2\nCap"
+    assert page_text("") == "" and page_text("plain  text") == "plain text"
+    assert page_text("<div class=ad>x<article><p>kept <a hre") == "kept"
+    assert page_text("<nav>a</nav><footer>b</footer>") == ""
 
 
 def slow_repeated(streams, run):
@@ -395,7 +463,7 @@ def test_extract_pages(spark):
     rows = [(k, "http://h.org/%d" % k, page(k), "x") for k in range(4)] + [(9, "http://h.org/9", PAGE, "x"), (10, None, None, "x"), (11, "http://h.org/0", page(0), "x"), (None, "http://o.org/", "<p>alone</p>", "x")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
     got = sorted(((r.page_id if r.page_id is not None else -1, r.text, r.n_chars) for r in html.extract_pages(df).collect()))
-    want = {k: " ".join(f"p{k}w{i}" for i in range(30)) for k in range(4)} | {9: html.main_text(PAGE), 10: "", 11: " ".join(f"p0w{i}" for i in range(30)), -1: "alone"}
+    want = {k: " ".join(f"p{k}w{i}" for i in range(30)) for k in range(4)} | {9: page_text(PAGE), 10: "", 11: " ".join(f"p0w{i}" for i in range(30)), -1: "alone"}
     assert got == sorted((k, t, len(t)) for k, t in want.items())
     assert html.extract_pages(df.filter("false")).count() == 0
 
@@ -415,6 +483,89 @@ def test_large_hosts_give_the_same(spark, monkeypatch):
     assert texts[6] == "only6 here6\n" + " ".join(f"q6w{i}" for i in range(9, 30)) and texts[51] == "alone here" and texts[52] == menu
 
 
+def slow_extract(rows):
+    """(page_id, text) by the definition: runs of eight words outside articles on two distinct pages of a host are boilerplate,
+    and for articles those of open blocks."""
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    low = lambda t: word.findall(t.translate(LOWER))
+    where = defaultdict(set)
+    found = []
+    for i, url, source in rows:
+        every = html.blocks(source or "")
+        host = re.split(r"[/?#]", (url or "://").split("://", 1)[1])[0].lower()
+        only = tuple(low(" ".join(t for k, t in every if k == "open")))
+        others = tuple(low(" ".join(t for k, t in every if k == "chrome"))) + only
+        for kind, words in (("outside", others), ("inside", only)):
+            for j in range(len(words) - 7):
+                where[kind, host, words[j : j + 8]].add(words)
+        found.append((i, ("inside" if any(k == "article" for k, _ in every) else "outside", host), html.decided(every)))
+    out = []
+    for i, scope, texts in found:
+        words = tuple(w for t in texts for w in low(t))
+        gone = set()
+        for j in range(len(words) - 7):
+            if len(where[(*scope, words[j : j + 8])]) > 1:
+                gone |= set(range(j, j + 8))
+        kept, at = [], 0
+        for t in texts:
+            places = list(word.finditer(t))
+            own = [at + k in gone for k in range(len(places))]
+            at += len(places)
+            if any(own):  # what stands between a removed word and the next goes as well
+                starts = [m.start() for m in places] + [len(t)]
+                pieces, piece = [], "" if own[0] else t[: starts[0]]
+                for k in range(len(places)):
+                    if own[k]:
+                        pieces.append(piece)
+                        piece = ""
+                    else:
+                        piece += t[starts[k] : starts[k + 1]]
+                t = " ".join(p for p in (" ".join(x.split()) for x in [*pieces, piece]) if p)
+            if t:
+                kept.append(t)
+        out.append((i, "\n".join(kept or texts)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("words", [400_000, 30])
+def test_extract_by_brute_force(spark, monkeypatch, words):
+    monkeypatch.setattr(html, "SHARD_WORDS", words)
+    rng = random.Random(11)
+    phrase = [" ".join(rng.choice("abcdefgh") + str(rng.randrange(4)) for _ in range(9)) for _ in range(6)]
+    own = lambda k: " ".join(f"own{k}w{i}," for i in range(rng.randrange(1, 20)))
+    rows = []
+    for k in range(80):
+        part = lambda: rng.choice([own(k), rng.choice(phrase), own(k) + " " + rng.choice(phrase) + " " + own(k)])  # noqa: B023, E731
+        body = f"<nav>{rng.choice(phrase)}</nav><p>{part()}</p>"
+        body += f"<article><h1>{own(k)}</h1><p>{part()}</p><p>{part()} é{k}</p></article>" if k % 2 else f"<p>{part()}</p>"
+        rows.append((k, f"http://{'AB'[k % 3 == 0]}.org/{k}", body + f"<footer>{part()}</footer>"))
+    rows += [(100, rows[5][1], rows[5][2]), (101, "http://b.org/x", None), (102, "http://b.org/y", f"<article>{phrase[0]}</article>"), (103, None, "<p>no host</p>")]
+    got = sorted((r.page_id, r.text) for r in html.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)).collect())
+    assert got == slow_extract(rows)
+
+
+def test_the_array_decides_inside_articles(spark):
+    """A notice without any mark in an article goes once it stands in open blocks on two pages of the host."""
+    notice = "please support our work by sending a letter to the editor today"
+    page = lambda k: f"<article><p>{' '.join(f'a{k}w{i}' for i in range(20))}</p><p>{notice}</p></article>"
+    pages = [(k, f"http://h.org/{k}", page(k)) for k in range(6)]
+    text = lambda rows: {r.page_id: r.text for r in html.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    before = text(pages)
+    assert all(t.endswith(notice) for t in before.values())  # text of articles alone is no evidence
+    after = text(pages + [(10 + k, f"http://h.org/n{k}", f"<article>page {k} of its own</article><p>{notice} {k}</p>") for k in range(2)])
+    assert all(after[k] == before[k].removesuffix("\n" + notice) for k in range(6))
+    quoted = text(pages + [(10 + k, f"http://h.org/n{k}", f"<article>page {k} of its own</article><div class=ad>{notice} {k}</div>") for k in range(2)])
+    assert all(quoted[k] == before[k] for k in range(6))  # an advert that quotes articles
+
+
+def test_long_pages_of_broken_tags():
+    began = time.time()
+    for source in ("<a " * 350_000, '<a "' * 250_000, "<a \"'>'>\"" * 100_000, "<div>" * 100_000 + "</span>" * 100_000 + "x", "<!--" * 200_000, "<p>x<" * 100_000, "<" * 10**6):
+        html.blocks(source)
+    assert time.time() - began < 20
+    assert page_text("a < b <b>c</b> <a title='>' href=\"x\">d</a> <i \"odd>e") == "a < b c d e"
+
+
 def test_extract_matches_the_articles(spark, sf):
     from html import unescape
 

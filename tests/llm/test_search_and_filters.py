@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -37,11 +38,28 @@ def test_urls(spark):
     assert {r.verdict for r in urls.judge_urls(df, []).collect()} == {"allow"}
 
 
+def test_rules_in_several_files(spark, monkeypatch):
+    monkeypatch.setattr(urls, "FILE_RULES", 2)
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(URLS)], "page_id long, url string")
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urls.judge_urls(df, RULES).collect()}
+    assert got == {i: slow_rule(u) for i, u in enumerate(URLS)}
+
+
+def test_hosts_of_many_labels(tmp_path):
+    path = str(tmp_path / "r.bin")
+    urls.DigestArray.write(path, [*RULES, ("", "/all", "block"), (".dot.com", "/", "block")])
+    probe = lambda h, p: urls.DigestArray(path).probe([h], [p])[0][3]
+    began = time.time()
+    assert probe("a." * 500_000 + "com", "/en/x") == "com/en/" and probe("." * 500_000, "/en/") is None
+    assert time.time() - began < 2
+    assert probe("x..example.com", "/en/7") == "example.com/en/7" and probe("com", "/en/") == "com/en/" and probe("xcom", "/en/") is None
+
+
 def test_digest_collisions_are_confirmed(tmp_path, monkeypatch):
     monkeypatch.setattr(urls.xxhash, "xxh64_intdigest", lambda x, *a: len(x))
     path = str(tmp_path / "r.bin")
     urls.DigestArray.write(path, [("a.com", "/x", "block"), ("b.com", "/x", "allow"), ("c.com", "/y", "block"), ("a.com", "/x", "allow")])
-    assert urls.DigestArray(path).probe(["a.com", "b.com", "d.com", "z.c.com"], ["/x1", "/x", "/y", "/y"]) == (["a.com/x", "b.com/x", None, "c.com/y"], ["block", "allow", None, "block"])
+    assert urls.DigestArray(path).probe(["a.com", "b.com", "d.com", "z.c.com"], ["/x1", "/x", "/y", "/y"]) == [(7, 5, True, "a.com/x", "block"), (7, 5, False, "b.com/x", "allow"), (-1, -1, False, None, None), (7, 5, True, "c.com/y", "block")]
 
 
 def slow_top(rows, queries, k):
@@ -57,15 +75,31 @@ def slow_top(rows, queries, k):
 @pytest.mark.parametrize("shard_rows", [16, 10_000])
 def test_top_k(spark, monkeypatch, shard_rows):
     monkeypatch.setattr(topk, "SHARD_ROWS", shard_rows)
-    monkeypatch.setattr(topk, "BLOCK_ROWS", 7)
     rng = random.Random(4)
     rows = [(i, [rng.choice([rng.gauss(0, 1), 0.5]) for _ in range(6)]) for i in range(90)]
     rows += [(100 + i, rows[i][1]) for i in range(12)] + [(200, None), (201, []), (202, [None] * 6), (203, [float("nan")] * 6), (204, [float("inf")] + [0.0] * 5), (205, [1.0, 2.0]), (206, [2.0, 1.0]), (207, [3e7] * 6)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("score", F.lit("x"))
     queries = [i for i, _ in rows if i % 5 == 0]
-    got = {(r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(df, df.filter("vec_id % 5 = 0"), 4).collect()}
+    got = {(r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(df, F.expr("vec_id % 5 = 0"), 4).collect()}
     assert got == slow_top(rows, queries, 4)
-    assert topk.top_k(df.filter("false"), df, 4).count() == 0
+    assert topk.top_k(df.filter("false"), F.lit(True), 4).count() == 0
+
+
+@pytest.mark.parametrize("shard_rows", [16, 10_000])
+def test_top_k_of_repeated_rows(spark, monkeypatch, shard_rows):
+    """Every row is a candidate, also where rows repeat an id; one vector makes up most of the table."""
+    monkeypatch.setattr(topk, "SHARD_ROWS", shard_rows)
+    rng = random.Random(6)
+    rows = [(i // 2, [rng.gauss(0, 1) for _ in range(4)]) for i in range(60)] + [(500 + i, [0.5, 0.5, 0.5, 0.5]) for i in range(100)] + [(3, [2.0**40, 1.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(df.repartition(3), F.expr("vec_id % 10 = 0 and vec_id < 600"), 3).collect())
+    v = [[int(np.floor(256 * x)) for x in e] for _, e in rows]
+    want = []
+    for q, (i, _) in enumerate(rows):
+        if i % 10 == 0 and i < 600:
+            scores = sorted((-sum(a * b for a, b in zip(v[q], w)), rows[c][0]) for c, w in enumerate(v) if c != q)
+            want += [(i, n, c, -s) for n, (s, c) in enumerate(scores[:3], 1)]
+    assert got == sorted(want) and any(g[3] > 2**53 for g in got)
 
 
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -94,6 +128,65 @@ def test_license_suppression():
     assert licenses.resolve(found) == [(0, 10, 50, "a"), (2, 8, 60, "b"), (9, 12, 10, "e")]
 
 
+def slow_resolve(found):
+    kept = []
+    for d in sorted(set(found), key=lambda d: (-d[2], d[0] - d[1], d[0], d[3])):
+        if not any(k[0] <= d[0] and d[1] <= k[1] for k in kept):
+            kept.append(d)
+    return sorted(kept)
+
+
+def test_license_suppression_by_brute_force():
+    rng = random.Random(3)
+    for _ in range(300):
+        found = [(a, a + rng.randrange(1, 9), rng.choice([10, 20, 30]), rng.choice("ab")) for a in (rng.randrange(20) for _ in range(rng.randrange(15)))]
+        assert licenses.resolve(found) == slow_resolve(found)
+
+
+def test_every_keyword_is_in_its_matches():
+    """The prefilter loses nothing: texts with each rule's words have its keyword."""
+    rng = random.Random(5)
+    texts = [words for _, _, words in licenses.CLAUSES] + TEXTS[2:11] + ["GPLv3", "LGPL-2.1+", "cc by-sa 4.0", "CeCILL-2.1", "the Artistic License 2.0", "https://www.creativecommons.org/licenses/by/4.0/", "Permission is hereby granted, free of charge, to any person obtaining a copy"]
+    for text in texts:
+        low = text.translate(str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})).encode()
+        gaps = re.sub(rb" ", lambda _: rng.choice([b"  ", b"\n", b", ", b" "]), low)
+        for raw in (low, gaps):
+            view = raw.decode("latin-1")
+            want = slow_resolve([(m.start(), m.end(), r.priority, r.label) for r in licenses.rules() for m in re.finditer(r.pattern, view)])
+            assert licenses.scan(raw)[0] == want, text
+    assert all(licenses.scan(words.encode())[0] for _, _, words in licenses.CLAUSES)
+
+
+def test_license_query_by_brute_force(spark, sf):
+    """All columns of the query, from every rule on every text without prefilter."""
+    from gridprep.llm import queries
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    got = {r.doc_id: r for r in queries.op7_license_scan(spark, sf).collect()}
+    every = [(r, re.compile(r.pattern)) for r in licenses.rules()]
+    for d in docs.collect():
+        low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in d.text or "").encode()
+        view = low.decode("latin-1")
+        words = [m.start() for m in re.finditer(r"[0-9a-z\x80-\xff]+", view)]
+        found = slow_resolve([(m.start(), m.end(), r.priority, r.label) for r, rx in every for m in rx.finditer(view)])
+        n, base = slow_base(d.text)
+        word = lambda x: sum(w <= x for w in words) - 1  # noqa: B023, E731
+        covered = sum(word(e - 1) - word(a) + 1 for a, e, _, _ in found)
+        r = got[d.doc_id]
+        assert (r.n_words, r.n_base, r.base_labels) == (n, len(base), ",".join(sorted({b[1] for b in base})))
+        assert (r.first_word, r.last_word) == ((base[0][0], base[-1][0]) if base else (None, None))
+        assert r.labels == ",".join(sorted({b[1] for b in base} | {f[3] for f in found})) and r.score == pytest.approx(min(1.0, covered / n) if n else 0.0)
+
+
+def test_license_dumps_are_linear():
+    raw = b"licensed under the apache license version 2.0, gpl v3 or later. mit license " * 40_000
+    began = time.time()
+    found, places = licenses.scan(raw)
+    assert len(found) == 120_000 and len(places) == 80_000
+    licenses.scan(b"gpl" + b" " * 1_000_000 + b"x")
+    assert time.time() - began < 20
+
+
 def test_syncmer_places():
     rng = random.Random(1)
     texts = ["", "kurz", "x" * 50, "".join(rng.choice("abcde ") for _ in range(300)), "日本語" * 30]
@@ -122,10 +215,67 @@ def test_every_text_has_an_anchor():
         text, at, _ = syncmers.anchors(["", *texts, ""])
         assert set(text) == set(range(1, 201)) and (at >= 0).all()
         prints = syncmers.fingerprints(texts)
-        assert (prints != syncmers.EMPTY).any(1).all()
+        assert (prints[0] != syncmers.EMPTY).any(1).all()
         other = [t[::-1] + "!" for t in texts]
         assert (syncmers.likeness(prints, syncmers.fingerprints(other)) < 1).all() and (syncmers.likeness(prints, prints) == 1).all()
-    assert (syncmers.fingerprints(["", "x"])[0] == syncmers.EMPTY).all()
+    assert (syncmers.fingerprints(["", "x"])[0][0] == syncmers.EMPTY).all()
+
+
+def slow_fingerprint(t):
+    mask = (1 << 64) - 1
+
+    def mix(x):
+        for _ in range(2):
+            x = (x ^ (x >> 32)) * 0xD6E8FEB86659FD93 & mask
+        return x ^ (x >> 32)
+
+    base = 0x9E3779B97F4A7C15
+    summed = lambda x: sum(mix(ord(c) + 1) * pow(base, i, 1 << 64) for i, c in enumerate(x)) & mask
+    k, s = syncmers.K, syncmers.S
+    found = []
+    for i in range(len(t) - k + 1):
+        inner = [mix(summed(t[j : j + s])) for j in range(i, i + k - s + 1)]
+        if min(inner) in (inner[0], inner[-1]):
+            found.append((i, mix((summed(t[i : i + k]) + k) & mask)))
+    if t and not found:
+        found = [(0, mix((summed(t) + len(t)) & mask))]
+    bins = {}
+    for i, v in found:
+        bins[v >> 58] = min(bins.get(v >> 58, (1 << 16, 0)), (min(v >> 42 & 0xFFFF, 0xFFFE), i))
+    order = sorted(bins, key=lambda b: bins[b][1])
+    return {b: (bins[b][0], order.index(b)) for b in bins}
+
+
+def slow_likeness(a, b):
+    if not a and not b:
+        return 1.0
+    same = sorted((a[k][1], b[k][1]) for k in a if k in b and a[k][0] == b[k][0])
+    best = []
+    for i, (_, y) in enumerate(same):
+        best.append(1 + max((best[j] for j in range(i) if same[j][1] < y), default=0))
+    return max(best, default=0) / len(set(a) | set(b))
+
+
+def test_fingerprints_and_likeness_by_brute_force(spark):
+    rng = random.Random(12)
+    new = lambda n: "".join(rng.choice("abcdefgh é\n") for _ in range(n))
+    texts = ["", new(10), new(24), new(25), "x" * 90, None] + [new(rng.randrange(30, 500)) for _ in range(14)]
+    texts += [texts[8] + new(60), texts[8], texts[9][150:] + texts[9][:150], texts[9]]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    got = {r.doc_id: r for r in syncmers.compare_with_next(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    own = [t or "" for t in texts]
+    hexed = lambda f: "".join("%04x" % f.get(b, (0xFFFF, 0))[0] for b in range(64)) + "".join("%02x" % f.get(b, (0, 0xFF))[1] for b in range(64))
+    prints = [slow_fingerprint(t) for t in own]
+    for i, t in enumerate(own):
+        following = own[(i + 1) % len(own)]
+        n = len(t) // 4
+        edited = slow_fingerprint(t[: len(t) - n] + following[:n] if n else t)
+        r = got[i]
+        assert r.fingerprint == hexed(prints[i]) and r.edited_fingerprint == hexed(edited), i
+        assert r.near_edited == pytest.approx(slow_likeness(prints[i], edited)), i
+        assert r.near_next == pytest.approx(slow_likeness(prints[i], prints[(i + 1) % len(own)])), i
+    # order counts: the same passages the other way round are less alike than a text with a passage added
+    assert got[20].near_next > 0.5 and got[22].near_next < got[20].near_next
 
 
 @pytest.mark.parametrize("partitions", [1, 5])
