@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from gridprep.session import reliable_cut
+
 Keys = Sequence[str]
 
 
@@ -83,62 +85,95 @@ def cut_to_capacity(df: DataFrame, by: Keys = ("country",)) -> DataFrame:
     return df.withColumn("__cut", cut).withColumn("overflow", F.col("area") - F.col("__cut")).withColumn("area", F.col("__cut")).drop("__cut")
 
 
-def redistribute(alloc: DataFrame, by: Keys = ("country",), max_rounds: int = 100, tolerance: float = 1e-4, outside_after: int = 20, cut=None) -> DataFrame:
+#: Rounds between two cuts of the lineage, and rows of a table (crops of groups) that may still be broadcast.
+CUT_EVERY, SMALL = 4, 1_000_000
+
+
+def redistribute(alloc: DataFrame, by: Keys = ("country",), max_rounds: int = 1000, tolerance: float = 1e-4, outside_after: int = 20) -> DataFrame:
     """Areas that fit each cell's capacity and keep each crop's total in a group, as far as the group has room.
 
     ``alloc``: keys, cell, crop, area, cap. Every round cuts cells to their capacity and grows, in logistic steps of the
     filling, cells with room where a crop is short; after ``outside_after`` rounds a crop also enters cells it isn't in,
-    and what is then still missing is filled in linearly by free space. Groups all run together; only the number of
-    unfinished crop totals reaches the driver. ``cut`` ends a round's lineage (default: a reliable checkpoint).
+    and what is then still missing is filled in linearly by free space. All groups run together, and one that is done
+    doesn't change any more. Adds ``rounds``, the group's rounds of growth, and ``settled``: false if a crop of the group
+    is still short after ``max_rounds``.
+
+    A cell is one row with its crops in an array, so only the crops' sums are shuffled in a round, and only their number
+    reaches the driver. The lineage is cut every CUT_EVERY rounds; groups that are done leave the loop then.
     """
     keys = list(by)
-    cut = cut or (lambda d: d.checkpoint())
-    crop_totals = alloc.groupBy(*keys, "crop").agg(F.sum("area").alias("total"))
-    room = alloc.select(*keys, "cell", "cap").distinct().groupBy(*keys).agg(F.sum("cap").alias("room"))
-    want = Window.partitionBy(*keys)
-    targets = crop_totals.join(room, keys).withColumn("__all", F.sum("total").over(want))
-    targets = targets.withColumn("target", F.when(F.col("__all") > F.col("room"), F.col("total") * F.col("room") / F.when(F.col("__all") > 0, F.col("__all"))).otherwise(F.col("total")))
-    targets = cut(targets.select(*keys, "crop", "target"))
-    state = cut(alloc.select(*keys, "cell", "crop", "area", "cap"))
-    cell = Window.partitionBy(*keys, "cell")
-    for n in range(max_rounds):
-        if n == outside_after:
-            # crops still short enter every cell with crop land of their group
-            short = state.groupBy(*keys, "crop").agg(F.sum("area").alias("have")).join(targets, [*keys, "crop"]).filter(F.col("have") < F.col("target") * (1 - tolerance)).select(*keys, "crop")
-            cells = state.select(*keys, "cell", "cap").distinct()
-            more = short.join(cells, keys).join(state.select(*keys, "cell", "crop"), [*keys, "cell", "crop"], "left_anti").withColumn("area", F.lit(0.0))
-            state = cut(state.unionByName(more.select(*state.columns)))
-        used = F.sum("area").over(cell)
-        fitted = state.withColumn("__used", used).withColumn("area", F.when(F.col("__used") > F.col("cap"), F.col("area") * F.col("cap") / F.when(F.col("__used") > 0, F.col("__used"))).otherwise(F.col("area")))
-        fitted = fitted.withColumn("__free", F.greatest(F.col("cap") - F.col("__used"), F.lit(0.0)))
-        have = fitted.groupBy(*keys, "crop").agg(F.sum("area").alias("have"), F.sum(F.when(F.col("area") > 0, F.col("__free")).otherwise(0.0)).alias("near"), F.sum("__free").alias("any"))
+    total = alloc.groupBy(*keys, "crop").agg(F.sum("area").alias("total"))
+    room = alloc.groupBy(*keys, "cell").agg(F.max("cap").alias("cap")).groupBy(*keys).agg(F.sum("cap").alias("room"))
+    targets = total.join(room, keys).withColumn("__all", F.sum("total").over(Window.partitionBy(*keys)))
+    target = F.when(F.col("__all") > F.col("room"), F.col("total") * F.col("room") / F.when(F.col("__all") > 0, F.col("__all"))).otherwise(F.col("total"))
+    targets = reliable_cut(targets.select(*keys, "crop", target.alias("target")))
+    state = alloc.groupBy(*keys, "cell").agg(F.max("cap").cast("double").alias("cap"), F.sort_array(F.collect_list(F.struct("crop", F.col("area").cast("double").alias("area")))).alias("crops"))
+    state = reliable_cut(state.withColumn("rounds", F.lit(0)).withColumn("open", F.lit(True)))
+    aside: list[DataFrame] = []
+
+    def added(array, value):
+        return F.aggregate(array, F.lit(0.0), lambda a, x: a + value(x))
+
+    def fitted(df: DataFrame) -> DataFrame:
+        """Crops cut to the cell's capacity, and its free space."""
+        df = df.withColumn("used", added(F.col("crops"), lambda c: c["area"]))
+        share = F.when(F.col("used") > F.col("cap"), F.col("cap") / F.when(F.col("used") > 0, F.col("used"))).otherwise(F.lit(1.0))
+        df = df.withColumn("crops", F.transform("crops", lambda c: F.struct(c["crop"].alias("crop"), (c["area"] * share).alias("area"))))
+        return df.withColumn("free", F.greatest(F.col("cap") - F.col("used"), F.lit(0.0))).drop("used")
+
+    for n in range(max_rounds + 1):
+        now = fitted(state)
+        have = now.select(*keys, "free", F.explode("crops").alias("c")).groupBy(*keys, "c.crop")
+        have = have.agg(F.sum("c.area").alias("have"), F.sum(F.when(F.col("c.area") > 0, F.col("free")).otherwise(0.0)).alias("near"), F.sum("free").alias("any"))
         gap = have.join(targets, [*keys, "crop"]).withColumn("short", F.greatest(F.col("target") - F.col("have"), F.lit(0.0)))
-        gap = cut(gap.select(*keys, "crop", "short", "near", "any", (F.col("short") > F.greatest(F.col("target") * tolerance, F.lit(1e-9))).alias("open")))
-        fitted = cut(fitted)
-        unfinished = gap.filter("open").count()
-        state = fitted.select(*keys, "cell", "crop", "area", "cap")
-        if not unfinished:
+        gap = gap.withColumn("open", F.col("short") > F.greatest(F.col("target") * tolerance, F.lit(1e-9)))
+        seen = Observation()
+        gap = reliable_cut(gap.select(*keys, "crop", "short", "near", "any", "open").observe(seen, F.count(F.lit(1)).alias("n"), F.count_if("open").alias("open")))
+        by_group = gap.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("crop", F.struct("short", "near", "any", "open")))).alias("gaps"), F.bool_or("open").alias("open"))
+        joined = now.drop("open").join(F.broadcast(by_group) if seen.get["n"] <= SMALL else by_group, keys)
+        if not seen.get["open"] or n == max_rounds:
+            state = joined.drop("gaps", "free")
             break
-        grown = fitted.join(gap, [*keys, "crop"])
-        # a logistic step: growth slows as the cell fills; crops that are nowhere near room go by free space
-        inside = F.when((F.col("area") > 0) & (F.col("near") > 0), F.col("__free") / F.when(F.col("near") > 0, F.col("near")))
-        anywhere = F.when((F.col("any") > 0) & ((F.col("near") <= 0) | F.lit(n > outside_after)), F.col("__free") / F.when(F.col("any") > 0, F.col("any")))
-        add = F.col("short") * F.coalesce(anywhere if n > outside_after else inside, anywhere, F.lit(0.0))
-        grown = grown.withColumn("__add", add)
-        wanted = F.sum("__add").over(cell)
-        grown = grown.withColumn("__wanted", wanted).withColumn("area", F.col("area") + F.col("__add") * F.when(F.col("__wanted") > F.col("__free"), F.col("__free") / F.when(F.col("__wanted") > 0, F.col("__wanted"))).otherwise(1.0))
-        state = cut(grown.select(*keys, "cell", "crop", "area", "cap"))
-    used = F.sum("area").over(cell)
-    return state.withColumn("__u", used).withColumn("area", F.when(F.col("__u") > F.col("cap"), F.col("area") * F.col("cap") / F.when(F.col("__u") > 0, F.col("__u"))).otherwise(F.col("area"))).drop("__u")
+        if n >= outside_after:
+            # crops still short enter every cell of their group
+            absent = F.filter(F.map_keys("gaps"), lambda k: F.col("gaps")[k]["open"] & ~F.exists("crops", lambda c: c["crop"] == k))
+            joined = joined.withColumn("crops", F.concat("crops", F.transform(absent, lambda k: F.struct(k.alias("crop"), F.lit(0.0).alias("area")))))
+
+        def growth(c):
+            # growth slows as the cell fills; crops that are nowhere near room go by free space
+            g, free = F.col("gaps")[c["crop"]], F.col("free")
+            inside = F.when((c["area"] > 0) & (g["near"] > 0), free / F.when(g["near"] > 0, g["near"]))
+            anywhere = F.when((g["any"] > 0) & ((g["near"] <= 0) | F.lit(n > outside_after)), free / F.when(g["any"] > 0, g["any"]))  # noqa: B023
+            return g["short"] * F.coalesce(anywhere if n > outside_after else inside, anywhere, F.lit(0.0))  # noqa: B023
+
+        joined = joined.withColumn("grown", F.transform("crops", growth))
+        joined = joined.withColumn("wanted", added(F.col("grown"), lambda g: g))
+        part = F.when(F.col("wanted") > F.col("free"), F.col("free") / F.when(F.col("wanted") > 0, F.col("wanted"))).otherwise(F.lit(1.0))
+        more = F.zip_with("crops", "grown", lambda c, g: F.struct(c["crop"].alias("crop"), (c["area"] + g * part).alias("area")))
+        state = joined.withColumn("crops", F.when(F.col("open"), more).otherwise(F.col("crops"))).withColumn("rounds", F.col("rounds") + F.col("open").cast("int")).select(*keys, "cell", "cap", "crops", "rounds", "open")
+        if n % CUT_EVERY == CUT_EVERY - 1:
+            state = reliable_cut(state)
+            aside.append(state.filter("not open"))
+            state = state.filter("open")
+    for done in aside:
+        state = state.select(*keys, "cell", "cap", "crops", "rounds", "open").unionByName(done)
+    out = state.select(*keys, "cell", "cap", "rounds", (~F.col("open")).alias("settled"), F.explode("crops").alias("c"))
+    return out.select(*keys, "cell", "c.crop", "c.area", "cap", "rounds", "settled")
 
 
 def redistribution_report(before: DataFrame, after: DataFrame, by: Keys = ("country",)) -> DataFrame:
-    """Per keys and crop: total before and after, area moved between cells, and area now in cells without the crop before."""
+    """Per keys and crop: total before, placed after, moved (area gained by cells), outside (area now in cells without the
+    crop before, the emergency moves), cells_outside (their number), and the group's rounds if ``after`` has them."""
     keys = [*by, "crop"]
     a = before.select(*keys, "cell", F.col("area").alias("__before"))
-    b = after.select(*keys, "cell", F.col("area").alias("__after"))
+    rounds = F.col("rounds") if "rounds" in after.columns else F.lit(None).cast("int").alias("rounds")
+    b = after.select(*keys, "cell", F.col("area").alias("__after"), rounds)
     both = a.join(b, [*keys, "cell"], "full_outer").fillna(0.0, ["__before", "__after"])
-    return both.groupBy(*keys).agg(F.sum("__before").alias("total"), F.sum("__after").alias("placed"), F.sum(F.greatest(F.col("__after") - F.col("__before"), F.lit(0.0))).alias("moved"), F.sum(F.when(F.col("__before") == 0, F.col("__after")).otherwise(0.0)).alias("outside"))
+    outside = (F.col("__before") == 0) & (F.col("__after") > 0)
+    return both.groupBy(*keys).agg(
+        F.sum("__before").alias("total"), F.sum("__after").alias("placed"), F.sum(F.greatest(F.col("__after") - F.col("__before"), F.lit(0.0))).alias("moved"),
+        F.sum(F.when(outside, F.col("__after")).otherwise(0.0)).alias("outside"), F.count_if(outside).alias("cells_outside"), F.max("rounds").alias("rounds"),
+    )
 
 
 def build_bands(crops: DataFrame, mapping: DataFrame, land: DataFrame) -> DataFrame:

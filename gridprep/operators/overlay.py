@@ -2,84 +2,72 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridprep.functions.geo import EARTH_RADIUS, GridSpec
 
+#: Areas below this (m2) are rounding.
+NOTHING = 1e-3
+
+
+def ring_sign(points: Column | str = "points") -> Column:
+    """1 for a ring of points (lon, lat) that runs clockwise, -1 for one that runs the other way."""
+    points = F.col(points) if isinstance(points, str) else points
+    following = F.concat(F.slice(points, 2, F.size(points)), F.slice(points, 1, 1))
+    cross = F.zip_with(points, following, lambda p, q: p["lon"].cast("double") * q["lat"] - q["lon"].cast("double") * p["lat"])
+    return -F.signum(F.aggregate(cross, F.lit(0.0), lambda a, x: a + x))
 
-def clip_half_plane(ring: np.ndarray, axis: int, bound: float, keep_above: bool) -> np.ndarray:
-    """The part of a ring of vertices on one side of a line parallel to an axis."""
-    if not len(ring):
-        return ring
-    side = ring[:, axis] - bound if keep_above else bound - ring[:, axis]
-    following, next_side = np.roll(ring, -1, 0), np.roll(side, -1)
-    out = []
-    for p, q, a, b in zip(ring, following, side, next_side, strict=True):
-        if a >= 0:
-            out.append(p)
-        if (a > 0) != (b > 0) and a != b and a * b < 0:
-            out.append(p + (q - p) * (a / (a - b)))
-    return np.array(out).reshape(-1, 2)
-
-
-def ring_area(ring: np.ndarray) -> float:
-    """Area in m2: the integral of sin(latitude) along the edges over longitude, exact for straight edges."""
-    if len(ring) < 3:
-        return 0.0
-    lon, lat = np.radians(ring[:, 0]), np.radians(ring[:, 1])
-    dlon, dlat = np.roll(lon, -1) - lon, np.roll(lat, -1) - lat
-    flat = np.abs(dlat) < 1e-12
-    mean = np.where(flat, np.sin(lat + dlat / 2), (np.cos(lat) - np.cos(lat + dlat)) / np.where(flat, 1, dlat))
-    return float(abs((dlon * mean).sum()) * EARTH_RADIUS**2)
-
-
-def polygon_cell_area(polygons: DataFrame, spec: GridSpec, tile: int = 8) -> DataFrame:
+
+def polygon_cell_area(polygons: DataFrame, spec: GridSpec) -> DataFrame:
     """code, gcol, grow, area: the polygons' area in each cell of the lattice, summed over pieces of the same code.
 
-    ``polygons``: poly_id, part, ring (0: outer, others: holes), code, points ARRAY<STRUCT<lon,lat>>. A ring first goes to
-    the tiles (``tile`` cells a side) that its bounding box meets, so a large polygon is many small tasks; a task clips it
-    to the tile, then to the cells. Rings of less than three points, and pieces without area, go.
+    ``polygons``: poly_id, part, ring (0: outer, others: holes), code, points ARRAY<STRUCT<lon,lat>>. Rings don't cross
+    themselves; those of less than three points, and pieces without area, go.
+
+    The area below an edge of a ring, added up along the ring, is the area inside. So each edge goes to the columns it
+    crosses, and its part in a column to the rows it crosses: there it gives the area below it inside the cell, and its
+    width to all cells further south, which a running sum over a column's rows adds up. Work grows with the edges and
+    the cells they cross, and inner cells cost a row each; no ring is ever copied.
     """
-    lon, lat = F.transform("points", lambda p: p["lon"]), F.transform("points", lambda p: p["lat"])
-    dx, dy = spec.res_lon * tile, spec.res_lat * tile
-    col = lambda x: F.floor((x - spec.xmin) / dx).cast("int")
-    row = lambda y: F.floor((F.lit(spec.ymax) - y) / dy).cast("int")
-    last_col, last_row = -(-spec.ncol // tile) - 1, -(-spec.nrow // tile) - 1
-    box = polygons.filter(F.size("points") >= 3).withColumn("c0", F.greatest(col(F.array_min(lon)), F.lit(0))).withColumn("c1", F.least(col(F.array_max(lon)), F.lit(last_col)))
-    box = box.withColumn("r0", F.greatest(row(F.array_max(lat)), F.lit(0))).withColumn("r1", F.least(row(F.array_min(lat)), F.lit(last_row))).filter("c0 <= c1 and r0 <= r1")
-    tiled = box.withColumn("tc", F.explode(F.sequence("c0", "c1"))).withColumn("tr", F.explode(F.sequence("r0", "r1")))
-    parts = int(polygons.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tiled = tiled.select("code", "ring", lon.alias("lon"), lat.alias("lat"), "tc", "tr").repartition(parts, "tc", "tr", "code")
-
-    def clip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for code, ring, x, y, tc, tr in pdf[["code", "ring", "lon", "lat", "tc", "tr"]].itertuples(index=False):
-                points = np.column_stack((x, y)).astype(float)
-                left, top = spec.xmin + tc * dx, spec.ymax - tr * dy
-                for axis, bound, above in ((0, left, True), (0, left + dx, False), (1, top, False), (1, top - dy, True)):
-                    points = clip_half_plane(points, axis, bound, above)
-                if len(points) < 3:
-                    continue
-                sign = -1.0 if ring else 1.0
-                for c in range(tile):
-                    strip = clip_half_plane(clip_half_plane(points, 0, left + c * spec.res_lon, True), 0, left + (c + 1) * spec.res_lon, False)
-                    if len(strip) < 3 or tc * tile + c >= spec.ncol:
-                        continue
-                    for r in range(tile):
-                        piece = clip_half_plane(clip_half_plane(strip, 1, top - r * spec.res_lat, False), 1, top - (r + 1) * spec.res_lat, True)
-                        if (area := ring_area(piece)) > 0 and tr * tile + r < spec.nrow:
-                            out.append((code, tc * tile + c, tr * tile + r, sign * area))
-            yield pd.DataFrame(out, columns=["code", "gcol", "grow", "area"])
-
-    kind = dict(polygons.dtypes)["code"]
-    pieces = tiled.mapInPandas(clip, f"code {kind}, gcol int, grow int, area double")
-    return pieces.groupBy("code", "gcol", "grow").agg(F.sum("area").alias("area")).filter("area > 0")
+    west, north, dx, dy = (F.lit(float(v)) for v in (spec.xmin, spec.ymax, spec.res_lon, spec.res_lat))
+    rings = polygons.filter(F.size("points") >= 3).withColumn("sign", ring_sign() * F.when(F.col("ring") == 0, 1.0).otherwise(-1.0))
+    following = F.concat(F.slice("points", 2, F.size("points")), F.slice("points", 1, 1))
+    edge = F.zip_with("points", following, lambda p, q: F.struct(p["lon"].cast("double").alias("x1"), p["lat"].cast("double").alias("y1"), q["lon"].cast("double").alias("x2"), q["lat"].cast("double").alias("y2")))
+    edges = rings.select("code", "sign", F.explode(edge).alias("e")).select("code", "sign", "e.*").filter("x1 <> x2")
+    # an edge's part in each column it crosses
+    first = F.greatest(F.floor((F.least("x1", "x2") - west) / dx), F.lit(0))
+    last = F.least(F.ceil((F.greatest("x1", "x2") - west) / dx) - 1, F.lit(spec.ncol - 1))
+    parts = edges.withColumn("c0", first.cast("int")).withColumn("c1", last.cast("int")).filter("c0 <= c1").withColumn("gcol", F.explode(F.sequence("c0", "c1")))
+    left, right = west + F.col("gcol") * dx, west + (F.col("gcol") + 1) * dx
+    within = lambda x, low, high: F.least(F.greatest(x, low), high)
+    parts = parts.withColumn("xa", within(F.col("x1"), left, right)).withColumn("xb", within(F.col("x2"), left, right)).filter("xa <> xb")
+    lat = lambda x: F.col("y1") + (F.col("y2") - F.col("y1")) * ((x - F.col("x1")) / (F.col("x2") - F.col("x1")))
+    parts = parts.withColumn("ya", lat(F.col("xa"))).withColumn("yb", lat(F.col("xb")))
+    # and in each row; row -1 stands for all that is north of the lattice
+    row = lambda y: F.floor((north - y) / dy)
+    top, bottom = F.greatest(row(F.greatest("ya", "yb")), F.lit(-1)), F.least(row(F.least("ya", "yb")), F.lit(spec.nrow - 1))
+    parts = parts.withColumn("r0", top.cast("int")).withColumn("r1", F.greatest(bottom, F.lit(-1)).cast("int")).filter("r0 <= r1 and r0 < %d" % spec.nrow)
+    parts = parts.withColumn("grow", F.explode(F.sequence("r0", "r1")))
+    south = north - (F.col("grow") + 1) * dy
+    upper = F.when(F.col("grow") < 0, F.lit(1e9)).otherwise(north - F.col("grow") * dy)
+    slope = F.when(F.col("yb") != F.col("ya"), (F.col("xb") - F.col("xa")) / (F.col("yb") - F.col("ya")))
+    parts = parts.withColumn("ys", within(F.col("ya"), south, upper)).withColumn("yt", within(F.col("yb"), south, upper))
+    width = F.radians(F.coalesce((F.col("yt") - F.col("ys")) * slope, F.col("xb") - F.col("xa"))) * F.col("sign")
+    s, t = F.radians("ys"), F.radians("yt")
+    # the mean of sin(latitude) along the part
+    mean = F.when(F.abs(t - s) < 1e-9, F.sin((s + t) / 2)).otherwise((F.cos(s) - F.cos(t)) / (t - s))
+    own = F.when(F.col("grow") < 0, F.lit(0.0)).otherwise(width * (mean - F.sin(F.radians(south))))
+    cells = parts.groupBy("code", "gcol", "grow").agg(F.sum(own).alias("own"), F.sum(width).alias("width"))
+    rows = Window.partitionBy("code", "gcol").orderBy("grow")
+    cells = cells.withColumn("above", F.coalesce(F.sum("width").over(rows.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
+    cells = cells.withColumn("next", F.coalesce(F.lead("grow").over(rows), F.lit(spec.nrow)))
+    # cells between two rows with edges lie inside as far as the edges above them leave a width
+    inner = F.when((F.col("next") > F.col("grow") + 1) & (F.abs(F.col("above") + F.col("width")) > 1e-12), F.sequence(F.col("grow") + 1, F.col("next") - 1))
+    cells = cells.withColumn("at", F.explode(F.concat(F.array("grow"), F.coalesce(inner, F.array().cast("array<int>"))))).filter("at >= 0")
+    band = F.sin(F.radians(north - F.col("at") * dy)) - F.sin(F.radians(north - (F.col("at") + 1) * dy))
+    inside = F.when(F.col("at") == F.col("grow"), F.col("own") + F.col("above") * band).otherwise((F.col("above") + F.col("width")) * band)
+    return cells.select("code", "gcol", F.col("at").alias("grow"), (inside * F.lit(EARTH_RADIUS**2)).alias("area")).filter(F.col("area") > NOTHING)
 
 
 def union_layers(a: DataFrame, b: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:

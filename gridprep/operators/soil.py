@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridprep.functions.geo import GridSpec, cell_area, haversine
+from gridprep.session import reliable_cut
 
 #: Codes of rock, ice and dunes, and the texture class that dunes count as.
 ROCK, ICE, DUNES, SAND = "RK", "GG", "DS", 1
@@ -35,17 +36,21 @@ def soil_assign(overlay: DataFrame, attributes: DataFrame, rock_only_alone: bool
     return best.select("cell", "class", "mu", F.coalesce(*steps).alias("ph"), source.alias("ph_source"))
 
 
-def window_fill(sources: DataFrame, missing: DataFrame, spec: GridSpec, power: float = 2.0, max_cells: int = 64) -> DataFrame:
+def window_fill(sources: DataFrame, missing: DataFrame, spec: GridSpec, power: float = 2.0, max_cells: int | None = None) -> DataFrame:
     """(cell, source, weight, window, distance) for each missing cell: the valid cells of the smallest square window that
     has any, weighted by area / distance^power.
 
     ``sources``: cell, gcol, grow; ``missing``: cell, gcol, grow. The window (cells to each side) doubles from round to
     round for the cells that found nothing, so bucket sizes stay near the window's; longitudes wrap on a global lattice.
+    It grows until every cell has found a source or spans the lattice, or up to ``max_cells``. A cell without any source
+    inside has one row, with a null source, weight, window and distance.
     """
+    widest = max(spec.ncol, spec.nrow)
+    limit = widest if max_cells is None else min(max_cells, widest)
     s = sources.select(F.col("cell").alias("source"), F.col("gcol").alias("sc"), F.col("grow").alias("sr"))
-    todo, found, k = missing.select("cell", "gcol", "grow"), None, 1
+    todo, found, k = reliable_cut(missing.select("cell", "gcol", "grow")), None, 1
     steps = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1))))
-    while k <= max_cells:
+    while k <= limit and not todo.isEmpty():
         n = -(-spec.ncol // k)
         bucketed = s.withColumn("bx", F.floor(F.col("sc") / k)).withColumn("by", F.floor(F.col("sr") / k))
         # the last bucket of a wrapping lattice may be narrow: then one more to the west is needed
@@ -58,10 +63,12 @@ def window_fill(sources: DataFrame, missing: DataFrame, spec: GridSpec, power: f
         across = F.least(gap, F.lit(spec.ncol) - gap) if spec.wraps else gap
         met = near.join(bucketed, ["bx", "by"]).withColumn("reach", F.greatest(across, F.abs(F.col("grow") - F.col("sr")))).filter(F.col("reach") <= k)
         nearest = F.min("reach").over(Window.partitionBy("cell"))
-        hit = met.withColumn("window", nearest).filter("reach <= window").select("cell", "gcol", "grow", "source", "sc", "sr", "window")
+        hit = reliable_cut(met.withColumn("window", nearest).filter("reach <= window").select("cell", "gcol", "grow", "source", "sc", "sr", "window"))
         found = hit if found is None else found.unionByName(hit)
-        todo = todo.join(hit.select("cell").distinct(), "cell", "left_anti")
-        k *= 2
+        todo = reliable_cut(todo.join(hit.select("cell").distinct(), "cell", "left_anti"))
+        k = limit if k < limit < 2 * k else 2 * k
+    none = todo.select("cell", "gcol", "grow", *(F.lit(None).cast("long").alias(c) for c in ("source", "sc", "sr", "window")))
+    found = none if found is None else found.unionByName(none)
     at = lambda c: F.lit(spec.xmin) + (F.col(c) + 0.5) * spec.res_lon
     lat = lambda r: F.lit(spec.ymax) - (F.col(r) + 0.5) * spec.res_lat
     d = haversine(at("gcol"), lat("grow"), at("sc"), lat("sr"))

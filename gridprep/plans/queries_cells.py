@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gridprep.functions import geo, text, units
@@ -93,9 +94,9 @@ def p14(spark, sf):
 _FROM, _TO = text.SINGLE
 
 
-@query("p15_to_ascii", oracle("", "SELECT doc_id, regexp_replace(translate(" + "replace(" * len(text.SEVERAL) + "substr(text, 1, 200)" + "".join(f", '{a}', '{b}')" for a, b in text.SEVERAL.items()) + ", '" + _FROM + "', '" + _TO.replace("'", "''") + "'), '[^\\x00-\\x7F]', '?', 'g') AS head FROM documents"))
+@query("p15_to_ascii", oracle("", "SELECT doc_id, regexp_replace(translate(" + "replace(" * len(text.SEVERAL) + "text" + "".join(f", '{a}', '{b}')" for a, b in text.SEVERAL.items()) + ", '" + _FROM + "', '" + _TO.replace("'", "''") + "'), '[^\\x00-\\x7F]', '?', 'g') AS head FROM documents"))
 def p15(spark, sf):
-    return text.to_ascii(table(spark, sf, "documents").select("doc_id", F.substring("text", 1, 200).alias("head")))
+    return text.to_ascii(table(spark, sf, "documents").select("doc_id", F.col("text").alias("head")))
 
 
 @query("p16_dedupe_names", oracle("", "SELECT id, crop, marker, CASE WHEN count(*) OVER (PARTITION BY crop) > 1 AND marker IS NOT NULL THEN concat(crop, ' ', marker) ELSE crop END AS label FROM x", "") .replace("SELECT id", "WITH y AS (SELECT p_partkey AS id, concat('area of ', lower(p_brand), CASE p_partkey % 3 WHEN 0 THEN ' temporary' WHEN 1 THEN ' permanent' ELSE '' END) AS name FROM part), x AS (SELECT id, regexp_extract(trim(replace(replace(name, 'temporary', ''), 'permanent', '')), '([^ ]+(?: [^ ]+)?)$', 1) AS crop, nullif(regexp_extract(name, '(temporary|permanent)', 1), '') AS marker FROM y) SELECT id", 1))
@@ -238,13 +239,39 @@ def g18_step(spark, sf):
     return capacity.cut_to_capacity(alloc).select("cell", "crop", F.round("area", 4).alias("area"), F.round("overflow", 4).alias("overflow"))
 
 
+def _full_cells(spark, sf):
+    k, totals = crop_cells(spark, sf)
+    alloc = capacity.disaggregate(totals.withColumn("total", F.col("total") * 0.8), k)
+    return alloc.select("country", "cell", "crop", "area", F.col("cropland").alias("cap"))
+
+
 @query("g18_redistribute")
 def g18(spark, sf):
-    from gridprep.session import reliable_cut
+    return capacity.redistribute(_full_cells(spark, sf)).select("country", "cell", "crop", F.round("area", 3).alias("area"))
 
-    k, totals = crop_cells(spark, sf)
-    alloc = capacity.disaggregate(totals.withColumn("total", F.col("total") * 0.8), k).select("country", "cell", "crop", "area", F.col("cropland").alias("cap"))
-    return capacity.redistribute(alloc, cut=reliable_cut).select("country", "cell", "crop", F.round("area", 3).alias("area"))
+
+_GOALS = _CELLS + ", t AS (SELECT country, crop, sum(area * 0.8e0) AS total FROM d GROUP BY 1, 2), o AS (SELECT country, sum(cropland) AS room FROM v_parts GROUP BY 1), w AS (SELECT t.*, room, sum(total) OVER (PARTITION BY country) AS every FROM t JOIN o USING (country)), f AS (SELECT country, max(over) AS over FROM (SELECT country, cell, CAST(sum(area * 0.8e0) > any_value(cropland) AS INT) AS over FROM d GROUP BY 1, 2) GROUP BY 1)"
+
+
+@query("g18_redistribution_holds", oracle("v_parts", "SELECT country, crop, round(CASE WHEN every > room THEN total * room / every ELSE total END / 1e3, 0) AS placed, 0 AS cells_over, 0 AS negative, CAST(0 AS BIGINT) AS unsettled, CASE WHEN over = 0 THEN 0 END AS changed FROM w JOIN f USING (country)", _GOALS))
+def g18_holds(spark, sf):
+    """What a redistribution must keep: each crop's total as far as there is room, no cell above its capacity, and
+    countries that had no full cell as they were."""
+    before = _full_cells(spark, sf)
+    after = capacity.redistribute(before)
+    used = F.sum("area").over(Window.partitionBy("country", "cell"))
+    own = after.withColumn("over", (used > F.col("cap") * (1 + 1e-9) + 1e-9).cast("int"))
+    full = before.groupBy("country", "cell").agg((F.sum("area") > F.max("cap")).cast("int").alias("over")).groupBy("country").agg(F.max("over").alias("had"))
+    both = own.join(before.select("country", "cell", "crop", F.col("area").alias("old")), ["country", "cell", "crop"], "left").join(full, "country")
+    moved = F.abs(F.col("area") - F.coalesce("old", F.lit(0.0))) > 1e-6 * F.col("cap") + 1e-9
+    # totals in thousands: a crop is done when it is within 1e-4 of its target
+    out = both.groupBy("country", "crop").agg(F.sum("area").alias("sum"), F.sum("over").cast("int").alias("cells_over"), F.count_if(F.col("area") < 0).cast("int").alias("negative"), F.count_if(~F.col("settled")).alias("unsettled"), F.max(F.when(F.col("had") == 0, moved.cast("int"))).alias("changed"))
+    goal = before.groupBy("country", "crop").agg(F.sum("area").alias("total"))
+    room = before.groupBy("country", "cell").agg(F.max("cap").alias("cap")).groupBy("country").agg(F.sum("cap").alias("room"))
+    goal = goal.join(room, "country").withColumn("every", F.sum("total").over(Window.partitionBy("country")))
+    goal = goal.withColumn("target", F.when(F.col("every") > F.col("room"), F.col("total") * F.col("room") / F.col("every")).otherwise(F.col("total")))
+    near = F.when(F.abs(F.col("sum") - F.col("target")) <= 2e-4 * F.col("target") + 1e-6, F.col("target")).otherwise(F.col("sum"))
+    return out.join(goal, ["country", "crop"]).select("country", "crop", F.round(near / 1e3, 0).alias("placed"), "cells_over", "negative", "unsettled", "changed")
 
 
 _BANDS = "g AS (SELECT cell, CASE WHEN crop < 2 THEN 'cereals' ELSE 'other' END AS band, sum(area) AS area, any_value(cropland) AS cropland FROM d WHERE cropland > 0 GROUP BY 1, 2), h AS (SELECT *, sum(area) OVER (PARTITION BY cell) AS used FROM g), b AS (SELECT cell, band, area * least(1, cropland / nullif(used, 0)) AS area FROM h)"
@@ -258,11 +285,17 @@ def g19(spark, sf):
     return capacity.build_bands(alloc, mapping, view(spark, sf, "v_parts").select("cell", "cropland")).select("cell", "band", F.round("area", 3).alias("area"))
 
 
-@query("a27_redistribution_report")
-def a27(spark, sf):
-    from gridprep.session import reliable_cut
+_MOVES = _CELLS + """, y AS (SELECT d.*, CAST(year AS INT) AS year, area * (year - 1999) AS before, CASE WHEN cell % 3 = crop THEN 0 ELSE total * (year - 1999) * cropland / nullif(bl, 0) END AS after FROM d CROSS JOIN (VALUES (2000), (2001)) v(year))"""
 
+
+@query("a27_redistribution_report", oracle("v_parts", "SELECT country, year, crop, round(sum(before), 2) AS total, round(sum(after), 2) AS placed, round(sum(greatest(coalesce(after, 0) - coalesce(before, 0), 0)), 2) AS moved, round(sum(CASE WHEN coalesce(before, 0) = 0 AND after > 0 THEN after ELSE 0 END), 2) AS outside, count_if(coalesce(before, 0) = 0 AND after > 0) AS cells_outside, max(CAST(country % 7 AS INT)) AS rounds FROM y GROUP BY 1, 2, 3", _MOVES))
+def a27(spark, sf):
+    """Per year: areas spread by pattern against the same totals spread by crop land, as if it had taken some rounds."""
     k, totals = crop_cells(spark, sf)
-    alloc = capacity.disaggregate(totals.withColumn("total", F.col("total") * 0.8), k).select("country", "cell", "crop", "area", F.col("cropland").alias("cap"))
-    after = capacity.redistribute(alloc, cut=reliable_cut)
-    return capacity.redistribution_report(alloc, after).select("country", "crop", *(F.round(c, 2).alias(c) for c in ("total", "placed", "moved", "outside")))
+    spread = capacity.disaggregate(totals, k).withColumn("bl", F.sum("cropland").over(Window.partitionBy("country", "crop")))
+    spread = spread.withColumn("year", F.explode(F.array(F.lit(2000), F.lit(2001)))).withColumn("f", F.col("year") - 1999)
+    before = spread.select("country", "year", "cell", "crop", (F.col("area") * F.col("f")).alias("area"))
+    by_land = F.when(F.col("cell") % 3 == F.col("crop"), 0.0).otherwise(F.col("total") * F.col("f") * F.col("cropland") / F.when(F.col("bl") != 0, F.col("bl")))
+    after = spread.select("country", "year", "cell", "crop", by_land.alias("area"), (F.col("country") % 7).cast("int").alias("rounds"))
+    out = capacity.redistribution_report(before, after, ["country", "year"])
+    return out.select("country", "year", "crop", *(F.round(c, 2).alias(c) for c in ("total", "placed", "moved", "outside")), "cells_outside", "rounds")

@@ -22,17 +22,25 @@ def j04(spark, sf):
     return names.country_cells(mapping, view(spark, sf, "v_admin").select("cell", F.col("level0").alias("code")))
 
 
-@query("j05_match_prioritised", oracle("", "SELECT p.p_partkey AS id, coalesce(a.v, b.v) AS v, CASE WHEN a.v IS NOT NULL THEN 'code' WHEN b.v IS NOT NULL THEN 'name' END AS matched_by FROM part p LEFT JOIN (SELECT p_partkey % 300 AS code, min(p_partkey) AS v FROM part WHERE p_partkey % 300 < 100 GROUP BY 1) a ON a.code = p.p_size * 10 LEFT JOIN (SELECT p_brand AS name, min(p_partkey) AS v FROM part WHERE p_size > 20 AND p_partkey % 300 < 100 GROUP BY 1) b ON b.name = p.p_brand"))
+@query("j05_match_prioritised", oracle("", "SELECT p.p_partkey AS id, coalesce(a.v, b.v) AS v, CASE WHEN a.v IS NOT NULL THEN 'code' WHEN b.v IS NOT NULL THEN 'name' END AS matched_by FROM part p LEFT JOIN (SELECT CAST(floor(p_retailprice) AS BIGINT) % 900 AS code, min(p_partkey) AS v FROM part GROUP BY 1) a ON a.code = p.p_size * 10 LEFT JOIN (SELECT p_brand AS name, min(p_partkey) AS v FROM part WHERE p_size > 48 GROUP BY 1) b ON b.name = p.p_brand"))
 def j05(spark, sf):
     p = table(spark, sf, "part")
-    r = p.filter("p_partkey % 300 < 100").select((F.col("p_partkey") % 300).alias("code"), F.when(F.col("p_size") > 20, F.col("p_brand")).alias("name"), F.col("p_partkey").alias("v"))
+    r = p.select((F.floor("p_retailprice").cast("long") % 900).alias("code"), F.when(F.col("p_size") > 48, F.col("p_brand")).alias("name"), F.col("p_partkey").alias("v"))
     left = p.select(F.col("p_partkey").alias("id"), (F.col("p_size") * 10).cast("long").alias("code"), F.col("p_brand").alias("name"))
     return names.match_prioritised(left, r, ["code", "name"], "v").select("id", "v", "matched_by")
 
 
-@query("j06_fuzzy_match")
+_NAMES = """n AS (SELECT min(p_partkey) AS id, p_name AS a FROM part GROUP BY 2), r AS (SELECT DISTINCT CASE WHEN id % 3 = 0 THEN a ELSE concat(substr(a, 1, 3), substr(a, 5)) END AS m FROM n),
+  e1 AS (SELECT m AS match, min(id) AS id FROM n JOIN r ON a = m GROUP BY 1), n1 AS (SELECT * FROM n WHERE id NOT IN (SELECT id FROM e1)), r1 AS (SELECT * FROM r WHERE m NOT IN (SELECT match FROM e1)),
+  e2 AS (SELECT m AS match, min(id) AS id FROM n1 JOIN r1 ON upper(a) = m GROUP BY 1),
+  near AS (SELECT id, m AS match, levenshtein(a, m) AS d FROM n1, r1 WHERE id NOT IN (SELECT id FROM e2) AND m NOT IN (SELECT match FROM e2) AND levenshtein(a, m) * 2 < length(a)),
+  g AS (SELECT 0 AS turn, id, match, d, false AS hit FROM near UNION ALL SELECT turn + 1, id, match, d, row_number() OVER (PARTITION BY id ORDER BY d, id, match) = 1 AND row_number() OVER (PARTITION BY match ORDER BY d, id, match) = 1
+    FROM (SELECT *, bool_or(hit) OVER (PARTITION BY id) AS mine, bool_or(hit) OVER (PARTITION BY match) AS theirs FROM g) WHERE NOT mine AND NOT theirs)"""
+
+
+@query("j06_fuzzy_match", oracle("", "WITH RECURSIVE " + _NAMES + " SELECT id, match, 'distance' AS how FROM g WHERE hit UNION ALL SELECT id, match, 'name_a' FROM e1 UNION ALL SELECT id, match, 'name_b' FROM e2"))
 def j06(spark, sf):
-    n = table(spark, sf, "part").select(F.col("p_name").alias("name_a")).distinct().withColumn("id", F.xxhash64("name_a"))
+    n = table(spark, sf, "part").groupBy(F.col("p_name").alias("name_a")).agg(F.min("p_partkey").alias("id"))
     right = n.select(F.when(F.col("id") % 3 == 0, F.col("name_a")).otherwise(F.concat(F.substring("name_a", 1, 3), F.substring("name_a", 5, 100))).alias("name"))
     left = n.withColumn("name_b", F.upper("name_a"))
     return names.fuzzy_match(left, right, cut=reliable_cut)
@@ -52,7 +60,14 @@ def j13(spark, sf):
     return names.add_from_template(n, add)
 
 
-@query("j18_overlaps")
+_OVERLAPS = """m AS (SELECT grp AS name, country AS code FROM v_groups UNION SELECT concat('c', CAST(country AS VARCHAR)), country FROM v_groups), a AS (SELECT year, name FROM (SELECT DISTINCT name FROM m WHERE name <> 'World') CROSS JOIN (SELECT DISTINCT year FROM v_series)),
+  dt AS (SELECT year, name FROM a WHERE name <> 'c3' OR year > 1998), sz AS (SELECT name, count(*) AS size FROM m GROUP BY 1), am AS (SELECT * FROM a JOIN m USING (name) JOIN sz USING (name)),
+  met AS (SELECT x.year, x.name, x.size, x.code, p.name AS part FROM am x JOIN am p ON p.year = x.year AND p.code = x.code AND p.name <> x.name AND (p.size < x.size OR p.size = x.size AND p.name < x.name)),
+  v AS (SELECT met.year, met.name, count(DISTINCT code) = any_value(size) AND bool_and(dt.name IS NOT NULL) AS whole FROM met LEFT JOIN dt ON dt.year = met.year AND dt.name = met.part GROUP BY 1, 2),
+  gone AS (SELECT year, name FROM v WHERE whole UNION SELECT met.year, part FROM met JOIN v ON v.year = met.year AND v.name = met.name WHERE NOT whole)"""
+
+
+@query("j18_overlaps", oracle("v_groups v_series", "SELECT year, name FROM a EXCEPT SELECT year, name FROM gone", _OVERLAPS))
 def j18(spark, sf):
     g = view(spark, sf, "v_groups")
     single = g.select("country", F.concat(F.lit("c"), F.col("country").cast("string")).alias("grp")).distinct()
@@ -263,7 +278,7 @@ def g16_borrow(spark, sf):
 # soil and overlay
 
 
-_SOIL = """ov AS (SELECT floor(cell / 4) AS cell, cell % 20 AS mu, sum(area) AS area FROM v_admin GROUP BY 1, 2),
+_SOIL = """ov AS (SELECT floor(cell / 4) AS cell, cell % (SELECT max(mu) + 1 FROM v_soil) AS mu, sum(area) AS area FROM v_admin GROUP BY 1, 2),
   pc AS (SELECT o.cell, o.mu, CASE sym WHEN 'RK' THEN 100 WHEN 'GG' THEN 101 WHEN 'DS' THEN 1 ELSE texture END AS class, o.area * share AS w, ph FROM ov o JOIN v_soil s ON s.mu = o.mu),
   fi AS (SELECT cell, class, mu, sum(w) AS w, sum(w * ph) AS wp, sum(CASE WHEN ph IS NOT NULL THEN w END) AS wk FROM pc WHERE class IS NOT NULL AND w > 0 GROUP BY 1, 2, 3),
   fw AS (SELECT *, sum(w) OVER c AS cw, sum(wp) OVER c AS cp, sum(wk) OVER c AS ck, sum(wp) OVER u AS up, sum(wk) OVER u AS uk FROM fi WINDOW c AS (PARTITION BY cell, class), u AS (PARTITION BY cell, mu)),
@@ -272,9 +287,10 @@ _SOIL = """ov AS (SELECT floor(cell / 4) AS cell, cell % 20 AS mu, sum(area) AS
 
 @query("a13_soil_assign", oracle("v_admin v_soil", "SELECT CAST(cell AS BIGINT) AS cell, class, CAST(mu AS INT) AS mu, round(coalesce(wp / nullif(wk, 0), cp / nullif(ck, 0), up / nullif(uk, 0), CASE WHEN class >= 100 THEN 7 END), 6) AS ph, CAST(CASE WHEN wp / nullif(wk, 0) IS NOT NULL THEN 1 WHEN cp / nullif(ck, 0) IS NOT NULL THEN 2 WHEN up / nullif(uk, 0) IS NOT NULL THEN 3 WHEN class >= 100 THEN 4 END AS INT) AS ph_source FROM fb WHERE r = 1", _SOIL))
 def a13(spark, sf):
-    a = view(spark, sf, "v_admin")
-    ov = a.groupBy(F.floor(F.col("cell") / 4).alias("cell"), (F.col("cell") % 20).cast("int").alias("mu")).agg(F.sum("area").alias("area"))
-    return soil.soil_assign(ov, view(spark, sf, "v_soil")).select("cell", "class", "mu", F.round("ph", 6).alias("ph"), "ph_source")
+    s = view(spark, sf, "v_soil")
+    a = view(spark, sf, "v_admin").crossJoin(s.agg((F.max("mu") + 1).alias("units")))
+    ov = a.groupBy(F.floor(F.col("cell") / 4).alias("cell"), (F.col("cell") % F.col("units")).cast("int").alias("mu")).agg(F.sum("area").alias("area"))
+    return soil.soil_assign(ov, s).select("cell", "class", "mu", F.round("ph", 6).alias("ph"), "ph_source")
 
 
 _WINDOW = "mv AS (SELECT m.cell, s.cell AS source, greatest(abs(m.gcol - s.gcol), abs(m.grow - s.grow)) AS reach FROM v_raster m JOIN v_raster s ON m.value IS NULL AND s.value IS NOT NULL AND abs(m.gcol - s.gcol) <= 8 AND abs(m.grow - s.grow) <= 8), mw AS (SELECT *, min(reach) OVER (PARTITION BY cell) AS win FROM mv)"
@@ -283,7 +299,7 @@ _WINDOW = "mv AS (SELECT m.cell, s.cell AS source, greatest(abs(m.gcol - s.gcol)
 @query("g01_window_fill", oracle("v_raster", "SELECT cell, source, CAST(win AS INT) AS win FROM mw WHERE reach <= win", _WINDOW))
 def g01(spark, sf):
     r = view(spark, sf, "v_raster")
-    out = soil.window_fill(r.filter("value is not null"), r.filter("value is null"), GridSpec(167.5, 75.0, 0.5, 0.5, 50, 300), max_cells=8)
+    out = soil.window_fill(r.filter("value is not null"), r.filter("value is null"), GridSpec(167.5, 75.0, 0.5, 0.5, 50, 300))
     return out.select("cell", "source", F.col("window").cast("int").alias("win"))
 
 
@@ -390,7 +406,20 @@ def g06(spark, sf):
     return nutrients.group_fallback(values, members)
 
 
-@query("g07_trend_fill")
+_STEP = "{t}{k} AS (SELECT level{k}, year, CASE WHEN n >= 3 OR n >= size * 0.25e0 AND n > 0 THEN med END AS m FROM (SELECT level{k}, year, count(*) AS size, CASE WHEN count_if(border <= 1) > 0 THEN median(CASE WHEN border <= 1 THEN {v} END) ELSE median({v}) END AS med, CASE WHEN count_if(border <= 1) > 0 THEN count(CASE WHEN border <= 1 THEN {v} END) ELSE count({v}) END AS n FROM {src} GROUP BY 1, 2))"
+_FILLED = "{out} AS (SELECT {src}.*, coalesce({v}, {t}2.m, {t}1.m, {t}0.m) AS filled, CASE WHEN {v} IS NOT NULL THEN 1 WHEN {t}2.m IS NOT NULL THEN 2 WHEN {t}1.m IS NOT NULL THEN 3 WHEN {t}0.m IS NOT NULL THEN 4 END AS level FROM {src} LEFT JOIN {t}2 USING (level2, year) LEFT JOIN {t}1 USING (level1, year) LEFT JOIN {t}0 USING (level0, year))"
+
+
+def _filling(t: str, v: str, src: str, out: str) -> str:
+    """A pass of the hierarchical filling per year, as CTEs."""
+    return ", ".join([_STEP.format(t=t, k=k, v=v, src=src) for k in (2, 1, 0)] + [_FILLED.format(t=t, v=v, src=src, out=out)])
+
+
+_TREND = ("ry AS (SELECT cell, level0, level1, level2, CAST(y AS INT) AS year, CASE WHEN cell % 3 = 0 OR level0 = 5 OR level1 % 7 = 0 OR y = 2003 AND level0 % 4 = 0 THEN NULL ELSE area * (y - 1999) END AS rate, CAST(cell % 4 = 1 AS INT) + 1 AS border FROM v_admin CROSS JOIN range(2000, 2004) r(y)), "
+          + _filling("p", "rate", "ry", "f1") + ", ab AS (SELECT *, max(CASE WHEN year = 2001 THEN filled END) OVER (PARTITION BY cell) AS base FROM f1), rt AS (SELECT cell, level0, level1, level2, year, border, level AS first_level, filled / nullif(base, 0) AS ratio FROM ab), " + _filling("s", "ratio", "rt", "f2"))
+
+
+@query("g07_trend_fill", oracle("v_admin", "SELECT level0 AS country, year, round(coalesce(median(filled), 0), 6) AS ratio, CAST(CASE WHEN median(filled) IS NULL THEN -1 ELSE max(greatest(coalesce(first_level, 0), coalesce(level, 0))) END AS INT) AS fill_level FROM f2 GROUP BY 1, 2", _TREND))
 def g07(spark, sf):
     cells = _rates(spark, sf).withColumn("year", F.explode(F.sequence(F.lit(2000), F.lit(2003))))
     cells = cells.withColumn("rate", F.when((F.col("year") == 2003) & (F.col("level0") % 4 == 0), None).otherwise(F.col("rate") * (F.col("year") - 1999)))

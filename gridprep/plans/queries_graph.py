@@ -25,14 +25,26 @@ def r01(spark, sf):
     return _river(spark, sf)
 
 
+_BAD = "b AS (SELECT cell, CASE WHEN cell % 41 = 7 THEN cell WHEN cell % 53 = 5 THEN cell + 10000000 WHEN cell % 61 = 50 THEN cell + 1 ELSE next_cell END AS next_cell FROM v_river)"
+# as many steps as there are cells: who still goes on, never ends
+_LOST = ", s AS (SELECT cell, next_cell AS loc, CAST(1 AS BIGINT) AS steps, cell <> next_cell AS ok FROM b UNION ALL SELECT s.cell, b.next_cell, s.steps + 1, b.cell <> b.next_cell FROM s JOIN b ON b.cell = s.loc WHERE s.ok AND s.loc >= 0 AND b.next_cell >= 0 AND s.steps <= 600)"
+
+
+@query("r01_check_river", oracle("v_river", "SELECT DISTINCT cell, 'outside' AS problem FROM b WHERE next_cell >= 0 AND next_cell NOT IN (SELECT cell FROM v_river) UNION SELECT cell, 'itself' FROM b WHERE next_cell = cell UNION SELECT cell, 'cycle' FROM s WHERE steps > 600", _BAD + _LOST))
+def r01_check(spark, sf):
+    r = view(spark, sf, "v_river")
+    bad = F.when(F.col("cell") % 41 == 7, F.col("cell")).when(F.col("cell") % 53 == 5, F.col("cell") + 10_000_000).when(F.col("cell") % 61 == 50, F.col("cell") + 1).otherwise(F.col("next_cell"))
+    return graph.check_river(r.select("cell", bad.alias("next_cell")))
+
+
 @query("r02_outlets", oracle("v_river", "SELECT cell, loc AS outlet, steps AS depth FROM (SELECT *, row_number() OVER (PARTITION BY cell ORDER BY steps DESC) AS r FROM w) WHERE r = 1", _WALK))
 def r02(spark, sf):
     return graph.outlets(_river(spark, sf))
 
 
-@query("r03_closure", oracle("v_river", "SELECT cell, loc AS down_cell, steps FROM w WHERE steps > 0 AND cell % 7 = 0", _WALK))
+@query("r03_closure", oracle("v_river", "SELECT cell, loc AS down_cell, steps FROM w WHERE steps > 0", _WALK))
 def r03(spark, sf):
-    return graph.closure(_river(spark, sf), view(spark, sf, "v_river").filter("cell % 7 = 0"))
+    return graph.closure(_river(spark, sf))
 
 
 @query("r04_accumulate", oracle("v_river", "SELECT loc AS cell, round(sum(area), 2) AS area FROM w GROUP BY 1", _WALK))
@@ -60,7 +72,7 @@ def _pairs(spark, sf):
 @query("j09_exclude_related", oracle("v_grid v_river", "SELECT cell, other FROM f", _FREE))
 def j09(spark, sf):
     _, pairs = _pairs(spark, sf)
-    return graph.exclude_related(pairs.select("cell", "other"), graph.closure(_river(spark, sf)))
+    return graph.unrelated(pairs.select("cell", "other"), _river(spark, sf))
 
 
 @query("r05_best_neighbour", oracle("v_grid v_river", "SELECT g.cell, coalesce(best, g.cell) AS best FROM v_grid g LEFT JOIN (SELECT f.cell, f.other AS best, row_number() OVER (PARTITION BY f.cell ORDER BY up / power(distance, 2) DESC, distance, f.other) AS r FROM f JOIN u ON u.loc = f.other) b ON b.cell = g.cell AND r = 1", _FREE + ", u AS (SELECT loc, sum(area) AS up FROM w GROUP BY 1)"))

@@ -28,16 +28,16 @@ FROM (SELECT s_nationkey AS country, CAST(year(l_shipdate) AS INT) AS year, CAST
   FROM {lineitem} JOIN {supplier} ON l_suppkey = s_suppkey GROUP BY 1, 2) t""",
     "v_groups": """SELECT n_nationkey AS country, concat('R', CAST(n_regionkey AS VARCHAR(9))) AS grp FROM {nation}
 UNION ALL SELECT n_nationkey, 'World' FROM {nation} UNION ALL SELECT n_nationkey, 'Even' FROM {nation} WHERE n_nationkey % 2 = 0""",
-    "v_soil": """SELECT p_partkey AS soil_id, CAST(p_partkey % 20 AS INT) AS mu, CASE WHEN p_partkey % 17 = 0 THEN NULL ELSE CAST(p_partkey % 12 AS INT) + 1 END AS texture,
+    "v_soil": """SELECT p_partkey AS soil_id, CAST(floor(p_partkey / 10.0) AS INT) AS mu, CASE WHEN p_partkey % 17 = 0 THEN NULL ELSE CAST(p_partkey % 12 AS INT) + 1 END AS texture,
   CASE WHEN p_partkey % 17 = 0 THEN 'RK' WHEN p_partkey % 23 = 0 THEN 'DS' ELSE 'XX' END AS sym,
-  p_size * 1e0 / sum(p_size) OVER (PARTITION BY p_partkey % 20) AS share,
-  CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE 4 + (p_partkey % 40) / 10e0 END AS ph FROM {part} WHERE p_partkey < 200""",
+  p_size * 1e0 / sum(p_size) OVER (PARTITION BY floor(p_partkey / 10.0)) AS share,
+  CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE 4 + (p_partkey % 40) / 10e0 END AS ph FROM {part}""",
     "v_points": """SELECT s_suppkey AS point_id, CASE WHEN s_suppkey % 50 < 25 THEN 167.8e0 + 0.5e0 * (s_suppkey % 50) ELSE -192.2e0 + 0.5e0 * (s_suppkey % 50) END AS lon,
   74.7e0 - 0.5e0 * (s_suppkey % 3) AS lat, abs(s_acctbal) * 5 AS catch_area, abs(s_acctbal) AS capacity,
   CASE WHEN s_suppkey % 6 = 0 THEN NULL ELSE CAST(1950 + s_suppkey % 60 AS INT) END AS year,
   CASE WHEN s_suppkey % 10 = 0 THEN 'Planned' WHEN s_suppkey % 10 = 1 THEN 'Modified' ELSE NULL END AS timeline FROM {supplier}""",
     "v_rects": """SELECT p_partkey AS poly_id, CAST(p_partkey % 25 AS INT) AS code, -12e0 + 0.6e0 * (p_partkey % 40) AS xmin, -12e0 + 0.6e0 * (p_partkey % 40) + 0.07e0 * p_size AS xmax,
-  -9e0 + 0.45e0 * (p_partkey % 37) AS ymin, -9e0 + 0.45e0 * (p_partkey % 37) + 0.05e0 * p_size AS ymax FROM {part} WHERE p_partkey < 500""",
+  -9e0 + 0.45e0 * (p_partkey % 37) AS ymin, -9e0 + 0.45e0 * (p_partkey % 37) + 0.05e0 * p_size AS ymax FROM {part}""",
     "v_parts": """SELECT c_custkey AS cell, c_nationkey AS country, abs(c_acctbal) AS cropland,
   abs(c_acctbal) * (c_custkey % 7 + (CASE WHEN c_custkey % 7 = 6 AND c_custkey % 4 = 0 THEN 1 ELSE 0 END)) / 6e0 AS rainfed,
   abs(c_acctbal) * (6 - c_custkey % 7 + (CASE WHEN c_custkey % 5 = 0 AND c_custkey % 7 > 0 THEN 1 WHEN c_custkey % 5 = 1 AND c_custkey % 7 < 6 THEN -1 ELSE 0 END)) / 6e0 AS irrigated,

@@ -22,15 +22,23 @@ def build_session(app: str = "gridprep", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def reliable_cut(df):
-    """The same rows, computed now and kept in the shared checkpoint folder, so that losing executors loses nothing.
-
-    The folder is spark.checkpoint.dir; only where that is unset (tests, one machine) a temporary one.
-    """
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all machines share, of spark.checkpoint.dir. Where it is unset, one of our own on a single machine
+    (tests); on a cluster that is an error, since executors can't see the driver's folders."""
     import tempfile
 
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        where = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(where or tempfile.mkdtemp(prefix="gridprep-checkpoint-"))
+    sc = spark.sparkContext
+    where = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not where:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+        where = tempfile.mkdtemp(prefix="gridprep-checkpoint-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(where)
+    return where
+
+
+def reliable_cut(df):
+    """The same rows, computed now and kept in the shared checkpoint folder, so that losing executors loses nothing."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -1,6 +1,7 @@
 """A Spark data source for native cell-band-year files.
 
-``spark.read.format("cellgrid").load(folder)`` gives year, cell, band, value; ``df.write.format("cellgrid")`` writes them.
+``spark.read.format("cellgrid").load(folder)`` gives year, cell, band, value; ``write_cellgrid`` writes them. Paths may be
+local or those of a shared store (s3, gs, abfss, hdfs) that pyarrow opens; ``read_whole_files`` takes any path of Spark's.
 A file is a header (a name starting with LPJ; version; order, firstyear, nyear, firstcell, ncell, nbands; from version 2
 cell size and scalar; from version 3 the cell size in latitude and the data type) and values year by year, cell by cell,
 band by band. Byte order shows in the version's low byte.
@@ -8,13 +9,14 @@ band by band. Byte order shows in the version's low byte.
 
 from __future__ import annotations
 
-import os
 import struct
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+import pyarrow.fs as pafs
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 #: Data type codes of version 3, and the values each version leaves out.
 TYPES = {0: "i1", 1: "i2", 2: "i4", 3: "f4", 4: "f8"}
@@ -24,6 +26,14 @@ SLICE = 4_000_000
 SCHEMA = "year int, cell bigint, band int, value double"
 
 
+def _store(path: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a path, and the path in it."""
+    scheme, _, rest = path.partition("://")
+    if not rest:
+        return pafs.LocalFileSystem(), path.removeprefix("file:")
+    return pafs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{rest}")
+
+
 def read_header(data: bytes) -> dict:
     """The header's fields, its length and byte order."""
     name_end = next((k for k in range(3, min(len(data), 40)) if not (65 <= data[k] <= 90 or 97 <= data[k] <= 122 or data[k] == 95)), 3)
@@ -61,116 +71,194 @@ class Slice(InputPartition):
         self.path, self.header, self.year = path, header, year
 
 
+def _values(data: bytes, h: dict, year: int, first: int, n: int) -> pa.RecordBatch:
+    """The rows of n cells of a year, from the ``first`` of the file on."""
+    kind = np.dtype(h["endian"] + TYPES[h["datatype"]])
+    values = np.frombuffer(data, kind).astype(np.float64) * (h["scalar"] if kind.kind == "i" or h["scalar"] != 1 else 1.0)
+    cell = np.repeat(np.arange(first, first + n, dtype=np.int64) + h["firstcell"], h["nbands"])
+    band = np.tile(np.arange(h["nbands"], dtype=np.int32), n)
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in (np.full(len(values), year, np.int32), cell, band, values)], ["year", "cell", "band", "value"])
+
+
+def _slices(h: dict, year: int) -> Iterator[tuple[int, int, int, int]]:
+    """(first cell, cells, place and number of bytes) of a year's slices."""
+    item = np.dtype(TYPES[h["datatype"]]).itemsize * h["nbands"]
+    step = max(1, SLICE // max(1, h["nbands"]))
+    for first in range(0, h["ncell"], step):
+        n = min(step, h["ncell"] - first)
+        yield first, n, h["length"] + ((year - h["firstyear"]) * h["ncell"] + first) * item, n * item
+
+
+def _checked(h: dict, path: str, size: int, datatype: str | None) -> dict:
+    if datatype is not None and h["version"] < 3:
+        h["datatype"] = int(datatype)
+    want = h["length"] + np.dtype(TYPES[h["datatype"]]).itemsize * h["nyear"] * h["ncell"] * h["nbands"]
+    if size != want:
+        raise ValueError(f"{path} has {size} bytes, not {want}")
+    return h
+
+
 class CellGridReader(DataSourceReader):
     def __init__(self, options: dict) -> None:
-        self.path = options["path"].removeprefix("file://")
+        self.path = options["path"]
         # a file without a type in its header may have one given
         self.datatype = options.get("datatype")
         self.first, self.last = (int(options[k]) if k in options else None for k in ("from_year", "to_year"))
 
     def partitions(self) -> list[InputPartition]:
-        files = [self.path] if os.path.isfile(self.path) else sorted(os.path.join(self.path, f) for f in os.listdir(self.path) if not f.startswith((".", "_")))
+        store, root = _store(self.path)
+        info = store.get_file_info(root)
+        files = [info] if info.type == pafs.FileType.File else sorted((f for f in store.get_file_info(pafs.FileSelector(root)) if f.type == pafs.FileType.File and not f.base_name.startswith((".", "_"))), key=lambda f: f.path)
         out: list[InputPartition] = []
-        for path in files:
-            with open(path, "rb") as f:
-                h = read_header(f.read(100))
-            if self.datatype is not None and h["version"] < 3:
-                h["datatype"] = int(self.datatype)
-            size = np.dtype(TYPES[h["datatype"]]).itemsize * h["nyear"] * h["ncell"] * h["nbands"]
-            if os.path.getsize(path) != h["length"] + size:
-                raise ValueError(f"{path} has {os.path.getsize(path)} bytes, not {h['length'] + size}")
+        for file in files:
+            with store.open_input_file(file.path) as f:
+                h = _checked(read_header(f.read(100)), file.path, file.size, self.datatype)
             years = range(h["firstyear"], h["firstyear"] + h["nyear"])
-            out += [Slice(path, h, y) for y in years if (self.first is None or y >= self.first) and (self.last is None or y <= self.last)]
+            out += [Slice(file.path, h, y) for y in years if (self.first is None or y >= self.first) and (self.last is None or y <= self.last)]
         return out
 
     def read(self, partition: Slice) -> Iterator[pa.RecordBatch]:
-        h = partition.header
-        kind = np.dtype(h["endian"] + TYPES[h["datatype"]])
-        per_year = h["ncell"] * h["nbands"]
-        step = max(1, SLICE // max(1, h["nbands"]))
-        for first in range(0, h["ncell"], step):
-            n = min(step, h["ncell"] - first)
-            at = h["length"] + ((partition.year - h["firstyear"]) * per_year + first * h["nbands"]) * kind.itemsize
-            values = np.fromfile(partition.path, kind, n * h["nbands"], offset=at).astype(np.float64) * (h["scalar"] if kind.kind == "i" or h["scalar"] != 1 else 1.0)
-            cell = np.repeat(np.arange(first, first + n, dtype=np.int64) + h["firstcell"], h["nbands"])
-            band = np.tile(np.arange(h["nbands"], dtype=np.int32), n)
-            columns = [np.full(len(values), partition.year, np.int32), cell, band, values]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["year", "cell", "band", "value"])
+        with _store(self.path)[0].open_input_file(partition.path) as f:
+            for first, n, at, size in _slices(partition.header, partition.year):
+                yield _values(f.read_at(size, at), partition.header, partition.year, first, n)
+
+
+def read_whole_files(spark, path: str, datatype: str | None = None):
+    """The same rows by Spark's own file reader, from any path that it can open; files of up to 2 GB."""
+    from pyspark.sql import functions as F
+
+    def parse(batches):
+        for batch in batches:
+            for name, data in zip(batch["path"].to_pylist(), batch["content"], strict=True):
+                view = memoryview(data.as_buffer())
+                h = _checked(read_header(bytes(view[:100])), name, len(view), datatype)
+                for year in range(h["firstyear"], h["firstyear"] + h["nyear"]):
+                    for first, n, at, size in _slices(h, year):
+                        yield _values(view[at : at + size], h, year, first, n)
+
+    return spark.read.format("binaryFile").load(path).select(F.col("path"), F.col("content")).mapInArrow(parse, SCHEMA)
 
 
 class Part(WriterCommitMessage):
-    def __init__(self, parts: list[tuple[int, int, str, int, int, int]]) -> None:
-        self.parts = parts
+    def __init__(self, rows: int, files: list[str]) -> None:
+        self.rows, self.files = rows, files
 
 
-class CellGridWriter(DataSourceWriter):
-    """Each task writes the year slices it holds to files of their own; the commit joins them in order of year and cell.
+class CellGridWriter(DataSourceArrowWriter):
+    """With the extent given (write_cellgrid does so) every task writes its values at their place in one file of known
+    size, and the commit only renames it. Without, or with ``files`` set, every run of cells of a year that a task holds is
+    a file of its own in a folder, with its own header: the way for stores without writing at a place.
 
     Rows must be sorted by year, cell and band within the tasks, and no year and cell split between tasks (see prepare).
     """
 
+    EXTENT = ("firstyear", "nyear", "firstcell", "ncell", "nbands")
+
     def __init__(self, options: dict, overwrite: bool) -> None:
-        self.path = options["path"].removeprefix("file://")
-        if os.path.exists(self.path) and not overwrite:
-            raise FileExistsError(self.path)
+        self.path, self.run = options["path"], uuid.uuid4().hex
+        self.one = all(k in options for k in self.EXTENT) and options.get("files") != "true"
+        store, root = _store(self.path)
+        if self.one and not isinstance(store, pafs.LocalFileSystem):
+            raise ValueError(f"{self.path}: a store without writing at a place; set the option files")
+        if store.get_file_info(root).type != pafs.FileType.NotFound:
+            if not overwrite:
+                raise FileExistsError(root)
         self.header = {"name": options.get("header_name", "LPJGRID"), "version": int(options.get("header_version", 3)), "order": int(options.get("order", 1)), "cellsize_lon": float(options.get("cellsize_lon", 0.5)), "scalar": float(options.get("scalar", 1)), "datatype": int(options.get("datatype", 3)), "endian": options.get("endian", "<")}
         self.header["cellsize_lat"] = float(options.get("cellsize_lat", self.header["cellsize_lon"]))
+        self.header |= {k: int(options[k]) for k in self.EXTENT if k in options}
         self.kind = np.dtype(self.header["endian"] + TYPES[self.header["datatype"] if self.header["version"] >= 3 else DEFAULTS["datatype"]])
-
-    def write(self, rows: Iterator) -> Part:
-        import uuid
-
-        parts: list = []
-        key, values, first, last, band_count = None, [], 0, 0, 0
-        folder = f"{self.path}._parts"
-        os.makedirs(folder, exist_ok=True)
-
-        def flush() -> None:
-            if values:
-                name = os.path.join(folder, uuid.uuid4().hex)
-                x = np.array(values, np.float64)
-                if self.kind.kind == "i":
-                    x = np.rint(x / self.header["scalar"])
-                elif self.header["scalar"] != 1:
-                    x = x / self.header["scalar"]
-                x.astype(self.kind).tofile(name)
-                parts.append((key, first, name, last, band_count, len(values)))
-
-        for r in rows:
-            if r["year"] != key or len(values) >= SLICE and r["cell"] != last:
-                flush()
-                key, values, first = r["year"], [], r["cell"]
-            values.append(r["value"])
-            last, band_count = r["cell"], max(band_count, r["band"] + 1)
-        flush()
-        return Part(parts)
+        self.root = root
+        if self.one:
+            head = make_header(self.header)
+            size = self.header["nyear"] * self.header["ncell"] * self.header["nbands"] * self.kind.itemsize
+            with open(f"{root}.{self.run}", "wb") as f:
+                f.write(head)
+                f.truncate(len(head) + size)
+
+    def _bytes(self, x: np.ndarray) -> bytes:
+        if self.kind.kind == "i":
+            x = np.rint(x / self.header["scalar"])
+        elif self.header["scalar"] != 1:
+            x = x / self.header["scalar"]
+        return x.astype(self.kind).tobytes()
+
+    def write(self, batches: Iterator[pa.RecordBatch]) -> Part:
+        if self.one:
+            return self._placed(batches)
+        rows, files, held = 0, [], []
+        for batch in batches:
+            columns = [batch[c].to_numpy(zero_copy_only=False) for c in ("year", "cell", "band", "value")]
+            rows += batch.num_rows
+            held.append(columns)
+            if sum(len(c[0]) for c in held) >= SLICE:
+                held = self._own_files(held, files, False)
+        self._own_files(held, files, True)
+        return Part(rows, files)
+
+    def _placed(self, batches: Iterator[pa.RecordBatch]) -> Part:
+        h, head, rows, last = self.header, len(make_header(self.header)), 0, -1
+        with open(f"{self.root}.{self.run}", "r+b") as f:
+            for batch in batches:
+                year, cell, band = (batch[c].to_numpy(zero_copy_only=False).astype(np.int64) for c in ("year", "cell", "band"))
+                if not len(year):
+                    continue
+                at = ((year - h["firstyear"]) * h["ncell"] + cell - h["firstcell"]) * h["nbands"] + band
+                step = np.diff(at, prepend=last)
+                if (step <= 0).any() or (band < 0).any() or (band >= h["nbands"]).any():
+                    raise ValueError("rows that repeat, or aren't in the order of year, cell and band")
+                raw, rows, last = self._bytes(batch["value"].to_numpy(zero_copy_only=False)), rows + len(at), int(at[-1])
+                runs = np.append(np.flatnonzero(np.concatenate(([True], step[1:] != 1))), len(at))
+                for a, b in zip(runs, runs[1:], strict=False):
+                    f.seek(head + int(at[a]) * self.kind.itemsize)
+                    f.write(raw[a * self.kind.itemsize : b * self.kind.itemsize])
+        return Part(rows, [])
+
+    def _own_files(self, held: list, files: list[str], every: bool) -> list:
+        """Writes the runs of whole cells and returns what may still go on."""
+        if not held:
+            return []
+        year, cell, band, value = (np.concatenate(c) for c in zip(*held, strict=True))
+        end = len(year) if every else int(np.flatnonzero((cell != cell[-1]) | (year != year[-1]))[-1]) + 1 if (cell != cell[-1]).any() or (year != year[-1]).any() else 0
+        new_cell = np.concatenate(([True], (cell[1:] != cell[:-1]) | (year[1:] != year[:-1])))[:end]
+        starts = np.flatnonzero(new_cell)
+        # a run ends where the year changes or a cell is left out
+        gap = np.concatenate(([True], (year[starts][1:] != year[starts][:-1]) | (cell[starts][1:] != cell[starts][:-1] + 1)))
+        runs = np.append(starts[gap], end)
+        store, root = _store(self.path)
+        store.create_dir(root)
+        for a, b in zip(runs, runs[1:], strict=False):
+            bands = int(band[a:b].max()) + 1
+            n = int(cell[b - 1] - cell[a]) + 1
+            if b - a != n * bands or (band[a:b] != np.tile(np.arange(bands), n)[: b - a]).any():
+                raise ValueError("the rows aren't every band of every cell")
+            name = f"{root}/{self.run}-{uuid.uuid4().hex}.bin"
+            with store.open_output_stream(name) as f:
+                f.write(make_header(self.header | {"firstyear": int(year[a]), "nyear": 1, "firstcell": int(cell[a]), "ncell": n, "nbands": bands}))
+                f.write(self._bytes(value[a:b]))
+            files.append(name)
+        return [[c[end:] for c in (year, cell, band, value)]] if end < len(year) else []
 
     def commit(self, messages: list) -> None:
-        parts = sorted(p for m in messages if m for p in m.parts)
-        years = sorted({p[0] for p in parts})
-        cells = (min(p[1] for p in parts), max(p[3] for p in parts)) if parts else (0, -1)
-        bands = max((p[4] for p in parts), default=0)
-        h = self.header | {"firstyear": years[0] if years else 0, "nyear": len(years), "firstcell": cells[0], "ncell": cells[1] - cells[0] + 1, "nbands": bands}
-        if sum(p[5] for p in parts) != h["nyear"] * h["ncell"] * bands or years and years != list(range(years[0], years[-1] + 1)):
-            raise ValueError("the rows aren't every band of every cell of every year")
-        with open(f"{self.path}._new", "wb") as out:
-            out.write(make_header(h))
-            for p in parts:
-                with open(p[2], "rb") as f:
-                    while block := f.read(1 << 24):
-                        out.write(block)
-        os.replace(f"{self.path}._new", self.path)
-        self._clean(parts)
+        store, root = _store(self.path)
+        if self.one:
+            rows = sum(m.rows for m in messages if m)
+            want = self.header["nyear"] * self.header["ncell"] * self.header["nbands"]
+            if rows != want:
+                self.abort(messages)
+                raise ValueError(f"{rows} rows, not {want}: not every band of every cell of every year")
+            store.move(f"{root}.{self.run}", root)
+            return
+        # files of an earlier run give way
+        keep = {f for m in messages if m for f in m.files}
+        for f in store.get_file_info(pafs.FileSelector(root, allow_not_found=True)):
+            if f.path not in keep and f.type == pafs.FileType.File:
+                store.delete_file(f.path)
 
     def abort(self, messages: list) -> None:
-        self._clean([p for m in messages if m for p in m.parts])
-
-    def _clean(self, parts: list) -> None:
-        for p in parts:
-            if os.path.exists(p[2]):
-                os.remove(p[2])
-        if os.path.isdir(f"{self.path}._parts") and not os.listdir(f"{self.path}._parts"):
-            os.rmdir(f"{self.path}._parts")
+        store, root = _store(self.path)
+        for f in [f"{root}.{self.run}"] if self.one else [f for m in messages if m for f in m.files]:
+            if store.get_file_info(f).type == pafs.FileType.File:
+                store.delete_file(f)
 
 
 class CellGridSource(DataSource):
@@ -195,5 +283,18 @@ def prepare(df, partitions: int | None = None):
     return dealt.sortWithinPartitions("year", "cell", "band")
 
 
+def write_cellgrid(df, path: str, mode: str = "append", partitions: int | None = None, **options: str) -> None:
+    """Writes every band of every cell of every year as one file; its extent is one aggregate over the rows."""
+    from pyspark.sql import functions as F
+
+    register(df.sparkSession)
+    own = prepare(df, partitions)
+    x = own.agg(F.min("year").alias("y0"), F.max("year").alias("y1"), F.min("cell").alias("c0"), F.max("cell").alias("c1"), F.max("band").alias("b")).first()
+    if x["y0"] is None:
+        raise ValueError("no rows to write")
+    extent = {"firstyear": x["y0"], "nyear": x["y1"] - x["y0"] + 1, "firstcell": x["c0"], "ncell": x["c1"] - x["c0"] + 1, "nbands": x["b"] + 1}
+    own.write.format("cellgrid").options(**(options | {k: str(v) for k, v in extent.items()})).mode(mode).save(path)
+
+
 def register(spark) -> None:
     spark.dataSource.register(CellGridSource)

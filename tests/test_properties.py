@@ -131,6 +131,119 @@ def test_cycle_is_an_error(spark):
         graph.outlets(graph.river_graph(spark.createDataFrame([(0, 1), (1, 2), (2, 0), (3, -1)], "cell long, next_cell long")))
 
 
+@pytest.mark.parametrize("edges", [[(0, 1), (1, 2), (2, 0), (3, -1)], [(0, 0), (1, 0), (2, -1)], [(0, 1), (1, 2), (2, 1), (3, 0)]])
+def test_cycles_end(spark, edges):
+    df = spark.createDataFrame(edges, "cell long, next_cell long")
+    river, area = graph.river_graph(df), df.select("cell", F.lit(1.0).alias("area"))
+    for job in (lambda: graph.outlets(river), lambda: graph.closure(river), lambda: graph.accumulate(river, area)):
+        with pytest.raises(ValueError, match="cycle"):
+            job()
+    problems = {(r.cell, r.problem) for r in graph.check_river(df).collect()}
+    lost = set()
+    for i, _ in edges:
+        seen, j = set(), i
+        while j >= 0 and j not in seen and dict(edges)[j] != j:
+            seen.add(j)
+            j = dict(edges)[j]
+        if j in seen:
+            lost.add((i, "cycle"))
+    assert problems == lost | {(i, "itself") for i, j in edges if i == j}
+
+
+def test_check_river(spark):
+    df = spark.createDataFrame([(0, 1), (1, -1), (2, 77), (3, 3), (4, 5), (5, 4), (6, 4), (0, 1)], "cell long, next_cell long")
+    want = {(0, "repeated"), (2, "outside"), (3, "itself"), (4, "cycle"), (5, "cycle"), (6, "cycle")}
+    assert {(r.cell, r.problem) for r in graph.check_river(df).collect()} == want
+
+
+def test_unrelated_against_closure(spark):
+    rng = random.Random(8)
+    river = graph.river_graph(spark.createDataFrame(random_forest(rng, 60), "cell long, next_cell long"))
+    pairs = spark.createDataFrame([(i, j, 1.0) for i in range(60) for j in range(60) if i != j and rng.random() < 0.5], "cell long, other long, distance double")
+    got = graph.unrelated(pairs, river)
+    assert got.columns == pairs.columns
+    assert set(map(tuple, got.collect())) == set(map(tuple, graph.exclude_related(pairs, graph.closure(river)).select(*pairs.columns).collect()))
+
+
+def clip(ring, axis, bound, above):
+    out, sign = [], 1 if above else -1
+    for p, q in zip(ring, ring[1:] + ring[:1]):
+        a, b = (p[axis] - bound) * sign, (q[axis] - bound) * sign
+        if a >= 0:
+            out.append(p)
+        if a * b < 0:
+            out.append((p[0] + (q[0] - p[0]) * a / (a - b), p[1] + (q[1] - p[1]) * a / (a - b)))
+    return out
+
+
+def ring_area(ring):
+    total = 0.0
+    for (x, y), (u, v) in zip(ring, ring[1:] + ring[:1]):
+        x, y, u, v = map(math.radians, (x, y, u, v))
+        total += (u - x) * (math.sin((y + v) / 2) if abs(v - y) < 1e-9 else (math.cos(y) - math.cos(v)) / (v - y))
+    return abs(total) * geo.EARTH_RADIUS**2
+
+
+def test_polygons_against_clipping(spark):
+    """Rings of all shapes and both directions, holes, and rings that leave the lattice on every side."""
+    rng = np.random.default_rng(1)
+    rows = []
+    for i in range(14):
+        n = rng.integers(3, 20)
+        turn, r, (cx, cy) = np.sort(rng.uniform(0, 2 * np.pi, n)), rng.uniform(1, 9, n), rng.uniform(-12, 12, 2)
+        ring = [(float(x), float(y)) for x, y in zip(cx + r * np.cos(turn), cy + r * np.sin(turn))]
+        rows.append((i, 0, 0, i, ring[::-1] if i % 2 else ring))
+    rows += [(50, 0, 0, 50, [(-3.0, -3.0), (3.0, -3.0), (3.0, 3.0), (-3.0, 3.0)]), (50, 0, 1, 50, [(-1.0, -1.0), (1.25, -1.0), (1.25, 1.5), (-1.0, 1.5)]), (51, 0, 0, 51, [(0.0, 0.0), (1.0, 1.0)])]
+    df = spark.createDataFrame(rows, "poly_id int, part int, ring int, code int, points array<struct<lon:double,lat:double>>")
+    got = {(r.code, r.gcol, r.grow): r.area for r in overlay.polygon_cell_area(df, GridSpec(-15.0, 12.0, 0.5, 0.5, 60, 48)).collect()}
+    want = {}
+    for _, _, hole, code, ring in rows:
+        for c in range(60):
+            strip = clip(clip(ring, 0, -15 + 0.5 * c, True), 0, -14.5 + 0.5 * c, False)
+            for r in range(48):
+                piece = clip(clip(strip, 1, 12 - 0.5 * r, False), 1, 11.5 - 0.5 * r, True)
+                if len(piece) >= 3:
+                    want[code, c, r] = want.get((code, c, r), 0.0) + ring_area(piece) * (-1 if hole else 1)
+    want = {k: v for k, v in want.items() if v > 1}
+    assert set(got) == set(want)
+    assert all(got[k] == pytest.approx(v, rel=1e-6, abs=1) for k, v in want.items())
+
+
+def test_fuzzy_match_by_brute_force(spark):
+    """Short random names: whatever is under half the name's length is found, closest first, each once."""
+    rng = random.Random(13)
+    new = lambda: "".join(rng.choice("abcx") for _ in range(rng.randrange(1, 8)))
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    for _ in range(3):
+        left = [(i, new(), new().upper()) for i in range(40)]
+        right = sorted({new() for _ in range(40)} | {"abc", "abcde"})
+        left += [(100, "axc", "-"), (101, "axcxe", "-")]
+        want, used_l, used_r = set(), set(), set()
+        for k, how in ((1, "name_a"), (2, "name_b")):
+            for r in right:
+                ids = [x[0] for x in left if x[k] == r and x[0] not in used_l]
+                if ids and r not in used_r:
+                    want.add((min(ids), r, how))
+            used_l |= {w[0] for w in want}
+            used_r |= {w[1] for w in want}
+        pairs = sorted((distance(a, r), i, r) for i, a, _ in left for r in right if i not in used_l and r not in used_r and 2 * distance(a, r) < len(a))
+        for _, i, r in pairs:
+            if i not in used_l and r not in used_r:
+                want.add((i, r, "distance"))
+                used_l.add(i)
+                used_r.add(r)
+        got = names.fuzzy_match(spark.createDataFrame(left, "id long, name_a string, name_b string"), spark.createDataFrame([(r,) for r in right], "name string"), cut=reliable_cut)
+        assert {(r.id, r.match, r.how) for r in got.collect()} == want
+
+
 def test_radius_join_wraps(spark):
     rng = random.Random(5)
     points = [(i, rng.choice([-179.9, 179.8, 0.0, 90.0]) + rng.random(), rng.choice([-89.5, 0.0, 60.0, 89.2]) + rng.random() * 0.7) for i in range(120)]
@@ -155,7 +268,7 @@ def test_triangles_add_up(spark):
         rows.append((k, 0, 0, k, [{"lon": x, "lat": y} for x, y in pts]))
     df = spark.createDataFrame(rows, "poly_id long, part int, ring int, code long, points array<struct<lon:double,lat:double>>")
     out = overlay.polygon_cell_area(df, GridSpec(-25.0, 20.0, 0.5, 0.5, 100, 80)).groupBy("code").agg(F.sum("area").alias("a")).collect()
-    own = {r[0]: overlay.ring_area(np.array([(p["lon"], p["lat"]) for p in r[4]])) for r in rows}
+    own = {r[0]: ring_area([(p["lon"], p["lat"]) for p in r[4]]) for r in rows}
     for r in out:
         assert r["a"] == pytest.approx(own[r["code"]], rel=1e-6)
 
@@ -170,13 +283,15 @@ def test_redistribute_keeps_totals_and_capacity(spark):
                 if rng.random() < 0.7:
                     rows.append((country, country * 100 + cell, crop, rng.random() * 9, cap))
     df = spark.createDataFrame(rows, "country int, cell long, crop int, area double, cap double")
-    out = capacity.redistribute(df, cut=reliable_cut).persist()
+    out = capacity.redistribute(df).persist()
     before = {(r[0], r[1]): r[2] for r in df.groupBy("country", "crop").agg(F.sum("area")).collect()}
     after = {(r[0], r[1]): r[2] for r in out.groupBy("country", "crop").agg(F.sum("area")).collect()}
     for k, v in before.items():
         assert after[k] == pytest.approx(v, rel=1e-3), k
     full = out.groupBy("cell").agg(F.sum("area").alias("a"), F.max("cap").alias("cap"))
     assert full.filter(F.col("a") > F.col("cap") * (1 + 1e-8)).count() == 0
+    assert out.filter("not settled").count() == 0 and out.agg(F.max("rounds")).first()[0] > 0
+    assert capacity.redistribute(df, max_rounds=0).filter("not settled").count() > 0  # said, not hidden
     report = capacity.redistribution_report(df, out)
     assert report.filter(F.abs(F.col("total") - F.col("placed")) > 1e-2).count() == 0
     out.unpersist()
@@ -241,6 +356,10 @@ def test_window_fill_wraps(spark):
     gap = spark.createDataFrame([(2, 0, 0), (3, 3, 0)], "cell long, gcol int, grow int")
     got = {r["cell"]: r["window"] for r in soil.window_fill(src, gap, spec, max_cells=8).collect()}
     assert got == {2: 1, 3: 4}
+    far = spark.createDataFrame([(4, 16, 1), (5, 17, 0)], "cell long, gcol int, grow int")
+    assert {r["cell"]: r["window"] for r in soil.window_fill(src, far, spec).collect()} == {4: 17, 5: 18}
+    limited = soil.window_fill(src, far, spec, max_cells=17).collect()
+    assert {(r["cell"], r["source"], r["window"]) for r in limited} == {(4, 1, 17), (5, None, None)}
 
 
 def test_empty_inputs(spark):

@@ -30,9 +30,9 @@ def test_cellgrid_headers(spark, tmp_path, version, order, datatype):
 def test_cellgrid_write(spark, tmp_path):
     cellgrid.register(spark)
     rows = [(2000 + y, c, b, (y * 100 + c * 10 + b) * 0.1) for y in range(2) for c in range(7) for b in range(3)]
-    df = cellgrid.prepare(spark.createDataFrame(rows[::-1], "year int, cell long, band int, value double"), 3)
+    df = spark.createDataFrame(rows[::-1], "year int, cell long, band int, value double")
     path = str(tmp_path / "out.bin")
-    write = lambda mode: df.write.format("cellgrid").option("datatype", "1").option("scalar", "0.1").mode(mode).save(path)
+    write = lambda mode: cellgrid.write_cellgrid(df, path, mode, 3, datatype="1", scalar="0.1")
     write("append")
     again = spark.read.format("cellgrid").load(path).orderBy("year", "cell", "band").collect()
     assert [(r.year, r.cell, r.band) for r in again] == [r[:3] for r in rows]
@@ -40,6 +40,18 @@ def test_cellgrid_write(spark, tmp_path):
     with pytest.raises(Exception, match="out.bin"):
         write("append")
     write("overwrite")
+    assert [f.name for f in tmp_path.iterdir()] == ["out.bin"]
+    whole = cellgrid.read_whole_files(spark, path)
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, again))
+    # every run of cells as a file of its own
+    folder = str(tmp_path / "parts")
+    for _ in range(2):
+        cellgrid.prepare(df, 3).write.format("cellgrid").option("datatype", "1").option("scalar", "0.1").mode("overwrite").save(folder)
+        assert sorted(map(tuple, spark.read.format("cellgrid").load(f"file://{folder}").collect())) == sorted(map(tuple, again))
+    with pytest.raises(Exception, match="not every band"):
+        cellgrid.write_cellgrid(df.filter("cell <> 3 or year <> 2001"), str(tmp_path / "gap.bin"))
+    with pytest.raises(Exception, match="repeat"):
+        cellgrid.write_cellgrid(df.union(df.limit(1)), str(tmp_path / "twice.bin"))
     truncated = (tmp_path / "out.bin").read_bytes()[:-1]
     (tmp_path / "bad.bin").write_bytes(truncated)
     with pytest.raises(Exception, match="bytes"):
