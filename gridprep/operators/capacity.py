@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from gridprep.session import reliable_cut
+from gridprep.session import stored
 
 Keys = Sequence[str]
 
@@ -85,30 +85,30 @@ def cut_to_capacity(df: DataFrame, by: Keys = ("country",)) -> DataFrame:
     return df.withColumn("__cut", cut).withColumn("overflow", F.col("area") - F.col("__cut")).withColumn("area", F.col("__cut")).drop("__cut")
 
 
-#: Rounds between two cuts of the lineage, and rows of a table (crops of groups) that may still be broadcast.
-CUT_EVERY, SMALL = 4, 1_000_000
+#: Crops of all groups up to which their table, a row for each group, is broadcast.
+SMALL = 1_000_000
 
 
 def redistribute(alloc: DataFrame, by: Keys = ("country",), max_rounds: int = 1000, tolerance: float = 1e-4, outside_after: int = 20) -> DataFrame:
     """Areas that fit each cell's capacity and keep each crop's total in a group, as far as the group has room.
 
     ``alloc``: keys, cell, crop, area, cap. Every round cuts cells to their capacity and grows, in logistic steps of the
-    filling, cells with room where a crop is short; after ``outside_after`` rounds a crop also enters cells it isn't in,
-    and what is then still missing is filled in linearly by free space. All groups run together, and one that is done
+    filling, cells with room where a crop is short. A crop whose own cells have less room left than it is short, or that
+    is still short after ``outside_after`` rounds, also enters cells it isn't in, linearly by free space. All groups run together, and one that is done
     doesn't change any more. Adds ``rounds``, the group's rounds of growth, and ``settled``: false if a crop of the group
     is still short after ``max_rounds``.
 
     A cell is one row with its crops in an array, so only the crops' sums are shuffled in a round, and only their number
-    reaches the driver. The lineage is cut every CUT_EVERY rounds; groups that are done leave the loop then.
+    reaches the driver. A round's lineage is cut once, with the cells; groups that are done leave the loop.
     """
     keys = list(by)
     total = alloc.groupBy(*keys, "crop").agg(F.sum("area").alias("total"))
     room = alloc.groupBy(*keys, "cell").agg(F.max("cap").alias("cap")).groupBy(*keys).agg(F.sum("cap").alias("room"))
     targets = total.join(room, keys).withColumn("__all", F.sum("total").over(Window.partitionBy(*keys)))
     target = F.when(F.col("__all") > F.col("room"), F.col("total") * F.col("room") / F.when(F.col("__all") > 0, F.col("__all"))).otherwise(F.col("total"))
-    targets = reliable_cut(targets.select(*keys, "crop", target.alias("target")))
+    targets = stored(targets.select(*keys, "crop", target.alias("target")))
     state = alloc.groupBy(*keys, "cell").agg(F.max("cap").cast("double").alias("cap"), F.sort_array(F.collect_list(F.struct("crop", F.col("area").cast("double").alias("area")))).alias("crops"))
-    state = reliable_cut(state.withColumn("rounds", F.lit(0)).withColumn("open", F.lit(True)))
+    state = stored(state.withColumn("rounds", F.lit(0)).withColumn("open", F.lit(True)))
     aside: list[DataFrame] = []
 
     def added(array, value):
@@ -127,34 +127,34 @@ def redistribute(alloc: DataFrame, by: Keys = ("country",), max_rounds: int = 10
         have = have.agg(F.sum("c.area").alias("have"), F.sum(F.when(F.col("c.area") > 0, F.col("free")).otherwise(0.0)).alias("near"), F.sum("free").alias("any"))
         gap = have.join(targets, [*keys, "crop"]).withColumn("short", F.greatest(F.col("target") - F.col("have"), F.lit(0.0)))
         gap = gap.withColumn("open", F.col("short") > F.greatest(F.col("target") * tolerance, F.lit(1e-9)))
+        # room in a crop's own cells only shrinks, so one with too little is never done there
+        gap = gap.withColumn("leaves", F.col("open") & ((F.col("near") < F.col("short")) | F.lit(n >= outside_after)))
+        by_group = gap.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("crop", F.struct("short", "near", "any", "leaves")))).alias("gaps"), F.bool_or("open").alias("open"))
         seen = Observation()
-        gap = reliable_cut(gap.select(*keys, "crop", "short", "near", "any", "open").observe(seen, F.count(F.lit(1)).alias("n"), F.count_if("open").alias("open")))
-        by_group = gap.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("crop", F.struct("short", "near", "any", "open")))).alias("gaps"), F.bool_or("open").alias("open"))
-        joined = now.drop("open").join(F.broadcast(by_group) if seen.get["n"] <= SMALL else by_group, keys)
+        by_group = stored(by_group.observe(seen, F.sum(F.size("gaps")).alias("n"), F.count_if("open").alias("open")))
+        joined = now.drop("open").join(F.broadcast(by_group) if (seen.get["n"] or 0) <= SMALL else by_group, keys)
         if not seen.get["open"] or n == max_rounds:
             state = joined.drop("gaps", "free")
             break
-        if n >= outside_after:
-            # crops still short enter every cell of their group
-            absent = F.filter(F.map_keys("gaps"), lambda k: F.col("gaps")[k]["open"] & ~F.exists("crops", lambda c: c["crop"] == k))
-            joined = joined.withColumn("crops", F.concat("crops", F.transform(absent, lambda k: F.struct(k.alias("crop"), F.lit(0.0).alias("area")))))
+        # crops that leave their cells enter every cell of their group
+        absent = F.filter(F.map_keys("gaps"), lambda k: F.col("gaps")[k]["leaves"] & ~F.exists("crops", lambda c: c["crop"] == k))
+        joined = joined.withColumn("crops", F.concat("crops", F.transform(absent, lambda k: F.struct(k.alias("crop"), F.lit(0.0).alias("area")))))
 
         def growth(c):
-            # growth slows as the cell fills; crops that are nowhere near room go by free space
+            # growth slows as the cell fills
             g, free = F.col("gaps")[c["crop"]], F.col("free")
             inside = F.when((c["area"] > 0) & (g["near"] > 0), free / F.when(g["near"] > 0, g["near"]))
-            anywhere = F.when((g["any"] > 0) & ((g["near"] <= 0) | F.lit(n > outside_after)), free / F.when(g["any"] > 0, g["any"]))  # noqa: B023
-            return g["short"] * F.coalesce(anywhere if n > outside_after else inside, anywhere, F.lit(0.0))  # noqa: B023
+            anywhere = F.when((g["any"] > 0) & g["leaves"], free / F.when(g["any"] > 0, g["any"]))
+            return g["short"] * F.coalesce(anywhere, inside, F.lit(0.0))
 
         joined = joined.withColumn("grown", F.transform("crops", growth))
         joined = joined.withColumn("wanted", added(F.col("grown"), lambda g: g))
         part = F.when(F.col("wanted") > F.col("free"), F.col("free") / F.when(F.col("wanted") > 0, F.col("wanted"))).otherwise(F.lit(1.0))
         more = F.zip_with("crops", "grown", lambda c, g: F.struct(c["crop"].alias("crop"), (c["area"] + g * part).alias("area")))
         state = joined.withColumn("crops", F.when(F.col("open"), more).otherwise(F.col("crops"))).withColumn("rounds", F.col("rounds") + F.col("open").cast("int")).select(*keys, "cell", "cap", "crops", "rounds", "open")
-        if n % CUT_EVERY == CUT_EVERY - 1:
-            state = reliable_cut(state)
-            aside.append(state.filter("not open"))
-            state = state.filter("open")
+        state = stored(state)
+        aside.append(state.filter("not open"))
+        state = state.filter("open")
     for done in aside:
         state = state.select(*keys, "cell", "cap", "crops", "rounds", "open").unionByName(done)
     out = state.select(*keys, "cell", "cap", "rounds", (~F.col("open")).alias("settled"), F.explode("crops").alias("c"))

@@ -42,3 +42,13 @@ def reliable_cut(df):
     """The same rows, computed now and kept in the shared checkpoint folder, so that losing executors loses nothing."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df):
+    """The same rows, written to the shared folder as Parquet and read again: like ``reliable_cut``, and the plan starts
+    afresh with a table of known size and without what Spark knew about its columns."""
+    import uuid
+
+    path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
