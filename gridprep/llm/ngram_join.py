@@ -138,6 +138,37 @@ def whole_runs(batches: Iterator[pd.DataFrame], keys: list[str], rows: int = 4_0
         yield pd.concat(held, ignore_index=True)
 
 
+#: Members from which a bucket is searched from member to member instead of by all its pairs at once.
+LARGE = 64
+
+
+def searched(sig: np.ndarray, part: np.ndarray, within: bool, loose: np.ndarray, least: tuple[int, ...], step: int) -> np.ndarray:
+    """For each member of a bucket the first one it hangs together with by pairs that pruning leaves.
+
+    Each member in turn meets only those that aren't reached yet, so a bucket of similar members takes few turns, and
+    never holds more than a row of pairs. Two blocks (not ``within``) meet each other only.
+    """
+    label = np.full(len(sig), -1)
+    unreached = np.arange(len(sig))
+    while len(unreached):
+        seed = unreached[0]
+        label[seed], unreached, todo = seed, unreached[1:], [seed]
+        while todo and len(unreached):
+            k = todo.pop()
+            others = unreached if within else unreached[part[unreached] != part[k]]
+            near = np.ones(len(others), bool)
+            if not loose[k]:
+                hard = np.flatnonzero(~loose[others])
+                near[hard] = False
+                near[hard[pruned(sig, np.full(len(hard), k), others[hard], least, step)]] = True
+            new = others[near]
+            if len(new):
+                label[new] = seed
+                todo += new.tolist()
+                unreached = unreached[label[unreached] < 0]
+    return label
+
+
 def bucket_forest(bins: int, step: int, least: tuple[int, ...], filled: int = 0, columns: list[str] | None = None):
     """Within each bucket (or pair of its blocks) the pairs that pruning leaves, as a forest: one row for each member at most.
 
@@ -155,8 +186,15 @@ def bucket_forest(bins: int, step: int, least: tuple[int, ...], filled: int = 0,
             sizes = np.diff(np.append(new, len(pdf)))
             a = 0
             while a < len(sizes):  # runs until about half a million pairs are together
+                if sizes[a] > LARGE:
+                    own = slice(new[a], new[a] + sizes[a])
+                    label = searched(sig[own], part[own], key[new[a], 1] == key[new[a], 2], short[own], least, step)
+                    joined = np.flatnonzero(label != np.arange(sizes[a]))
+                    yield pd.DataFrame({"a": node[own][joined], "b": node[own][label[joined]]})
+                    a += 1
+                    continue
                 b, pairs = a, 0
-                while b < len(sizes) and (b == a or pairs + sizes[b] * (sizes[b] - 1) // 2 < 500_000):
+                while b < len(sizes) and sizes[b] <= LARGE and pairs < 500_000:
                     pairs += sizes[b] * (sizes[b] - 1) // 2
                     b += 1
                 left, right = _pairs(sizes[a:b])

@@ -30,8 +30,8 @@ SENTENCE_COST, INSIDE_COST, WINDOW_COST = 1.0, 24.0, 4.0
 HORIZON = 262_144
 #: Marks that end a sentence; those of other scripts are often several ids.
 MARKS = (".", "!", "?", "...", "!!", "??", *"…。．｡！？؟۔։।॥።။។")
-#: Entries of a tokenizer's cache before it starts afresh.
-CACHE = 600_000
+#: Words that a tokenizer's cache takes up before the older half of it goes.
+CACHE = 300_000
 
 _ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -     　]")
 _PLAIN = re.compile("[\x21-\x7eÀ-ÖØ-öø-ÿ]+")
@@ -56,26 +56,38 @@ class WordTokenizer:
         names = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in set(shown))}
         self.alphabet = "".join(names[b] for b in range(256))
         self.parts: dict[str, bytes] = {}
+        # words met lately, and those met before them
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _tokens(self, part: str) -> bytes:
+        shown = part if part.isascii() else part.encode().decode("latin-1").translate(self.alphabet)
+        return np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
 
     def _part(self, part: str) -> bytes:
         found = self.parts.get(part)
         if found is None:
-            shown = part if part.isascii() else part.encode().decode("latin-1").translate(self.alphabet)
-            found = np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
             if len(self.parts) >= CACHE:
                 self.parts.clear()
-            self.parts[part] = found
+            found = self.parts[part] = self._tokens(part)
         return found
 
     def _word(self, word: str) -> bytes:
+        found = self.words.get(word) or self.older.get(word)
         # an angle and a bar may begin a special token
-        if _PLAIN.fullmatch(word) and "<|" not in word:
-            found = b"".join(map(self._part, _PARTS.findall(word.lower())))
+        if found is not None:
+            pass
+        elif _PLAIN.fullmatch(word) and "<|" not in word:
+            parts = _PARTS.findall(word.lower())
+            # a word of one part is kept as a word only
+            found = self._tokens(parts[0]) if len(parts) == 1 else b"".join(map(self._part, parts))
         else:
             found = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        return self._kept(word, found)
+
+    def _kept(self, word: str, found: bytes) -> bytes:
         if len(self.words) >= CACHE:
-            self.words.clear()
+            self.words, self.older = {}, self.words
         self.words[word] = found
         return found
 
