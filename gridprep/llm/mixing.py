@@ -24,8 +24,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_WORDS, SHARD_SLOTS, MAX_REPEATS = 64, 1_024, 3
 #: Groups in which the documents of a source are counted up; a hot source is spread over all of them.
 BUCKETS = 512
-#: Rounds of the permutations' network, and slots that one task makes, about.
-ROUNDS, TASK_SLOTS = 4, 1_000_000
+#: Rounds of the permutations, and slots that one task makes, about.
+ROUNDS, TASK_SLOTS = 16, 1_000_000
 
 
 @dataclass
@@ -38,23 +38,21 @@ class Mix:
     slots: DataFrame
 
 
-def _place(i: Column, n: Column, seed: list[Column]) -> Column:
-    """Where a pseudorandom permutation of 0 .. n - 1 takes i: a Feistel network over pairs (l, r) with l * b + r = i.
+def permuted(df: DataFrame, i: str, n: str, seed: list[Column], name: str) -> DataFrame:
+    """``df`` with ``name``, where a pseudorandom permutation of 0 .. n - 1 (n and the seed columns of the row) takes i.
 
-    In turn a hash of r is added to l mod a and one of l to r mod b. a * b is n or up to sqrt(n) more; a result from n on
-    goes through the network again until it is below n, which takes no more turns than there are such results.
+    Swap-or-not rounds: each pairs x with (k - x) mod n for a key k of its own, and one hash bit of the larger of the two
+    decides for both whether they change places. That is a permutation for every n, without walking through cycles as a
+    network over pairs needs, so all rows take the same few column functions.
     """
-    a = F.ceil(F.sqrt(n.cast("double"))).cast("long")
-    b = F.floor((n + a - 1) / a).cast("long")
-
-    def once(x: Column, turn: Column) -> Column:
-        left, right = F.floor(x / b).cast("long"), F.pmod(x, b)
-        added = lambda half: F.xxhash64(*seed, turn, half)
-        return F.when(turn % 2 == 0, F.pmod(left + F.pmod(added(right), a), a) * b + right).otherwise(left * b + F.pmod(right + F.pmod(added(left), b), b))
-
-    network = lambda x: F.aggregate(F.array(*(F.lit(k) for k in range(ROUNDS))), x, once)
-    first = network(F.pmod(i, n))
-    return F.when(first < n, first).otherwise(F.aggregate(F.sequence(F.lit(1).cast("long"), F.greatest(a * b - n, F.lit(1))), first, lambda x, _: F.when(x < n, x).otherwise(network(x))))
+    others = df.columns
+    df = df.select(*others, F.xxhash64(*seed).alias("__key"), F.pmod(F.col(i), F.col(n)).cast("long").alias("__x"))
+    x, size = F.col("__x"), F.col(n)
+    for turn in range(ROUNDS):
+        partner = F.pmod(F.pmod(F.xxhash64("__key", F.lit(turn)), size) - x, size)
+        bit = F.shiftrightunsigned(F.xxhash64("__key", F.lit(turn), F.greatest(x, partner)), 63)
+        df = df.select(*others, "__key", F.when(bit == 1, partner).otherwise(x).alias("__x"))
+    return df.select(*others, x.alias(name))
 
 
 def _uniform(*seed: Column) -> Column:
@@ -150,8 +148,10 @@ def plan_mix(docs: DataFrame, weights: list[float], seed: int = 0, block_words:
     slots = numbered.select("shard", "rank", (F.col("group_start") + F.col("shard_start")).alias("first"), turn.alias("slot"))
     slots = slots.withColumn("turn", F.col("first") + F.col("slot")).join(F.broadcast(sources.select("rank", "blocks")), "rank")
     slots = slots.filter(F.col("turn") < F.col("blocks") * MAX_REPEATS)
-    place = _place(F.col("turn"), F.col("blocks"), [F.lit(seed), F.col("rank"), F.floor(F.col("turn") / F.col("blocks"))])
-    return Mix(documents, sources, slots.select("shard", "slot", "rank", "turn", place.alias("block")))
+    slots = slots.withColumn("pass", F.floor(F.col("turn") / F.col("blocks")))
+    # cut off here: a filter on the block would be pushed down through all rounds, and grow threefold in each
+    slots = cut(permuted(slots, "turn", "blocks", [F.lit(seed), F.col("rank"), F.col("pass")], "block"))
+    return Mix(documents, sources, slots.select("shard", "slot", "rank", "turn", "block"))
 
 
 def _pieces(mix: Mix, block_words: int = BLOCK_WORDS) -> DataFrame:

@@ -299,7 +299,7 @@ def test_permutation_is_one(spark):
     for n in (1, 2, 3, 7, 10, 64, 1000, 1 << 20, 2147483629, 10**13 + 7):
         lo = max(0, n - 2000)
         frame = spark.range(lo, n).withColumn("n", F.lit(n).cast("long"))
-        got = [r.p for r in frame.select(mixing._place(F.col("id"), F.col("n"), [F.lit(3), F.lit("s")]).alias("p")).collect()]
+        got = [r.p for r in mixing.permuted(frame, "id", "n", [F.lit(3), F.lit("s")], "p").collect()]
         assert len(set(got)) == n - lo and min(got) >= 0 and max(got) < n
         if n >= 1000:  # neighbours don't stay neighbours, and the order is no arithmetic sequence
             steps = Counter((b - a) % n for a, b in zip(got, got[1:]))
