@@ -181,7 +181,7 @@ def build_bands(crops: DataFrame, mapping: DataFrame, land: DataFrame) -> DataFr
 
     ``crops``: cell, crop, area; ``mapping``: crop, band; ``land``: cell, cropland. Nothing where there is no crop land.
     """
-    bands = crops.join(F.broadcast(mapping), "crop").groupBy("cell", "band").agg(F.sum("area").alias("area")).join(land, "cell").filter("cropland > 0")
+    bands = crops.join(mapping, "crop").groupBy("cell", "band").agg(F.sum("area").alias("area")).join(land, "cell").filter("cropland > 0")
     used = F.sum("area").over(Window.partitionBy("cell"))
     bands = bands.withColumn("__used", F.coalesce(used, F.lit(0.0))).withColumn("area", F.coalesce(F.col("area") * F.least(F.lit(1.0), F.col("cropland") / F.when(F.col("__used") > 0, F.col("__used"))), F.lit(0.0)))
     sums = bands.groupBy("cell").agg(F.sum("area").alias("__sum"))

@@ -113,7 +113,7 @@ def cropping_suitability(df: DataFrame, thresholds: DataFrame, irrigated: bool =
     own = df.filter(F.col("variable") != "moisture") if irrigated else df
     zoned = t.filter("zone is not null")
     exact = own.join(zoned, ["variable", "zone"]).select("cell", "variable", "level", "value", "least")
-    rest = own.join(F.broadcast(zoned.select("variable", "zone").distinct()), ["variable", "zone"], "left_anti")
+    rest = own.join(zoned.select("variable", "zone").distinct(), ["variable", "zone"], "left_anti")
     rest = rest.join(t.filter("zone is null").drop("zone"), "variable").select("cell", "variable", "level", "value", "least")
     met = exact.unionByName(rest).groupBy("cell", "level").agg(F.min((F.col("value") >= F.col("least")).cast("int")).alias("met"), F.max(F.col("value").isNull()).alias("missing"))
     return met.groupBy("cell").agg(F.when(~F.max("missing"), F.sum("met")).cast("int").alias("suitability"))

@@ -213,7 +213,7 @@ def directions_to_graph(directions: DataFrame, codes: DataFrame, grid: DataFrame
 
     ``directions``: gcol, grow, code; ``codes``: code, dcol, drow, a small table; ``grid``: cell, gcol, grow, lon, lat.
     """
-    d = grid.join(directions.select("gcol", "grow", "code"), ["gcol", "grow"], "left").join(F.broadcast(codes), "code", "left")
+    d = grid.join(directions.select("gcol", "grow", "code"), ["gcol", "grow"], "left").join(codes, "code", "left")
     col = F.col("gcol") + F.col("dcol")
     d = d.select("cell", "lon", "lat", (F.pmod(col, F.lit(ncol)) if wraps else col).alias("gcol"), (F.col("grow") + F.col("drow")).alias("grow"))
     to = grid.select(F.col("cell").alias("next_cell"), "gcol", "grow", F.col("lon").alias("nlon"), F.col("lat").alias("nlat"))

@@ -160,5 +160,5 @@ def index_codes(codes: DataFrame, split: DataFrame) -> DataFrame:
     """
     with_regions = split.select("code").distinct().withColumn("__split", F.lit(1))
     bucket = F.when(F.col("code") == "No land", 2).when(F.col("__split") == 1, 3).when(F.col("code").startswith("X"), 1).otherwise(0)
-    ranked = codes.select("code").distinct().join(F.broadcast(with_regions), "code", "left").withColumn("bucket", bucket)
+    ranked = codes.select("code").distinct().join(with_regions, "code", "left").withColumn("bucket", bucket)
     return ranked.select("code", (F.row_number().over(Window.orderBy("bucket", "code")) - 1).alias("idx"))

@@ -71,7 +71,7 @@ def remap_codes(df: DataFrame, rules: DataFrame, known: DataFrame, code: str = "
     """The code's replacement; else the code itself if known; else the first known code of ``enclosing`` (an array)."""
     k = known.select(F.col("code").alias("__k")).distinct()
     out = df.withColumn("__row", F.monotonically_increasing_id()) if enclosing else df
-    out = out.join(F.broadcast(rules.select(F.col("code").alias(code), "replacement")), code, "left").join(k, F.col(code) == F.col("__k"), "left")
+    out = out.join(rules.select(F.col("code").alias(code), "replacement"), code, "left").join(k, F.col(code) == F.col("__k"), "left")
     new = F.coalesce("replacement", "__k")
     if enclosing:
         listed = out.select("__row", F.posexplode(enclosing).alias("pos", "c")).join(k.withColumnRenamed("__k", "c"), "c").groupBy("__row").agg(F.min_by("c", "pos").alias("__first"))

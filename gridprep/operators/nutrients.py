@@ -28,7 +28,7 @@ def asof_year(left: DataFrame, right: DataFrame, keys: Keys, mode: str = "replic
     given = right.agg(F.sort_array(F.collect_set(year)).alias("__given"))
     distance = lambda y: F.struct(F.abs(y - F.col("__want")).alias("d"), y.alias("y"))
     years = wanted.crossJoin(F.broadcast(given)).select(F.col("__want").alias(year), F.array_min(F.transform("__given", distance))["y"].alias("src_year"))
-    return left.join(F.broadcast(years), year, "left").join(right.withColumnRenamed(year, "src_year"), [*keys, "src_year"], "left")
+    return left.join(years, year, "left").join(right.withColumnRenamed(year, "src_year"), [*keys, "src_year"], "left")
 
 
 def rate_fill(cells: DataFrame, levels: Keys, value: str = "rate", least: int = 10, share: float = 0.25, national: str | None = None) -> DataFrame:

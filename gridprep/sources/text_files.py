@@ -53,7 +53,7 @@ def read_calendar(spark: SparkSession, path: str, crops: DataFrame) -> DataFrame
     lines = spark.read.text(path).filter(F.col("value").rlike(r"^\s*\d+(\s+[-+0-9.eE]+)+\s*$")).select(v.alias("v")).filter(F.size("v") >= 3)
     areas = F.filter("v", lambda x, i: (i >= 3) & ((i - 3) % 3 == 0))
     total = F.aggregate(areas, F.lit(0.0), lambda a, x: a + x.cast("double"))
-    return lines.select(F.col("v")[0].cast("int").alias("unit"), F.col("v")[1].cast("int").alias("idx"), total.alias("area")).join(F.broadcast(crops), "idx").select("unit", "crop", "area")
+    return lines.select(F.col("v")[0].cast("int").alias("unit"), F.col("v")[1].cast("int").alias("idx"), total.alias("area")).join(crops, "idx").select("unit", "crop", "area")
 
 
 def split_footnotes(df: DataFrame, first: list[str], note: str) -> tuple[DataFrame, DataFrame]:
@@ -85,12 +85,12 @@ def apply_footnote_rules(data: DataFrame, notes: DataFrame, rules: DataFrame | N
     typed = notes.select("number", kind.alias("kind"), text.alias("text"))
     if rules is None:
         rules = spark.createDataFrame([], "kind string, text string, action string, crop string")
-    r = F.broadcast(rules.select(F.col("kind").alias("rk"), F.col("text").alias("rt"), F.col("action").alias("ra"), F.col("crop").alias("rc")))
+    r = rules.select(F.col("kind").alias("rk"), F.col("text").alias("rt"), F.col("action").alias("ra"), F.col("crop").alias("rc"))
     ruled = typed.join(r, (F.col("kind") == F.col("rk")) & (F.col("rt").isNull() | (F.col("rt") == F.col("text"))), "left")
     ruled = ruled.groupBy("number", "kind").agg(F.max_by(F.struct("ra", "rc"), F.col("rt").isNotNull()).alias("r"))
     ruled = ruled.select("number", F.coalesce("r.ra", default[F.col("kind")], F.lit("keep")).alias("action"), F.col("r.rc").alias("new_crop"))
     numbers = F.transform(F.regexp_extract_all(F.col(marks), F.lit(r"([0-9]+)"), 1), lambda x: x.cast("int"))
-    told = data.select(*ids, F.explode(numbers).alias("number")).join(F.broadcast(ruled), "number")
+    told = data.select(*ids, F.explode(numbers).alias("number")).join(ruled, "number")
     verdict = told.groupBy(*ids).agg(F.bool_or(F.col("action") == "drop").alias("__drop"), F.max("new_crop").alias("__crop"))
     out = data.join(verdict, [*ids], "left").filter(~F.coalesce("__drop", F.lit(False)))
     return (out.withColumn("crop", F.coalesce("__crop", "crop")) if "crop" in data.columns else out).drop("__drop", "__crop")
