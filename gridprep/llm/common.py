@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -11,19 +10,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridprep.session import shared_folder
+
 #: Characters handled at once by the vectorised helpers; a longer text is a chunk of its own.
 CHUNK_CHARS = 1_000_000
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; only where none is set (tests), one of our own."""
-    sc = spark.sparkContext
-    where = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not where:
-        where = tempfile.mkdtemp(prefix="gridprep-checkpoint-")
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(where)
-    return where
+    """The shared folder of the cluster; only where none is set (tests, one machine), one of our own."""
+    return shared_folder(spark)
 
 
 def cut(df: DataFrame) -> DataFrame:
