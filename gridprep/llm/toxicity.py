@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridprep.llm.common import _BYTE, Words, _powers, chunks, mix64, small_batches, text_column
+from gridprep.llm.common import _BYTE, _powers, Words, chunks, cut, mix64, small_batches, text_column
 
 #: Lengths in bytes of the word beginnings that count as features beside the word itself.
 PREFIXES = (4, 5, 6)
@@ -168,8 +168,8 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: list[str], max_row
     names = [f"y_{k}" for k in range(len(categories))]
     known = labels.dropna(subset=["doc_id", *categories]).groupBy("doc_id").agg(*(F.max(F.col(c).cast("int")).alias(n) for c, n in zip(categories, names, strict=True)))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    # bounded by max_rows, so it may be broadcast
-    sample = docs.filter(F.col("text").isNotNull()).select("doc_id", text_column(docs)).join(F.broadcast(chosen), "doc_id")
+    # bounded by max_rows, so it may be broadcast; read once, as the fit goes over these rows three times
+    sample = cut(docs.filter(F.col("text").isNotNull()).select("doc_id", text_column(docs)).join(F.broadcast(chosen), "doc_id"))
     counts = sample.mapInPandas(_counted(names), "feature long, n long, " + ", ".join(f"{n} long" for n in names))
     counts = counts.groupBy("feature").agg(F.sum("n").alias("n"), *(F.sum(n).alias(n) for n in names)).filter(F.col("n") >= min_rows)
     total = sample.agg(F.count(F.lit(1)).alias("n"), *(F.sum(n).alias(n) for n in names)).first()

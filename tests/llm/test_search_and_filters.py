@@ -322,6 +322,56 @@ def test_toxicity_without_labels(spark):
     assert toxicity.drop_toxic(docs, chain).count() == 3
 
 
+def slow_logistic(x, y, l2=1.0):
+    """The optimum by Newton steps on dense rows; the last column is the intercept, without a penalty."""
+    x = np.column_stack((x, np.ones(len(x))))
+    w, penalty = np.zeros(x.shape[1]), np.full(x.shape[1], l2)
+    penalty[-1] = 1e-9
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-x @ w))
+        w -= np.linalg.solve((x.T * (p * (1 - p))) @ x + np.diag(penalty), x.T @ (p - y) + penalty * w)
+    return w
+
+
+def test_chain_by_brute_force(spark):
+    """Out-of-fold inputs, weights and probabilities against dense Newton fits; repeated label rows, a very long text."""
+    rng = random.Random(7)
+    rows, labels = [], []
+    for i in range(160):
+        toxic, good = rng.random() < 0.4, rng.random() < 0.5
+        words = [rng.choice(["ab", "cd", "ef", "gh"]) for _ in range(12)] + (["zq"] if toxic and rng.random() < 0.9 or rng.random() < 0.1 else []) + (["ok"] if good and rng.random() < 0.8 else [])
+        rng.shuffle(words)
+        rows.append((i, " ".join(words)))
+        labels += [(i, int(good), int(toxic))] + ([(i, 0, 0)] if i % 9 == 0 else [])
+    rows += [(500, "zq " * 400_000), (501, None), (502, "")]
+    docs, known = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels + [(600, 1, 1), (None, 1, 1), (3, None, 1)], "doc_id long, quality int, toxic int")
+    chain = toxicity.fit_chain(docs, known, ["quality", "toxic"], min_chi2=5.0)
+    assert len(chain.vocabulary) >= 2
+    y = {}
+    for i, q, t in labels:
+        y[i] = (max(q, y.get(i, (0, 0))[0]), max(t, y.get(i, (0, 0))[1]))
+    ids = np.array(sorted(y))
+    y = np.array([y[i] for i in ids], float)
+    texts = dict(rows)
+    at, col = chain.vectors([texts[i] for i in ids])
+    x = np.zeros((len(ids), len(chain.vocabulary)))
+    x[at, col] = 1
+    fold = (toxicity.mix64(ids.astype(np.uint64)) % np.uint64(4)).astype(int)
+    odds = lambda p: np.log(np.clip(p, 1e-4, 1 - 1e-4) / (1 - np.clip(p, 1e-4, 1 - 1e-4)))
+    sigmoid = lambda z: 1 / (1 + np.exp(-z))
+    held = np.zeros(len(ids))
+    for f in range(4):
+        w = slow_logistic(x[fold != f], y[fold != f, 0])
+        held[fold == f] = sigmoid(np.column_stack((x[fold == f], np.ones((fold == f).sum()))) @ w)
+    first, second = slow_logistic(x, y[:, 0]), slow_logistic(np.column_stack((x, odds(held))), y[:, 1])
+    assert np.allclose(chain.weights[0], first, atol=2e-2) and np.allclose(chain.weights[1], second, atol=2e-2)
+    p = sigmoid(np.column_stack((x, np.ones(len(x)))) @ first)
+    want = np.column_stack((p, sigmoid(np.column_stack((x, odds(p), np.ones(len(x)))) @ second)))
+    got = {r.doc_id: (r.p_quality, r.p_toxic, r.rejected) for r in toxicity.toxicity(docs, chain).collect()}
+    assert np.allclose([got[i][:2] for i in ids], want, atol=1e-2)
+    assert all(got[i][2] == (chain.probabilities([texts[i] or ""])[0, 1] >= chain.thresholds[1]) for i in got)
+
+
 def test_linear_fit_separates():
     rng = np.random.default_rng(0)
     x = rng.random((400, 6)) < 0.3
