@@ -35,6 +35,30 @@ def with_rows(df: DataFrame, name: str = "__row") -> DataFrame:
     return df.sparkSession.read.schema(numbered.schema).parquet(path)
 
 
+def with_group_values(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, n_rows: int) -> DataFrame:
+    """``rows`` with the values of their groups (one row for each combination of ``keys``, nulls being equal).
+
+    ``size`` is the column of ``groups`` with the rows of each. Groups of more than a thousandth of the ``n_rows`` rows, of
+    which there are at most a thousand, are broadcast; only the rows of the others are shuffled, so no group is a large
+    part of a task. ``groups`` should be a stored table: it is read twice.
+    """
+    large = F.col(size) > max(1_000, n_rows // 1_000)
+    values = [c for c in groups.columns if c not in keys]
+    packed = groups.select(*(F.col(k).alias(f"__{k}") for k in keys), F.struct(*values).alias("__values"), large.alias("__large"))
+    hot = F.broadcast(packed.filter("__large").select(*(F.col(f"__{k}").alias(f"__hot_{k}") for k in keys), F.col("__values").alias("__hot")))
+
+    def same(prefix: str) -> Column:
+        found = F.lit(True)
+        for k in keys:
+            found = found & F.col(k).eqNullSafe(F.col(f"{prefix}{k}"))
+        return found
+
+    marked = rows.join(hot, same("__hot_"), "left")
+    first = marked.filter("__hot is not null").select(*rows.columns, F.col("__hot").alias("__values"))
+    second = marked.filter("__hot is null").select(*rows.columns).join(packed.filter("not __large"), same("__")).select(*rows.columns, "__values")
+    return first.unionByName(second).select(*rows.columns, *(F.col(f"__values.{v}").alias(v) for v in values))
+
+
 #: Words of 64 bits in a sieve: 8 MB, however many rows it is for.
 SIEVE_WORDS = 1 << 20
 

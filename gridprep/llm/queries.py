@@ -99,6 +99,12 @@ def op10_extract_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(_read(spark, sf_dir, "pages"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridprep.llm.exact import exact_groups
+
+    return exact_groups(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
@@ -110,9 +116,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pack": op8_pack,
     "op9_mix_sources": op9_mix_sources,
     "op10_extract_html": op10_extract_html,
+    "op11_exact_dedup": op11_exact_dedup,
 }
 
 ORACLE: dict[str, str] = {
+    "op11_exact_dedup": """
+        WITH t AS (SELECT CAST(doc_id AS BIGINT) AS doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256 FROM documents),
+        r AS (SELECT *, row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id DESC NULLS LAST) AS place FROM t)
+        SELECT doc_id, max(doc_id) OVER (PARTITION BY text_sha256) AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size, place = 1 AS kept, text_sha256 FROM r""",
     "op4_url_filter": r"""
         WITH u AS (
           SELECT page_id,
