@@ -59,26 +59,32 @@ def with_group_values(rows: DataFrame, groups: DataFrame, keys: list[str], size:
     return first.unionByName(second).select(*rows.columns, *(F.col(f"__values.{v}").alias(v) for v in values))
 
 
-#: Words of 64 bits in a sieve: 8 MB, however many rows it is for.
+#: Words of 64 bits in a sieve: 8 MB.
 SIEVE_WORDS = 1 << 20
 
 
-def bits_of(wanted: DataFrame, h: Column) -> np.ndarray:
-    """A bit for each value of the hash ``h``, in a table of fixed size: rows whose bit is missing needn't be moved to be joined.
+def sieve_words(n: int, most: int = 1 << 23) -> int:
+    """The size of a sieve for n rows: 16 bits or more a row, up to 64 MB."""
+    return min(most, max(1 << 10, 1 << (-(-n // 4) - 1).bit_length())) if n else 1 << 10
+
+
+def bits_of(wanted: DataFrame, h: Column, words: int = SIEVE_WORDS) -> np.ndarray:
+    """A bit for each value of the hash ``h``, in a table of ``words`` words: rows whose bit is missing needn't be moved to
+    be joined.
 
     When very many rows are wanted it lets more of the others pass, and at worst all; the join decides.
     """
-    word, bit = F.pmod(F.shiftright(h, 6), F.lit(SIEVE_WORDS)), F.pmod(h, F.lit(64)).cast("int")
-    words = wanted.select(word.alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
-    out = np.zeros(SIEVE_WORDS, np.int64)
-    got = words.toPandas()
+    word, bit = F.pmod(F.shiftright(h, 6), F.lit(words)), F.pmod(h, F.lit(64)).cast("int")
+    found = wanted.select(word.alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    out = np.zeros(words, np.int64)
+    got = found.toPandas()
     out[got["word"].to_numpy(np.int64)] = got["bits"].to_numpy(np.int64)
     return out.view(np.uint64)
 
 
 def hits(table: np.ndarray, h: np.ndarray) -> np.ndarray:
     """The places of the hashes whose bit is set in a sieve."""
-    word = (h.view(np.int64) >> 6) % SIEVE_WORDS
+    word = (h.view(np.int64) >> 6) % len(table)
     return np.flatnonzero(table[word] >> (h % np.uint64(64)) & np.uint64(1))
 
 

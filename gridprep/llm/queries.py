@@ -105,6 +105,12 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_read(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridprep.llm.collocations import collocations
+
+    return collocations(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
@@ -117,9 +123,30 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mix_sources": op9_mix_sources,
     "op10_extract_html": op10_extract_html,
     "op11_exact_dedup": op11_exact_dedup,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLE: dict[str, str] = {
+    "op13_collocations": r"""
+        WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0B\x0C\r]')) AS piece FROM documents),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS ws FROM p),
+        t AS (SELECT lang, id, unnest(ws) AS w1, generate_subscripts(ws, 1) AS pos FROM (SELECT *, row_number() OVER () AS id FROM w)),
+        x AS (SELECT lang, w1, lead(w1) OVER p AS w2, lead(w1, 2) OVER p AS w3, lead(w1, 3) OVER p AS w4 FROM t WINDOW p AS (PARTITION BY id ORDER BY pos)),
+        g AS (SELECT lang, 1 AS k, w1 AS phrase FROM x UNION ALL SELECT lang, 2, w1 || ' ' || w2 FROM x WHERE w2 IS NOT NULL
+          UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3 FROM x WHERE w3 IS NOT NULL UNION ALL SELECT lang, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 FROM x WHERE w4 IS NOT NULL),
+        f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
+        n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+        c AS MATERIALIZED (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND f >= 30),
+        s AS (SELECT c.lang, c.phrase, c.k, c.a, c.ws, j.cut, f1.f AS l, f2.f AS r, CAST(CAST(c.a AS HUGEINT) * 2000000 // (CAST(f1.f AS HUGEINT) + f2.f) AS BIGINT) AS score
+          FROM c JOIN range(1, 4) j(cut) ON j.cut < c.k
+          JOIN f f1 ON f1.lang = c.lang AND f1.phrase = array_to_string(c.ws[1:j.cut], ' ') AND f1.k = j.cut
+          JOIN f f2 ON f2.lang = c.lang AND f2.phrase = array_to_string(c.ws[j.cut + 1:], ' ') AND f2.k = c.k - j.cut),
+        b AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS place FROM s),
+        i AS (SELECT c.lang, array_to_string(c.ws[x.first:x.first + y.size - 1], ' ') AS phrase, max(c.a) AS whole
+          FROM c JOIN range(2, 4) y(size) ON y.size < c.k JOIN range(1, 4) x(first) ON x.first + y.size - 1 <= c.k GROUP BY 1, 2),
+        d AS (SELECT b.* FROM b LEFT JOIN i USING (lang, phrase) WHERE b.place = 1 AND (i.whole IS NULL OR 100 * CAST(i.whole AS HUGEINT) < 80 * CAST(b.a AS HUGEINT))),
+        o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM d)
+        SELECT o.lang, o.rank, o.phrase, o.a, o.l, o.r, n.n, o.score FROM o JOIN n USING (lang) WHERE o.rank <= 2000""",
     "op11_exact_dedup": """
         WITH t AS (SELECT CAST(doc_id AS BIGINT) AS doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256 FROM documents),
         r AS (SELECT *, row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id DESC NULLS LAST) AS place FROM t)
