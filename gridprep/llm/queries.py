@@ -105,6 +105,12 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_read(spark, sf_dir, "documents"))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridprep.llm.codes import code_report
+
+    return code_report(_read(spark, sf_dir, "embeddings"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gridprep.llm.collocations import collocations
 
@@ -123,10 +129,36 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mix_sources": op9_mix_sources,
     "op10_extract_html": op10_extract_html,
     "op11_exact_dedup": op11_exact_dedup,
+    "op12_vector_codes": op12_vector_codes,
     "op13_collocations": op13_collocations,
 }
 
+def _codes_sql() -> str:
+    """The codes in SQL: each round compares all parts with all entries."""
+    square = "list_sum(list_transform(list_zip(x.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    steps = ""
+    for turn in (0, 1, 2):
+        steps += f"""
+        a{turn} AS MATERIALIZED (SELECT vec_id, part, x.v, min(struct_pack(d := {square}, entry := c.entry)) AS best FROM x JOIN c{turn} c USING (part) GROUP BY ALL),"""
+        if turn < 2:
+            steps += f"""
+        u{turn} AS (SELECT part, best.entry AS entry, unnest(v) AS value, generate_subscripts(v, 1) AS pos FROM a{turn}),
+        m{turn} AS (SELECT part, entry, pos, sum(value) AS s, count(*) AS n FROM u{turn} GROUP BY ALL),
+        n{turn} AS (SELECT part, entry, list(CAST((s - ((s % n + n) % n)) // n AS BIGINT) ORDER BY pos) AS v FROM m{turn} GROUP BY ALL),
+        c{turn + 1} AS MATERIALIZED (SELECT part, entry, coalesce(n{turn}.v, c{turn}.v) AS v FROM c{turn} LEFT JOIN n{turn} USING (part, entry)),"""
+    return f"""
+        WITH k AS (SELECT CAST(vec_id AS BIGINT) AS vec_id, label, list_transform(embedding, lambda y: CAST(floor(256 * CAST(y AS DOUBLE)) AS BIGINT)) AS q
+          FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0),
+        x AS MATERIALIZED (SELECT vec_id, CAST(part AS INTEGER) AS part, q[part * (len(q) // 16) + 1:(part + 1) * (len(q) // 16)] AS v FROM k, range(16) t(part)),
+        f AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM k ORDER BY vec_id LIMIT 64),
+        c0 AS MATERIALIZED (SELECT part, entry, v FROM x JOIN f USING (vec_id)),{steps}
+        b AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM c2),
+        r AS (SELECT vec_id, string_agg(printf('%02x', best.entry), '' ORDER BY part) AS code, CAST(sum(best.d) AS BIGINT) AS error FROM a2 GROUP BY vec_id)
+        SELECT r.vec_id, r.code, r.error, CAST(sum(r.error) OVER (PARTITION BY k.label) AS BIGINT) AS label_error, b.codebooks_sha256 FROM r JOIN k USING (vec_id), b"""
+
+
 ORACLE: dict[str, str] = {
+    "op12_vector_codes": _codes_sql(),
     "op13_collocations": r"""
         WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0B\x0C\r]')) AS piece FROM documents),
         w AS (SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS ws FROM p),
