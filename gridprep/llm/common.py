@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -35,6 +35,13 @@ def with_rows(df: DataFrame, name: str = "__row") -> DataFrame:
     return df.sparkSession.read.schema(numbered.schema).parquet(path)
 
 
+def shielded(df: DataFrame, *used: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with all columns but the ``used`` ones under names that clash with none of ours, and what gives the columns
+    of ``df`` back, in order and under their names."""
+    names = [c if c in used else f"in_{i}" for i, c in enumerate(df.columns)]
+    return df.toDF(*names), lambda out: out.select(*(F.col(n).alias(c) for n, c in zip(names, df.columns, strict=True)))
+
+
 def with_group_values(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, n_rows: int) -> DataFrame:
     """``rows`` with the values of their groups (one row for each combination of ``keys``, nulls being equal).
 
@@ -93,6 +100,16 @@ def small_batches(spark: SparkSession, rows: int = 500) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def id_text(name: str = "doc_id") -> Column:
+    """An id as text: pandas makes doubles of a batch of longs with a null among them, and of large ids others."""
+    return F.col(name).cast("long").cast("string").alias(name)
+
+
+def id_long(df: DataFrame, name: str = "doc_id") -> DataFrame:
+    """Ids that went through pandas as text as longs again."""
+    return df.withColumn(name, F.col(name).cast("long"))
+
+
 def text_column(df: DataFrame, name: str = "text"):
     """Null texts count as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit("")).alias(name)

@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from gridprep.llm.common import Words, chunks, small_batches, text_column
+from gridprep.llm.common import Words, chunks, id_long, id_text, small_batches, text_column
 
 #: Phrases whose words stand consecutively, and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -293,7 +293,7 @@ def scan(raw: bytes) -> tuple[list[tuple[int, int, int, str]], list[tuple[int, i
     return resolve(found), places
 
 
-SCHEMA = "doc_id long, n_words long, detections array<struct<label:string,priority:int,first_word:long,last_word:long>>, phrases array<struct<label:string,first_word:long>>"
+SCHEMA = "doc_id string, n_words long, detections array<struct<label:string,priority:int,first_word:long,last_word:long>>, phrases array<struct<label:string,first_word:long>>"
 
 
 def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -320,4 +320,4 @@ def license_scan(docs: DataFrame) -> DataFrame:
     each; a null doc_id stays null; columns other than doc_id and text are ignored, whatever their names.
     """
     small_batches(docs.sparkSession)
-    return docs.select("doc_id", text_column(docs)).mapInPandas(_scan, SCHEMA)
+    return id_long(docs.select(id_text(), text_column(docs)).mapInPandas(_scan, SCHEMA))

@@ -1,13 +1,10 @@
 """Mixing sources to target weights, with DataFrame functions only.
 
-The words of each source, document after document, are cut into blocks of fixed length. The mix has as many slots of
-one block as the corpus has words for; output shards of fixed size draw their sources' counts multinomially, and the
-i-th slot of a source takes the block at place i of a pseudorandom permutation of the source's blocks. Slots and
-documents meet by block index.
-
-A shard gives every source the whole part of its expected count outright and draws only the rest multinomially
-(residual multinomial sampling): the expectations are those of plain multinomial draws and the mix comes much nearer
-its targets.
+The words of each source, document after document, are cut into blocks of nearly equal length, of at most BLOCK_WORDS. A
+source has as many slots of one block in the mix as its target has blocks. Its slots fall on the output shards
+multinomially: each shard's source counts are multinomial draws, given that they add up to the source's slots. (Free draws,
+``residual=False``, have the same expectation, but small sources then miss their targets by far.) The i-th slot of a source
+takes the block at place i of a pseudorandom permutation of the source's blocks. Slots and documents meet by block index.
 """
 
 from __future__ import annotations
@@ -17,21 +14,22 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridprep.llm.common import cut, with_rows
+from gridprep.llm.common import cut, shielded, with_rows
 
 #: What counts as a word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_WORDS, SHARD_SLOTS, MAX_REPEATS = 64, 1_024, 3
-#: Groups in which the documents of a source are counted up; a hot source is spread over all of them.
-BUCKETS = 512
-#: Rounds of the permutations, and slots that one task makes, about.
-ROUNDS, TASK_SLOTS = 16, 1_000_000
+#: Groups in which the documents of a source are counted up, at least, and documents of one, about; a hot source is spread
+#: over all of them.
+BUCKETS, BUCKET_ROWS = 512, 100_000
+#: Rounds of the permutations, slots of a source that are made from one row, and slots that one task makes, about.
+ROUNDS, RUN_SLOTS, TASK_SLOTS = 16, 4_096, 1_000_000
 
 
 @dataclass
 class Mix:
-    """``documents``: doc_id, source, size, start (in words in its source), rank; ``sources``: one row for each source
-    with its size, weight, target and blocks; ``slots``: shard, slot, rank, turn, block."""
+    """``documents``: doc_id, source, size, start (in words in its source), rank, source_size, blocks (of its source);
+    ``sources``: one row for each source with its size, weight, target, blocks and slots; ``slots``: shard, rank, turn, block."""
 
     documents: DataFrame
     sources: DataFrame
@@ -94,75 +92,75 @@ def plan_mix(docs: DataFrame, weights: list[float], seed: int = 0, block_words:
     Null texts have no words; null is a source of its own; rows of equal doc_id in a source follow by size and
     then by ``keys``, columns of ``docs`` that ``documents`` keeps. A block is
     taken at most 3 times, so no document gives more than 3 times its words. The draw depends on the ids, sizes,
-    sources and ``seed`` alone, not on how rows are partitioned. Without words there are no slots. ``residual`` false
-    draws all of a shard's slots multinomially, not only what the whole parts of its expected counts leave.
+    sources and ``seed`` alone, not on how rows are partitioned. Without words there are no slots. A source gets its target
+    to within half a block and the blocks' differences of one word; with ``residual`` false each slot
+    draws its source, among all.
     """
-    block = F.lit(block_words)
-    sized = docs.select("doc_id", "source", *keys, word_count().alias("size"))
-    sized = cut(sized.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(BUCKETS)).cast("int")))
+    sized = cut(docs.select("doc_id", "source", *keys, word_count().alias("size")))
+    n_buckets = max(BUCKETS, -(-sized.count() // BUCKET_ROWS))
+    sized = sized.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "size"), F.lit(n_buckets)).cast("int"))
     buckets = sized.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     sources = source_targets(buckets.groupBy("source").agg(F.sum("bucket_size").alias("source_size")), weights)
-    sources = cut(sources.withColumn("blocks", F.ceil(F.col("source_size") / block).cast("long")))
+    sources = sources.withColumn("blocks", F.ceil(F.col("source_size") / block_words).cast("long"))
+    want = F.col("target") * F.col("blocks") / F.greatest("source_size", F.lit(1))
+    sources = cut(sources.withColumn("slots", F.least(F.round(want).cast("long"), F.col("blocks") * MAX_REPEATS)))
     # where each document begins in its source: buckets in turn, and documents in their bucket
     order = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     begins = buckets.withColumn("bucket_start", F.coalesce(F.sum("bucket_size").over(order), F.lit(0)))
-    begins = begins.join(sources.select("source", "rank"), begins["source"].eqNullSafe(sources["source"])).select("rank", begins["source"], "bucket", "bucket_start")
+    begins = begins.join(sources, begins["source"].eqNullSafe(sources["source"])).select("rank", begins["source"], "bucket", "bucket_start", "source_size", "blocks")
     inner = Window.partitionBy("source", "bucket").orderBy("doc_id", "size", *keys).rowsBetween(Window.unboundedPreceding, -1)
     placed = sized.withColumn("inside", F.coalesce(F.sum("size").over(inner), F.lit(0)))
     placed = placed.alias("d").join(begins.alias("b"), F.col("d.source").eqNullSafe(F.col("b.source")) & (F.col("d.bucket") == F.col("b.bucket")))
-    documents = placed.select("d.doc_id", "d.source", *(f"d.{k}" for k in keys), "d.size", (F.col("bucket_start") + F.col("inside")).alias("start"), "rank")
+    documents = placed.select("d.doc_id", "d.source", *(f"d.{k}" for k in keys), "d.size", (F.col("bucket_start") + F.col("inside")).alias("start"), "rank", "source_size", "blocks")
 
-    # slots: each shard's expected counts, whole parts outright, the rest drawn
-    total = sources.agg(F.sum("source_size")).first()[0] or 0
-    slots_total = -(-total // block_words)
+    # a row for each run of slots of a source; few rows that become many are dealt out before, so a hot source is in all tasks
+    total = sources.agg(F.sum("slots")).first()[0] or 0
+    shards = max(1, -(-total // SHARD_SLOTS))
     spark = docs.sparkSession
-    given = sources.filter("source_size > 0").select((F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("rank")) - 1).alias("place"), "rank", "target")
-    n_given = given.count()
-    # a row for each shard and source, which then looks up its source
-    counts = spark.range(-(-slots_total // SHARD_SLOTS) * n_given).select(F.floor(F.col("id") / max(n_given, 1)).cast("long").alias("shard"), F.pmod("id", F.lit(max(n_given, 1))).cast("int").alias("place"))
-    counts = counts.join(given, "place").withColumn("n", F.least(F.lit(SHARD_SLOTS), F.lit(slots_total) - F.col("shard") * SHARD_SLOTS).cast("long"))
-    counts = counts.withColumn("expected", F.lit(1.0) * F.col("n") * F.col("target") / F.lit(float(max(total, 1))))
-    counts = counts.withColumn("whole", F.floor("expected") if residual else F.lit(0).cast("long")).withColumn("part", F.col("expected") - F.col("whole"))
-    row = Window.partitionBy("shard").orderBy("rank")
-    counts = counts.withColumn("upto", F.sum("part").over(row)).withColumn("parts", F.sum("part").over(Window.partitionBy("shard")))
-    counts = counts.withColumn("open", F.col("n") - F.sum("whole").over(Window.partitionBy("shard")))
-    # of the shard's open slots those whose uniform number falls into this source's part of the line
-    below, above = (F.col("upto") - F.col("part")) / F.col("parts"), F.col("upto") / F.col("parts")
-    draws = F.transform(F.sequence(F.lit(1), F.col("open").cast("int")), lambda j: _uniform(F.col("shard"), j, F.lit(seed)))
-    final = F.max("rank").over(Window.partitionBy("shard"))
-    drawn = F.size(F.filter(draws, lambda u: (u >= below) & ((u < above) | (F.col("rank") == final))))
-    counts = counts.withColumn("count", F.col("whole") + F.when((F.col("open") > 0) & (F.col("parts") > 0), drawn).otherwise(0))
-    # the slots of a source are numbered through all shards: groups of shards in turn, and shards in their group
-    counts = cut(counts.select("shard", "rank", "count"))
-    group = F.floor(F.col("shard") / 1024).alias("group")
-    groups = counts.groupBy("rank", group).agg(F.sum("count").alias("group_count"))
-    upto_group = Window.partitionBy("rank").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
-    groups = groups.withColumn("group_start", F.coalesce(F.sum("group_count").over(upto_group), F.lit(0)))
-    in_group = Window.partitionBy("rank", "group").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    numbered = counts.withColumn("group", F.floor(F.col("shard") / 1024)).withColumn("shard_start", F.coalesce(F.sum("count").over(in_group), F.lit(0)))
-    numbered = numbered.join(groups, ["rank", "group"]).filter(F.col("count") > 0)
-    # few rows that become many: dealt out before, by source and shard, so a hot source is in all tasks
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-slots_total // TASK_SLOTS))
-    numbered = numbered.repartition(tasks, "rank", "shard")
-    turn = F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1))
-    slots = numbered.select("shard", "rank", (F.col("group_start") + F.col("shard_start")).alias("first"), turn.alias("slot"))
-    slots = slots.withColumn("turn", F.col("first") + F.col("slot")).join(F.broadcast(sources.select("rank", "blocks")), "rank")
-    slots = slots.filter(F.col("turn") < F.col("blocks") * MAX_REPEATS)
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_SLOTS))
+    if residual:
+        runs = sources.filter("slots > 0").select("rank", "blocks", "slots", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / RUN_SLOTS))).alias("run"))
+        runs = runs.repartition(tasks, "rank", "run")
+        last = F.least(F.col("slots"), (F.col("run") + 1) * RUN_SLOTS) - 1
+        slots = runs.select("rank", "blocks", F.explode(F.sequence(F.col("run") * RUN_SLOTS, last)).alias("turn"))
+    else:
+        words = sources.agg(F.sum("source_size")).first()[0] or 0
+        slots = _free_slots(sources, -(-words // block_words), seed)
     slots = slots.withColumn("pass", F.floor(F.col("turn") / F.col("blocks")))
+    slots = slots.withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "rank", "turn", F.lit("shard")), F.lit(shards)))
     # cut off here: a filter on the block would be pushed down through all rounds, and grow threefold in each
     slots = cut(permuted(slots, "turn", "blocks", [F.lit(seed), F.col("rank"), F.col("pass")], "block"))
-    return Mix(documents, sources, slots.select("shard", "slot", "rank", "turn", "block"))
+    return Mix(documents, sources, slots.select("shard", "rank", "turn", "block"))
 
 
-def _pieces(mix: Mix, block_words: int = BLOCK_WORDS) -> DataFrame:
+def _free_slots(sources: DataFrame, total: int, seed: int) -> DataFrame:
+    """rank, blocks, turn: how many slots each source has is drawn, shard by shard, from all sources by their expected slots."""
+    line = Window.partitionBy(F.lit(0)).orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
+    upto = sources.filter("slots > 0").select("rank", "blocks", F.sum("slots").over(line).alias("upto"))
+    drawn = sources.sparkSession.range(total).select(_uniform(F.col("id"), F.lit(seed)).alias("u"))
+    # a row for each source at most, in order: a draw belongs to the first whose end lies behind it
+    ends = [(r["rank"], r["upto"]) for r in upto.orderBy("rank").collect()]
+    ends = [(rank, n / ends[-1][1]) for rank, n in ends]
+    place = F.coalesce(*(F.when(F.col("u") < end, F.lit(rank)) for rank, end in ends), F.lit(ends[-1][0])) if ends else F.lit(0)
+    counts = drawn.groupBy(place.cast("int").alias("rank")).agg(F.count(F.lit(1)).alias("n")).join(upto.select("rank", "blocks"), "rank")
+    n = F.least(F.col("n"), F.col("blocks") * MAX_REPEATS)
+    return counts.select("rank", "blocks", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)).alias("turn"))
+
+
+def _end_of_block(k: Column) -> Column:
+    """Words of a source before its block ``k``: blocks differ by one word at most."""
+    return F.floor(k.cast("decimal(19,0)") * F.col("source_size").cast("decimal(19,0)") / F.col("blocks").cast("decimal(19,0)")).cast("long")
+
+
+def _pieces(mix: Mix) -> DataFrame:
     """doc_id, source, size, start, block, words of the document in the block, times the block is taken (0: not at all)."""
-    block = F.lit(block_words)
-    # a block lies in few documents and a document in many blocks: spread by block, whatever the source
-    cover = F.sequence(F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block))
-    held = mix.documents.filter("size > 0").withColumn("block", F.explode(cover))
-    begin = F.greatest(F.col("start"), F.col("block") * block)
-    end = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block)
-    held = held.withColumn("from_word", begin - F.col("start")).withColumn("words", end - begin)
+    # the block of the word w is the last that doesn't begin after it; a block lies in few documents and a document in many
+    # blocks: spread by block, whatever the source
+    at = lambda w: F.floor(((w + 1).cast("decimal(19,0)") * F.col("blocks").cast("decimal(19,0)") - 1) / F.col("source_size").cast("decimal(19,0)")).cast("long")
+    held = mix.documents.filter("size > 0").withColumn("block", F.explode(F.sequence(at(F.col("start")), at(F.col("start") + F.col("size") - 1))))
+    begin = F.greatest(F.col("start"), _end_of_block(F.col("block")))
+    end = F.least(F.col("start") + F.col("size"), _end_of_block(F.col("block") + 1))
+    held = held.withColumn("from_word", begin - F.col("start")).withColumn("words", end - begin).drop("source_size", "blocks")
     times = mix.slots.groupBy("rank", "block").agg(F.count(F.lit(1)).alias("times"))
     return held.join(times, ["rank", "block"], "left").fillna(0, ["times"])
 
@@ -174,7 +172,7 @@ def mix_documents(docs: DataFrame, weights: list[float] = (1, 2, 3), seed: int =
     facts = mix.sources.select("rank", "source_size", "target")
     d = mix.documents.alias("d")
     same = (F.col("d.rank") == F.col("t.rank")) & F.col("d.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("d.start") == F.col("t.start")) & (F.col("d.size") > 0)
-    out = d.join(taken.alias("t"), same, "left").join(F.broadcast(facts).alias("s"), F.col("d.rank") == F.col("s.rank"))
+    out = d.join(taken.alias("t"), same, "left").join(facts.alias("s"), F.col("d.rank") == F.col("s.rank"))
     return out.select("d.doc_id", "d.size", "s.source_size", "s.target", F.coalesce("t.taken", F.lit(0)).alias("taken"))
 
 
@@ -185,22 +183,27 @@ def mixed_texts(docs: DataFrame, weights: list[float] = (1, 2, 3), seed: int = 0
     in their order, one blank between them, and n_chars, if there is such a column, counts it. Documents without words
     are in no block: they stay once, as they are. Rows repeating a doc_id, or with none, are documents of their own.
     """
+    docs, back = shielded(docs, "doc_id", "source", "text", "n_chars")
     own = with_rows(docs.withColumn("__hash", F.xxhash64("text")))
     mix = plan_mix(own, list(weights), seed, keys=("__hash", "__row"))
     piece = F.struct(F.col("from_word"), F.col("words"), F.col("times"))
-    got = _pieces(mix).filter("times > 0").groupBy("__row").agg(F.array_sort(F.collect_list(piece)).alias("pieces"))
-    joined = own.alias("d").join(got.alias("g"), F.col("d.__row") == F.col("g.__row"), "left")
-    turn = F.explode(F.sequence(F.lit(0), F.lit(MAX_REPEATS - 1)))
-    rows = joined.select("d.*", F.col("g.pieces").alias("__pieces"), word_count("d.text").alias("__words"))
-    rows = rows.withColumn("__turn", turn)
-    rows = rows.withColumn("__pieces", F.filter("__pieces", lambda p: p["times"] > F.col("__turn")))
-    count = F.aggregate("__pieces", F.lit(0).cast("long"), lambda a, p: a + p["words"])
-    rows = rows.withColumn("__count", F.coalesce(count, F.lit(0)))
-    rows = rows.filter((F.col("__count") > 0) | ((F.col("__words") == 0) & (F.col("__turn") == 0)))
-    words = F.regexp_extract_all(F.col("text"), F.lit("(" + WORD + ")"))
-    some = F.concat_ws(" ", F.flatten(F.transform("__pieces", lambda p: F.slice(words, (p["from_word"] + 1).cast("int"), p["words"].cast("int")))))
-    text = F.when(F.col("__count") < F.col("__words"), some).otherwise(F.col("text"))
-    rows = rows.withColumn("__cut", F.col("__count") < F.col("__words")).withColumn("text", text)
+    got = _pieces(mix).groupBy("__row").agg(F.array_sort(F.collect_list(piece)).alias("__pieces"))
+    joined = own.alias("d").join(got.alias("g"), F.col("d.__row") == F.col("g.__row"), "left").select("d.*", "g.__pieces")
+    least, most = (f(F.transform("__pieces", lambda p: p["times"])) for f in (F.array_min, F.array_max))
+    rows = joined.withColumn("__least", least).withColumn("__most", most)
+    # in the turns up to the least all blocks are taken; the words, split once, are wanted for the others only
+    some = F.col("__most") > F.col("__least")
+    words = F.when(some, F.regexp_extract_all(F.col("text"), F.lit("(" + WORD + ")")))
+    # how often each word is taken: the pieces cover the words one after another
+    each = F.when(some, F.flatten(F.transform("__pieces", lambda p: F.array_repeat(p["times"].cast("int"), p["words"].cast("int")))))
+    # explode of one row keeps the optimizer from moving the split into the loop over words
+    rows = rows.select("*", F.explode(F.array(F.struct(words.alias("words"), each.alias("times")))).alias("__split"))
+    turns = F.when(F.col("__most").isNull(), F.array(F.lit(0))).when(F.col("__most") > 0, F.sequence(F.lit(0), F.col("__most").cast("int") - 1)).otherwise(F.array().cast("array<int>"))
+    rows = rows.withColumn("__turn", F.explode(turns))
+    rows = rows.withColumn("__cut", F.coalesce(F.col("__turn") >= F.col("__least"), F.lit(False)))
+    marked = F.zip_with("__split.words", "__split.times", lambda w, t: F.when(t > F.col("__turn"), w))
+    text = F.when(F.col("__cut"), F.array_join(marked, " ")).otherwise(F.col("text"))
+    rows = rows.withColumn("text", text)
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.when(F.col("__cut"), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return rows.select(*docs.columns)
+    return back(rows)

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridprep.llm.common import _MULT, bits_of, chunks, cut, hits, mix64, small_batches, text_column, with_rows, word_shingles
+from gridprep.llm.common import _MULT, bits_of, chunks, cut, hits, id_long, id_text, mix64, shielded, small_batches, text_column, with_rows, word_shingles
 from gridprep.llm.components import components, forest
 
 WORDS, THRESHOLD = 5, 0.8
@@ -304,7 +304,7 @@ def links(docs: DataFrame, threshold: float = THRESHOLD, keys: tuple[str, ...] =
     spark = docs.sparkSession
     small_batches(spark)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column(docs), *keys)
-    rows = cut(own.mapInPandas(_signed, "doc_id long, node long, n long, sig binary" + "".join(f", {k} long" for k in keys)))
+    rows = cut(id_long(own.withColumn("doc_id", id_text()).mapInPandas(_signed, "doc_id string, node long, n long, sig binary" + "".join(f", {k} long" for k in keys))))
     full = rows.filter(F.col("node").isNotNull() & F.col("doc_id").isNotNull())
     nodes = cut(full.groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first_id"), F.min("n").alias("n"), F.min("sig").alias("sig")))
     # buckets: nodes that share all values of a band
@@ -353,10 +353,11 @@ def keep_one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame
 
     Each row is judged by its own text, also where rows repeat a doc_id; of a class's rows with one doc_id one stays.
     """
+    docs, back = shielded(docs, "doc_id", "text")
     own = with_rows(docs.withColumn("__hash", F.xxhash64(text_column(docs))))
     rows, nodes, found = links(own, threshold, ("__hash", "__row"))
     label = nodes.select("node").join(_labels(found), "node", "left").select("node", F.coalesce("label", "node").alias("label"))
     members = rows.filter("node is not null and doc_id is not null").join(label, "node")
     first = members.groupBy("label").agg(F.min(F.struct("doc_id", "__hash", "__row")).alias("first")).select(F.col("first.__row").alias("__row"))
     gone = members.select("__row").join(first, "__row", "left_anti")
-    return own.join(gone, "__row", "left_anti").select(*docs.columns)
+    return back(own.join(gone, "__row", "left_anti"))

@@ -19,9 +19,8 @@ import numpy as np
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from gridprep.llm.common import small_batches, text_column
+from gridprep.llm.common import id_long, id_text, small_batches, text_column
 
 LENGTH, END_ID = 2_048, 1
 #: Costs in tokens of a cut at a sentence end and inside a sentence, and of a window as such.
@@ -236,7 +235,7 @@ class Packer:
         self.held = sum(len(d[2]) for d in self.docs)
 
 
-SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
+SCHEMA = "doc_id string, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, length: int = LENGTH) -> DataFrame:
@@ -258,7 +257,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, length: int = LENGTH) -
         def frame(pieces: list[tuple]) -> pd.DataFrame:
             out = pd.DataFrame(pieces, columns=names)
             return pd.DataFrame({
-                "doc_id": pd.array([d[0] for d in out["doc"]], "Int64"), "start": out["start"].astype("int64"), "length": [len(x) for x in out["ids"]],
+                "doc_id": pd.Series([d[0] for d in out["doc"]], dtype=object), "start": out["start"].astype("int64"), "length": [len(x) for x in out["ids"]],
                 "ids": [x.astype("<u4").tobytes() for x in out["ids"]], "doc_tokens": [d[1] for d in out["doc"]],
                 "sequence_id": base + out["sequence_id"].astype("int64"), "offset": out["offset"].astype("int64"),
             })
@@ -268,7 +267,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, length: int = LENGTH) -
         for pdf in batches:
             for i, text in zip(pdf["doc_id"].tolist(), pdf["text"].tolist(), strict=True):
                 ids = np.frombuffer(tokenizer.ids(text) + end, "<u4")
-                pieces += packer.add((None if i != i or i is None else int(i), len(ids)), ids)
+                pieces += packer.add((i, len(ids)), ids)
                 if len(pieces) >= 1_000:
                     yield frame(pieces)
                     pieces = []
@@ -276,4 +275,4 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, length: int = LENGTH) -
         if pieces:
             yield frame(pieces)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column(docs)).mapInPandas(run, SCHEMA)
+    return id_long(docs.select(id_text(), text_column(docs)).mapInPandas(run, SCHEMA))

@@ -19,7 +19,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridprep.llm.common import _powers, chunks, mix64, small_batches, text_column
+from gridprep.llm.common import _powers, chunks, id_long, id_text, mix64, small_batches, text_column
 
 K, S, BINS = 20, 8, 64
 EMPTY = 0xFFFF
@@ -119,7 +119,7 @@ def syncmer_anchors(docs: DataFrame) -> DataFrame:
                 text, at, value = anchors(texts[a:b])
                 yield pd.DataFrame({"doc_id": pdf["doc_id"].iloc[a:b].to_numpy()[text], "position": at, "hash": value.view(np.int64)})
 
-    return docs.select("doc_id", text_column(docs)).mapInPandas(run, "doc_id long, position long, hash long")
+    return id_long(docs.select(id_text(), text_column(docs)).mapInPandas(run, "doc_id string, position long, hash long"))
 
 
 def syncmer_fingerprints(docs: DataFrame) -> DataFrame:
@@ -134,7 +134,7 @@ def syncmer_fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", hexed(text_column(docs)).alias("fingerprint"))
 
 
-SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+SCHEMA = "doc_id string, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
 def _compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -152,7 +152,7 @@ def _compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         changed = fingerprints(edited)
         own_prints = tuple(x[:-1] for x in prints)
         return pd.DataFrame({
-            "doc_id": pd.array(ids[: len(own)], "Int64"), "n_chars": [len(t) for t in own],
+            "doc_id": pd.Series(ids[: len(own)], dtype=object), "n_chars": [len(t) for t in own],
             "edited_sha256": [hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in edited],
             "fingerprint": _hex(own_prints), "edited_fingerprint": _hex(changed),
             "near_edited": likeness(own_prints, changed), "near_next": likeness(own_prints, tuple(x[1:] for x in prints)),
@@ -163,7 +163,7 @@ def _compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for i, t, extra in zip(pdf["doc_id"].tolist(), pdf["text"].tolist(), pdf["extra"].tolist(), strict=True):
             if ended:
                 break
-            ids.append(None if i != i else i)
+            ids.append(i)
             texts.append(t)
             size += len(t)
             ended = bool(extra)
@@ -200,11 +200,11 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     # one row for each range at most
     heads = sorted((r["part"], r["head"]) for r in bucketed.groupBy("part").agg(F.min("key").alias("head")).collect())
     if not heads:
-        return spark.createDataFrame([], SCHEMA)
+        return id_long(spark.createDataFrame([], SCHEMA))
     before = [(head, heads[i - 1][0]) for i, (_, head) in enumerate(heads)]
     also = F.broadcast(spark.createDataFrame(before, "key long, part_before int"))
     home = F.struct(F.col("part"), F.lit(0).alias("extra"))
     dealt = bucketed.join(also, "key", "left").withColumn("to", F.explode(F.when(F.col("part_before").isNull(), F.array(home)).otherwise(F.array(home, F.struct(F.col("part_before").alias("part"), F.lit(1).alias("extra"))))))
     dealt = dealt.select("doc_id", "key", "text", F.col("to.part").alias("part"), F.col("to.extra").alias("extra"))
     dealt = dealt.repartitionById(len(splits) - 1, F.col("part")).sortWithinPartitions("extra", "key", "text")
-    return dealt.select("doc_id", "text", "extra").mapInPandas(_compared, SCHEMA)
+    return id_long(dealt.select(id_text(), "text", "extra").mapInPandas(_compared, SCHEMA))

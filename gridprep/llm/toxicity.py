@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridprep.llm.common import _BYTE, _powers, Words, chunks, cut, mix64, small_batches, text_column
+from gridprep.llm.common import _BYTE, _powers, Words, chunks, cut, mix64, small_batches, text_column, with_rows
 
 #: Lengths in bytes of the word beginnings that count as features beside the word itself.
 PREFIXES = (4, 5, 6)
@@ -158,7 +158,8 @@ def _counted(categories: list[str]):
 def fit_chain(docs: DataFrame, labels: DataFrame, categories: list[str], max_rows: int = 20_000, folds: int = 4, min_rows: int = 5, min_chi2: float = 20.0, max_features: int = 600) -> Chain:
     """Fits a chain over ``categories`` (0/1 columns of ``labels``), in this order.
 
-    At most ``max_rows`` labelled rows are used, chosen by hash of doc_id; rows with a null label, id or text don't count.
+    At most ``max_rows`` labelled rows are used, chosen by hash of doc_id and then of the text, however many rows repeat an
+    id; rows with a null label, id or text don't count.
     Of the features in at least ``min_rows`` of them, those with a chi-square of ``min_chi2`` against a category are
     used, the ``max_features`` best of each category. With no labelled rows the chain gives 0 for everything. Repeated
     labels of a document: the largest value counts.
@@ -168,14 +169,21 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: list[str], max_row
     names = [f"y_{k}" for k in range(len(categories))]
     known = labels.dropna(subset=["doc_id", *categories]).groupBy("doc_id").agg(*(F.max(F.col(c).cast("int")).alias(n) for c, n in zip(categories, names, strict=True)))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    # bounded by max_rows, so it may be broadcast; read once, as the fit goes over these rows three times
-    sample = cut(docs.filter(F.col("text").isNotNull()).select("doc_id", text_column(docs)).join(F.broadcast(chosen), "doc_id"))
+    # bounded by max_rows, so it may be broadcast; read once, as the fit goes over these rows several times
+    found = docs.filter(F.col("text").isNotNull()).select("doc_id", text_column(docs)).join(F.broadcast(chosen), "doc_id")
+    sample = with_rows(found.withColumn("__order", F.xxhash64("doc_id")).withColumn("__next", F.xxhash64("text")))
+    if sample.count() > max_rows:
+        # rows may repeat labelled ids: the bound holds for the rows, whose places alone are sorted
+        place = F.struct("__order", "__next", "__row")
+        last = sample.select(place.alias("p")).orderBy("p").limit(max_rows).agg(F.max("p")).first()[0]
+        sample = sample.filter(place <= F.struct(*(F.lit(x).cast("long").alias(n) for n, x in last.asDict().items())))
+    sample = sample.drop("__order", "__next", "__row")
     counts = sample.mapInPandas(_counted(names), "feature long, n long, " + ", ".join(f"{n} long" for n in names))
     counts = counts.groupBy("feature").agg(F.sum("n").alias("n"), *(F.sum(n).alias(n) for n in names)).filter(F.col("n") >= min_rows)
     total = sample.agg(F.count(F.lit(1)).alias("n"), *(F.sum(n).alias(n) for n in names)).first()
     if not total["n"]:
         return chain
-    counts = counts.persist()
+    counts = cut(counts)
     vocabulary: set[int] = set()
     for n in names:
         rows, pos, used = float(total["n"]), float(total[n]), F.col("n").cast("double")
@@ -184,7 +192,6 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: list[str], max_row
         score = F.when(spread > 0, (F.col(n) - expected) ** 2 / spread)
         best = counts.select("feature", score.alias("chi2")).filter(F.col("chi2") >= min_chi2).orderBy(F.desc("chi2"), "feature").limit(max_features)
         vocabulary |= {r["feature"] for r in best.collect()}
-    counts.unpersist()
     chain.vocabulary = np.sort(np.array(sorted(vocabulary), np.int64).view(np.uint64))
 
     def vectorised(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

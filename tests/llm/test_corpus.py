@@ -594,3 +594,49 @@ def test_pipeline(spark, sf):
     whole = out.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("m"))
     assert whole.filter("n <> m or n > 2048").count() == 0
     assert out.select("doc_id").join(docs, "doc_id", "left_anti").count() == 0
+
+
+def test_sources_get_their_targets(spark):
+    """Large and small sources beside each other: targets to within a block, documents within three times their size."""
+    sizes = {"a": [50_000], "b": [60, 40], "c": [70], None: [6], "y": [1], "x": [162], "d": [500, 300, 200]}
+    rows = [(k, s, " ".join(["w"] * n)) for s, ns in sizes.items() for k, n in enumerate(ns, 10 * len(s or ""))]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    for seed in (0, 1, 2):
+        got = mixing.mix_documents(df, [1, 2, 3], seed).collect()
+        for source_size in {r.source_size for r in got}:
+            own = [r for r in got if r.source_size == source_size]
+            taken, target = sum(r.taken for r in own), own[0].target
+            block = source_size / -(-source_size // 64)
+            assert abs(taken - target) <= block / 2 + 3, (source_size, taken, target)
+            assert taken or target < block
+        assert all(r.taken <= 3 * r.size for r in got)
+
+
+def test_mixed_texts_of_a_million_words(spark):
+    long = " ".join(f"w{i}" for i in range(1_000_000))
+    df = spark.createDataFrame([(2**53 + 1, long, "a"), (None, "few words here", "b"), (4, "", "b")], "doc_id long, text string, source string")
+    began = time.time()
+    got = mixing.mixed_texts(df, [1, 2]).collect()
+    assert time.time() - began < 60
+    words = [[int(w[1:]) for w in r.text.split()] for r in got if r.doc_id == 2**53 + 1]
+    assert words and all(w == sorted(set(w)) for w in words) and max(map(len, words)) > 900_000
+
+
+def test_large_ids_beside_null_ones(spark):
+    big = [2**53 + 1, 2**53 + 3, None, -(2**62) - 1]
+    text = "one two three four five six seven eight. " * 3
+    df = spark.createDataFrame([(i, text + str(i)) for i in big], "doc_id long, text string").coalesce(1)
+    want = Counter(big)
+    assert Counter(r.doc_id for r in packing.pack_documents(df, tokenizer_path()).collect()) == want
+    got = ngram_join.ngram_classes(df).collect()
+    assert Counter(r.doc_id for r in got) == want and {r.class_id for r in got} <= set(big)
+
+
+def test_columns_named_like_working_columns_stay(spark):
+    names = ["__kept", "__id", "__gone", "__row", "__hash", "__turn", "__pieces", "words", "rank", "h", "node"]
+    rows = [(i, f"line number {i}\nthe same line in all of them", "a", *(f"{n}{i}" for n in names)) for i in range(4)]
+    df = spark.createDataFrame(rows, ["doc_id", "text", "source", *names])
+    for f in (lines.drop_repeated_lines, ngram_join.keep_one_of_each, lambda d: mixing.mixed_texts(d, [1])):
+        got = f(df)
+        assert got.columns == df.columns
+        assert {(r.doc_id, *(r[n] for n in names)) for r in got.collect()} == {(r[0], *r[3:]) for r in rows}

@@ -379,3 +379,21 @@ def test_linear_fit_separates():
     rows, cols = np.nonzero(x)
     w = toxicity.fit_linear(rows, cols, 6, np.zeros((400, 0)), y)
     assert w[2] > 3 and np.abs(np.delete(w[:6], 2)).max() < 1
+
+
+def test_large_ids_stay_beside_null_ones(spark):
+    big = [2**53 + 1, 2**53 + 3, None, -(2**62) - 1]
+    df = spark.createDataFrame([(i, f"some text of number {i} under the mit license") for i in big], "doc_id long, text string").coalesce(1)
+    for got in (licenses.license_scan(df), syncmers.compare_with_next(df), syncmers.syncmer_fingerprints(df), syncmers.syncmer_anchors(df).select("doc_id").distinct()):
+        assert sorted(r.doc_id or 0 for r in got.collect()) == sorted(i or 0 for i in big)
+
+
+def test_sample_is_bounded_where_labelled_ids_repeat(spark, monkeypatch):
+    rows = [(i % 3, f"text {i} {'bad' if i % 3 == 1 else 'good'} words") for i in range(3_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 0), (1, 1), (2, 0)], "doc_id long, toxic int")
+    seen = []
+    real = toxicity.fit_linear
+    monkeypatch.setattr(toxicity, "fit_linear", lambda rows, cols, size, earlier, y: seen.append(len(y)) or real(rows, cols, size, earlier, y))
+    toxicity.fit_chain(docs, labels, ["toxic"], max_rows=300, min_rows=1)
+    assert max(seen) == 300
