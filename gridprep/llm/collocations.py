@@ -7,7 +7,7 @@ the word after it on the right: that counts phrases of three and four words, and
 both phrases one word shorter inside it are frequent, since no phrase is more frequent than its parts.
 
 Ids are for the most frequent words and phrases, in a table of bounded size that all tasks have. Phrases with others are
-counted by Spark as they are; where the shorter ones inside them aren't in the table a sieve of bounded size, which never
+counted by their words, dealt out by hash; where the shorter ones inside them aren't in the table a sieve of bounded size, which never
 says no to a frequent one, decides whether they are looked at. So counts are exact whatever the table holds.
 """
 
@@ -266,20 +266,50 @@ def _tile_rows(lang: str, tile: int, cells: np.ndarray, counts: np.ndarray, salt
     return out
 
 
-def _batch(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names)
+def summed_phrases(held: list[tuple[pa.Array, np.ndarray]]) -> tuple[pa.Array, np.ndarray]:
+    """Each distinct phrase with the sum of its counts."""
+    encoded = pa.concat_arrays([p for p, _ in held]).dictionary_encode()
+    total = np.zeros(len(encoded.dictionary), np.int64)
+    np.add.at(total, encoded.indices.to_numpy(), np.concatenate([n for _, n in held]))
+    return encoded.dictionary, total
+
+
+def _phrase_rows(lang: str, phrases: pa.Array, counts: np.ndarray, buckets: int, salt: int) -> list[tuple]:
+    """Rows of TILE_SCHEMA for phrases without ranks: a line each in ``cells``, and a bucket b as tile -1 - b."""
+    shown = [p.encode("utf-8", "surrogatepass") for p in phrases.to_pylist()]
+    bucket = np.fromiter((xxhash.xxh32_intdigest(p) % buckets for p in shown), np.int64, len(shown))
+    order = np.argsort(bucket, kind="stable")
+    edges = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
+    out = []
+    for a, b in zip(edges, edges[1:], strict=False):
+        for c in range(a, b, SLICE):
+            own = order[c : min(b, c + SLICE)]
+            out.append((lang, -1 - int(bucket[own[0]]), 0, salt, b"\n".join(shown[i] for i in own), counts[own].astype("<i8").tobytes()))
+    return out
 
 
 _NAMES = ["lang", "tile", "strip", "salt", "cells", "counts"]
 _KINDS = [pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
 
 
+def _batches(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """Rows of TILE_SCHEMA in batches of bounded size."""
+    at = size = 0
+    for i, row in enumerate(rows):
+        size += len(row[4]) + len(row[5])
+        if size > CHUNK or i - at >= 5_000 or i + 1 == len(rows):
+            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows[at : i + 1]], kind) for j, kind in enumerate(_KINDS)], _NAMES)
+            at, size = i + 1, 0
+
+
 class Counter:
     """Counts the phrases of k words in chunks of texts: in tiles where they have ranks, as they are where they haven't."""
 
     def __init__(self, k: int, heads: dict[str, Head], sieve: np.ndarray | None, tile: int) -> None:
         self.k, self.heads, self.sieve = k, heads, sieve
         self.tiles = Tiles(tile)
+        self.rest: dict[str, list[tuple[pa.Array, np.ndarray]]] = defaultdict(list)
+        self.n_rest = 0
 
     def positions(self, lang: str, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Places of phrases whose parts may be frequent; the rank of all words but the last, and of the last, or -1."""
@@ -306,8 +336,7 @@ class Counter:
         at = np.flatnonzero(words.spans(k) & known[:n] & known[1 : n + 1])
         return at, rank[at], word[at + k - 1]
 
-    def add(self, lang: str, texts: list[bytes]) -> tuple[list[str], np.ndarray]:
-        """Takes a chunk; gives the phrases without ranks and their counts."""
+    def add(self, lang: str, texts: list[bytes]) -> None:
         words = Words(texts)
         at, left, right = self.positions(lang, words)
         ranked = (left >= 0) & (right >= 0)
@@ -315,51 +344,51 @@ class Counter:
             self.tiles.add(lang, left[ranked], right[ranked])
         rest = at[~ranked]
         if not len(rest):
-            return [], rest
+            return
         code = words.ids[rest]
         for j in range(1, self.k):
             code = np.unique(code, return_inverse=True)[1] * len(words.shown) + words.ids[rest + j]
         _, first, n = np.unique(code, return_index=True, return_counts=True)
         places = rest[first]
         columns = [words.shown.take(pa.array(words.ids[places + j])) for j in range(self.k)]
-        return pc.binary_join_element_wise(*columns, " "), n
+        self.rest[lang].append((pc.binary_join_element_wise(*columns, " "), n))
+        self.n_rest += len(n)
+
+    def full(self) -> bool:
+        return self.tiles.full() or self.n_rest > LOOSE // 4
+
+    def drain(self, buckets: int, salt: int) -> Iterator[pa.RecordBatch]:
+        """All counts as rows of TILE_SCHEMA; none are held then."""
+        rows: list[tuple] = []
+        for found in self.tiles.drain():
+            rows += _tile_rows(*found, salt)
+            if sum(len(r[5]) for r in rows[-STRIPS:]) > CHUNK or len(rows) > 5_000:
+                yield from _batches(rows)
+                rows = []
+        for lang, held in self.rest.items():
+            rows += _phrase_rows(lang, *summed_phrases(held), buckets, salt)
+        yield from _batches(rows)
+        self.rest.clear()
+        self.n_rest = 0
 
 
 def phrase_counts(docs: DataFrame, k: int, heads: dict[str, Head], sieve: np.ndarray | None, min_count: int, tile: int) -> DataFrame:
     """lang, phrase, f of the phrases of k words with f of at least ``min_count``."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((heads, sieve))
+    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranked, bits = shared.value
-        counter = Counter(k, ranked, bits, tile)
+        counter = Counter(k, *shared.value, tile)
         salt = TaskContext.get().partitionId() // FAN_IN
-        names, kinds = [*_NAMES, "phrase", "f"], [*_KINDS, pa.string(), pa.int64()]
-
-        def emptied() -> Iterator[pa.RecordBatch]:
-            rows: list[tuple] = []
-            size = 0
-            for found in counter.tiles.drain():
-                more = _tile_rows(*found, salt)
-                rows += [(*r, None, None) for r in more]
-                size += sum(len(r[5]) for r in more)
-                if size > CHUNK or len(rows) > 5_000:
-                    yield _batch(rows, names, kinds)
-                    rows, size = [], 0
-            if rows:
-                yield _batch(rows, names, kinds)
-
         for lang, texts in by_language(batches):
-            phrases, n = counter.add(lang, texts)
-            if len(phrases):
-                blank = [pa.nulls(len(phrases), kind) for kind in _KINDS[1:]]
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(phrases), pa.string()), *blank, phrases, pa.array(n)], names)
-            if counter.tiles.full():
-                yield from emptied()
-        yield from emptied()
+            counter.add(lang, texts)
+            if counter.full():
+                yield from counter.drain(buckets, salt)
+        yield from counter.drain(buckets, salt)
 
-    def summed(final: bool, fan: int):
-        """Adds up the counts of each strip of a tile; in the end as phrases."""
+    def summed(final: bool):
+        """Adds up the counts of each strip of a tile and of each bucket of phrases; in the end as phrases."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ranked = shared.value[0] if final else {}
@@ -367,16 +396,24 @@ def phrase_counts(docs: DataFrame, k: int, heads: dict[str, Head], sieve: np.nda
 
             def given() -> Iterator[pa.RecordBatch]:
                 lang, t, strip, salt = at
-                cells, counts = merged(held)
-                if not final:
-                    rows = [(lang, t, strip, salt // fan, np.diff(cells[a : a + SLICE], prepend=0).astype("<u4").tobytes(), counts[a : a + SLICE].astype("<i8").tobytes()) for a in range(0, len(cells), SLICE)]
-                    yield _batch(rows, _NAMES, _KINDS)
-                    return
-                often = np.flatnonzero(counts >= min_count)
-                if len(often):
+                if t < 0:
+                    phrases, counts = summed_phrases(held)
+                    if not final:
+                        yield from _batches(_phrase_rows(lang, phrases, counts, buckets, salt // FAN_IN))
+                        return
+                    often = np.flatnonzero(counts >= min_count)
+                    phrases = phrases.take(pa.array(often))
+                else:
+                    cells, counts = merged(held)
+                    if not final:
+                        parts = [slice(a, a + SLICE) for a in range(0, len(cells), SLICE)]
+                        yield from _batches([(lang, t, strip, salt // FAN_IN, np.diff(cells[p], prepend=0).astype("<u4").tobytes(), counts[p].astype("<i8").tobytes()) for p in parts])
+                        return
+                    often = np.flatnonzero(counts >= min_count)
                     left, right = (t >> 20) * tile + cells[often] // tile, (t & 0xFFFFF) * tile + cells[often] % tile
-                    shown = ranked[lang].shown
-                    phrases = pc.binary_join_element_wise(shown[k - 1].take(pa.array(left)), shown[1].take(pa.array(right)), " ")
+                    shown = ranked[lang].shown if len(often) else {}
+                    phrases = pc.binary_join_element_wise(shown[k - 1].take(pa.array(left)), shown[1].take(pa.array(right)), " ") if len(often) else []
+                if len(often):
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(often), pa.string()), phrases, pa.array(counts[often])], ["lang", "phrase", "f"])
 
             for batch in batches:
@@ -386,11 +423,14 @@ def phrase_counts(docs: DataFrame, k: int, heads: dict[str, Head], sieve: np.nda
                         if held:
                             yield from given()
                         at, held, n = key, [], 0
-                    cells = np.cumsum(np.frombuffer(row["cells"], "<u4"), dtype=np.int64)
-                    held.append((cells, np.frombuffer(row["counts"], "<i8")))
-                    n += len(cells)
+                    counts = np.frombuffer(row["counts"], "<i8")
+                    if row["tile"] < 0:
+                        held.append((pa.array(row["cells"].split(b"\n"), pa.binary()).cast(pa.string()), counts))
+                    else:
+                        held.append((np.cumsum(np.frombuffer(row["cells"], "<u4"), dtype=np.int64), counts))
+                    n += len(counts)
                     if n > LOOSE:
-                        held = [merged(held)]
+                        held = [summed_phrases(held) if row["tile"] < 0 else merged(held)]
                         n = 0
             if held:
                 yield from given()
@@ -399,16 +439,16 @@ def phrase_counts(docs: DataFrame, k: int, heads: dict[str, Head], sieve: np.nda
 
     small_batches(spark)
     source = text_rows(docs)
-    parts = cut(source.mapInArrow(counted, f"{TILE_SCHEMA}, phrase string, f long"))
-    rest = parts.filter("phrase is not null").groupBy("lang", "phrase").agg(F.sum("f").alias("f")).filter(F.col("f") >= min_count)
-    tiles = parts.filter("phrase is null").drop("phrase", "f")
+    tiles = source.mapInArrow(counted, TILE_SCHEMA)
     salts = -(-source.rdd.getNumPartitions() // FAN_IN)
     keys = ["lang", "tile", "strip", "salt"]
     while salts > 1:
-        tiles = tiles.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(summed(False, FAN_IN), TILE_SCHEMA)
+        tiles = tiles.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(summed(False), TILE_SCHEMA)
         salts = -(-salts // FAN_IN)
-    tiles = tiles.withColumn("salt", F.lit(0)).repartition(*keys).sortWithinPartitions(*keys).mapInArrow(summed(True, 1), "lang string, phrase string, f long")
-    return tiles.unionByName(rest)
+    tiles = tiles.withColumn("salt", F.lit(0)).repartition(*keys).sortWithinPartitions(*keys)
+    found = cut(tiles.mapInArrow(summed(True), "lang string, phrase string, f long"))
+    shared.destroy()
+    return found
 
 
 def frequent_phrases(docs: DataFrame, min_count: int = 30, longest: int = 4, head: int = HEAD, tile: int = TILE) -> tuple[DataFrame, DataFrame]:
@@ -427,7 +467,7 @@ def frequent_phrases(docs: DataFrame, min_count: int = 30, longest: int = 4, hea
             heads.setdefault(lang, Head()).add(k - 1, own["phrase"].tolist())
             given += len(heads[lang].shown[k - 1])
         sieve = bits_of(phrase_hashes(level, k - 1), F.col("h"), sieve_words(n)) if given < n else None
-        level = cut(phrase_counts(docs, k, heads, sieve, min_count, tile))
+        level = phrase_counts(docs, k, heads, sieve, min_count, tile)
         levels.append(level.withColumn("k", F.lit(k)))
     whole = levels[0]
     for more in levels[1:]:
