@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridprep.functions.geo import EARTH_RADIUS, haversine
+from gridprep.operators.rivers import accumulate, closure, outlets, tree_labels, unrelated  # noqa: F401
 from gridprep.session import reliable_cut
 
 
@@ -17,26 +18,6 @@ def river_graph(df: DataFrame) -> DataFrame:
     return out.select("cell", F.when(F.col("__known"), F.col("next_cell")).alias("next_cell"))
 
 
-def outlets(graph: DataFrame, max_rounds: int = 64) -> DataFrame:
-    """cell, outlet, depth (steps to it), by pointer doubling: as many rounds as the depth has binary digits.
-
-    A cycle would never end: it shows as cells still on their way once the rounds are more than the digits of the
-    number of cells, and is an error.
-    """
-    state = reliable_cut(graph.select("cell", F.coalesce("next_cell", "cell").alias("to"), F.when(F.col("next_cell").isNull(), 0).otherwise(1).cast("long").alias("steps"), F.col("next_cell").isNull().alias("done")))
-    rounds = min(max_rounds, max(1, state.count()).bit_length() + 1)
-    for _ in range(rounds):
-        if state.filter(~F.col("done")).isEmpty():
-            return state.select("cell", F.col("to").alias("outlet"), F.col("steps").alias("depth"))
-        ahead = state.select(F.col("cell").alias("to"), F.col("to").alias("to2"), F.col("steps").alias("steps2"), F.col("done").alias("done2"))
-        moving = state.filter(~F.col("done")).join(ahead, "to")
-        moving = moving.select("cell", F.col("to2").alias("to"), (F.col("steps") + F.col("steps2")).alias("steps"), F.col("done2").alias("done"))
-        state = reliable_cut(state.filter("done").unionByName(moving))
-    if state.filter(~F.col("done")).isEmpty():
-        return state.select("cell", F.col("to").alias("outlet"), F.col("steps").alias("depth"))
-    raise ValueError("the river network has a cycle")
-
-
 def check_river(df: DataFrame) -> DataFrame:
     """cell, problem: what is wrong with a network of cell and next_cell: repeated (a cell with several rows), outside (a
     next cell that isn't a cell), itself, or cycle (a cell whose way down never ends). Negative next cells are outlets.
@@ -59,50 +40,6 @@ def _doubled(jump: DataFrame) -> DataFrame:
     return reliable_cut(jump.join(jump.select(F.col("cell").alias("to"), F.col("to").alias("to2")), "to").select("cell", F.col("to2").alias("to")))
 
 
-def _rounds(jump: DataFrame):
-    """Counts the rounds of a doubling: a way without a cycle ends after as many as the number of cells has digits."""
-    most = max(1, jump.count()).bit_length()
-    for n in range(most + 1):
-        yield n
-    raise ValueError("the river network has a cycle")
-
-
-def closure(graph: DataFrame, cells: DataFrame | None = None) -> DataFrame:
-    """cell, down_cell, steps: every cell downstream of each cell (of ``cells``, if given), by doubling the reach.
-
-    The result has as many rows as the depths add up to: ask for the cells in play only. A cycle is an error.
-    """
-    jump = reliable_cut(graph.filter("next_cell is not null").select("cell", F.col("next_cell").alias("to")))
-    pairs = jump if cells is None else jump.join(cells.select("cell").distinct(), "cell", "left_semi")
-    pairs = reliable_cut(pairs.select("cell", F.col("to").alias("down_cell"), F.lit(1).cast("long").alias("steps")))
-    reach = 1
-    for _ in _rounds(jump):
-        if jump.isEmpty():
-            break
-        # pairs reach up to ``reach`` steps and ``jump`` goes exactly that far
-        more = pairs.join(jump.select(F.col("cell").alias("down_cell"), "to"), "down_cell").select("cell", F.col("to").alias("down_cell"), (F.col("steps") + reach).alias("steps"))
-        pairs = reliable_cut(pairs.unionByName(more))
-        jump = _doubled(jump)
-        reach *= 2
-    return pairs
-
-
-def accumulate(graph: DataFrame, values: DataFrame, value: str = "area") -> DataFrame:
-    """cell and the sum of ``value`` over itself and all cells upstream, by doubling: one aggregation and join a round.
-
-    A cycle is an error.
-    """
-    acc = reliable_cut(values.select("cell", F.col(value).cast("double").alias("acc")))
-    jump = reliable_cut(graph.filter("next_cell is not null").select("cell", F.col("next_cell").alias("to")))
-    for _ in _rounds(jump):
-        if jump.isEmpty():
-            break
-        got = jump.join(acc, "cell").groupBy(F.col("to").alias("cell")).agg(F.sum("acc").alias("more"))
-        acc = reliable_cut(acc.join(got, "cell", "left").select("cell", (F.col("acc") + F.coalesce("more", F.lit(0.0))).alias("acc")))
-        jump = _doubled(jump)
-    return acc.withColumnRenamed("acc", value)
-
-
 def radius_join(left: DataFrame, right: DataFrame, radius: float, left_id: str = "cell", right_id: str = "other") -> DataFrame:
     """(left_id, right_id, distance): pairs within ``radius`` metres, across the 180-degree line as well.
 
@@ -136,32 +73,6 @@ def exclude_related(pairs: DataFrame, related: DataFrame) -> DataFrame:
     return pairs.join(down, ["cell", "other"], "left_anti").join(down.select(F.col("other").alias("cell"), F.col("cell").alias("other")), ["cell", "other"], "left_anti")
 
 
-def unrelated(pairs: DataFrame, graph: DataFrame) -> DataFrame:
-    """Pairs (cell, other, ...) of which neither is downstream of the other, without the list of all that is downstream.
-
-    Cells with different outlets, or equally far from one, are unrelated; that settles most pairs. Of the others the one
-    further up goes down by the difference of their depths, in steps of powers of two, and is related if it meets the
-    other. So the joins are of pairs in question with one row a cell, as many as the difference has binary digits.
-    """
-    ends = outlets(graph)
-    at = lambda c: ends.select(F.col("cell").alias(c), F.struct("outlet", "depth").alias(f"__{c}"))
-    placed = pairs.join(at("cell"), "cell").join(at("other"), "other")
-    same = (F.col("__cell.outlet") == F.col("__other.outlet")) & (F.col("__cell.depth") != F.col("__other.depth"))
-    deeper = F.col("__cell.depth") > F.col("__other.depth")
-    asked = placed.filter(same).select("cell", "other", F.when(deeper, F.col("cell")).otherwise(F.col("other")).alias("at"), F.when(deeper, F.col("other")).otherwise(F.col("cell")).alias("goal"), F.abs(F.col("__cell.depth") - F.col("__other.depth")).alias("steps"))
-    asked = reliable_cut(asked.distinct())
-    furthest = asked.agg(F.max("steps")).first()[0] or 0
-    jump = reliable_cut(graph.filter("next_cell is not null").select("cell", F.col("next_cell").alias("to")))
-    for k in range(int(furthest).bit_length()):
-        if k:
-            jump = _doubled(jump)
-        moves = F.col("steps").bitwiseAND(F.lit(1 << k)) != 0
-        moved = asked.filter(moves).join(jump.select(F.col("cell").alias("at"), "to"), "at").withColumn("at", F.col("to")).drop("to")
-        asked = reliable_cut(moved.select(*asked.columns).unionByName(asked.filter(~moves)))
-    related = asked.filter("at = goal").select("cell", "other")
-    return pairs.join(related, ["cell", "other"], "left_anti")
-
-
 def best_neighbour(grid: DataFrame, graph: DataFrame, upstream: DataFrame, candidates: DataFrame, power: float = 2.0) -> DataFrame:
     """cell, best: the candidate with the highest upstream area / distance^power that is on no common river with the cell.
 

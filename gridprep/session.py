@@ -52,3 +52,11 @@ def stored(df):
     path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def arrow_rows(spark: SparkSession, most: int) -> None:
+    """Arrow batches of at most so many rows, for tables whose rows hold long arrays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if now <= 0 or now > most:
+        spark.conf.set(key, str(most))
