@@ -26,6 +26,7 @@ def lattice(spark):
     from gridprep.functions import geo
     from gridprep.functions.geo import GridSpec
     from gridprep.operators import capacity, graph, grid
+    from gridprep.operators.rivers import tile_of_blocks
 
     spec = GridSpec(-180.0, 90.0, 1 / 12, 1 / 12, 4320, 2160)
     cells = spark.range(4320 * 2160).select(F.col("id").alias("cell"), (F.col("id") % 4320).cast("int").alias("gcol"), F.floor(F.col("id") / 4320).cast("int").alias("grow"))
@@ -37,7 +38,7 @@ def lattice(spark):
         "lattice_block_sum": lambda: grid.block_agg(cells, 6, 6),
         "lattice_disaggregate": lambda: capacity.disaggregate(totals, own),
         "lattice_radius_join": lambda: graph.radius_join(cells.filter("grow between 700 and 760"), cells.filter("grow between 690 and 770").withColumnRenamed("cell", "other"), 20_000.0),
-        "lattice_accumulate": lambda: graph.accumulate(graph.river_graph(river), cells.select("cell", F.col("value").alias("area"))),
+        "lattice_accumulate": lambda: graph.accumulate(graph.river_graph(river), cells.select("cell", F.col("value").alias("area")), tile=tile_of_blocks(4320)),
     }
 
 

@@ -73,13 +73,16 @@ def exclude_related(pairs: DataFrame, related: DataFrame) -> DataFrame:
     return pairs.join(down, ["cell", "other"], "left_anti").join(down.select(F.col("other").alias("cell"), F.col("cell").alias("other")), ["cell", "other"], "left_anti")
 
 
-def best_neighbour(grid: DataFrame, graph: DataFrame, upstream: DataFrame, candidates: DataFrame, power: float = 2.0) -> DataFrame:
+def best_neighbour(grid: DataFrame, graph: DataFrame, upstream: DataFrame | None, candidates: DataFrame, power: float = 2.0, labels: DataFrame | None = None) -> DataFrame:
     """cell, best: the candidate with the highest upstream area / distance^power that is on no common river with the cell.
 
-    Ties: the nearer, then the smaller id; a cell without candidates is its own. ``candidates``: cell, other, distance.
+    Ties: the nearer, then the smaller id; a cell without candidates is its own. ``candidates``: cell, other, distance;
+    ``upstream``: cell, area; or none, and ``labels`` of tree_labels with the areas as their values.
     """
-    free = unrelated(candidates.filter("cell <> other"), graph)
-    scored = free.join(upstream.select(F.col("cell").alias("other"), F.col("area").alias("up")), "other").withColumn("score", F.col("up") / F.pow("distance", F.lit(power)))
+    labels = tree_labels(graph) if labels is None else labels
+    up = labels.select(F.col("cell").alias("other"), F.col("value").alias("up")) if upstream is None else upstream.select(F.col("cell").alias("other"), F.col("area").alias("up"))
+    free = unrelated(candidates.filter("cell <> other"), graph, labels=labels)
+    scored = free.join(up, "other").withColumn("score", F.col("up") / F.pow("distance", F.lit(power)))
     best = scored.groupBy("cell").agg(F.min_by("other", F.struct((-F.col("score")).alias("a"), "distance", "other")).alias("best"))
     return grid.select("cell").join(best, "cell", "left").select("cell", F.coalesce("best", "cell").alias("best"))
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from gridprep.session import arrow_rows, reliable_cut, stored
 
 #: Ids of consecutive cells in a tile.
-TILE = 1 << 14
+TILE = 1 << 16
 CYCLE = "the river network has a cycle"
 
 Tile = Callable[[Column], Column]
@@ -29,7 +29,7 @@ def tile_of_ids(size: int = TILE) -> Tile:
     return lambda cell: F.floor(cell / F.lit(size)).cast("long")
 
 
-def tile_of_blocks(ncol: int, side: int = 128) -> Tile:
+def tile_of_blocks(ncol: int, side: int = 256) -> Tile:
     """Square tiles of a grid whose ids run along rows of ``ncol`` cells."""
     across = -(-ncol // side)
     return lambda cell: (F.floor(F.floor(cell / F.lit(ncol)) / F.lit(side)) * across + F.floor(F.pmod(cell, F.lit(ncol)) / F.lit(side))).cast("long")
@@ -80,7 +80,10 @@ def _lists(**columns: np.ndarray) -> pd.DataFrame:
     return pd.DataFrame({k: [v] for k, v in columns.items()})
 
 
-_TILED = "tile long, cell array<long>, here array<int>, end array<int>, onward array<long>, steps array<long>, value array<double>, weight array<long>, lost boolean"
+_TILED = "tile long, cell array<long>, here array<int>, end array<int>, onward array<long>, steps array<long>, value array<double>, weight array<long>, lost boolean, leaves boolean"
+
+
+_BORDERS = "cell long, tile long, exit long, onward long, steps long, weight long"
 
 
 class Tiled:
@@ -92,23 +95,42 @@ class Tiled:
 
     def __init__(self, graph: DataFrame, values: DataFrame | None = None, weights: DataFrame | None = None, tile: Tile | None = None) -> None:
         self.tile = tile or tile_of_ids()
-        arrow_rows(graph.sparkSession, 128)
-        rows = graph.select("cell", F.coalesce("next_cell", F.lit(-1)).cast("long").alias("to"))
-        for more, name in ((values, "value"), (weights, "weight")):
-            rows = rows.withColumn(name, F.lit(None)) if more is None else rows.join(more.select("cell", F.col(name)), "cell", "left")
-        rows = rows.select(self.tile(F.col("cell")).alias("tile"), F.col("cell").cast("long").alias("cell"), "to", F.coalesce(F.col("value").cast("double"), F.lit(0.0)).alias("value"), F.coalesce(F.col("weight").cast("long"), F.lit(0)).alias("weight"))
+        arrow_rows(graph.sparkSession, 32)
+        # what belongs to a tile is sent to it side by side, without joins: steps (next cell), values, weights
+        kinds = [graph.select("cell", F.lit(0).alias("kind"), F.coalesce("next_cell", F.lit(-1)).cast("long").alias("to"), F.lit(0.0).alias("x"))]
+        if values is not None:
+            kinds.append(values.select("cell", F.lit(1), F.lit(-1).cast("long"), F.col("value").cast("double")))
+        if weights is not None:
+            kinds.append(weights.select("cell", F.lit(2), F.col("weight").cast("long"), F.lit(0.0)))
+        rows = kinds[0]
+        for more in kinds[1:]:
+            rows = rows.union(more)
+        rows = rows.select(self.tile(F.col("cell")).alias("tile"), F.col("cell").cast("long").alias("cell"), "kind", "to", F.coalesce("x", F.lit(0.0)).alias("x"))
 
         def solved(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values("cell")
-            cells, to = pdf["cell"].to_numpy(np.int64), pdf["to"].to_numpy(np.int64)
+            kind, every = pdf["kind"].to_numpy(), pdf["cell"].to_numpy(np.int64)
+            own = np.flatnonzero(kind == 0)
+            own = own[np.argsort(every[own], kind="stable")]
+            cells, to = every[own], pdf["to"].to_numpy(np.int64)[own]
+            if not len(cells):
+                return pd.DataFrame()
+            value, weight = np.zeros(len(cells)), np.zeros(len(cells), np.int64)
+            for k, out, column in ((1, value, "x"), (2, weight, "to")):
+                given = np.flatnonzero(kind == k)
+                at = np.minimum(np.searchsorted(cells, every[given]), len(cells) - 1)
+                known = cells[at] == every[given]
+                np.add.at(out, at[known], pdf[column].to_numpy()[given][known])
             here, end, steps, lost = local_ways(cells, to)
             onward = np.where(to[end] >= 0, to[end], -1)
-            return _lists(tile=pdf["tile"].iloc[0], cell=cells, here=here.astype(np.int32), end=end.astype(np.int32), onward=onward, steps=steps, value=pdf["value"].to_numpy(np.float64), weight=pdf["weight"].to_numpy(np.int64), lost=bool(lost.any()))
+            return _lists(tile=pdf["tile"].iloc[0], cell=cells, here=here.astype(np.int32), end=end.astype(np.int32), onward=onward, steps=steps, value=value, weight=weight, lost=bool(lost.any()), leaves=bool((onward >= 0).any()))
 
         self.tiles = stored(rows.groupBy("tile").applyInPandas(solved, _TILED))
-        if not self.tiles.filter("lost").isEmpty():
+        found = self.tiles.agg(F.bool_or("lost"), F.bool_or("leaves")).first()
+        if found[0]:
             raise ValueError(CYCLE)
-        self.borders = self._borders()
+        #: Whether any way crosses a border; else there is nothing to do between tiles.
+        self.crossed = bool(found[1])
+        self.borders = self._borders() if self.crossed else graph.sparkSession.createDataFrame([], _BORDERS)
 
     def _borders(self) -> DataFrame:
         """cell (entered from another tile), tile, exit, onward (entered from there, or -1), steps and weight to the exit."""
@@ -128,17 +150,14 @@ class Tiled:
 
         wanted = self.tiles.select("onward").mapInPandas(left, "cell long").distinct()
         wanted = wanted.groupBy(self.tile(F.col("cell")).alias("tile")).agg(F.collect_list("cell").alias("wanted"))
-        return stored(self.tiles.join(wanted, "tile").mapInPandas(entered, "cell long, tile long, exit long, onward long, steps long, weight long"))
-
-    def _with(self, at: DataFrame, **kinds: str) -> DataFrame:
-        """The tiles with what is known about border cells: lists of cells and values, in one row a tile."""
-        known = at.groupBy(self.tile(F.col("cell")).alias("tile")).agg(F.sort_array(F.collect_list(F.struct("cell", *kinds))).alias("k"))
-        known = known.select("tile", F.col("k.cell").alias("known"), *(F.col(f"k.{k}").alias(f"known_{k}") for k in kinds))
-        return self.tiles.join(known, "tile", "left")
+        return stored(self.tiles.join(wanted, "tile").mapInPandas(entered, _BORDERS))
 
     def down(self) -> DataFrame:
         """cell, outlet, depth (steps to it) and the weights summed up from the cell to the outlet."""
         ends = "cell long, outlet long, depth long, weight long"
+        plain = self.tiles.select("cell", "here", "end", "onward", "steps", "weight")
+        if not self.crossed:
+            return plain.mapInPandas(_spread_down, ends)
         state = self.borders.select("cell", F.when(F.col("onward") < 0, F.col("exit")).otherwise(F.col("onward")).alias("to"), (F.col("steps") + (F.col("onward") >= 0).cast("long")).alias("steps"), "weight", (F.col("onward") < 0).alias("done"))
         solved = _down_by_doubling(reliable_cut(state))
         # border cells' answers go to the tiles that are left towards them
@@ -146,43 +165,29 @@ class Tiled:
         known = onward.groupBy("tile").agg(F.sort_array(F.collect_list(F.struct("cell", "outlet", "depth", "weight"))).alias("k"))
         known = known.select("tile", F.col("k.cell").alias("k_cell"), F.col("k.outlet").alias("k_outlet"), F.col("k.depth").alias("k_depth"), F.col("k.weight").alias("k_weight"))
 
-        def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                for _, r in pdf.iterrows():
-                    outlet, depth, weight = r["cell"][r["end"]], r["steps"].copy(), along(r["here"], r["weight"])
-                    out = np.flatnonzero(r["onward"] >= 0)
-                    if len(out):
-                        at = np.searchsorted(r["k_cell"], r["onward"][out])
-                        outlet[out] = r["k_outlet"][at]
-                        depth[out] += 1 + r["k_depth"][at]
-                        weight[out] += r["k_weight"][at]
-                    yield pd.DataFrame({"cell": r["cell"], "outlet": outlet, "depth": depth, "weight": weight})
-
-        return self.tiles.select("tile", "cell", "here", "end", "onward", "steps", "weight").join(known, "tile", "left").mapInPandas(spread, ends)
+        return self.tiles.join(known, "tile", "left").select(*plain.columns, "k_cell", "k_outlet", "k_depth", "k_weight").mapInPandas(_spread_down, ends)
 
     def up(self) -> DataFrame:
-        """cell, value: the values summed up over the cell and all upstream."""
+        """cell, value, upstream: the values summed up over the cell and all upstream, and how many cells these are."""
+
+        total = "cell long, value double, upstream long"
+        narrow = self.tiles.select("cell", "here", "onward", "steps", "value")
+        if not self.crossed:
+            return narrow.mapInPandas(_spread_up, total)
 
         def leaving(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
                 for _, r in pdf.iterrows():
                     ends = np.flatnonzero((r["here"] < 0) & (r["onward"] >= 0))
-                    total = gathered(r["here"], r["steps"], r["value"])
-                    yield pd.DataFrame({"cell": r["onward"][ends], "value": total[ends]})
+                    value, n = (gathered(r["here"], r["steps"], x)[ends] for x in (r["value"], np.ones(len(r["here"]), np.int64)))
+                    yield pd.DataFrame({"cell": r["onward"][ends], "value": value, "upstream": n})
 
-        def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                for _, r in pdf.iterrows():
-                    value = r["value"].copy()
-                    if r["known"] is not None:
-                        value[np.searchsorted(r["cell"], r["known"])] += r["known_value"]
-                    yield pd.DataFrame({"cell": r["cell"], "value": gathered(r["here"], r["steps"], value)})
-
-        narrow = self.tiles.select("here", "onward", "steps", "value")
-        entering = narrow.mapInPandas(leaving, "cell long, value double").groupBy("cell").agg(F.sum("value").alias("value"))
+        entering = narrow.mapInPandas(leaving, total).groupBy("cell").agg(F.sum("value").alias("value"), F.sum("upstream").alias("upstream"))
         edges = self.borders.select("cell", F.when(F.col("onward") >= 0, F.col("onward")).alias("next_cell"))
         inflow = _up_by_doubling(edges, entering)
-        return self._with(inflow, value="double").select("cell", "here", "steps", "value", "known", "known_value").mapInPandas(spread, "cell long, value double")
+        known = inflow.groupBy(self.tile(F.col("cell")).alias("tile")).agg(F.sort_array(F.collect_list(F.struct("cell", "value", "upstream"))).alias("k"))
+        known = known.select("tile", F.col("k.cell").alias("k_cell"), F.col("k.value").alias("k_value"), F.col("k.upstream").alias("k_upstream"))
+        return self.tiles.join(known, "tile", "left").select(*narrow.columns, "k_cell", "k_value", "k_upstream").mapInPandas(_spread_up, total)
 
     def closure(self, cells: DataFrame | None = None) -> DataFrame:
         """cell, down_cell, steps of every cell (or those of ``cells``): ways inside tiles, and the borders' own closure."""
@@ -219,11 +224,14 @@ class Tiled:
                         yield found
 
         if cells is None:
+            # of all cells
             asked = self.tiles.withColumn("known", F.lit(None).cast("array<long>"))
         else:
             known = cells.select("cell").distinct().groupBy(self.tile(F.col("cell")).alias("tile")).agg(F.sort_array(F.collect_list("cell")).alias("known"))
             asked = self.tiles.join(known, "tile")
         local = asked.select("cell", "here", "known").mapInPandas(inside, pairs)
+        if not self.crossed:
+            return local
         leaving = asked.select("cell", "onward", "steps", "known").mapInPandas(left, "cell long, entry long, steps long")
         edges = self.borders.select("cell", F.when(F.col("onward") >= 0, F.col("onward")).alias("to"), (F.col("steps") + 1).alias("steps"))
         reach = _closure_by_doubling(edges.filter("to is not null"))
@@ -235,6 +243,33 @@ class Tiled:
         return local.unionByName(far.select("cell", "down_cell", (F.col("steps") + F.col("between") + F.col("more")).alias("steps")))
 
 
+def _spread_down(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """cell, outlet, depth, weight of tiles and what is known about the border cells that they are left towards."""
+    for pdf in batches:
+        for _, r in pdf.iterrows():
+            outlet, depth, weight = r["cell"][r["end"]], r["steps"].copy(), along(r["here"], r["weight"])
+            out = np.flatnonzero(r["onward"] >= 0)
+            if len(out):
+                at = np.searchsorted(r["k_cell"], r["onward"][out])
+                outlet[out] = r["k_outlet"][at]
+                depth[out] += 1 + r["k_depth"][at]
+                weight[out] += r["k_weight"][at]
+            yield pd.DataFrame({"cell": r["cell"], "outlet": outlet, "depth": depth, "weight": weight})
+
+
+def _spread_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """cell, value, upstream of tiles and of what flows into them."""
+    for pdf in batches:
+        for _, r in pdf.iterrows():
+            value, n = r["value"].copy(), np.ones(len(r["cell"]), np.int64)
+            known = r.get("k_cell")
+            if known is not None:
+                at = np.searchsorted(r["cell"], known)
+                value[at] += r["k_value"]
+                n[at] += r["k_upstream"]
+            yield pd.DataFrame({"cell": r["cell"], "value": gathered(r["here"], r["steps"], value), "upstream": gathered(r["here"], r["steps"], n)})
+
+
 def _rounds(n: int) -> Iterator[int]:
     """Rounds of a doubling: a way without a cycle ends after as many as the number of cells has binary digits."""
     yield from range(max(1, n).bit_length() + 1)
@@ -258,14 +293,15 @@ def _doubled(jump: DataFrame) -> DataFrame:
 
 
 def _up_by_doubling(edges: DataFrame, values: DataFrame) -> DataFrame:
-    """cell, value: ``values`` summed up over all upstream cells of ``edges`` (cell, next_cell)."""
-    acc = reliable_cut(edges.select("cell").join(values, "cell", "left").select("cell", F.coalesce("value", F.lit(0.0)).alias("value")))
+    """cell, value, upstream: those of ``values`` summed up over all upstream cells of ``edges`` (cell, next_cell)."""
+    names = ["value", "upstream"]
+    acc = reliable_cut(edges.select("cell").join(values, "cell", "left").fillna(0, names).select("cell", *names))
     jump = reliable_cut(edges.filter("next_cell is not null").select("cell", F.col("next_cell").alias("to")))
     for _ in _rounds(jump.count()):
         if jump.isEmpty():
             return acc
-        got = jump.join(acc, "cell").groupBy(F.col("to").alias("cell")).agg(F.sum("value").alias("more"))
-        acc = reliable_cut(acc.join(got, "cell", "left").select("cell", (F.col("value") + F.coalesce("more", F.lit(0.0))).alias("value")))
+        got = jump.join(acc, "cell").groupBy(F.col("to").alias("cell")).agg(*(F.sum(n).alias(f"more_{n}") for n in names))
+        acc = reliable_cut(acc.join(got, "cell", "left").select("cell", *((F.col(n) + F.coalesce(f"more_{n}", F.lit(0))).alias(n) for n in names)))
         jump = _doubled(jump)
     return acc
 
@@ -292,7 +328,7 @@ def outlets(graph: DataFrame, tile: Tile | None = None) -> DataFrame:
 def accumulate(graph: DataFrame, values: DataFrame, value: str = "area", tile: Tile | None = None) -> DataFrame:
     """cell and the sum of ``value`` over itself and all cells upstream. A cycle is an error."""
     tiled = Tiled(graph, values.select("cell", F.col(value).alias("value")), tile=tile)
-    return tiled.up().withColumnRenamed("value", value)
+    return tiled.up().select("cell", F.col("value").alias(value))
 
 
 def closure(graph: DataFrame, cells: DataFrame | None = None, tile: Tile | None = None) -> DataFrame:
@@ -303,20 +339,21 @@ def closure(graph: DataFrame, cells: DataFrame | None = None, tile: Tile | None
     return Tiled(graph, tile=tile).closure(cells)
 
 
-def tree_labels(graph: DataFrame, tile: Tile | None = None) -> DataFrame:
-    """cell, outlet, depth, pre, upstream: numbers by which "downstream of" is a comparison.
+def tree_labels(graph: DataFrame, tile: Tile | None = None, values: DataFrame | None = None) -> DataFrame:
+    """cell, outlet, depth, pre, upstream, value: numbers by which "downstream of" is a comparison.
 
     ``pre`` numbers the cells of a basin from its outlet upwards, each cell before all that drain into it, branch by branch
     (of smaller cells first); ``upstream`` counts a cell and all that drain into it. So d lies downstream of c, or is c, if
-    both have one outlet and pre(d) <= pre(c) < pre(d) + upstream(d).
+    both have one outlet and pre(d) <= pre(c) < pre(d) + upstream(d). ``value`` sums up ``values`` (cell, value) like
+    ``upstream``; without them it is 0.
     """
-    sizes = stored(accumulate(graph, graph.select("cell", F.lit(1.0).alias("n")), "n", tile).select("cell", F.col("n").cast("long").alias("upstream")))
+    sums = stored(Tiled(graph, values, tile=tile).up())
     # a cell's number is its parent's, and one more, and the sizes of the branches before its own
     earlier = Window.partitionBy("next_cell").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    branches = graph.filter("next_cell is not null").join(sizes, "cell")
+    branches = graph.filter("next_cell is not null").join(sums.select("cell", "upstream"), "cell")
     steps = branches.select("cell", (F.lit(1) + F.coalesce(F.sum("upstream").over(earlier), F.lit(0))).alias("weight"))
     placed = Tiled(graph, weights=steps, tile=tile).down()
-    return stored(placed.select("cell", "outlet", "depth", F.col("weight").alias("pre")).join(sizes, "cell"))
+    return stored(placed.select("cell", "outlet", "depth", F.col("weight").alias("pre")).join(sums, "cell"))
 
 
 def is_downstream(of: str, cell: str) -> Column:

@@ -42,6 +42,14 @@ def r02(spark, sf):
     return graph.outlets(_river(spark, sf))
 
 
+_LABELS = _WALK + ", p AS (SELECT cell, max(steps) AS depth FROM w GROUP BY 1), o AS (SELECT w.cell, w.loc AS outlet, p.depth FROM w JOIN p ON p.cell = w.cell AND w.steps = p.depth), u AS (SELECT loc AS cell, count(*) AS upstream FROM w GROUP BY 1), e AS (SELECT w.loc AS cell, 1 + coalesce((SELECT sum(u.upstream) FROM v_river s JOIN u ON u.cell = s.cell WHERE s.next_cell = r.next_cell AND s.cell < r.cell), 0) AS step FROM (SELECT DISTINCT loc FROM w) w JOIN v_river r ON r.cell = w.loc AND r.next_cell >= 0), q AS (SELECT w.cell, CAST(coalesce(sum(e.step), 0) AS BIGINT) AS pre FROM w LEFT JOIN e ON e.cell = w.loc GROUP BY 1)"
+
+
+@query("r03_tree_labels", oracle("v_river", "SELECT cell, outlet, depth, pre, upstream FROM o JOIN u USING (cell) JOIN q USING (cell)", _LABELS))
+def r03_labels(spark, sf):
+    return graph.tree_labels(_river(spark, sf)).select("cell", "outlet", "depth", "pre", "upstream")
+
+
 @query("r03_closure", oracle("v_river", "SELECT cell, loc AS down_cell, steps FROM w WHERE steps > 0", _WALK))
 def r03(spark, sf):
     return graph.closure(_river(spark, sf))
@@ -79,7 +87,8 @@ def j09(spark, sf):
 def r05(spark, sf):
     g, pairs = _pairs(spark, sf)
     river = _river(spark, sf)
-    return graph.best_neighbour(g, river, graph.accumulate(river, view(spark, sf, "v_river")), pairs)
+    labels = graph.tree_labels(river, values=view(spark, sf, "v_river").select("cell", F.col("area").alias("value")))
+    return graph.best_neighbour(g, river, None, pairs, labels=labels)
 
 
 _SNAP = _WALK + ", u AS (SELECT loc AS cell, sum(area) AS up FROM w GROUP BY 1), c AS (SELECT point_id, g.cell, " + _hav("p.lon", "p.lat", "g.lon", "g.lat") + """ AS distance, (up - catch_area) / nullif(catch_area, 0) AS deviation FROM v_points p
