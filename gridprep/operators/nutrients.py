@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridprep.operators.medians import exact_medians
+from gridprep.session import stored
+
 Keys = Sequence[str]
 
 
@@ -39,18 +42,19 @@ def rate_fill(cells: DataFrame, levels: Keys, value: str = "rate", least: int =
     of its own. ``national`` names a flag column: units of flagged sources are only looked for in the country.
     """
     out = cells
-    inner = F.col("border") <= 1
+    # a unit has border cells only, or they don't count: so a row for each unit and kind of cell, and all levels at once
+    inner = (F.col("border") <= 1).alias("inner")
+    usable = lambda k: F.col(value).isNotNull() & ~F.col(national) if national and k + 1 < len(levels) else F.col(value).isNotNull()
+    units = F.explode(F.array(*(F.struct(F.lit(k).alias("k"), F.col(level).cast("string").alias("unit"), F.when(usable(k), F.col(value)).alias("v")) for k, level in enumerate(levels))))
+    rows = cells.select(F.coalesce(inner, F.lit(False)).alias("inner"), units.alias("u")).select("inner", "u.k", "u.unit", "u.v")
+    medians = exact_medians(rows, ["k", "unit", "inner"], "v")
+    sizes = rows.groupBy("k", "unit").agg(F.count(F.lit(1)).alias("size"), F.bool_or("inner").alias("inner"))
+    found = sizes.join(medians, [sizes["k"] == medians["k"], sizes["unit"].eqNullSafe(medians["unit"]), sizes["inner"] == medians["inner"]])
+    enough = (F.col("n") >= least) | (F.col("n") >= F.col("size") * share)
+    found = stored(found.filter(enough).select(sizes["k"], sizes["unit"], "median"))
     for k, level in enumerate(levels):
-        usable = F.col(value).isNotNull()
-        if national and k + 1 < len(levels):
-            usable &= ~F.col(national)
-        inside = F.when(usable & inner, F.col(value))
-        any_inner = F.count_if(inner) > 0
-        median = F.when(any_inner, F.median(inside)).otherwise(F.median(F.when(usable, F.col(value))))
-        n = F.when(any_inner, F.count(inside)).otherwise(F.count(F.when(usable, F.col(value))))
-        unit = cells.groupBy(level).agg(median.alias("m"), n.alias("n"), F.count(F.lit(1)).alias("size"))
-        unit = unit.select(level, F.when((F.col("n") >= least) | (F.col("n") >= F.col("size") * share) & (F.col("n") > 0), F.col("m")).alias(f"__{k}"))
-        out = out.join(unit, level, "left")
+        unit = found.filter(F.col("k") == k).select(F.col("unit").alias("__unit"), F.col("median").alias(f"__{k}"))
+        out = out.join(unit, F.col(level).cast("string") == F.col("__unit"), "left").drop("__unit")
     fill = F.when(F.col(value).isNotNull(), 1)
     for k in range(len(levels)):
         fill = fill.when(F.col(f"__{k}").isNotNull(), k + 2)
@@ -61,7 +65,7 @@ def unit_median(cells: DataFrame, unit: str, value: str, tolerance: float = 1e-9
     """One value for each unit: constant, or the lowest mode if it equals the median, else the median; ``spread`` marks the last."""
     counted = cells.filter(F.col(value).isNotNull()).groupBy(unit, value).agg(F.count(F.lit(1)).alias("n"))
     mode = counted.groupBy(unit).agg(F.min_by(value, F.struct((-F.col("n")).alias("a"), value)).alias("mode"), F.count(F.lit(1)).alias("k"))
-    both = mode.join(cells.groupBy(unit).agg(F.median(value).alias("median")), unit)
+    both = mode.join(exact_medians(cells, [unit], value), unit)
     return both.select(unit, F.col("median").alias(value), ((F.col("k") > 1) & (F.abs(F.col("mode") - F.col("median")) > tolerance)).alias("spread"))
 
 
@@ -101,7 +105,9 @@ def trend_fill(cells: DataFrame, levels: Keys, reference: int, least: int = 3) -
     ratio = first.withColumn("ratio", F.col("rate") / F.when(at != 0, at)).withColumn("__first", F.col("fill_level")).drop("fill_level")
     second = rate_fill(ratio, units, "ratio", least)
     level = F.max(F.greatest(F.coalesce("__first", F.lit(0)), F.coalesce("fill_level", F.lit(0))))
-    out = second.groupBy(F.col(levels[-1]).alias("country"), "year").agg(F.median("ratio").alias("ratio"), level.alias("fill_level"))
+    second = stored(second.select(F.col(levels[-1]).alias("country"), "year", "ratio", "__first", "fill_level"))
+    median = exact_medians(second, ["country", "year"], "ratio").select("country", "year", F.col("median").alias("ratio"))
+    out = second.groupBy("country", "year").agg(level.alias("fill_level")).join(median, ["country", "year"], "left").select("country", "year", "ratio", "fill_level")
     return out.withColumn("fill_level", F.when(F.col("ratio").isNull(), -1).otherwise(F.col("fill_level"))).fillna(0.0, ["ratio"])
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from gridprep.functions.geo import EARTH_RADIUS, GridSpec
 from gridprep.operators import crops, groups, names, nutrients, overlay, soil
+from gridprep.operators.medians import exact_medians
 from gridprep.plans.registry import query
 from gridprep.plans.views import oracle, table, view
 from gridprep.session import reliable_cut
@@ -388,6 +389,12 @@ def a19(spark, sf):
     return nutrients.unit_median(view(spark, sf, "v_raster").join(view(spark, sf, "v_admin"), "cell"), "level1", "class")
 
 
+@query("a19_group_median", oracle("", "SELECT l_returnflag AS flag, l_linestatus AS status, round(median(l_extendedprice), 4) AS median, count(l_extendedprice) AS n FROM lineitem GROUP BY ALL"))
+def a19_groups(spark, sf):
+    rows = table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status"), "l_extendedprice")
+    return exact_medians(rows, ["flag", "status"], "l_extendedprice", 1_000).select("flag", "status", F.round("median", 4).alias("median"), "n")
+
+
 _FALLBACK = """v AS (SELECT n_nationkey AS country, CASE WHEN n_nationkey % 3 = 1 THEN NULL ELSE n_nationkey * 1e0 END AS value FROM nation),
   mb AS (SELECT n_nationkey AS country, 1 AS lv, concat('r', CAST(n_regionkey AS VARCHAR)) AS grp, n_nationkey % 4 AS st, n_nationkey % 2 AS br FROM nation UNION ALL SELECT n_nationkey, 2, concat('c', CAST(n_regionkey % 2 AS VARCHAR)), n_nationkey % 4, n_nationkey % 2 FROM nation UNION ALL SELECT n_nationkey, 3, 'w', n_nationkey % 4, n_nationkey % 2 FROM nation),
   dn AS (SELECT * FROM v JOIN mb USING (country) WHERE value IS NOT NULL),

@@ -60,6 +60,13 @@ def s01(spark, sf):
     return spark.read.format("cellgrid").option("from_year", "1991").load(_written(spark, sf, 2))
 
 
+@query("s01_pushed_filters", oracle("v_grid", "SELECT year, cell, band, value FROM x WHERE year = 1990 AND band = 2 AND cell >= 40 AND cell <> 41", _BANDS))
+def s01_pushed(spark, sf):
+    """One band of the cells from 40 on in one year: the source reads those cells of that year only."""
+    rows = spark.read.format("cellgrid").option("partition_values", "200").load(_written(spark, sf, 1))
+    return rows.filter("year = 1990 AND band = 2 AND cell >= 40 AND cell <> 41")
+
+
 @query("s02_write_cellgrid", oracle("v_grid", "SELECT year, cell, band, value FROM x", _BANDS))
 def s02(spark, sf):
     return spark.read.format("cellgrid").load(_written(spark, sf, 1))
@@ -188,6 +195,23 @@ def t01(spark, sf):
     return spark.read.parquet(dst).select("cell", F.col("year").cast("int").alias("year"), F.round("value", 2).alias("value"))
 
 
+@query("t01_ingest_native", oracle("v_grid", "SELECT year, cell, band, CASE WHEN year = 1990 THEN value * 2 ELSE value END AS value FROM x", _BANDS))
+def t01_native(spark, sf):
+    """Years arrive as native files in two lots, one of them a second time; each file is ingested once."""
+    src, dst, log = (_folder(spark, n) for n in ("arriving", "ingested", "log"))
+    store, root = cellgrid._store(src)
+    store.create_dir(root)
+    rows = _bands(spark, sf)
+    run = lambda: ingest_years(spark, src, dst, log, None, kind="cellgrid")
+    cellgrid.write_cellgrid(rows.filter("year = 1990"), f"{src}/a.bin")
+    run()
+    cellgrid.write_cellgrid(rows.filter("year = 1991"), f"{src}/b.bin")
+    cellgrid.write_cellgrid(rows.filter("year = 1990").withColumn("value", F.col("value") * 2), f"{src}/a.bin", "overwrite")
+    run()
+    run()
+    return spark.read.parquet(dst).select(F.col("year").cast("int").alias("year"), "cell", "band", "value")
+
+
 @query("p04_check_compat", oracle("v_grid", "SELECT name, same_extent, multiple, aligned, covers FROM (SELECT count(*) AS n FROM v_grid) CROSS JOIN (VALUES ('same', true, true, true, true), ('coarser', true, true, true, true), ('odd', true, false, true, true), ('shifted', false, true, false, false), ('smaller', false, true, true, true)) t(name, same_extent, multiple, aligned, covers) WHERE n > 0"))
 def p04(spark, sf):
     """The lattice around the table's cells against others."""

@@ -2,6 +2,8 @@
 
 ``spark.read.format("cellgrid").load(folder)`` gives year, cell, band, value; ``write_cellgrid`` writes them. Paths may be
 local or those of a shared store (s3, gs, abfss, hdfs) that pyarrow opens; ``read_whole_files`` takes any path of Spark's.
+``spark.readStream.format("cellgrid").load(folder)`` gives the rows of files as they arrive. Filters on year, cell and band
+reach the source: other years and cells aren't read, other bands, which lie between, don't become rows.
 A file is a header (a name starting with LPJ; version; order, firstyear, nyear, firstcell, ncell, nbands; from version 2
 cell size and scalar; from version 3 the cell size in latitude and the data type) and values year by year, cell by cell,
 band by band. Byte order shows in the version's low byte.
@@ -11,18 +13,21 @@ from __future__ import annotations
 
 import struct
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import (
+    DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceStreamReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, LessThan,
+    LessThanOrEqual, WriterCommitMessage,
+)
 
 #: Data type codes of version 3, and the values each version leaves out.
 TYPES = {0: "i1", 1: "i2", 2: "i4", 3: "f4", 4: "f8"}
 DEFAULTS = {"cellsize_lon": 0.5, "scalar": 1.0, "datatype": 1}
-#: Values that one input partition holds, about.
-SLICE = 4_000_000
+#: Values that are read at once, and values that one input partition holds, at most.
+SLICE, PARTITION = 1_000_000, 32_000_000
 SCHEMA = "year int, cell bigint, band int, value double"
 
 
@@ -66,26 +71,76 @@ def make_header(h: dict) -> bytes:
 
 
 class Slice(InputPartition):
-    def __init__(self, path: str, header: dict, year: int) -> None:
-        super().__init__((path, year))
-        self.path, self.header, self.year = path, header, year
-
-
-def _values(data: bytes, h: dict, year: int, first: int, n: int) -> pa.RecordBatch:
-    """The rows of n cells of a year, from the ``first`` of the file on."""
+    """Some cells of some years of a file: ``runs`` of (year, first cell, cells), cells from the file's first."""
+
+    def __init__(self, path: str, header: dict, runs: list[tuple[int, int, int]]) -> None:
+        super().__init__((path, runs))
+        self.path, self.header, self.runs = path, header, runs
+
+
+class Wanted:
+    """What filters ask for of a column of whole numbers: a range, and a set of values if there is one."""
+
+    def __init__(self) -> None:
+        self.low, self.high, self.values = -(1 << 63), (1 << 63) - 1, None
+
+    def add(self, f: Filter) -> bool:
+        """Takes a filter up; false if it isn't one that it can answer for."""
+        value = getattr(f, "value", None)
+        if isinstance(f, IsNotNull):
+            return True
+        if isinstance(f, In):
+            if not all(isinstance(v, int) for v in value):
+                return False
+            self.values = set(value) if self.values is None else self.values & set(value)
+            return True
+        if not isinstance(value, int):
+            return False
+        if isinstance(f, EqualTo):
+            self.low, self.high = max(self.low, value), min(self.high, value)
+        elif isinstance(f, GreaterThan):
+            self.low = max(self.low, value + 1)
+        elif isinstance(f, GreaterThanOrEqual):
+            self.low = max(self.low, value)
+        elif isinstance(f, LessThan):
+            self.high = min(self.high, value - 1)
+        elif isinstance(f, LessThanOrEqual):
+            self.high = min(self.high, value)
+        else:
+            return False
+        return True
+
+    def range(self, low: int, high: int) -> tuple[int, int]:
+        """Where in low ... high the wanted ones begin and end; the end lies before the beginning if there are none."""
+        inside = [v for v in self.values or () if max(low, self.low) <= v <= min(high, self.high)]
+        if self.values is not None:
+            return (min(inside), max(inside)) if inside else (0, -1)
+        return max(low, self.low), min(high, self.high)
+
+    def has(self, x: np.ndarray) -> np.ndarray:
+        found = (x >= self.low) & (x <= self.high)
+        return found if self.values is None else found & np.isin(x, list(self.values))
+
+
+def _values(data: bytes, h: dict, year: int, first: int, n: int, wanted: dict[str, Wanted] | None = None) -> pa.RecordBatch:
+    """The rows of n cells of a year, from the ``first`` of the file on; of these those that are ``wanted``."""
     kind = np.dtype(h["endian"] + TYPES[h["datatype"]])
     values = np.frombuffer(data, kind).astype(np.float64) * (h["scalar"] if kind.kind == "i" or h["scalar"] != 1 else 1.0)
     cell = np.repeat(np.arange(first, first + n, dtype=np.int64) + h["firstcell"], h["nbands"])
     band = np.tile(np.arange(h["nbands"], dtype=np.int32), n)
+    if wanted:
+        keep = np.flatnonzero(wanted["cell"].has(cell) & wanted["band"].has(band))
+        cell, band, values = cell[keep], band[keep], values[keep]
     return pa.RecordBatch.from_arrays([pa.array(c) for c in (np.full(len(values), year, np.int32), cell, band, values)], ["year", "cell", "band", "value"])
 
 
-def _slices(h: dict, year: int) -> Iterator[tuple[int, int, int, int]]:
-    """(first cell, cells, place and number of bytes) of a year's slices."""
+def _slices(h: dict, year: int, begin: int = 0, cells: int | None = None) -> Iterator[tuple[int, int, int, int]]:
+    """(first cell, cells, place and number of bytes) of slices of a year, or of some of its cells."""
     item = np.dtype(TYPES[h["datatype"]]).itemsize * h["nbands"]
     step = max(1, SLICE // max(1, h["nbands"]))
-    for first in range(0, h["ncell"], step):
-        n = min(step, h["ncell"] - first)
+    end = h["ncell"] if cells is None else begin + cells
+    for first in range(begin, end, step):
+        n = min(step, end - first)
         yield first, n, h["length"] + ((year - h["firstyear"]) * h["ncell"] + first) * item, n * item
 
 
@@ -103,24 +158,92 @@ class CellGridReader(DataSourceReader):
         self.path = options["path"]
         # a file without a type in its header may have one given
         self.datatype = options.get("datatype")
-        self.first, self.last = (int(options[k]) if k in options else None for k in ("from_year", "to_year"))
-
-    def partitions(self) -> list[InputPartition]:
+        self.most = int(options.get("partition_values", PARTITION))
+        self.wanted = {c: Wanted() for c in ("year", "cell", "band")}
+        for option, kind in (("from_year", GreaterThanOrEqual), ("to_year", LessThanOrEqual)):
+            if option in options:
+                self.wanted["year"].add(kind(("year",), int(options[option])))
+
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:  # noqa: N802
+        for f in filters:
+            column = getattr(f, "attribute", ("",))
+            if len(column) != 1 or column[0] not in self.wanted or not self.wanted[column[0]].add(f):
+                yield f
+
+    def files(self) -> list[pafs.FileInfo]:
         store, root = _store(self.path)
         info = store.get_file_info(root)
-        files = [info] if info.type == pafs.FileType.File else sorted((f for f in store.get_file_info(pafs.FileSelector(root)) if f.type == pafs.FileType.File and not f.base_name.startswith((".", "_"))), key=lambda f: f.path)
+        if info.type == pafs.FileType.File:
+            return [info]
+        return sorted((f for f in store.get_file_info(pafs.FileSelector(root, allow_not_found=True)) if f.type == pafs.FileType.File and not f.base_name.startswith((".", "_"))), key=lambda f: f.path)
+
+    def slices(self, file: pafs.FileInfo) -> list[InputPartition]:
+        """The wanted cells and years of a file in partitions of bounded size; small years share one."""
+        with _store(self.path)[0].open_input_file(file.path) as f:
+            h = _checked(read_header(f.read(100)), file.path, file.size, self.datatype)
+        first, last = self.wanted["cell"].range(h["firstcell"], h["firstcell"] + h["ncell"] - 1)
+        years = np.arange(h["firstyear"], h["firstyear"] + h["nyear"])
+        band, band_end = self.wanted["band"].range(0, h["nbands"] - 1)
+        if last < first or band_end < band:
+            return []
         out: list[InputPartition] = []
-        for file in files:
-            with store.open_input_file(file.path) as f:
-                h = _checked(read_header(f.read(100)), file.path, file.size, self.datatype)
-            years = range(h["firstyear"], h["firstyear"] + h["nyear"])
-            out += [Slice(file.path, h, y) for y in years if (self.first is None or y >= self.first) and (self.last is None or y <= self.last)]
-        return out
+        runs, held = [], 0
+        step = max(1, self.most // max(1, h["nbands"]))
+        for year in years[self.wanted["year"].has(years)].tolist():
+            for begin in range(first - h["firstcell"], last - h["firstcell"] + 1, step):
+                n = min(step, last - h["firstcell"] + 1 - begin)
+                if runs and held + n > step:
+                    out.append(Slice(file.path, h, runs))
+                    runs, held = [], 0
+                runs.append((year, begin, n))
+                held += n
+        return [*out, Slice(file.path, h, runs)] if runs else out
+
+    def partitions(self) -> list[InputPartition]:
+        files = self.files()
+        if not files:
+            raise FileNotFoundError(self.path)
+        # no partition at all would be a scan of unknown kind: one without runs gives no rows
+        return [s for file in files for s in self.slices(file)] or [Slice(files[0].path, {}, [])]
 
     def read(self, partition: Slice) -> Iterator[pa.RecordBatch]:
+        if not partition.runs:
+            return
         with _store(self.path)[0].open_input_file(partition.path) as f:
-            for first, n, at, size in _slices(partition.header, partition.year):
-                yield _values(f.read_at(size, at), partition.header, partition.year, first, n)
+            for year, begin, cells in partition.runs:
+                for first, n, at, size in _slices(partition.header, year, begin, cells):
+                    yield _values(f.read_at(size, at), partition.header, year, first, n, self.wanted)
+
+
+class CellGridStream(DataSourceStreamReader):
+    """Files as they arrive. A file is its name and time of change: one that is delivered again is read again.
+
+    The offset names the files that changed within ``grace`` seconds (option; an hour) of the newest one, and that time:
+    so its size is bounded by what arrives in that time. A file that arrives with an older time is taken for seen.
+    """
+
+    def __init__(self, options: dict) -> None:
+        self.reader = CellGridReader(options)
+        self.grace = int(float(options.get("grace", 3600)) * 1e9)
+
+    def initialOffset(self) -> dict:  # noqa: N802
+        return {"newest": 0, "seen": []}
+
+    def latestOffset(self) -> dict:  # noqa: N802
+        files = [(f.base_name, f.mtime_ns) for f in self.reader.files()]
+        newest = max((t for _, t in files), default=0)
+        return {"newest": newest, "seen": sorted(f"{name}@{t}" for name, t in files if t >= newest - self.grace)}
+
+    def _in(self, offset: dict):
+        seen, old = set(offset["seen"]), offset["newest"] - self.grace
+        return lambda f: f.mtime_ns < old or f"{f.base_name}@{f.mtime_ns}" in seen
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        before, now = self._in(start), self._in(end)
+        return [s for f in self.reader.files() if now(f) and not before(f) for s in self.reader.slices(f)]
+
+    def read(self, partition: Slice) -> Iterator[pa.RecordBatch]:
+        return self.reader.read(partition)
 
 
 def read_whole_files(spark, path: str, datatype: str | None = None):
@@ -272,6 +395,9 @@ class CellGridSource(DataSource):
     def reader(self, schema) -> CellGridReader:
         return CellGridReader(dict(self.options))
 
+    def streamReader(self, schema) -> CellGridStream:  # noqa: N802
+        return CellGridStream(dict(self.options))
+
     def writer(self, schema, overwrite: bool) -> CellGridWriter:
         return CellGridWriter(dict(self.options), overwrite)
 
@@ -297,4 +423,5 @@ def write_cellgrid(df, path: str, mode: str = "append", partitions: int | None =
 
 
 def register(spark) -> None:
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(CellGridSource)

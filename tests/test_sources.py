@@ -125,3 +125,55 @@ def test_ingest_twice(spark, tmp_path):
     spark.createDataFrame([(2001, 5), (2000, 9)], "year int, v int").write.mode("append").parquet(src)
     run()
     assert {(r.year, r.v) for r in spark.read.parquet(dst).collect()} == {(2000, 9), (2001, 5)}
+
+
+def _two_years(tmp_path, name="a.bin", firstyear=1999):
+    h = {"name": "LPJTEST", "version": 3, "order": 1, "firstyear": firstyear, "nyear": 3, "firstcell": 5, "ncell": 10, "nbands": 4, "cellsize_lon": 0.5, "cellsize_lat": 0.5, "scalar": 1.0, "datatype": 3, "endian": "<"}
+    (tmp_path / name).write_bytes(cellgrid.make_header(h) + np.arange(120, dtype="<f4").tobytes())
+    return [(firstyear + i // 40, 5 + i % 40 // 4, i % 4, float(i)) for i in range(120)]
+
+
+@pytest.mark.parametrize("condition", ["year = 2000", "year = 2000 and band = 3", "cell between 7 and 9", "cell in (5, 14, 99) and year in (1999, 2001)", "cell > 20", "band > 3", "value < 30 and year <> 1999", "year >= 2000 and year < 2001 and band <= 1 and cell < 7", "year = 1999 or cell = 6"])
+def test_pushed_filters(spark, tmp_path, condition):
+    rows = _two_years(tmp_path)
+    cellgrid.register(spark)
+    df = spark.read.format("cellgrid").option("partition_values", "12").load(str(tmp_path))
+    want = spark.createDataFrame(rows, cellgrid.SCHEMA).filter(condition)
+    assert sorted(map(tuple, df.filter(condition).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_only_wanted_bytes_are_read(tmp_path):
+    from pyspark.sql.datasource import EqualTo, GreaterThanOrEqual, StringContains
+
+    _two_years(tmp_path)
+    reader = cellgrid.CellGridReader({"path": str(tmp_path), "partition_values": "8"})
+    other = StringContains(("year",), "x")
+    assert list(reader.pushFilters([EqualTo(("year",), 2000), GreaterThanOrEqual(("cell",), 11), EqualTo(("band",), 1), other])) == [other]
+    slices = reader.partitions()
+    assert [s.runs for s in slices] == [[(2000, 6, 2)], [(2000, 8, 2)]]
+    assert [b.num_rows for s in slices for b in reader.read(s)] == [2, 2]
+
+
+def test_small_years_share_a_partition(tmp_path):
+    _two_years(tmp_path)
+    assert len(cellgrid.CellGridReader({"path": str(tmp_path)}).partitions()) == 1
+    assert len(cellgrid.CellGridReader({"path": str(tmp_path), "partition_values": "40"}).partitions()) == 3
+
+
+def test_stream_of_native_files(spark, tmp_path):
+    cellgrid.register(spark)
+    src, dst, log = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "log")
+    src.mkdir()
+    first = _two_years(src, "a.bin")
+    run = lambda: ingest_years(spark, str(src), dst, log, None, kind="cellgrid")
+    run()
+    read = lambda: sorted((r.year, r.cell, r.band, r.value) for r in spark.read.parquet(dst).collect())
+    assert read() == first
+    second = _two_years(src, "b.bin", 2010)
+    run()
+    run()
+    assert read() == sorted(first + second)
+    # a file is its name and time: the offset names what changed lately, and knows the rest by its age
+    stream = cellgrid.CellGridStream({"path": str(src), "grace": "3600"})
+    now = stream.latestOffset()
+    assert len(stream.partitions(stream.initialOffset(), now)) == 2 and stream.partitions(now, now) == []
