@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import re
 import struct
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 from html import unescape
 
@@ -36,16 +36,29 @@ SHARD_WORDS = 400_000
 _MARK = re.compile(r"<!--|<!\[CDATA\[|<[!?]|<(/?)([a-zA-Z][^\s/>]*)")
 _INSIDE = re.compile(r"(?:\"[^\"]*\"|'[^']*'|[^'\">])*+>")
 _ATTR = re.compile(r"([a-zA-Z_:][\w:.-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "math", "object", "canvas", "audio", "video", "noframes", "xmp"}
+_RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "object", "canvas", "audio", "video", "noframes", "xmp"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 _BLOCKS = set("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre search section select summary table tbody td tfoot th thead title tr ul".split())
-_CHROME_TAGS = {"nav", "footer", "aside", "form", "head", "title", "menu", "dialog", "select", "button", "search", "fieldset", "dir"}
+_CHROME_TAGS = {"nav", "footer", "aside", "form", "head", "title", "menu", "dialog", "select", "button", "search", "dir"}
 _CHROME_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "form", "menu", "menubar", "toolbar", "status"}
 _CHROME_WORDS = set("ad ads advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs byline-share comment comments commentlist consent cookie cookies copyright cta disqus feedback flash footer footnav gdpr header heading-nav login masthead menu menus modal nav navbar navigation newsletter notice notices notification outbrain overlay pager pagination paywall popup privacy promo promos promotion reactions recommend recommended recommendations related replies respond search share sharing sidebar signup sitemap skip skiplink social sponsor sponsored subscribe subscription taboola teaser teasers toc-nav toolbar topbar tracking trending warning-bar widget widgets".split())
+#: Words that say where or what kind of box a name is for, and nothing about what it holds.
+_BOX_WORDS = set("area bar block bottom box btn button buttons container content form inner item items left link links list main outer page panel post posts right row section site slot stack strip top unit wrap wrapper".split())
+#: Names by which an id inside an article decides: readers' comments and adverts.
+_COMMENT_WORDS = set("ad ads advert adverts advertisement comment comments commentlist disqus replies respond".split())
+_TEXT_TAGS = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "li", "td", "th", "dt", "dd", "figcaption", "caption"}
 _MAIN_WORDS = {"article", "articlebody", "article-body", "article-content", "article-text", "content", "main-content", "maincontent", "entry-content", "post-content", "post-body", "story", "story-body", "post", "entry", "main"}
 _CLOSES_P = _BLOCKS - {"body", "html", "head", "title", "option", "td", "th", "tr", "tbody", "thead", "tfoot", "caption"}
 
 
+def _is_chrome(name: str, chrome: set[str], single: bool = False) -> bool:
+    """Whether a name is made of chrome words alone, with words for boxes around; ``single``: of one word."""
+    words = re.split(r"[-_]+", name)
+    if len(words) == 1 or single:
+        return name in chrome and name not in ("header", "heading")
+    return any(w in chrome for w in words) and all(w in chrome or w in _BOX_WORDS for w in words) and words[-1] not in ("header", "heading")
+
+
 def _kind(tag: str, attrs: str, in_article: bool) -> str:
     """chrome, main, or nothing particular."""
     found = {m[1].lower(): (m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(attrs)} if attrs.strip() else {}
@@ -55,13 +68,19 @@ def _kind(tag: str, attrs: str, in_article: bool) -> str:
     style = found.get("style", "").replace(" ", "").lower()
     if "hidden" in found or found.get("aria-hidden", "").lower() == "true" or "display:none" in style or "visibility:hidden" in style:
         return "chrome"
-    names = unescape(f"{found.get('class', '')} {found.get('id', '')}").lower().split()
-    for name in names:
-        words = re.split(r"[-_]+", name)
-        if words[0] in ("has", "with", "no", "is", "js"):
-            continue
-        if tag not in ("main", "h1") and (words[0] in _CHROME_WORDS or words[-1] in _CHROME_WORDS) and not (in_article and words[-1] in ("header", "heading")):
+    classes, own_id = (unescape(found.get(k, "")).lower().split() for k in ("class", "id"))
+    names = classes + own_id
+    if in_article:
+        # what an article is about may be in its names: a name decides as a whole, and an id by comments and adverts only
+        if any(_is_chrome(n, _CHROME_WORDS, tag in _TEXT_TAGS) for n in classes) or tag not in _TEXT_TAGS and any(_is_chrome(n, _COMMENT_WORDS) for n in own_id):
             return "chrome"
+    else:
+        for name in names:
+            words = re.split(r"[-_]+", name)
+            if words[0] in ("has", "with", "no", "is", "js"):
+                continue
+            if tag not in ("main", "h1") and (words[0] in _CHROME_WORDS or words[-1] in _CHROME_WORDS):
+                return "chrome"
     if tag in _CHROME_TAGS or role in _CHROME_ROLES or tag == "header" and not in_article:
         return "chrome"
     if tag in ("article", "main") or role in ("main", "article") or found.get("itemprop", "").lower() == "articlebody" or any(n in _MAIN_WORDS for n in names):
@@ -107,10 +126,11 @@ class _Tags:
 
 
 def blocks(html: str) -> list[tuple[str, str]]:
-    """(kind, text) of a page's blocks in order; kind: article, chrome or open."""
+    """(kind, text) of a page's blocks in order; kind: article, chrome or open, or title: an open first heading."""
     out: list[tuple[str, str]] = []
     stack: list[tuple[str, str]] = []  # open elements: tag, state
-    count: Counter[str] = Counter()  # of the open elements
+    places: dict[str, list[int]] = defaultdict(list)  # of the open elements, by tag
+    blocks_at: list[int] = []  # of those that are blocks
     parts: list[str] = []
     state, at, had_article = "open", 0, False
 
@@ -120,18 +140,21 @@ def blocks(html: str) -> list[tuple[str, str]]:
             text = " ".join("".join(parts).split())
             parts.clear()
             if text:
-                out.append((state, text))
+                out.append(("title" if state == "open" and places["h1"] else state, text))
                 had_article = had_article or state == "article"
 
     def close(depth: int) -> None:
         nonlocal state
         for t, _ in stack[depth:]:
-            count[t] -= 1
+            places[t].pop()
         del stack[depth:]
+        while blocks_at and blocks_at[-1] >= depth:
+            blocks_at.pop()
         state = stack[-1][1] if stack else "open"
 
-    def last(tag: str) -> int:
-        return next((d for d in range(len(stack) - 1, -1, -1) if stack[d][0] == tag), -1) if count[tag] else -1
+    def last(*names: str) -> int:
+        """The innermost open element of these names, or -1."""
+        return max((places[t][-1] for t in names if places[t]), default=-1)
 
     tags = _Tags(html)
     while found := tags.next(at):
@@ -144,8 +167,8 @@ def blocks(html: str) -> list[tuple[str, str]]:
         if closing:
             depth = last(tag)
             # an inline end tag doesn't reach across a block
-            if depth >= 0 and (tag in _BLOCKS or not any(t in _BLOCKS for t, _ in stack[depth + 1 :])):
-                if tag in _BLOCKS or any(t in _BLOCKS for t, _ in stack[depth:]):
+            if depth >= 0 and (tag in _BLOCKS or not blocks_at or blocks_at[-1] <= depth):
+                if tag in _BLOCKS or blocks_at and blocks_at[-1] >= depth:
                     flush()
                 if stack[depth][1] != (stack[depth - 1][1] if depth else "open"):
                     flush()
@@ -167,30 +190,27 @@ def blocks(html: str) -> list[tuple[str, str]]:
             continue
         if tag in _CLOSES_P:
             depth = last("p")
-            if depth >= 0 and not any(t in ("table", "button", "object") for t, _ in stack[depth + 1 :]):
+            if depth >= 0 and last("table", "button", "object") <= depth:
                 close(depth)
-        if tag in ("li", "option", "dd", "dt", "tr", "td", "th") and count[tag]:
-            for d in range(len(stack) - 1, -1, -1):
-                if stack[d][0] in ("ul", "ol", "menu", "select", "dl", "table"):
-                    break
-                if stack[d][0] == tag:
-                    close(d)
-                    break
+        if tag in ("li", "option", "dd", "dt", "tr", "td", "th") and last(tag) > last("ul", "ol", "menu", "select", "dl", "table"):
+            close(last(tag))
         kind = _kind(tag, attrs, state == "article")
         inner = state
         if kind == "chrome":
             inner = "chrome"
         elif kind == "main" and state == "open":
             inner = "article"
-        elif tag in ("article", "main") and kind == "main" and state == "chrome" and not had_article and not count["aside"]:
+        elif tag in ("article", "main") and kind == "main" and state == "chrome" and not had_article and not places["aside"]:
             # an unclosed element before the article doesn't swallow it
             inner = "article"
         if inner != state:
             flush()
         if tag == "body":
             inner = "open"
+        places[tag].append(len(stack))
+        if tag in _BLOCKS:
+            blocks_at.append(len(stack))
         stack.append((tag, inner))
-        count[tag] += 1
         state = inner
     if at < tags.end:
         parts.append(unescape(html[at : tags.end]))
@@ -273,9 +293,10 @@ def run_hashes(words: np.ndarray, lengths: np.ndarray, hosts: np.ndarray) -> tup
 
 
 def decided(found: list[tuple[str, str]]) -> list[str]:
-    """The blocks that may be main text: the article's, or all open ones of a page without an article."""
-    wanted = "article" if any(k == "article" for k, _ in found) else "open"
-    return [t for k, t in found if k == wanted]
+    """The blocks that may be main text: the article's, or all open ones of a page without an article. First headings outside
+    the article belong to it; one that only repeats a heading of the article doesn't."""
+    inside = {t for k, t in found if k == "article"}
+    return [t for k, t in found if k == "article" or k == "title" and t not in inside] if inside else [t for k, t in found if k in ("open", "title")]
 
 
 def main_text(texts: list[str], starts: np.ndarray | list[int] = ()) -> tuple[str, int]:
@@ -330,8 +351,8 @@ def boilerplate(pages: DataFrame) -> DataFrame:
     """run: the hash of each run of words of ``pages`` (chrome, open, outside, inside) that stands on several distinct pages of a scope."""
     streams = cut(pages.select("chrome", "open", "outside", "inside").mapInPandas(_streams, "scope long, stream binary, n long"))
     sizes = streams.groupBy("scope").agg(F.sum("n").alias("total"))
-    # at most one host for each SHARD_WORDS words of all pages: few; pages of a hot host stay spread
-    large = F.broadcast(cut(sizes.filter(F.col("total") > SHARD_WORDS).select("scope")))
+    # one host for each SHARD_WORDS words of all pages at most; sent to all tasks if Spark finds the table small
+    large = cut(sizes.filter(F.col("total") > SHARD_WORDS).select("scope"))
     found = streams.join(large, "scope", "left_anti").groupBy("scope").applyInPandas(_sorted_runs, "run long")
     if not large.isEmpty():
         runs = streams.join(large, "scope", "left_semi").withColumn("digest", F.xxhash64("stream")).mapInPandas(_runs, "digest long, run long")
@@ -356,7 +377,7 @@ def _probed(shared):
 @F.pandas_udf(StructType([StructField("texts", ArrayType(StringType())), StructField("chrome", ArrayType(StringType())), StructField("open", ArrayType(StringType())), StructField("article", BooleanType())]))
 def _parsed(html: pd.Series) -> pd.DataFrame:
     found = [blocks(h) for h in html]
-    kinds = {kind: pd.Series([[t for k, t in f if k == kind] for f in found], dtype=object) for kind in ("chrome", "open")}
+    kinds = {kind: pd.Series([[t for k, t in f if k == kind or kind == "open" and k == "title"] for f in found], dtype=object) for kind in ("chrome", "open")}
     article = pd.Series([any(k == "article" for k, _ in f) for f in found], dtype=bool)
     return pd.DataFrame({"texts": pd.Series([decided(f) for f in found], dtype=object), **kinds, "article": article})
 

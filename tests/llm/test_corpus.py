@@ -640,3 +640,26 @@ def test_columns_named_like_working_columns_stay(spark):
         got = f(df)
         assert got.columns == df.columns
         assert {(r.doc_id, *(r[n] for n in names)) for r in got.collect()} == {(r[0], *r[3:]) for r in rows}
+
+
+def test_names_inside_articles_cost_no_text():
+    kept = ['<p class="related-work">X</p>', '<section class="flash-fiction">X</section>', '<div class="share-price">X</div>', '<h2 id="search">X</h2>', '<h2 id="privacy">X</h2>', '<h2 id="copyright">X</h2>', '<section id="privacy">X</section>', "<fieldset>X</fieldset>", "<math><mi>X</mi></math>", '<p id="ad">X</p>']
+    for source in kept:
+        assert html.decided(html.blocks(f"<article><p>one</p>{source}<p>two</p></article>")) == ["one", "X", "two"], source
+    gone = ['<div class="ad">X</div>', '<div class="related-posts">X</div>', '<section id="comments">X</section>', '<div class="share-buttons">X</div>', "<aside>X</aside>", "<form>X</form>", '<div class="newsletter-box">X</div>', '<p class="advert">X</p>', "<nav>X</nav>", '<div role="navigation">X</div>', '<div class="comment-list">X</div>']
+    for source in gone:
+        assert html.decided(html.blocks(f"<article><p>one</p>{source}<p>two</p></article>")) == ["one", "two"], source
+
+
+def test_heading_outside_the_content():
+    page = '<header><h1>Site</h1></header><h1>Title</h1><p>by line</p><div class="post-content"><p>text</p></div><footer>f</footer>'
+    assert html.decided(html.blocks(page)) == ["Title", "text"]
+    assert html.decided(html.blocks("<h1>Title</h1><p>text</p>")) == ["Title", "text"]
+    assert html.decided(html.blocks("<h1>Title</h1><article><h1>Title</h1><p>text</p></article>")) == ["Title", "text"]
+
+
+def test_mismatched_tags_take_linear_time():
+    for source in ("<b>" + "<div>" * 60_000 + "</b>" * 60_000 + "x", "<p>" + "<span><div>" * 60_000 + "</span>x" * 60_000, "<ul>" + "<li><b><td>" * 60_000 + "</b>" * 60_000, "<table>" + "<p><b>" * 60_000):
+        began = time.time()
+        html.blocks(source)
+        assert time.time() - began < 8
