@@ -83,12 +83,25 @@ def resolution_label(spec: GridSpec) -> str:
 
     def one(x: float) -> str:
         minutes = x * 60
-        return f"{round(minutes)}arcmin" if abs(minutes - round(minutes)) < 1e-6 and round(minutes) else f"{x * 3600:g}arcsec"
+        return f"{round(minutes)}arcmin" if abs(minutes - round(minutes)) < 1e-6 and round(minutes) else f"{round(x * 3600, 4):g}arcsec"
 
     lon, lat = one(spec.res_lon), one(spec.res_lat)
     return lon if lon == lat else f"{lon}_by_{lat}"
 
 
+def resolution_labels(res_lon: Column | str, res_lat: Column | str) -> Column:
+    """resolution_label of columns of cell sizes in degrees."""
+
+    def one(x: Column) -> Column:
+        minutes = x * 60
+        whole = (F.abs(minutes - F.round(minutes)) < 1e-6) & (F.round(minutes) > 0)
+        seconds = F.regexp_replace(F.round(x * 3600, 4).cast("string"), r"\.0$", "")
+        return F.when(whole, F.concat(F.round(minutes).cast("long").cast("string"), F.lit("arcmin"))).otherwise(F.concat(seconds, F.lit("arcsec")))
+
+    lon, lat = one(_col(res_lon)), one(_col(res_lat))
+    return F.when(lon == lat, lon).otherwise(F.concat(lon, F.lit("_by_"), lat))
+
+
 def logit(x: Column | str) -> Column:
     """Null outside the open interval from 0 to 1."""
     x = _col(x)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridprep.functions.geo import GridSpec
@@ -21,6 +21,39 @@ def check_compat(source: GridSpec, target: GridSpec) -> dict[str, bool]:
     }
 
 
+def compat_columns(source: str, target: str) -> dict[str, Column]:
+    """The predicates of check_compat for struct columns of lattices (xmin, ymax, res_lon, res_lat, ncol, nrow)."""
+    part = lambda c: {k: F.col(f"{c}.{k}") for k in ("xmin", "ymax", "res_lon", "res_lat", "ncol", "nrow")}
+    a, b = part(source), part(target)
+    for x in (a, b):
+        x["xmax"], x["ymin"] = x["xmin"] + x["ncol"] * x["res_lon"], x["ymax"] - x["nrow"] * x["res_lat"]
+    rx, ry = b["res_lon"] / a["res_lon"], b["res_lat"] / a["res_lat"]
+    near = lambda k, cell: F.abs(a[k] - b[k]) <= 0.01 * a[cell]
+    whole = lambda x, tol: F.abs(x - F.round(x)) <= tol
+    return {
+        "same_extent": near("xmin", "res_lon") & near("xmax", "res_lon") & near("ymax", "res_lat") & near("ymin", "res_lat"),
+        "multiple": whole(rx, 1e-4) & whole(ry, 1e-4) & (rx >= 1 - 1e-4) & (ry >= 1 - 1e-4),
+        "aligned": whole((b["xmin"] - a["xmin"]) / a["res_lon"], 1e-3) & whole((a["ymax"] - b["ymax"]) / a["res_lat"], 1e-3),
+        "covers": (a["xmin"] <= b["xmin"] + 1e-9) & (a["xmax"] >= b["xmax"] - 1e-9) & (a["ymin"] <= b["ymin"] + 1e-9) & (a["ymax"] >= b["ymax"] - 1e-9),
+    }
+
+
+def spec_row(df: DataFrame, res_lon: float, res_lat: float, lon: str = "lon", lat: str = "lat") -> DataFrame:
+    """spec_of as a table of one row with a struct ``spec``."""
+    cells = lambda c, res: (F.round((F.max(c) - F.min(c)) / res) + 1).cast("int")
+    spec = F.struct(
+        (F.min(lon) - res_lon / 2).alias("xmin"), (F.max(lat) + res_lat / 2).alias("ymax"), F.lit(float(res_lon)).alias("res_lon"), F.lit(float(res_lat)).alias("res_lat"),
+        cells(lon, res_lon).alias("ncol"), cells(lat, res_lat).alias("nrow"),
+    )
+    return df.agg(spec.alias("spec"))
+
+
+def sum_kept(before: Column, after: Column, tolerance: float = 1e-6) -> Column:
+    """Whether two sums agree within the relative tolerance; missing ones are 0."""
+    x, y = F.coalesce(before, F.lit(0.0)), F.coalesce(after, F.lit(0.0))
+    return F.abs(x - y) <= tolerance * F.greatest(F.abs(x), F.abs(y), F.lit(1e-300))
+
+
 def spec_of(df: DataFrame, res_lon: float, res_lat: float, lon: str = "lon", lat: str = "lat") -> GridSpec:
     """The lattice around all cell centres of a table: one aggregate."""
     x = df.agg(F.min(lon), F.max(lon), F.min(lat), F.max(lat)).first()

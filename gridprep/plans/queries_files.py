@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridprep.functions.geo import GridSpec, resolution_label
+from gridprep.functions.geo import GridSpec, resolution_labels
 from gridprep.operators import checks
 from gridprep.plans.registry import query
 from gridprep.plans.views import oracle, table, view
@@ -21,10 +21,12 @@ def _folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def _named_files(texts: DataFrame, folder: str) -> None:
-    """One text file ``name`` for each row (name, value) of ``texts``, through Spark and its file system."""
-    spark = texts.sparkSession
-    texts.repartition("name").write.partitionBy("name").option("lineSep", "\n").text(f"{folder}/_by_name")
+def _named_files(lines: DataFrame, folder: str, order: str) -> None:
+    """A text file ``name`` of the lines (name, value, and a column for their order), through Spark and its file system."""
+    spark = lines.sparkSession
+    # a name is in one task, whose lines are sorted there: no file is ever a row
+    sorted_lines = lines.repartition("name").sortWithinPartitions("name", order).select("name", "value")
+    sorted_lines.write.partitionBy("name").option("lineSep", "\n").text(f"{folder}/_by_name")
     jvm = spark._jvm
     root = jvm.org.apache.hadoop.fs.Path(f"{folder}/_by_name")
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -74,19 +76,9 @@ def s02(spark, sf):
 
 @query("o03_file_order", oracle("v_grid", "SELECT year, cell, band, row_number() OVER (ORDER BY year, cell, band) - 1 AS place FROM x", _BANDS))
 def o03(spark, sf):
-    """The place of each value in the file, from the bytes themselves: values are written in their order."""
-    folder = _written(spark, sf, 1)
-    rows = _bands(spark, sf)
-    raw = spark.read.format("binaryFile").load(folder).select("content")
-    n = rows.agg(F.min("cell").alias("first"), F.count_distinct("cell").alias("cells"), F.count_distinct("band").alias("bands"), F.min("year").alias("y0")).first()
-    head = len(cellgrid.make_header({"name": "LPJGRID", "version": 3, "order": 1, "firstyear": 0, "nyear": 0, "firstcell": 0, "ncell": 0, "nbands": 0, "cellsize_lon": 0.5, "cellsize_lat": 0.5, "scalar": 1.0, "datatype": 3}))
-    at = ((F.col("year") - n["y0"]) * n["cells"] + F.col("cell") - n["first"]) * n["bands"] + F.col("band")
-    byte = lambda k: F.conv(F.hex(F.substring("content", F.lit(head + 1 + k) + F.col("place") * 4, 1)), 16, 10).cast("long")
-    # a float with at most nine digits before the point: sign 0, so the number follows from exponent and fraction
-    bits = byte(0) + byte(1) * 256 + byte(2) * 65536 + byte(3) * 16777216
-    own = F.when(bits == 0, 0.0).otherwise((1 + (bits % 8388608) / 8388608.0) * F.pow(F.lit(2.0), F.floor(bits / 8388608) - 127))
-    placed = rows.withColumn("place", at.cast("long")).crossJoin(F.broadcast(raw))
-    return placed.filter(own == F.col("value")).select("year", "cell", "band", "place")
+    """The place of each value in the file, as it is read: values are written in their order."""
+    placed = spark.read.format("cellgrid").option("places", "true").load(_written(spark, sf, 1))
+    return placed.join(_bands(spark, sf), ["year", "cell", "band", "value"]).select("year", "cell", "band", "place")
 
 
 _ORDERS = "SELECT o_orderkey AS id, o_orderstatus AS status, o_totalprice AS total, CAST(o_orderdate AS DATE) AS day FROM orders"
@@ -111,10 +103,10 @@ def s04(spark, sf):
     every = spark.range(shape["n"] * 50).select((F.col("id") % 50).cast("int").alias("gcol"), F.floor(F.col("id") / 50).cast("int").alias("grow"), F.explode(F.array(F.lit(1990), F.lit(1991))).alias("year"))
     cells = every.join(r.select("year", "gcol", "grow", value.alias("value")), ["year", "gcol", "grow"], "left")
     lines = cells.groupBy("year", "grow").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("gcol", F.coalesce("value", F.lit(-9999.0)).alias("v")))), lambda c: c["v"].cast("string")), " ").alias("line"))
-    body = lines.groupBy("year").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("grow", "line"))), lambda x: x["line"]), "\n").alias("body"))
-    header = F.format_string("ncols 50\nnrows %d\nxllcorner 167.5\nyllcorner 0\ncellsize 0.5\nNODATA_value -9999\n", F.lit(shape["n"]))
+    head = spark.range(1).select(F.lit(1990).alias("year"), F.explode(F.array(*(F.struct(F.lit(k - 9).alias("grow"), line.alias("line")) for k, line in enumerate((
+        F.lit("ncols 50"), F.format_string("nrows %d", F.lit(shape["n"])), F.lit("xllcorner 167.5"), F.lit("yllcorner 0"), F.lit("cellsize 0.5"), F.lit("NODATA_value -9999")))))).alias("h")).select("year", "h.grow", "h.line")
     folder = _folder(spark, "ascii")
-    _named_files(body.select(F.format_string("grid_%dAD.asc", "year").alias("name"), F.concat(F.when(F.col("year") == 1990, header).otherwise(""), "body").alias("value")), folder)
+    _named_files(lines.unionByName(head).select(F.format_string("grid_%dAD.asc", "year").alias("name"), "grow", F.col("line").alias("value")), folder, "grow")
     got = text_files.read_ascii_grids(spark, folder, GridSpec(167.5, 75.0, 0.5, 0.5, 50, shape["n"]))
     return got.filter(F.col("grow") * 50 + F.col("gcol") <= shape["last"])
 
@@ -216,34 +208,33 @@ def t01_native(spark, sf):
 def p04(spark, sf):
     """The lattice around the table's cells against others."""
     g = view(spark, sf, "v_grid").withColumn("lon", F.when(F.col("lon") < 0, F.col("lon") + 360).otherwise(F.col("lon")))
-    own = checks.spec_of(g, 0.5, 0.5)
-    nrow = own.nrow - own.nrow % 2
-    own = GridSpec(own.xmin, own.ymax, 0.5, 0.5, own.ncol - own.ncol % 2, nrow)
+    spec = checks.spec_row(g, 0.5, 0.5)
+    o = {k: F.col(f"spec.{k}") for k in ("xmin", "ymax", "res_lon", "res_lat")}
+    ncol, nrow = (F.col(f"spec.{k}") - F.col(f"spec.{k}") % 2 for k in ("ncol", "nrow"))
+    own = o | {"ncol": ncol, "nrow": nrow}
     others = {
-        "same": own, "coarser": GridSpec(own.xmin, own.ymax, 1.0, 1.0, own.ncol // 2, nrow // 2), "odd": GridSpec(own.xmin, own.ymax, own.ncol * 0.5 / 33, own.nrow * 0.5 / (2 * nrow + 1), 33, 2 * nrow + 1),
-        "shifted": GridSpec(own.xmin + 0.2, own.ymax, 0.5, 0.5, own.ncol, nrow), "smaller": GridSpec(own.xmin + 1, own.ymax - 1, 0.5, 0.5, own.ncol - 4, nrow - 4),
+        "same": own, "coarser": own | {"res_lon": o["res_lon"] * 2, "res_lat": o["res_lat"] * 2, "ncol": ncol / 2, "nrow": nrow / 2},
+        "odd": own | {"res_lon": ncol * 0.5 / 33, "res_lat": nrow * 0.5 / (2 * nrow + 1), "ncol": F.lit(33), "nrow": 2 * nrow + 1},
+        "shifted": own | {"xmin": o["xmin"] + 0.2}, "smaller": own | {"xmin": o["xmin"] + 1, "ymax": o["ymax"] - 1, "ncol": ncol - 4, "nrow": nrow - 4},
     }
-    return spark.createDataFrame([(k, *checks.check_compat(own, o).values()) for k, o in others.items()], "name string, same_extent boolean, multiple boolean, aligned boolean, covers boolean")
+    lattice = lambda x: F.struct(*(v.cast("int" if k in ("ncol", "nrow") else "double").alias(k) for k, v in x.items()))
+    pairs = spec.select(lattice(own).alias("source"), F.explode(F.array(*(F.struct(F.lit(n).alias("name"), lattice(x).alias("target")) for n, x in others.items()))).alias("t"))
+    pairs = pairs.select("source", "t.name", "t.target")
+    return pairs.select("name", *(c.alias(n) for n, c in checks.compat_columns("source", "target").items()))
 
 
 @query("p17_resolution_label", oracle("", "SELECT DISTINCT p_size AS minutes, CASE WHEN p_size % 2 = 0 THEN concat(CAST(p_size AS VARCHAR), 'arcmin') ELSE concat(CAST(p_size AS VARCHAR), 'arcmin_by_', CAST(p_size * 30 AS VARCHAR), 'arcsec') END AS label FROM part WHERE p_size > 0"))
 def p17(spark, sf):
     """Labels of the resolutions that occur: sizes as minutes, the odd ones half as high."""
-    sizes = [r[0] for r in table(spark, sf, "part").filter("p_size > 0").select("p_size").distinct().collect()]
-    label = lambda n: resolution_label(GridSpec(0.0, 0.0, n / 60, n / 60 if n % 2 == 0 else n / 120, 1, 1))
-    return spark.createDataFrame([(n, label(n)) for n in sizes], "minutes int, label string")
+    sizes = table(spark, sf, "part").filter("p_size > 0").select(F.col("p_size").alias("minutes")).distinct()
+    degrees = F.col("minutes") / 60
+    return sizes.select("minutes", resolution_labels(degrees, F.when(F.col("minutes") % 2 == 0, degrees).otherwise(degrees / 2)).alias("label"))
 
 
 @query("a22_sum_check", oracle("", "SELECT CAST(k AS INT) AS loss, sum(l_quantity) * k / 1e6 <= 1e-6 * sum(l_quantity) AS kept FROM lineitem CROSS JOIN (VALUES (0), (1), (100)) t(k) GROUP BY k"))
 def a22(spark, sf):
     """Sums before and after an aggregation that loses none, a millionth, or a ten-thousandth."""
-    l = table(spark, sf, "lineitem")
-    out = []
-    for loss in (0, 1, 100):
-        sums = l.groupBy("l_orderkey").agg((F.sum("l_quantity") * (1 - loss / 1e6)).alias("q"))
-        try:
-            checks.assert_sum(l, sums, "l_quantity", "q", 1.0000001e-6)
-            out.append((loss, True))
-        except ValueError:
-            out.append((loss, False))
-    return spark.createDataFrame(out, "loss int, kept boolean")
+    losses = F.explode(F.array(*(F.lit(k) for k in (0, 1, 100)))).alias("loss")
+    sums = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.sum("l_quantity").alias("before")).select("*", losses)
+    both = sums.groupBy("loss").agg(F.sum("before").alias("before"), F.sum(F.col("before") * (1 - F.col("loss") / 1e6)).alias("after"))
+    return both.select("loss", checks.sum_kept(F.col("before"), F.col("after"), 1.0000001e-6).alias("kept"))

@@ -29,6 +29,8 @@ DEFAULTS = {"cellsize_lon": 0.5, "scalar": 1.0, "datatype": 1}
 #: Values that are read at once, and values that one input partition holds, at most.
 SLICE, PARTITION = 1_000_000, 32_000_000
 SCHEMA = "year int, cell bigint, band int, value double"
+#: With the option ``places``: where a value stands in its file, counted in values.
+PLACED = SCHEMA + ", place bigint"
 
 
 def _store(path: str) -> tuple[pafs.FileSystem, str]:
@@ -122,16 +124,18 @@ class Wanted:
         return found if self.values is None else found & np.isin(x, list(self.values))
 
 
-def _values(data: bytes, h: dict, year: int, first: int, n: int, wanted: dict[str, Wanted] | None = None) -> pa.RecordBatch:
+def _values(data: bytes, h: dict, year: int, first: int, n: int, wanted: dict[str, Wanted] | None = None, places: bool = False) -> pa.RecordBatch:
     """The rows of n cells of a year, from the ``first`` of the file on; of these those that are ``wanted``."""
     kind = np.dtype(h["endian"] + TYPES[h["datatype"]])
     values = np.frombuffer(data, kind).astype(np.float64) * (h["scalar"] if kind.kind == "i" or h["scalar"] != 1 else 1.0)
     cell = np.repeat(np.arange(first, first + n, dtype=np.int64) + h["firstcell"], h["nbands"])
     band = np.tile(np.arange(h["nbands"], dtype=np.int32), n)
+    place = (((year - h["firstyear"]) * h["ncell"] + first) * h["nbands"] + np.arange(len(values))).astype(np.int64) if places else None
+    columns = [np.full(len(values), year, np.int32), cell, band, values] + [place] * places
     if wanted:
         keep = np.flatnonzero(wanted["cell"].has(cell) & wanted["band"].has(band))
-        cell, band, values = cell[keep], band[keep], values[keep]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in (np.full(len(values), year, np.int32), cell, band, values)], ["year", "cell", "band", "value"])
+        columns = [c[keep] for c in columns]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["year", "cell", "band", "value", "place"][: len(columns)])
 
 
 def _slices(h: dict, year: int, begin: int = 0, cells: int | None = None) -> Iterator[tuple[int, int, int, int]]:
@@ -158,6 +162,7 @@ class CellGridReader(DataSourceReader):
         self.path = options["path"]
         # a file without a type in its header may have one given
         self.datatype = options.get("datatype")
+        self.places = options.get("places") == "true"
         self.most = int(options.get("partition_values", PARTITION))
         self.wanted = {c: Wanted() for c in ("year", "cell", "band")}
         for option, kind in (("from_year", GreaterThanOrEqual), ("to_year", LessThanOrEqual)):
@@ -212,7 +217,7 @@ class CellGridReader(DataSourceReader):
         with _store(self.path)[0].open_input_file(partition.path) as f:
             for year, begin, cells in partition.runs:
                 for first, n, at, size in _slices(partition.header, year, begin, cells):
-                    yield _values(f.read_at(size, at), partition.header, year, first, n, self.wanted)
+                    yield _values(f.read_at(size, at), partition.header, year, first, n, self.wanted, self.places)
 
 
 class CellGridStream(DataSourceStreamReader):
@@ -390,7 +395,7 @@ class CellGridSource(DataSource):
         return "cellgrid"
 
     def schema(self) -> str:
-        return SCHEMA
+        return PLACED if self.options.get("places") == "true" else SCHEMA
 
     def reader(self, schema) -> CellGridReader:
         return CellGridReader(dict(self.options))

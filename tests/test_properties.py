@@ -389,3 +389,20 @@ def test_checkpoint_folder_comes_from_the_session(spark):
     where = spark.sparkContext.getCheckpointDir()
     reliable_cut(spark.range(3))
     assert spark.sparkContext.getCheckpointDir() == where or where is None
+
+
+def test_labels_predicates_and_sums_as_columns(spark):
+    sizes = [0.5, 1 / 12, 1 / 120, 1.0, 1 / 480, 0.25, 7 / 60]
+    pairs = [(a, b) for a in sizes for b in sizes]
+    df = spark.createDataFrame(pairs, "a double, b double").select("a", "b", geo.resolution_labels("a", "b").alias("label"))
+    for r in df.collect():
+        assert r.label == geo.resolution_label(GridSpec(0, 0, r.a, r.b, 1, 1))
+    specs = [GridSpec(-180, 90, 0.5, 0.5, 720, 360), GridSpec(-180, 90, 1.0, 1.0, 360, 180), GridSpec(-179.9, 90, 0.5, 0.5, 10, 10), GridSpec(-170, 80, 0.75, 0.5, 12, 10)]
+    kind = "struct<xmin:double,ymax:double,res_lon:double,res_lat:double,ncol:int,nrow:int>"
+    lattice = lambda s: (float(s.xmin), float(s.ymax), s.res_lon, s.res_lat, s.ncol, s.nrow)
+    rows = [(i, j, lattice(a), lattice(b)) for i, a in enumerate(specs) for j, b in enumerate(specs)]
+    found = spark.createDataFrame(rows, f"i int, j int, s {kind}, t {kind}").select("i", "j", *(c.alias(n) for n, c in checks.compat_columns("s", "t").items()))
+    for r in found.collect():
+        assert {k: r[k] for k in ("same_extent", "multiple", "aligned", "covers")} == checks.check_compat(specs[r.i], specs[r.j])
+    sums = spark.createDataFrame([(1.0, 1.0 + 1e-7), (1.0, 1.1), (None, 0.0), (5.0, None)], "x double, y double")
+    assert [r[0] for r in sums.select(checks.sum_kept(F.col("x"), F.col("y"))).collect()] == [True, False, True, False]
