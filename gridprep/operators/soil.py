@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridprep.functions.geo import GridSpec, cell_area, haversine
+from gridprep.operators.windows import MAX_CELLS, nearest_sources, presence
 from gridprep.session import reliable_cut
 
 #: Codes of rock, ice and dunes, and the texture class that dunes count as.
@@ -36,17 +37,33 @@ def soil_assign(overlay: DataFrame, attributes: DataFrame, rock_only_alone: bool
     return best.select("cell", "class", "mu", F.coalesce(*steps).alias("ph"), source.alias("ph_source"))
 
 
-def window_fill(sources: DataFrame, missing: DataFrame, spec: GridSpec, power: float = 2.0, max_cells: int | None = None) -> DataFrame:
+def window_fill(sources: DataFrame, missing: DataFrame, spec: GridSpec, power: float = 2.0, max_cells: int | None = None, max_lattice: int = MAX_CELLS) -> DataFrame:
     """(cell, source, weight, window, distance) for each missing cell: the valid cells of the smallest square window that
     has any, weighted by area / distance^power.
 
-    ``sources``: cell, gcol, grow; ``missing``: cell, gcol, grow. The window (cells to each side) doubles from round to
-    round for the cells that found nothing, so bucket sizes stay near the window's; longitudes wrap on a global lattice.
-    It grows until every cell has found a source or spans the lattice, or up to ``max_cells``. A cell without any source
-    inside has one row, with a null source, weight, window and distance.
+    ``sources``: cell, gcol, grow; ``missing``: cell, gcol, grow. The window (cells to each side) is read from a bit map
+    of the lattice, and one join by place brings the sources; longitudes wrap on a global lattice. It grows until a source
+    is inside or it spans the lattice, or up to ``max_cells``. A cell without any source inside has one row, with a null
+    source, weight, window and distance. A lattice of more than ``max_lattice`` cells is searched in rounds instead.
     """
     widest = max(spec.ncol, spec.nrow)
     limit = widest if max_cells is None else min(max_cells, widest)
+    have = presence(sources, spec.ncol, spec.wraps, max_lattice)
+    if have is None:
+        found = _searched_in_rounds(sources, missing, spec, limit)
+    else:
+        at = sources.select(F.col("cell").alias("source"), F.col("gcol").alias("sc"), F.col("grow").alias("sr"))
+        found = nearest_sources(missing, have, limit).join(at, ["sc", "sr"], "left")
+    at = lambda c: F.lit(spec.xmin) + (F.col(c) + 0.5) * spec.res_lon
+    lat = lambda r: F.lit(spec.ymax) - (F.col(r) + 0.5) * spec.res_lat
+    d = haversine(at("gcol"), lat("grow"), at("sc"), lat("sr"))
+    weight = cell_area(lat("sr"), spec.res_lon, spec.res_lat) / F.pow(d, F.lit(power))
+    return found.select("cell", "source", weight.alias("weight"), "window", d.alias("distance"))
+
+
+def _searched_in_rounds(sources: DataFrame, missing: DataFrame, spec: GridSpec, limit: int) -> DataFrame:
+    """cell, gcol, grow, source, sc, sr, window of each missing cell: the window doubles from round to round for the cells
+    that found nothing, so bucket sizes stay near the window's."""
     s = sources.select(F.col("cell").alias("source"), F.col("gcol").alias("sc"), F.col("grow").alias("sr"))
     todo, found, k = reliable_cut(missing.select("cell", "gcol", "grow")), None, 1
     steps = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1))))
@@ -68,9 +85,4 @@ def window_fill(sources: DataFrame, missing: DataFrame, spec: GridSpec, power: f
         todo = reliable_cut(todo.join(hit.select("cell").distinct(), "cell", "left_anti"))
         k = limit if k < limit < 2 * k else 2 * k
     none = todo.select("cell", "gcol", "grow", *(F.lit(None).cast("long").alias(c) for c in ("source", "sc", "sr", "window")))
-    found = none if found is None else found.unionByName(none)
-    at = lambda c: F.lit(spec.xmin) + (F.col(c) + 0.5) * spec.res_lon
-    lat = lambda r: F.lit(spec.ymax) - (F.col(r) + 0.5) * spec.res_lat
-    d = haversine(at("gcol"), lat("grow"), at("sc"), lat("sr"))
-    weight = cell_area(lat("sr"), spec.res_lon, spec.res_lat) / F.pow(d, F.lit(power))
-    return found.select("cell", "source", weight.alias("weight"), "window", d.alias("distance"))
+    return none if found is None else found.unionByName(none)

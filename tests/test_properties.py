@@ -406,3 +406,28 @@ def test_labels_predicates_and_sums_as_columns(spark):
         assert {k: r[k] for k in ("same_extent", "multiple", "aligned", "covers")} == checks.check_compat(specs[r.i], specs[r.j])
     sums = spark.createDataFrame([(1.0, 1.0 + 1e-7), (1.0, 1.1), (None, 0.0), (5.0, None)], "x double, y double")
     assert [r[0] for r in sums.select(checks.sum_kept(F.col("x"), F.col("y"))).collect()] == [True, False, True, False]
+
+
+@pytest.mark.parametrize(("ncol", "nrow", "share"), [(36, 18, 0.03), (36, 18, 0.5), (50, 20, 0.02), (7, 9, 0.1), (36, 2, 0.02)])
+def test_window_fill_against_brute_force(spark, ncol, nrow, share):
+    rng = random.Random(ncol * nrow)
+    spec = GridSpec(-180.0, 90.0, 10.0, 10.0, ncol, nrow)
+    places = [(r * ncol + c, c, r) for r in range(nrow) for c in range(ncol)]
+    have = [p for p in places if rng.random() < share] or places[:1]
+    gaps = [p for p in places if p not in have]
+    across = lambda a, b: min(abs(a - b), ncol - abs(a - b)) if spec.wraps else abs(a - b)
+    for limit in (None, 3):
+        want = set()
+        for i, c, r in gaps:
+            reach = {s: max(across(c, sc), abs(r - sr)) for s, sc, sr in have}
+            window = min(reach.values())
+            if limit is None or window <= limit:
+                want |= {(i, s, window) for s, x in reach.items() if x == window}
+            else:
+                want.add((i, None, None))
+        kind = "cell long, gcol int, grow int"
+        for lattice in (1 << 30, 1):
+            out = soil.window_fill(spark.createDataFrame(have, kind), spark.createDataFrame(gaps, kind), spec, max_cells=limit, max_lattice=lattice)
+            assert sorted(map(repr, map(tuple, out.select("cell", "source", "window").collect()))) == sorted(map(repr, want)), (limit, lattice)
+            if ncol != 36 or share < 0.5:
+                break
