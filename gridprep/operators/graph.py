@@ -9,6 +9,9 @@ from gridprep.functions.geo import EARTH_RADIUS, haversine
 from gridprep.operators.rivers import accumulate, closure, outlets, tree_labels, unrelated  # noqa: F401
 from gridprep.session import reliable_cut
 
+#: Rows of a side that a bucket of the radius join holds, about, before it is cut into parts.
+DENSE = 20_000
+
 
 def river_graph(df: DataFrame) -> DataFrame:
     """cell, next_cell: negative and unknown next cells are outlets (null)."""
@@ -40,11 +43,30 @@ def _doubled(jump: DataFrame) -> DataFrame:
     return reliable_cut(jump.join(jump.select(F.col("cell").alias("to"), F.col("to").alias("to2")), "to").select("cell", F.col("to2").alias("to")))
 
 
-def radius_join(left: DataFrame, right: DataFrame, radius: float, left_id: str = "cell", right_id: str = "other") -> DataFrame:
+def _dealt(left: DataFrame, right: DataFrame, left_id: str, right_id: str, dense: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with parts (i, j) of their buckets (b, k): a left row is in one i and every j, a right row in one j and every
+    i. Only crowded buckets have several parts, of about ``dense`` rows a side."""
+    counts = [df.groupBy("b", "k").agg(F.count(F.lit(1)).alias(n)) for df, n in ((left, "l"), (right, "r"))]
+    crowded = counts[0].join(counts[1], ["b", "k"]).filter((F.col("l") > dense) | (F.col("r") > dense))
+    parts = lambda c: F.ceil(F.col(c) / dense).cast("int")
+    crowded = reliable_cut(crowded.select("b", "k", parts("l").alias("ni"), parts("r").alias("nj")))
+    if crowded.isEmpty():
+        return tuple(df.withColumn("i", F.lit(0)).withColumn("j", F.lit(0)) for df in (left, right))
+
+    def spread(df: DataFrame, own: str, key: str, others: str) -> DataFrame:
+        df = df.join(crowded, ["b", "k"], "left").fillna(1, ["ni", "nj"])
+        df = df.withColumn(own, F.pmod(F.xxhash64(key), F.col(f"n{own}")).cast("int"))
+        return df.withColumn(others, F.explode(F.sequence(F.lit(0), F.col(f"n{others}") - 1))).drop("ni", "nj")
+
+    return spread(left, "i", left_id, "j"), spread(right, "j", right_id, "i")
+
+
+def radius_join(left: DataFrame, right: DataFrame, radius: float, left_id: str = "cell", right_id: str = "other", dense: int = DENSE) -> DataFrame:
     """(left_id, right_id, distance): pairs within ``radius`` metres, across the 180-degree line as well.
 
     Both sides fall into latitude bands a radius high, and into longitude buckets a radius wide at the band's edge
-    nearer to a pole; the left side goes to its own and the neighbouring buckets, so each pair meets once.
+    nearer to a pole; the left side goes to its own and the neighbouring buckets, so each pair meets once. Buckets with
+    more than ``dense`` rows of a side are cut into parts by counts, so that a crowd is compared in many tasks.
     """
     height = radius / EARTH_RADIUS * 180 / 3.141592653589793
     band = lambda lat: F.floor((F.col(lat) + 90) / height)
@@ -64,7 +86,8 @@ def radius_join(left: DataFrame, right: DataFrame, radius: float, left_id: str =
     near = F.array_distinct(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.pmod(place("llon", F.col("n")) + d, F.col("n"))))
     x = x.withColumn("k", F.explode(near)).drop("n")
     d = haversine("llon", "llat", "rlon", "rlat")
-    return x.join(r, ["b", "k"]).select(left_id, right_id, d.alias("distance")).filter(F.col("distance") <= radius)
+    x, r = _dealt(x, r, left_id, right_id, dense)
+    return x.join(r, ["b", "k", "i", "j"]).select(left_id, right_id, d.alias("distance")).filter(F.col("distance") <= radius)
 
 
 def exclude_related(pairs: DataFrame, related: DataFrame) -> DataFrame:
@@ -87,6 +110,18 @@ def best_neighbour(grid: DataFrame, graph: DataFrame, upstream: DataFrame | None
     return grid.select("cell").join(best, "cell", "left").select("cell", F.coalesce("best", "cell").alias("best"))
 
 
+def undominated(candidates: DataFrame) -> DataFrame:
+    """Candidates (point_id, cell, distance, deviation, ...) that may be best for some penalties that aren't negative.
+
+    One goes if another on its side of zero deviation is no farther and deviates no more, and comes first where all costs
+    are equal. That is a running minimum by distance; of a point without deviations the nearest stays.
+    """
+    size = F.coalesce(F.abs("deviation"), F.lit(0.0))
+    before = Window.partitionBy("point_id", F.coalesce(F.col("deviation") > 0, F.lit(False))).orderBy("distance", "cell").rowsBetween(Window.unboundedPreceding, -1)
+    least = candidates.withColumn("__least", F.min(size).over(before))
+    return least.filter(F.col("__least").isNull() | (size < F.col("__least"))).drop("__least")
+
+
 def snap_points(points: DataFrame, grid: DataFrame, params: DataFrame, max_degrees: float, max_distance: float, manual: DataFrame | None = None) -> DataFrame:
     """(params, point_id, cell, distance, deviation): the best cell for each point under every pair of penalties at once.
 
@@ -108,7 +143,9 @@ def snap_points(points: DataFrame, grid: DataFrame, params: DataFrame, max_degre
     near = near.withColumn("distance", haversine("plon", "plat", "glon", "glat")).filter(F.col("distance") <= max_distance)
     near = near.dropDuplicates(["point_id", "cell"])
     near = near.withColumn("deviation", (F.col("up") - F.col("catch_area")) / F.when(F.col("catch_area") != 0, F.col("catch_area")))
-    # every pair of penalties for every candidate; the parameter table is the caller's handful of rows
+    if params.filter("d < 0 or e < 0 or over < 0").isEmpty():
+        near = undominated(near)
+    # every pair of penalties for every candidate left; the parameter table is the caller's handful of rows
     swept = near.crossJoin(F.broadcast(params))
     safe_log = lambda x: F.when(x > 0, F.log(x)).otherwise(F.lit(-1e9))
     e = F.when(F.col("deviation") > 0, F.col("e") * F.col("over")).otherwise(F.col("e"))

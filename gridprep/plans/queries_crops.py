@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from gridprep.functions.geo import EARTH_RADIUS, GridSpec
 from gridprep.operators import crops, groups, names, nutrients, overlay, soil
 from gridprep.operators.medians import exact_medians
+from gridprep.operators.unions import polygon_cell_union
 from gridprep.plans.registry import query
 from gridprep.plans.views import oracle, table, view
 from gridprep.session import reliable_cut
@@ -316,6 +317,23 @@ def j03(spark, sf):
     return out.filter("area > 1e4").select("code", "gcol", "grow", F.round(F.col("area") / 1e6, 2).alias("km2"))
 
 
+_UNITED = """c AS (SELECT CAST(x AS INT) AS gcol, CAST(y AS INT) AS grow, -15 + 0.5e0 * x AS w, 12 - 0.5e0 * y AS n FROM range(100) a(x) CROSS JOIN range(60) b(y)),
+  i AS (SELECT code, gcol, grow, greatest(xmin, w) AS x0, least(xmax, w + 0.5e0) AS x1, greatest(ymin, n - 0.5e0) AS s, least(ymax, n) AS t FROM v_rects JOIN c ON w < xmax AND w + 0.5e0 > xmin AND n > ymin AND n - 0.5e0 < ymax),
+  k AS (SELECT code, gcol, grow, x0 AS x FROM i UNION SELECT code, gcol, grow, x1 FROM i), b AS (SELECT *, lead(x) OVER (PARTITION BY code, gcol, grow ORDER BY x) AS e FROM k),
+  y AS (SELECT b.*, s, t, max(t) OVER (PARTITION BY code, gcol, grow, x ORDER BY s, t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM b JOIN i USING (code, gcol, grow) WHERE e IS NOT NULL AND x0 <= x AND x1 >= e),
+  """ + f"r AS (SELECT code, gcol, grow, sum(power({EARTH_RADIUS}e0, 2) * radians(e - x) * (sin(radians(t)) - sin(radians(greatest(s, coalesce(seen, -99)))))) AS area FROM y WHERE t > greatest(s, coalesce(seen, -99)) GROUP BY 1, 2, 3)"
+
+
+@query("j03_polygon_cell_union", oracle("v_rects", "SELECT code, gcol, grow, round(area / 1e6, 2) AS km2 FROM r WHERE area > 1e4", _UNITED))
+def j03_union(spark, sf):
+    """Overlapping rectangles of a code count once."""
+    corner = lambda x, y: F.struct(F.col(x).alias("lon"), F.col(y).alias("lat"))
+    ring = F.array(corner("xmin", "ymin"), corner("xmax", "ymin"), corner("xmax", "ymax"), corner("xmin", "ymax")).alias("points")
+    p = view(spark, sf, "v_rects").select("poly_id", F.lit(0).alias("part"), F.lit(0).alias("ring"), "code", ring)
+    out = polygon_cell_union(p, GridSpec(-15.0, 12.0, 0.5, 0.5, 100, 60))
+    return out.filter("area > 1e4").select("code", "gcol", "grow", F.round(F.col("area") / 1e6, 2).alias("km2"))
+
+
 @query("s09_union_layers", oracle("v_rects", "SELECT c AS type FROM (VALUES (3), (7), (99)) v(c) WHERE c NOT IN (SELECT code FROM v_rects)"))
 def s09(spark, sf):
     r = view(spark, sf, "v_rects").select("poly_id", F.col("code").alias("type"))

@@ -431,3 +431,30 @@ def test_window_fill_against_brute_force(spark, ncol, nrow, share):
             assert sorted(map(repr, map(tuple, out.select("cell", "source", "window").collect()))) == sorted(map(repr, want)), (limit, lattice)
             if ncol != 36 or share < 0.5:
                 break
+
+
+def test_radius_join_of_a_crowd(spark):
+    rng = random.Random(6)
+    points = [(i, 20 + rng.gauss(0, 0.02), 40 + rng.gauss(0, 0.02)) for i in range(300)] + [(300 + i, rng.uniform(-180, 180), rng.uniform(-89, 89)) for i in range(100)]
+    df = spark.createDataFrame(points, "cell long, lon double, lat double")
+    other = df.withColumnRenamed("cell", "other")
+    pairs = lambda n: sorted((r.cell, r.other) for r in graph.radius_join(df, other, 30_000.0, dense=n).collect())
+    assert pairs(16) == pairs(10**9) and len(pairs(16)) > 40_000
+    # the crowd is in buckets of about equal work
+    keyed = [d.select("cell" if k == 0 else "other", F.lit(1).alias("b"), F.lit(1).alias("k")) for k, d in enumerate((df, other))]
+    x, r = graph._dealt(*keyed, "cell", "other", 50)
+    work = [row["count"] for row in x.join(r, ["b", "k", "i", "j"]).groupBy("i", "j").count().collect()]
+    assert sum(work) == 400 * 400 and len(work) == 64 and max(work) < 3 * sorted(work)[32]
+
+
+def test_dominated_candidates_go_without_changing_the_best(spark):
+    rng = random.Random(11)
+    rows = [(p, c, float(rng.randint(0, 9)), None if p == 9 else rng.randint(-6, 6) / 2) for p in range(10) for c in range(60)]
+    df = spark.createDataFrame(rows, "point_id long, cell long, distance double, deviation double")
+    left = {(r.point_id, r.cell) for r in graph.undominated(df).collect()}
+    assert len(left) < 0.3 * len(rows)
+    log = lambda x: np.log(x) if x > 0 else -1e9
+    for d, e, over in [(1, 1, 1), (2, 0.5, 2), (0, 1, 1), (1, 0, 3), (0.1, 4, 0.2), (0, 0, 0)]:
+        for p in range(9):
+            cost = {c: (round(d * log(x) + e * (over if y > 0 else 1) * log(abs(y)), 9), x, c) for q, c, x, y in rows if q == p}
+            assert (p, min(cost.values())[2]) in left, (d, e, over)
