@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
@@ -87,6 +88,8 @@ def cut_to_capacity(df: DataFrame, by: Keys = ("country",)) -> DataFrame:
 
 #: Crops of all groups up to which their table, a row for each group, is broadcast.
 SMALL = 1_000_000
+#: Rounds whose finished groups are kept as tables of their own.
+ASIDE = 16
 
 
 def redistribute(alloc: DataFrame, by: Keys = ("country",), max_rounds: int = 1000, tolerance: float = 1e-4, outside_after: int = 20) -> DataFrame:
@@ -154,6 +157,9 @@ def redistribute(alloc: DataFrame, by: Keys = ("country",), max_rounds: int = 10
         state = joined.withColumn("crops", F.when(F.col("open"), more).otherwise(F.col("crops"))).withColumn("rounds", F.col("rounds") + F.col("open").cast("int")).select(*keys, "cell", "cap", "crops", "rounds", "open")
         state = stored(state)
         aside.append(state.filter("not open"))
+        if len(aside) == ASIDE:
+            # many rounds: what is done becomes one table, so the plan at the end stays short
+            aside = [stored(reduce(DataFrame.unionByName, aside))]
         state = state.filter("open")
     for done in aside:
         state = state.select(*keys, "cell", "cap", "crops", "rounds", "open").unionByName(done)

@@ -45,13 +45,15 @@ def _doubled(jump: DataFrame) -> DataFrame:
 
 def _dealt(left: DataFrame, right: DataFrame, left_id: str, right_id: str, dense: int) -> tuple[DataFrame, DataFrame]:
     """Both sides with parts (i, j) of their buckets (b, k): a left row is in one i and every j, a right row in one j and every
-    i. Only crowded buckets have several parts, of about ``dense`` rows a side."""
-    counts = [df.groupBy("b", "k").agg(F.count(F.lit(1)).alias(n)) for df, n in ((left, "l"), (right, "r"))]
-    crowded = counts[0].join(counts[1], ["b", "k"]).filter((F.col("l") > dense) | (F.col("r") > dense))
-    parts = lambda c: F.ceil(F.col(c) / dense).cast("int")
-    crowded = reliable_cut(crowded.select("b", "k", parts("l").alias("ni"), parts("r").alias("nj")))
+    i. Only buckets with more than ``dense`` right rows have several parts, of about as many rows a side; in the others a
+    left row has little to do, and Spark splits the left side of a join where it is skewed."""
+    counts = right.groupBy("b", "k").agg(F.count(F.lit(1)).alias("r")).filter(F.col("r") > dense)
+    crowded = reliable_cut(counts)
     if crowded.isEmpty():
         return tuple(df.withColumn("i", F.lit(0)).withColumn("j", F.lit(0)) for df in (left, right))
+    parts = lambda c: F.ceil(F.coalesce(c, F.lit(1)) / dense).cast("int")
+    met = left.join(crowded, ["b", "k"], "left_semi").groupBy("b", "k").agg(F.count(F.lit(1)).alias("l"))
+    crowded = reliable_cut(crowded.join(met, ["b", "k"], "left").select("b", "k", parts(F.col("l")).alias("ni"), parts(F.col("r")).alias("nj")))
 
     def spread(df: DataFrame, own: str, key: str, others: str) -> DataFrame:
         df = df.join(crowded, ["b", "k"], "left").fillna(1, ["ni", "nj"])

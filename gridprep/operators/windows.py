@@ -102,19 +102,24 @@ def nearest_sources(missing: DataFrame, have: Presence, limit: int) -> DataFrame
     shared = missing.sparkSession.sparkContext.broadcast(have)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        have = shared.value
         for pdf in batches:
-            for row, own in pdf.groupby("grow"):
-                cells, cols = own["cell"].to_numpy(np.int64), own["gcol"].to_numpy(np.int64)
-                window = shared.value.windows(int(row), cols, limit)
-                found = np.flatnonzero(window <= limit)
-                none = np.flatnonzero(window > limit)
-                if len(none):
-                    gone = pd.array([None] * len(none), "Int64")
-                    yield pd.DataFrame({"cell": cells[none], "gcol": cols[none], "grow": int(row), "sc": gone, "sr": gone, "window": gone})
-                for at, sr, sc in shared.value.sources(int(row), cols[found], window[found]):
-                    if shared.value.wraps:
-                        sc = sc % shared.value.ncol
-                    yield pd.DataFrame({"cell": cells[found][at], "gcol": cols[found][at], "grow": int(row), "sc": sc, "sr": sr, "window": window[found][at]})
+            cells, cols, rows = (pdf[c].to_numpy(np.int64) for c in ("cell", "gcol", "grow"))
+            window = np.zeros(len(pdf), np.int64)
+            met: list[tuple[np.ndarray, ...]] = []
+            edges = np.flatnonzero(np.diff(rows, prepend=rows[:1] - 1, append=rows[-1:] + 1))
+            for a, b in zip(edges, edges[1:], strict=False):
+                row = int(rows[a])
+                window[a:b] = have.windows(row, cols[a:b], limit)
+                found = a + np.flatnonzero(window[a:b] <= limit)
+                met += [(found[at], np.full(len(at), sr), sc) for at, sr, sc in have.sources(row, cols[found], window[found])]
+            at, sr, sc = (np.concatenate([m[k] for m in met]).astype(np.int64) if met else np.zeros(0, np.int64) for k in range(3))
+            if have.wraps:
+                sc = sc % have.ncol
+            none = np.flatnonzero(window > limit)
+            every = np.concatenate((at, none))
+            gone = [None] * len(none)
+            yield pd.DataFrame({"cell": cells[every], "gcol": cols[every], "grow": rows[every], "sc": pd.array([*sc, *gone], "Int64"), "sr": pd.array([*sr, *gone], "Int64"), "window": pd.array([*window[at], *gone], "Int64")})
 
     own = missing.select(F.col("cell").cast("long").alias("cell"), F.col("gcol").cast("int").alias("gcol"), F.col("grow").cast("int").alias("grow"))
-    return own.repartitionByRange("grow", "gcol").sortWithinPartitions("grow").mapInPandas(run, SCHEMA)
+    return own.repartition("grow").sortWithinPartitions("grow").mapInPandas(run, SCHEMA)
