@@ -47,13 +47,32 @@ def reliable_cut(df):
 def stored(df):
     """The same rows, written to the shared folder as Parquet and read again: like ``reliable_cut``, and the plan starts
     afresh with a table of known size and without what Spark knew about its columns."""
-    import uuid
-
-    path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession, "stored")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Folders of tables that this process has stored.
+_FOLDERS: list[str] = []
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path of its own in the shared folder, which ``release`` deletes."""
+    import uuid
+
+    _FOLDERS.append(f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}")
+    return _FOLDERS[-1]
+
+
+def release(spark: SparkSession) -> int:
+    """Deletes the tables stored so far and returns their number: results that aren't written yet can't be read any more."""
+    jvm, n = spark._jvm, 0
+    while _FOLDERS:
+        path = jvm.org.apache.hadoop.fs.Path(_FOLDERS.pop())
+        n += int(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return n
+
+
 def arrow_rows(spark: SparkSession, most: int) -> None:
     """Arrow batches of at most so many rows, for tables whose rows hold long arrays."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

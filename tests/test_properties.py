@@ -458,3 +458,16 @@ def test_dominated_candidates_go_without_changing_the_best(spark):
         for p in range(9):
             cost = {c: (round(d * log(x) + e * (over if y > 0 else 1) * log(abs(y)), 9), x, c) for q, c, x, y in rows if q == p}
             assert (p, min(cost.values())[2]) in left, (d, e, over)
+
+
+def test_stored_tables_are_released(spark):
+    import os
+
+    from gridprep import session
+
+    session.release(spark)
+    kept = session.stored(spark.range(5))
+    assert kept.count() == 5
+    path = session._FOLDERS[-1]
+    assert session.release(spark) == 1 and session.release(spark) == 0
+    assert not os.path.exists(path.removeprefix("file:"))
