@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -10,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridprep.session import shared_folder
+from gridprep.session import new_folder, shared_folder
 
 #: Characters handled at once by the vectorised helpers; a longer text is a chunk of its own.
 CHUNK_CHARS = 1_000_000
@@ -30,7 +29,7 @@ def cut(df: DataFrame) -> DataFrame:
 def with_rows(df: DataFrame, name: str = "__row") -> DataFrame:
     """``df`` with a number of its own for each row, written once to the shared folder: every reading has the same."""
     numbered = df.withColumn(name, F.monotonically_increasing_id())
-    path = f"{checkpoint_dir(df.sparkSession)}/rows-{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession, "rows")
     numbered.write.parquet(path)
     return df.sparkSession.read.schema(numbered.schema).parquet(path)
 
