@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from gridprep.functions.geo import EARTH_RADIUS, GridSpec
 from gridprep.operators.overlay import NOTHING, ring_sign
+from gridprep.session import arrow_rows
 
 #: Strips narrower than this (degrees) are rounding, and pairs of edges that are looked at at once.
 NARROW, PAIRS = 1e-11, 2_000_000
@@ -98,6 +99,7 @@ def polygon_cell_union(polygons: DataFrame, spec: GridSpec) -> DataFrame:
     areas of polygon_cell_area. Edges go to the columns and rows they cross; a code's edges in a column of the lattice are
     swept in one task.
     """
+    arrow_rows(polygons.sparkSession)
     west, north, dx, dy = (F.lit(float(v)) for v in (spec.xmin, spec.ymax, spec.res_lon, spec.res_lat))
     rings = polygons.filter(F.size("points") >= 3).withColumn("sign", ring_sign() * F.when(F.col("ring") == 0, 1.0).otherwise(-1.0)).filter("sign <> 0")
     following = F.concat(F.slice("points", 2, F.size("points")), F.slice("points", 1, 1))

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridprep.session import arrow_rows
+
 #: Cells of a lattice whose bit map (an eighth of a byte a cell, 128 MB) all tasks may have.
 MAX_CELLS = 1 << 30
 SCHEMA = "cell long, gcol int, grow int, sc int, sr int, window long"
@@ -99,6 +101,7 @@ def presence(sources: DataFrame, ncol: int, wraps: bool, max_cells: int = MAX_CE
 def nearest_sources(missing: DataFrame, have: Presence, limit: int) -> DataFrame:
     """cell, gcol, grow, sc, sr, window: a row for each source in the smallest window of each missing cell, row by row of the
     lattice; with nulls where no window of up to ``limit`` cells to each side holds one."""
+    arrow_rows(missing.sparkSession)
     shared = missing.sparkSession.sparkContext.broadcast(have)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

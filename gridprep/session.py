@@ -73,9 +73,6 @@ def release(spark: SparkSession) -> int:
     return n
 
 
-def arrow_rows(spark: SparkSession, most: int) -> None:
-    """Arrow batches of at most so many rows, for tables whose rows hold long arrays."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(key))
-    if now <= 0 or now > most:
-        spark.conf.set(key, str(most))
+def arrow_rows(spark: SparkSession, most: int = 10_000) -> None:
+    """Arrow batches of at most so many rows: few for tables whose rows hold long arrays."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(most))
