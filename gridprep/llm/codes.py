@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from gridprep.llm.common import cut, with_group_values
+from gridprep.llm.common import cut, small_batches, with_group_values
 
 PARTS, ENTRIES, ROUNDS, SCALE = 16, 64, 2, 256
 PIVOTS = 4
@@ -126,6 +126,7 @@ def compress(vectors: DataFrame, parts: int = PARTS, entries: int = ENTRIES, rou
     """
     if entries > 256:
         raise ValueError("a code is a byte: at most 256 entries")
+    small_batches(vectors.sparkSession, ROWS)
     whole = integer_vectors(vectors, scale)
     kind = whole.schema["label"].dataType.simpleString()
     first = whole.orderBy(F.col("vec_id").asc_nulls_last(), "q").limit(entries).select("q").collect()
