@@ -54,6 +54,11 @@ def sum_kept(before: Column, after: Column, tolerance: float = 1e-6) -> Column:
     return F.abs(x - y) <= tolerance * F.greatest(F.abs(x), F.abs(y), F.lit(1e-300))
 
 
+def loss_within(before: Column, lost: Column, tolerance: float = 1e-6) -> Column:
+    """Whether what was lost of a sum is within the relative tolerance, by no difference of sums, which would round it."""
+    return F.abs(lost) <= F.lit(tolerance) * F.abs(before)
+
+
 def spec_of(df: DataFrame, res_lon: float, res_lat: float, lon: str = "lon", lat: str = "lat") -> GridSpec:
     """The lattice around all cell centres of a table: one aggregate."""
     x = df.agg(F.min(lon), F.max(lon), F.min(lat), F.max(lat)).first()
