@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridprep.functions.geo import EARTH_RADIUS, haversine
-from gridprep.operators.rivers import accumulate, closure, outlets, tree_labels, unrelated  # noqa: F401
+from gridprep.operators.rivers import accumulate, closure, labelled, outlets, tree_labels, unrelated  # noqa: F401
 from gridprep.session import reliable_cut
 
 #: Rows of a side that a bucket of the radius join holds, about, before it is cut into parts.
 DENSE = 20_000
+#: Pairs that a task of the radius join compares, about, and its tasks at most.
+COMPARED, TASKS = 2_000_000, 20_000
 
 
 def river_graph(df: DataFrame) -> DataFrame:
@@ -45,26 +49,30 @@ def _doubled(jump: DataFrame) -> DataFrame:
 
 def _dealt(left: DataFrame, right: DataFrame, left_id: str, right_id: str, dense: int) -> tuple[DataFrame, DataFrame]:
     """Both sides with parts (i, j) of their buckets (b, k): a left row is in one i and every j, a right row in one j and every
-    i. Only buckets with more than ``dense`` right rows have several parts, of about as many rows a side; in the others a
-    left row has little to do, and Spark splits the left side of a join where it is skewed."""
-    counts = right.groupBy("b", "k").agg(F.count(F.lit(1)).alias("r")).filter(F.col("r") > dense)
-    crowded = reliable_cut(counts)
+    i. Only buckets with more than ``dense`` rows of a side have several parts of it. Both are dealt by bucket and part into as
+    many tasks as their comparisons need: small tables make many pairs."""
+    counts = lambda df, n: df.groupBy("b", "k").agg(F.count(F.lit(1)).alias(n))
+    met = reliable_cut(counts(left, "l").join(counts(right, "r").hint("merge"), ["b", "k"]))
+    work = met.agg(F.sum(F.col("l").cast("double") * F.col("r"))).first()[0] or 0
+    tasks = min(TASKS, int(work // COMPARED) + 1)
+    deal = lambda df: df.repartition(tasks, "b", "k", "i", "j")
+    parts = lambda c: F.ceil(F.col(c) / dense).cast("int")
+    crowded = met.filter((F.col("l") > dense) | (F.col("r") > dense)).select("b", "k", parts("l").alias("ni"), parts("r").alias("nj"))
     if crowded.isEmpty():
-        return tuple(df.withColumn("i", F.lit(0)).withColumn("j", F.lit(0)) for df in (left, right))
-    parts = lambda c: F.ceil(F.coalesce(c, F.lit(1)) / dense).cast("int")
-    met = left.join(crowded, ["b", "k"], "left_semi").groupBy("b", "k").agg(F.count(F.lit(1)).alias("l"))
-    crowded = reliable_cut(crowded.join(met, ["b", "k"], "left").select("b", "k", parts(F.col("l")).alias("ni"), parts(F.col("r")).alias("nj")))
+        # always 0, but no literal: by literals the join would deal its sides anew, into fewer tasks
+        return tuple(deal(df.withColumn("i", F.pmod("k", F.lit(1)).cast("int")).withColumn("j", F.col("i"))) for df in (left, right))
 
     def spread(df: DataFrame, own: str, key: str, others: str) -> DataFrame:
         df = df.join(crowded, ["b", "k"], "left").fillna(1, ["ni", "nj"])
         df = df.withColumn(own, F.pmod(F.xxhash64(key), F.col(f"n{own}")).cast("int"))
         return df.withColumn(others, F.explode(F.sequence(F.lit(0), F.col(f"n{others}") - 1))).drop("ni", "nj")
 
-    return spread(left, "i", left_id, "j"), spread(right, "j", right_id, "i")
+    return deal(spread(left, "i", left_id, "j")), deal(spread(right, "j", right_id, "i"))
 
 
-def radius_join(left: DataFrame, right: DataFrame, radius: float, left_id: str = "cell", right_id: str = "other", dense: int = DENSE) -> DataFrame:
-    """(left_id, right_id, distance): pairs within ``radius`` metres, across the 180-degree line as well.
+def radius_join(left: DataFrame, right: DataFrame, radius: float, left_id: str = "cell", right_id: str = "other", dense: int = DENSE, left_more: Sequence[str] = (), right_more: Sequence[str] = ()) -> DataFrame:
+    """(left_id, right_id, distance): pairs within ``radius`` metres, across the 180-degree line as well. The columns
+    ``left_more`` and ``right_more`` of the sides come along after these, which saves joins of the pairs.
 
     Both sides fall into latitude bands a radius high, and into longitude buckets a radius wide at the band's edge
     nearer to a pole; the left side goes to its own and the neighbouring buckets, so each pair meets once. Buckets with
@@ -81,15 +89,16 @@ def radius_join(left: DataFrame, right: DataFrame, radius: float, left_id: str =
         return F.greatest(F.floor(F.lit(360.0) / F.coalesce(width * 1.01, F.lit(400.0))), F.lit(1)).cast("long")
 
     place = lambda lon, n: F.least(F.floor(F.pmod(F.col(lon) + 180, F.lit(360.0)) * n / 360), n - 1)
-    r = right.select(F.col(right_id), F.col("lon").alias("rlon"), F.col("lat").alias("rlat"), band("lat").alias("b")).withColumn("n", buckets(F.col("b")))
+    r = right.select(F.col(right_id), F.col("lon").alias("rlon"), F.col("lat").alias("rlat"), *right_more, band("lat").alias("b")).withColumn("n", buckets(F.col("b")))
     r = r.withColumn("k", place("rlon", F.col("n"))).drop("n")
     bands = F.explode(F.array(band("lat") - 1, band("lat"), band("lat") + 1))
-    x = left.select(F.col(left_id), F.col("lon").alias("llon"), F.col("lat").alias("llat"), bands.alias("b")).withColumn("n", buckets(F.col("b")))
+    x = left.select(F.col(left_id), F.col("lon").alias("llon"), F.col("lat").alias("llat"), *left_more, bands.alias("b")).withColumn("n", buckets(F.col("b")))
     near = F.array_distinct(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.pmod(place("llon", F.col("n")) + d, F.col("n"))))
     x = x.withColumn("k", F.explode(near)).drop("n")
     d = haversine("llon", "llat", "rlon", "rlat")
     x, r = _dealt(x, r, left_id, right_id, dense)
-    return x.join(r, ["b", "k", "i", "j"]).select(left_id, right_id, d.alias("distance")).filter(F.col("distance") <= radius)
+    # never a broadcast of a side: what a task holds would grow with it
+    return x.join(r.hint("merge"), ["b", "k", "i", "j"]).select(left_id, right_id, d.alias("distance"), *left_more, *right_more).filter(F.col("distance") <= radius)
 
 
 def exclude_related(pairs: DataFrame, related: DataFrame) -> DataFrame:
@@ -102,14 +111,18 @@ def best_neighbour(grid: DataFrame, graph: DataFrame, upstream: DataFrame | None
     """cell, best: the candidate with the highest upstream area / distance^power that is on no common river with the cell.
 
     Ties: the nearer, then the smaller id; a cell without candidates is its own. ``candidates``: cell, other, distance;
-    ``upstream``: cell, area; or none, and ``labels`` of tree_labels with the areas as their values.
+    ``upstream``: cell, area; or none, and ``labels`` of tree_labels with the areas as their values. Candidates may bring
+    labels along (see unrelated); then the pairs meet no other table.
     """
     labels = tree_labels(graph) if labels is None else labels
-    up = labels.select(F.col("cell").alias("other"), F.col("value").alias("up")) if upstream is None else upstream.select(F.col("cell").alias("other"), F.col("area").alias("up"))
-    free = unrelated(candidates.filter("cell <> other"), graph, labels=labels)
-    scored = free.join(up, "other").withColumn("score", F.col("up") / F.pow("distance", F.lit(power)))
+    free = unrelated(labelled(candidates.filter("cell <> other"), labels), graph, labels=labels)
+    if upstream is None:
+        scored = free.filter("__other is not null").withColumn("up", F.col("__other.value"))
+    else:
+        scored = free.join(upstream.select(F.col("cell").alias("other"), F.col("area").alias("up")).hint("merge"), "other")
+    scored = scored.withColumn("score", F.col("up") / F.pow("distance", F.lit(power)))
     best = scored.groupBy("cell").agg(F.min_by("other", F.struct((-F.col("score")).alias("a"), "distance", "other")).alias("best"))
-    return grid.select("cell").join(best, "cell", "left").select("cell", F.coalesce("best", "cell").alias("best"))
+    return grid.select("cell").join(best.hint("merge"), "cell", "left").select("cell", F.coalesce("best", "cell").alias("best"))
 
 
 def undominated(candidates: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ are shuffled once, into tiles; after that a tile is a row of arrays, and only wh
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -362,10 +362,22 @@ def is_downstream(of: str, cell: str) -> Column:
     return (up["outlet"] == down["outlet"]) & (down["pre"] <= up["pre"]) & (up["pre"] < down["pre"] + down["upstream"])
 
 
+def labelled(df: DataFrame, labels: DataFrame, columns: Sequence[str] = ("cell", "other")) -> DataFrame:
+    """A table with the labels of its cell columns as structs ``__cell``, ``__other``, where it has none yet; null for cells
+    without labels. The labels grow with the network, so they aren't broadcast."""
+    for c in columns:
+        if f"__{c}" not in df.columns:
+            own = labels.select(F.col("cell").alias(c), F.struct("outlet", "pre", "upstream", "value").alias(f"__{c}"))
+            df = df.join(own.hint("merge"), c, "left")
+    return df
+
+
 def unrelated(pairs: DataFrame, graph: DataFrame, tile: Tile | None = None, labels: DataFrame | None = None) -> DataFrame:
-    """Pairs (cell, other, ...) of which neither is downstream of the other, nor the same; ``labels``: of tree_labels."""
-    labels = tree_labels(graph, tile) if labels is None else labels
-    at = lambda c: labels.select(F.col("cell").alias(c), F.struct("outlet", "pre", "upstream").alias(f"__{c}"))
-    placed = pairs.join(at("cell"), "cell", "left").join(at("other"), "other", "left")
+    """Pairs (cell, other, ...) of which neither is downstream of the other, nor the same; ``labels``: of tree_labels.
+
+    Pairs that have columns ``__cell`` and ``__other`` of ``labelled`` are judged as they are: where cells are fewer than
+    pairs, label them first."""
+    if not {"__cell", "__other"} <= set(pairs.columns):
+        labels = tree_labels(graph, tile) if labels is None else labels
     related = is_downstream("__cell", "__other") | is_downstream("__other", "__cell")
-    return placed.filter(~F.coalesce(related, F.lit(False))).select(*pairs.columns)
+    return labelled(pairs, labels).filter(~F.coalesce(related, F.lit(False))).select(*pairs.columns)

@@ -72,22 +72,25 @@ def j07(spark, sf):
 _FREE = _RADIUS + ", " + _WALK + ", f AS (SELECT cell, other, distance FROM n WHERE distance <= 75000 AND cell <> other AND NOT EXISTS (SELECT 1 FROM w WHERE w.cell = n.cell AND w.loc = n.other) AND NOT EXISTS (SELECT 1 FROM w WHERE w.cell = n.other AND w.loc = n.cell))"
 
 
-def _pairs(spark, sf):
+def _pairs(spark, sf, labels):
+    """The cells, and their pairs with the labels of both."""
     g = view(spark, sf, "v_grid")
-    return g, graph.radius_join(g, g.withColumnRenamed("cell", "other"), 75_000.0).filter("cell <> other")
+    left, right = (graph.labelled(df, labels, [c]) for df, c in ((g, "cell"), (g.withColumnRenamed("cell", "other"), "other")))
+    return g, graph.radius_join(left, right, 75_000.0, left_more=["__cell"], right_more=["__other"]).filter("cell <> other")
 
 
 @query("j09_exclude_related", oracle("v_grid v_river", "SELECT cell, other FROM f", _FREE))
 def j09(spark, sf):
-    _, pairs = _pairs(spark, sf)
-    return graph.unrelated(pairs.select("cell", "other"), _river(spark, sf))
+    river = _river(spark, sf)
+    labels = graph.tree_labels(river)
+    return graph.unrelated(_pairs(spark, sf, labels)[1], river, labels=labels).select("cell", "other")
 
 
 @query("r05_best_neighbour", oracle("v_grid v_river", "SELECT g.cell, coalesce(best, g.cell) AS best FROM v_grid g LEFT JOIN (SELECT f.cell, f.other AS best, row_number() OVER (PARTITION BY f.cell ORDER BY up / power(distance, 2) DESC, distance, f.other) AS r FROM f JOIN u ON u.loc = f.other) b ON b.cell = g.cell AND r = 1", _FREE + ", u AS (SELECT loc, sum(area) AS up FROM w GROUP BY 1)"))
 def r05(spark, sf):
-    g, pairs = _pairs(spark, sf)
     river = _river(spark, sf)
     labels = graph.tree_labels(river, values=view(spark, sf, "v_river").select("cell", F.col("area").alias("value")))
+    g, pairs = _pairs(spark, sf, labels)
     return graph.best_neighbour(g, river, None, pairs, labels=labels)
 
 
