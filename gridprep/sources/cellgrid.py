@@ -26,8 +26,11 @@ from pyspark.sql.datasource import (
 #: Data type codes of version 3, and the values each version leaves out.
 TYPES = {0: "i1", 1: "i2", 2: "i4", 3: "f4", 4: "f8"}
 DEFAULTS = {"cellsize_lon": 0.5, "scalar": 1.0, "datatype": 1}
-#: Values that are read at once, and values that one input partition holds, at most.
-SLICE, PARTITION = 1_000_000, 32_000_000
+#: Values that are read at once, values that one input partition holds at most, and partitions of a file that a smaller size
+#: asked for may make: a task costs as much as some ten thousand values.
+SLICE, PARTITION, MANY = 1_000_000, 4_000_000, 512
+#: Rows that a task sorts before it writes them, about.
+SORTED = 1_000_000
 SCHEMA = "year int, cell bigint, band int, value double"
 #: With the option ``places``: where a value stands in its file, counted in values.
 PLACED = SCHEMA + ", place bigint"
@@ -415,15 +418,16 @@ def prepare(df, partitions: int | None = None):
 
 
 def write_cellgrid(df, path: str, mode: str = "append", partitions: int | None = None, **options: str) -> None:
-    """Writes every band of every cell of every year as one file; its extent is one aggregate over the rows."""
+    """Writes every band of every cell of every year as one file; its extent and the number of its tasks
+    (unless given) come from one aggregate over the rows."""
     from pyspark.sql import functions as F
 
     register(df.sparkSession)
-    own = prepare(df, partitions)
-    x = own.agg(F.min("year").alias("y0"), F.max("year").alias("y1"), F.min("cell").alias("c0"), F.max("cell").alias("c1"), F.max("band").alias("b")).first()
+    x = df.agg(F.min(F.col("year").cast("int")).alias("y0"), F.max(F.col("year").cast("int")).alias("y1"), F.min(F.col("cell").cast("long")).alias("c0"), F.max(F.col("cell").cast("long")).alias("c1"), F.max(F.col("band").cast("int")).alias("b"), F.count(F.lit(1)).alias("n")).first()
     if x["y0"] is None:
         raise ValueError("no rows to write")
     extent = {"firstyear": x["y0"], "nyear": x["y1"] - x["y0"] + 1, "firstcell": x["c0"], "ncell": x["c1"] - x["c0"] + 1, "nbands": x["b"] + 1}
+    own = prepare(df, partitions or -(-x["n"] // SORTED))
     own.write.format("cellgrid").options(**(options | {k: str(v) for k, v in extent.items()})).mode(mode).save(path)
 
 
