@@ -196,8 +196,11 @@ class CellGridReader(DataSourceReader):
             return []
         out: list[InputPartition] = []
         runs, held = [], 0
-        step = max(1, self.most // max(1, h["nbands"]))
-        for year in years[self.wanted["year"].has(years)].tolist():
+        own = years[self.wanted["year"].has(years)].tolist()
+        # partitions smaller than PARTITION grow with the file, so that their number doesn't
+        share = -(-len(own) * (last - first + 1) * h["nbands"] // MANY)
+        step = max(1, max(self.most, min(share, PARTITION)) // max(1, h["nbands"]))
+        for year in own:
             for begin in range(first - h["firstcell"], last - h["firstcell"] + 1, step):
                 n = min(step, last - h["firstcell"] + 1 - begin)
                 if runs and held + n > step:
