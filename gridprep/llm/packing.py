@@ -14,13 +14,14 @@ import re
 from collections import deque
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
+from struct import pack
 
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from gridprep.llm.common import id_long, id_text, small_batches, text_column
+from gridprep.llm.common import id_long, id_text, small_batches, text_column, tidy
 
 LENGTH, END_ID = 2_048, 1
 #: Costs in tokens of a cut at a sentence end and inside a sentence, and of a window as such.
@@ -29,8 +30,11 @@ SENTENCE_COST, INSIDE_COST, WINDOW_COST = 1.0, 24.0, 4.0
 HORIZON = 262_144
 #: Marks that end a sentence; those of other scripts are often several ids.
 MARKS = (".", "!", "?", "...", "!!", "??", *"…。．｡！？؟۔։।॥።။។")
-#: Words that a tokenizer's cache takes up before the older half of it goes.
-CACHE = 300_000
+#: Words that a tokenizer's cache takes up before the older half of it goes, and parts before all go; the longest that it
+#: takes. A worker keeps the cache between tasks, and an executor has several workers, so it has to be small.
+CACHE, LONGEST = 150_000, 64
+#: Bytes of the sieve of words met once, which aren't kept yet.
+MET = 1 << 21
 
 _ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -     　]")
 _PLAIN = re.compile("[\x21-\x7eÀ-ÖØ-öø-ÿ]+")
@@ -58,35 +62,47 @@ class WordTokenizer:
         # words met lately, and those met before them
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        # a byte for each value of a word's hash: words met once, which most never are again
+        self.met = bytearray(MET)
 
     def _tokens(self, part: str) -> bytes:
         shown = part if part.isascii() else part.encode().decode("latin-1").translate(self.alphabet)
-        return np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
+        ids = [t.id for t in self.model.tokenize(shown)]
+        return pack(f"<{len(ids)}I", *ids)
 
     def _part(self, part: str) -> bytes:
         found = self.parts.get(part)
         if found is None:
-            if len(self.parts) >= CACHE:
-                self.parts.clear()
-            found = self.parts[part] = self._tokens(part)
+            found = self._tokens(part)
+            if len(part) <= LONGEST and self._again(part):
+                if len(self.parts) >= CACHE:
+                    self.parts.clear()
+                self.parts[part] = found
         return found
 
     def _word(self, word: str) -> bytes:
-        found = self.words.get(word) or self.older.get(word)
-        # an angle and a bar may begin a special token
+        found = self.older.get(word)
         if found is not None:
-            pass
-        elif _PLAIN.fullmatch(word) and "<|" not in word:
+            return self._kept(word, found)
+        # an angle and a bar may begin a special token
+        if _PLAIN.fullmatch(word) and "<|" not in word:
             parts = _PARTS.findall(word.lower())
             # a word of one part is kept as a word only
             found = self._tokens(parts[0]) if len(parts) == 1 else b"".join(map(self._part, parts))
         else:
             found = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        return self._kept(word, found)
+        return self._kept(word, found) if len(word) <= LONGEST and self._again(word) else found
+
+    def _again(self, word: str) -> bool:
+        """Whether the word was met before, or another of its hash."""
+        at = hash(word) % MET
+        again, self.met[at] = self.met[at], 1
+        return bool(again)
 
     def _kept(self, word: str, found: bytes) -> bytes:
         if len(self.words) >= CACHE:
             self.words, self.older = {}, self.words
+            self.met = bytearray(MET)
         self.words[word] = found
         return found
 
@@ -275,4 +291,4 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, length: int = LENGTH) -
         if pieces:
             yield frame(pieces)
 
-    return id_long(docs.select(id_text(), text_column(docs)).mapInPandas(run, SCHEMA))
+    return id_long(docs.select(id_text(), text_column(docs)).mapInPandas(tidy(run), SCHEMA))

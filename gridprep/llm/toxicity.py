@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridprep.llm.common import _BYTE, _powers, Words, chunks, cut, mix64, small_batches, text_column, with_rows
+from gridprep.llm.common import _BYTE, _powers, Words, chunks, cut, mix64, small_batches, text_column, tidy, with_rows
 
 #: Lengths in bytes of the word beginnings that count as features beside the word itself.
 PREFIXES = (4, 5, 6)
@@ -178,7 +178,7 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: list[str], max_row
         last = sample.select(place.alias("p")).orderBy("p").limit(max_rows).agg(F.max("p")).first()[0]
         sample = sample.filter(place <= F.struct(*(F.lit(x).cast("long").alias(n) for n, x in last.asDict().items())))
     sample = sample.drop("__order", "__next", "__row")
-    counts = sample.mapInPandas(_counted(names), "feature long, n long, " + ", ".join(f"{n} long" for n in names))
+    counts = sample.mapInPandas(tidy(_counted(names)), "feature long, n long, " + ", ".join(f"{n} long" for n in names))
     counts = counts.groupBy("feature").agg(F.sum("n").alias("n"), *(F.sum(n).alias(n) for n in names)).filter(F.col("n") >= min_rows)
     total = sample.agg(F.count(F.lit(1)).alias("n"), *(F.sum(n).alias(n) for n in names)).first()
     if not total["n"]:
@@ -202,7 +202,7 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: list[str], max_row
                 ones = np.split(c, np.searchsorted(r, np.arange(1, b - a)))
                 yield pdf.iloc[a:b][["doc_id", *names]].assign(ones=[o.tolist() for o in ones])
 
-    data = sample.mapInPandas(vectorised, "doc_id long, " + ", ".join(f"{n} int" for n in names) + ", ones array<int>").toPandas().sort_values("doc_id", kind="stable")
+    data = sample.mapInPandas(tidy(vectorised), "doc_id long, " + ", ".join(f"{n} int" for n in names) + ", ones array<int>").toPandas().sort_values("doc_id", kind="stable")
     n = len(data)
     per_row = data["ones"].map(len).to_numpy(np.int64)
     rows = np.repeat(np.arange(n), per_row)

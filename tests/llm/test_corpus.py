@@ -4,12 +4,14 @@ import random
 import re
 import time
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from gridprep.llm import components, html, lines, mixing, ngram_join, packing
+from gridprep.llm.common import tidy
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -364,6 +366,36 @@ def test_windows_are_cheapest():
         assert total == pytest.approx(slow_best(at.tolist(), cost.tolist(), 1124))
 
 
+def test_tokenizer_keeps_little():
+    """Long words and words met once aren't kept: an executor's workers hold their caches as long as they live."""
+    own = packing.WordTokenizer(tokenizer_path())
+    rng = random.Random(4)
+    texts = ["".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(5_000)) for _ in range(40)] + ["n%dx" % k for k in range(2_000)] + ["ab " * 3]
+    for t in texts * 2:
+        assert own.ids(t) == np.array(own.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+    held = lambda d: sum(len(k) + len(v) for k, v in d.items())
+    assert "ab" in own.words and held(own.words) + held(own.older) + held(own.parts) < 100_000
+    once = packing.WordTokenizer(tokenizer_path())
+    once.ids(" ".join(texts[40:2_040]))
+    assert len(once.words) < 100
+
+
+def test_tasks_give_memory_back():
+    resident = lambda: int(re.search(r"VmRSS:\s+(\d+)", Path("/proc/self/status").read_text())[1]) // 1024
+    pins = []
+
+    def run(batches):
+        for _ in batches:
+            held = [bytes(1_000 + k % 7) for k in range(100_000)]
+            pins.append(bytes(1_003))
+            del held
+            yield None
+
+    before = resident()
+    assert len(list(tidy(run)([0, 1]))) == 2
+    assert resident() - before < 50
+
+
 def test_pack_round_trip(spark, monkeypatch):
     from tokenizers import Tokenizer
 
