@@ -38,14 +38,16 @@ MET = 1 << 21
 
 _ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -     　]")
 _PLAIN = re.compile("[\x21-\x7eÀ-ÖØ-öø-ÿ]+")
-_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+#: Parts of lower-cased words that stand in a row with a space between them, and these spaces.
+_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]| |[^a-zß-öø-ÿ0-9 ]+")
 
 
 class WordTokenizer:
     """Token ids of texts by a tokenizer file whose tokens never span white space, with every distinct word done once.
 
-    Texts fall into words at ASCII white space. A word of ASCII and common Latin letters falls into the tokenizer's own
-    parts, which its model then takes one by one; any other word goes through the whole tokenizer.
+    Texts fall into words at ASCII white space. Words of ASCII and common Latin letters fall into the tokenizer's own
+    parts, those of a text that aren't known yet all at once; its model then takes new parts one by one. Any other word
+    goes through the whole tokenizer.
     """
 
     def __init__(self, path: str) -> None:
@@ -54,10 +56,15 @@ class WordTokenizer:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        # the model's own cache only costs time behind those below
+        if hasattr(self.model, "_resize_cache"):
+            self.model._resize_cache(0)
         # the byte-level alphabet: printable bytes stand for themselves, the others for code points from 256
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         names = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in set(shown))}
         self.alphabet = "".join(names[b] for b in range(256))
+        # each id's bytes, which words of one token share
+        self.id_bytes = [pack("<I", k) for k in range(self.tokenizer.get_vocab_size(with_added_tokens=True))]
         self.parts: dict[str, bytes] = {}
         # words met lately, and those met before them
         self.words: dict[str, bytes] = {}
@@ -67,30 +74,50 @@ class WordTokenizer:
 
     def _tokens(self, part: str) -> bytes:
         shown = part if part.isascii() else part.encode().decode("latin-1").translate(self.alphabet)
-        ids = [t.id for t in self.model.tokenize(shown)]
-        return pack(f"<{len(ids)}I", *ids)
-
-    def _part(self, part: str) -> bytes:
-        found = self.parts.get(part)
-        if found is None:
-            found = self._tokens(part)
-            if len(part) <= LONGEST and self._again(part):
-                if len(self.parts) >= CACHE:
-                    self.parts.clear()
-                self.parts[part] = found
+        ids = self.id_bytes
+        return b"".join([ids[t.id] for t in self.model.tokenize(shown)])
+
+    def _part(self, part: str, whole: bool) -> bytes:
+        """A part that has no ids in the caches; ``whole``: it is a word, which is kept as such."""
+        found = self._tokens(part)
+        if not whole and len(part) <= LONGEST and self._again(part):
+            if len(self.parts) >= CACHE:
+                self.parts.clear()
+            self.parts[part] = found
         return found
 
-    def _word(self, word: str) -> bytes:
-        found = self.older.get(word)
-        if found is not None:
-            return self._kept(word, found)
-        # an angle and a bar may begin a special token
-        if _PLAIN.fullmatch(word) and "<|" not in word:
-            parts = _PARTS.findall(word.lower())
-            # a word of one part is kept as a word only
-            found = self._tokens(parts[0]) if len(parts) == 1 else b"".join(map(self._part, parts))
-        else:
-            found = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+    def _fill(self, words: list[str], found: list[bytes | None]) -> None:
+        """Puts the ids of the words that have none into ``found``: the plain ones go through the patterns together."""
+        plain: list[int] = []
+        for k in [k for k, x in enumerate(found) if x is None]:
+            word = words[k]
+            ids = self.older.get(word)
+            if ids is not None:
+                found[k] = self._kept(word, ids)
+            # an angle and a bar may begin a special token
+            elif _PLAIN.fullmatch(word) and "<|" not in word:
+                plain.append(k)
+            else:
+                found[k] = self._new(word, np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes())
+        # not very many at a time: their parts are all in memory
+        for a in range(0, len(plain), 1_000):
+            some = plain[a : a + 1_000]
+            own: list[bytes] = []
+            at = 0
+            word = words[some[0]]
+            kept, kept_parts, older = self.words.get, self.parts.get, self.older.get
+            for part in _PARTS.findall((" ".join([words[k] for k in some]) + " ").lower()):
+                if part != " ":
+                    # a part that stands alone elsewhere has the same ids there
+                    own.append(kept(part) or kept_parts(part) or older(part) or self._part(part, part == word))
+                    continue
+                found[some[at]] = self._new(word, own[0] if len(own) == 1 else b"".join(own))
+                own = []
+                at += 1
+                if at < len(some):
+                    word = words[some[at]]
+
+    def _new(self, word: str, found: bytes) -> bytes:
         return self._kept(word, found) if len(word) <= LONGEST and self._again(word) else found
 
     def _again(self, word: str) -> bool:
@@ -108,9 +135,11 @@ class WordTokenizer:
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        words = re.split("[\t-\r ]+", text) if _ODD_SPACE.search(text) else text.split()
-        get, make = self.words.get, self._word
-        return b"".join([get(w) or make(w) for w in words if w])
+        words = [w for w in re.split("[\t-\r ]+", text) if w] if _ODD_SPACE.search(text) else text.split()
+        found = list(map(self.words.get, words))
+        if None in found:
+            self._fill(words, found)
+        return b"".join(found)
 
     def sentence_ends(self) -> np.ndarray:
         """For each id whether it ends a sentence."""

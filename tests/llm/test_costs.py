@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from gridprep.llm import lines
+from gridprep.llm import lines, packing
 
 
 def near(rng, line, n):
@@ -73,3 +73,17 @@ def test_places_are_those_of_spark(spark):
     both = df.select(F.xxhash64("doc_id"), "line_no", F.xxhash64("doc_id", "line_no")).collect()
     seed, number, want = (np.array(x) for x in zip(*both, strict=True))
     assert lines._with_int(seed.view(np.uint64), number).view(np.int64).tolist() == want.tolist()
+
+
+def test_known_words_are_parts_of_others(monkeypatch):
+    """The model isn't asked again for a word that stands alone elsewhere, and the ids stay exact."""
+    import public_tokenizers
+
+    own = packing.WordTokenizer(str(public_tokenizers.path("word_bpe_49k.json")))
+    asked = []
+    plain = own._tokens
+    monkeypatch.setattr(own, "_tokens", lambda part: asked.append(part) or plain(part))
+    for text in ("thonre thonre eauée eauée", "Thonre, (thonre) thonre's thonre. eauée! Eauée\x85日 <|thonre|>", "thonre " * 2_500 + "it's thonre-" * 1_200):
+        before = len(asked)
+        assert own.ids(text) == np.array(own.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert before == 0 or not {"thonre", "eauée"} & set(asked[before:])
