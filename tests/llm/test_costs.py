@@ -1,13 +1,16 @@
 """Line dedup and packing do their work in bulk, with the results of the plain way."""
 
+import os
 import random
+import time
 
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from gridprep.llm import lines, packing
+from gridprep import session
+from gridprep.llm import common, lines, packing
 
 
 def near(rng, line, n):
@@ -87,3 +90,56 @@ def test_known_words_are_parts_of_others(monkeypatch):
         before = len(asked)
         assert own.ids(text) == np.array(own.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         assert before == 0 or not {"thonre", "eauée"} & set(asked[before:])
+
+
+def shuffle_files(spark):
+    every = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+    return {f for f in every.split("\n") if "/shuffle_" in f}
+
+
+def gone(spark, before, most=0):
+    """Whether Spark, which deletes them a moment later, leaves at most so many bytes of new shuffle files."""
+    for _ in range(100):
+        if sum(os.path.getsize(f) for f in shuffle_files(spark) - before if os.path.exists(f)) <= most:
+            return True
+        time.sleep(0.1)
+    return False
+
+
+def test_stored_steps_leave_no_shuffle_files(spark):
+    df = spark.range(1_000).groupBy((F.col("id") % 7).alias("k")).count()
+    before = shuffle_files(spark)
+    first, second = common.cut(df), common.with_rows(df)
+    assert gone(spark, before)
+    # the frame itself can be computed again and again, and keeps its files for that
+    want = [(k, 143 if k < 6 else 142) for k in range(7)]
+    assert all(sorted(map(tuple, x.collect())) == want for x in (df, df, first, second.drop("__row")))
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_line_classes_leave_their_result_only(spark):
+    rng = random.Random(8)
+    texts = ["\n".join(near(rng, "a line of some length that is nearly repeated", 1) for _ in range(4)) for _ in range(30)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    before, folders = shuffle_files(spark), list(session._FOLDERS)
+    found, repeated = lines.line_classes(df)
+    assert session._FOLDERS == folders
+    assert gone(spark, before, 2_000)  # sums of one row
+    assert found.count() == 120 and repeated.count() > 20
+
+
+def test_signatures_travel_in_eight_longs(spark):
+    """By 16 bits of each value: values that are equal give equal bands, and others don't."""
+    rng = random.Random(9)
+    texts = [near(rng, base, rng.choice([0, 1, 9])) for base in ("".join(rng.choice("abcdefgh ÉΣ日") for _ in range(n)) for n in (3, 20, 200, 70_000)) for _ in range(5)]
+    sig, n = lines.signatures("\n".join(texts)), np.array([len(t) for t in texts])
+    packed = lines._packed(sig, n)
+    assert packed.shape == (8, len(texts))
+    df = spark.createDataFrame([tuple(map(int, row)) for row in packed.T], ", ".join(f"{c} long" for c in lines._FOURS)).coalesce(1)
+    got = df.select(F.array(*lines._keys()), lines._length()).collect()
+    assert [r[1] for r in got] == n.tolist()
+    bands = sig.reshape(len(texts), lines.BANDS, lines.ROWS)
+    same = (bands[:, None] == bands[None]).all(3)
+    keys = np.array([r[0] for r in got])
+    assert ((keys[:, None] == keys[None]) == same).all() and len(texts) * lines.BANDS < same.sum() < same.size
+    assert len(set(keys[0])) == lines.BANDS
