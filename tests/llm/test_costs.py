@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridprep import session
-from gridprep.llm import common, lines, packing
+from gridprep.llm import common, lines, mixing, ngram_join, packing
 
 
 def near(rng, line, n):
@@ -128,6 +128,19 @@ def test_line_classes_leave_their_result_only(spark):
     assert found.count() == 120 and repeated.count() > 20
 
 
+def test_joins_and_mixes_of_the_pipeline_leave_no_shuffle_files(spark):
+    rng = random.Random(10)
+    texts = [" ".join(rng.choice(["some", "words", "of", "texts", "that", "repeat"]) for _ in range(60)) for _ in range(40)]
+    texts += [t + " more" for t in texts]
+    df = spark.createDataFrame([(k, t, "ab"[k % 2]) for k, t in enumerate(texts)], "doc_id long, text string, source string")
+    before = shuffle_files(spark)
+    rows, nodes, found = ngram_join.links(df)
+    assert gone(spark, before, 2_000) and rows.count() == nodes.count() == found.count() == 80
+    before = shuffle_files(spark)
+    mix = mixing.plan_mix(df, [1, 2])
+    assert gone(spark, before, 2_000) and mix.slots.count() > 10
+
+
 def test_signatures_travel_in_eight_longs(spark):
     """By 16 bits of each value: values that are equal give equal bands, and others don't."""
     rng = random.Random(9)
